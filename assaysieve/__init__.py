@@ -1 +1,8 @@
 """Spark jobs that screen entities from a small set of measured experiments."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions sent to Python workers travel whole, so that executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

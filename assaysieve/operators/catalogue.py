@@ -69,18 +69,14 @@ def attach_attribute(df: DataFrame, attributes: DataFrame, attribute: str, to: s
 def first_per_key(df: DataFrame, key: str, order: Column) -> DataFrame:
     """First row per key in the given order, combined before the shuffle."""
     rest = [c for c in df.columns if c != key]
-    return df.groupBy(col(key)).agg(F.min_by(F.struct(*[col(c) for c in rest]), order).alias("_r")).select(col(key), "_r.*")
-
-
-def last_per_key(df: DataFrame, key: str, order: Column) -> DataFrame:
-    rest = [c for c in df.columns if c != key]
-    return df.groupBy(col(key)).agg(F.max_by(F.struct(*[col(c) for c in rest]), order).alias("_r")).select(col(key), "_r.*")
+    rows = df.select(col(key), F.struct(*[col(c) for c in rest]).alias("_r"), order.alias("_order"))
+    return rows.groupBy(col(key)).agg(F.min_by("_r", "_order").alias("_r")).select(col(key), "_r.*")
 
 
 def fill_gaps(left: DataFrame, right: DataFrame, key: str, order: Column | None = None) -> DataFrame:
     """Union of rows and columns of both frames; left values win, right fills what is missing.
 
-    The right side is reduced to one row per key. The outer join is written as a left join plus the right rows
+    The right side is reduced to one row per key, the first in the given order. The outer join is written as a left join plus the right rows
     without a partner, because Spark splits skewed partitions of a left join but not those of a full join.
     """
     source = first_per_key(right, key, order if order is not None else F.monotonically_increasing_id())

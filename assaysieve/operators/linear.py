@@ -22,6 +22,7 @@ from assaysieve.functions.exprs import col, safe_ratio
 from assaysieve.operators.skew import lookup_join
 
 FULL = -1  # fold number of the fit on all rows
+FLAT = 1e-12  # centred squares below this share of the raw squares are rounding noise of a constant feature
 
 
 class LinearSpec(NamedTuple):
@@ -93,12 +94,25 @@ def training_sums(grams: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return totals.select(*[col(k) for k in [*by, "target"]], fits.alias("s")).select(*[col(k) for k in [*by, "target"]], "s.*")
 
 
-def solve_line(sums: DataFrame) -> DataFrame:
-    """Slope and intercept of a single-feature least-squares fit, in the JVM."""
-    n, sx, sy = F.col("n"), F.col("sx_0"), F.col("sy")
-    slope = safe_ratio(n * F.col("sxy_0") - sx * sy, n * F.col("sxx_0_0") - sx * sx)
-    slope = F.when(n > 0, F.coalesce(slope, F.lit(0.0)))
-    return sums.withColumn("slope", slope).withColumn("intercept", safe_ratio(sy - F.col("slope") * sx, n))
+def solve_line(sums: DataFrame, models: Sequence[str] = ("Linear Regression",), by: Sequence[str] = ()) -> DataFrame:
+    """Single-feature fits in closed form, in the JVM. Same columns as `solve`."""
+    n, mean_x, mean_y = F.col("n"), safe_ratio(F.col("sx_0"), F.col("n")), safe_ratio(F.col("sy"), F.col("n"))
+    g = F.col("sxx_0_0") - n * mean_x * mean_x
+    g = F.when(g > FLAT * F.col("sxx_0_0"), g).otherwise(0.0)
+    b = F.col("sxy_0") - n * mean_x * mean_y
+    entries = []
+    for model in models:
+        spec = LINEAR_MODELS[model]
+        inverse = F.coalesce(safe_ratio(F.lit(1.0), g + spec.alpha if spec.penalty == "l2" else g), F.lit(0.0))
+        pull = b if spec.penalty != "l1" else F.signum(b) * F.greatest(F.abs(b) - n * spec.alpha, F.lit(0.0))
+        weight = pull * inverse
+        entries.append(F.struct(
+            F.lit(model).alias("model"), n.alias("n"), (mean_y - weight * mean_x).alias("intercept"), F.array(weight).alias("weights"),
+            F.array(mean_x).alias("means"), F.array(inverse).alias("inverse"),
+            F.when(n > 0, "ok").otherwise("error: no training rows").alias("status"),
+        ))
+    keys = [*by, "target", "fold"]
+    return sums.select(*[col(k) for k in keys], F.explode(F.array(*entries)).alias("f")).select(*[col(k) for k in keys], "f.*")
 
 
 def _shrink(value: float, by: float) -> float:
@@ -110,12 +124,14 @@ def solve_one(n: float, sx: np.ndarray, sxx: np.ndarray, sy: float, sxy: np.ndar
     mean_x, mean_y = sx / n, sy / n
     g = sxx - n * np.outer(mean_x, mean_x)
     b = sxy - n * mean_x * mean_y
-    inverse = np.linalg.pinv(g + spec.alpha * np.eye(len(sx)) if spec.penalty == "l2" else g, rcond=1e-11, hermitian=True)
+    zero = FLAT * float(np.max(np.diag(sxx), initial=0.0))
+    values, vectors = np.linalg.eigh(g + spec.alpha * np.eye(len(sx)) if spec.penalty == "l2" else g)
+    inverse = (vectors * np.divide(1.0, values, out=np.zeros_like(values), where=values > zero)) @ vectors.T
     if spec.penalty == "l1":
         w = np.zeros(len(sx))
         for _ in range(20_000):
             before = w.copy()
-            for j in np.flatnonzero(np.diag(g) > 1e-12):
+            for j in np.flatnonzero(np.diag(g) > zero):
                 w[j] = _shrink(b[j] - g[j] @ w + g[j, j] * w[j], n * spec.alpha) / g[j, j]
             if np.max(np.abs(w - before), initial=0.0) < 1e-13:
                 break
@@ -127,8 +143,10 @@ def solve_one(n: float, sx: np.ndarray, sxx: np.ndarray, sy: float, sxy: np.ndar
 def solve(sums: DataFrame, features: Sequence[str], models: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Fit every named linear model on every row of sums. A failed fit gives a row with its reason in `status`."""
     specs = {m: LINEAR_MODELS[m] for m in models}
+    if len(features) == 1 and all(s.degree == 1 for s in specs.values()):
+        return solve_line(sums, models, by)
     widest = 2 if any(f"sx_{len(features)}" == c for c in sums.columns) else 1
-    size = {1: len(features), 2: len(terms_names(features, 2))}
+    size = {1: len(features), 2: len(term_names(features, 2))}
     total = size[widest]
     keys = [*by, "target", "fold"]
     kinds = dict(sums.dtypes)
@@ -159,7 +177,7 @@ def solve(sums: DataFrame, features: Sequence[str], models: Sequence[str], by: S
     return sums.mapInPandas(fit, schema)
 
 
-def terms_names(features: Sequence[str], degree: int) -> list[str]:
+def term_names(features: Sequence[str], degree: int) -> list[str]:
     names = list(features)
     return names + [f"{a}*{b}" for a, b in combinations_with_replacement(features, 2)] if degree == 2 else names
 

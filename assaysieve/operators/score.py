@@ -106,7 +106,7 @@ def rank_all(df: DataFrame, entity: str = "solvent_name", score: str = "score",
     start after the rows of the partitions before it.
     """
     order = [col(score).desc_nulls_last(), col(entity)]
-    if df.limit(one_task_rows + 1).count() <= one_task_rows:
+    if df.count() <= one_task_rows:
         return df.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
     checkpointable(df.sparkSession)
     placed = df.orderBy(*order).checkpoint().withColumns(

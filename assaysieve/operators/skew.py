@@ -31,8 +31,8 @@ def _row_bytes(df: DataFrame) -> Column:
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure, reading at most max_rows + 1 rows, whether a frame is small enough to copy to every executor."""
-    measured = df.limit(max_rows + 1).agg(F.count("*"), F.sum(_row_bytes(df))).first()
+    """Measure whether a frame is small enough to copy to every executor. Only two partial sums per task are exchanged."""
+    measured = df.agg(F.count("*"), F.sum(_row_bytes(df))).first()
     return measured[0] <= max_rows and (measured[1] or 0) <= max_bytes
 
 

@@ -19,7 +19,7 @@ def enrich(df: DataFrame, landed: DataFrame, name: str = "solvent_name") -> Data
     properties = parse_properties(accepted).withColumnRenamed("entity", name)
     described = properties.withColumn("Heavy_Atom_Count", F.when(F.col("SMILES") != "", heavy_atoms("SMILES").cast("double")))
     known = described.join(df.select(name).distinct(), [name], "left_semi")
-    return fill_gaps(df, known, name)
+    return fill_gaps(df, known, name, F.lit(0))
 
 
 def build_catalogue(

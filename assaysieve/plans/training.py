@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assaysieve.functions import vocabulary as V
@@ -121,16 +121,25 @@ def _attempt(failures: list, target: str, model: str, job):
 
 
 def train(
-    training: Training, models: Sequence[str] | None = None, strategy: str | None = None, row_id: str = ROW, tree_options: dict | None = None
+    training: Training,
+    models: Sequence[str] | None = None,
+    strategy: str | None = None,
+    row_id: str = ROW,
+    tree_options: dict | None = None,
+    fold: Column | None = None,
 ) -> Trained:
-    """Fit and cross-validate every model for every target, then choose the best per target."""
+    """Fit and cross-validate every model for every target, then choose the best per target.
+
+    Folds are drawn by the validation strategy, unless the caller gives them as an expression over the row key.
+    """
     frame, features, targets = training.frame.persist(), training.features, training.targets
     advised, plan = recommend(frame.count())
     models, strategy = list(models or advised), strategy or plan
     folds = validate.fold_count(strategy)
     choices = [validate.resolve_model(m) for m in models]
     families = {f: list(dict.fromkeys(c.fitted_as for c in choices if c.family == f)) for f in ("linear", "kernel", "trees")}
-    rows = validate.assign_folds(frame, row_id, folds).persist()
+    drawn = validate.assign_folds(frame, row_id, folds) if fold is None else frame.withColumn("fold", fold.cast("int"))
+    rows = drawn.persist()
     number = folds if folds is not None else rows.count()
 
     oofs, failures, held = [], [], {}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -35,3 +36,9 @@ def checkpointable(spark: SparkSession) -> None:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="assaysieve-ckpt-"))
     else:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder name in the checkpoint folder, which all executors can reach."""
+    checkpointable(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
