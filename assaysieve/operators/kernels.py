@@ -60,7 +60,7 @@ def fit_amplitude(eigenvalues: np.ndarray, projections: np.ndarray) -> float:
     a, b = at, min(max(at + step, low), high)
     if (slope(b) > 0) == rising:
         return float(np.exp(b))
-    for _ in range(100):
+    while abs(b - a) > 1e-12:
         middle = (a + b) / 2
         a, b = (middle, b) if (slope(middle) > 0) == rising else (a, middle)
     return float(np.exp((a + b) / 2))

@@ -108,11 +108,8 @@ def correlations(df: DataFrame, left: Sequence[str], right: Sequence[str] | None
     aggs = []
     for i, (a, b) in enumerate(pairs):
         x, y = col(a).cast("double"), col(b).cast("double")
-        both = x.isNotNull() & y.isNotNull()
-        x, y = F.when(both, x), F.when(both, y)
-        spread = F.stddev_pop(x) * F.stddev_pop(y)
-        varied = (F.max(x) > F.min(x)) & (F.max(y) > F.min(y))
-        aggs.append(F.when(varied, safe_ratio(F.covar_pop(x, y), spread)).alias(f"r{i}"))
+        spread = F.sqrt(F.regr_sxx(y, x)) * F.sqrt(F.regr_syy(y, x))
+        aggs.append(safe_ratio(F.regr_sxy(y, x), spread).alias(f"r{i}"))
     entries = []
     for i, (a, b) in enumerate(pairs):
         entries.append((a, b, i))

@@ -34,9 +34,19 @@ def estimator(kind: str, label: str = "y", **options):
     raise ValueError(f"unknown tree model {kind!r}")
 
 
+ROWS_PER_TASK = 1_000_000
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Keep rows and deal them to at least one task per core: tree fits are bound by computing, not by bytes."""
+    kept = df.persist()
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-kept.count() // ROWS_PER_TASK))
+    return kept.repartition(tasks).persist()
+
+
 def fit_tree(df: DataFrame, features: Sequence[str], target: str, kind: str, **options):
     rows = df.withColumn("y", col(target).cast("double")).where("y is not null")
-    return estimator(kind, **options).fit(assemble(rows, features))
+    return estimator(kind, **options).fit(spread(assemble(rows, features).select("y", "_features")))
 
 
 def score_tree(df: DataFrame, model, features: Sequence[str], to: str = "yhat") -> DataFrame:
@@ -48,9 +58,9 @@ def tree_out_of_fold(
     df: DataFrame, features: Sequence[str], target: str, kind: str, fold: str, folds: int, keep: Sequence[str], name: str | None = None, **options
 ) -> tuple[object, DataFrame]:
     """The model on all rows, and its training-fit and out-of-fold predictions for every row."""
-    rows = assemble(df.withColumn("y", col(target).cast("double")).where("y is not null"), features).select(
+    rows = spread(assemble(df.withColumn("y", col(target).cast("double")).where("y is not null"), features).select(
         *[col(c) for c in keep], col(fold).cast("int").alias("fold"), "y", "_features"
-    ).persist()
+    ))
     whole = estimator(kind, **options).fit(rows)
     parts = []
     for f in range(folds):

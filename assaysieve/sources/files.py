@@ -33,7 +33,7 @@ def csv_encoding(spark: SparkSession, path: str) -> str:
                 return "UTF-16"
             break
     lines = spark.read.text(path)
-    return "ISO-8859-1" if lines.where(F.col("value").contains("�")).limit(1).count() else "UTF-8"
+    return "ISO-8859-1" if lines.where(~F.is_valid_utf8("value")).limit(1).count() else "UTF-8"
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | T.StructType | None = None, encoding: str | None = None) -> DataFrame:
