@@ -59,11 +59,11 @@ def fit_amplitude(eigenvalues: np.ndarray, projections: np.ndarray) -> float:
         at += step
     a, b = at, min(max(at + step, low), high)
     if (slope(b) > 0) == rising:
-        return float(np.exp(b))
+        return float(np.clip(np.exp(b), *AMPLITUDE_BOUNDS))
     while abs(b - a) > 1e-12:
         middle = (a + b) / 2
         a, b = (middle, b) if (slope(middle) > 0) == rising else (a, middle)
-    return float(np.exp((a + b) / 2))
+    return float(np.clip(np.exp((a + b) / 2), *AMPLITUDE_BOUNDS))
 
 
 def fit_gaussian_process(x: np.ndarray, y: np.ndarray) -> dict:
