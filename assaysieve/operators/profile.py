@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 from itertools import combinations
 from operator import add
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -105,6 +107,8 @@ def correlations(df: DataFrame, left: Sequence[str], right: Sequence[str] | None
     pairs = list(combinations(left, 2)) + [(c, c) for c in left] if right is None else [(a, b) for a in left for b in right]
     if not pairs:
         return df.sparkSession.createDataFrame([], "column_a string, column_b string, corr double")
+    if len(pairs) > JVM_PAIRS:
+        return _wide_correlations(df, pairs, mirrored=right is None)
     aggs = []
     for i, (a, b) in enumerate(pairs):
         x, y = col(a).cast("double"), col(b).cast("double")
@@ -121,6 +125,51 @@ def correlations(df: DataFrame, left: Sequence[str], right: Sequence[str] | None
     return df.agg(*aggs).select(rows.alias("e")).select("e.*")
 
 
+# Beyond this many pairs the generated aggregate is too long to be compiled, and matrix products per Arrow batch win.
+JVM_PAIRS = 15
+
+
+def _wide_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]], mirrored: bool) -> DataFrame:
+    """Sums of every pair by matrix products per batch; each task hands on one small row per pair."""
+    columns = list(dict.fromkeys(c for pair in pairs for c in pair))
+    means = df.agg(*[F.coalesce(F.avg(col(c).cast("double")), F.lit(0.0)).alias(str(i)) for i, c in enumerate(columns)]).first()
+    shift = np.array([means[str(i)] for i in range(len(columns))])
+    at = np.array([(columns.index(a), columns.index(b)) for a, b in pairs])
+    wanted = df.select(*[col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((6, len(at)))
+        i, j = at[:, 0], at[:, 1]
+        for batch in batches:
+            x = batch.to_numpy(float) - shift
+            seen = (~np.isnan(x)).astype(float)
+            x = np.nan_to_num(x)
+            squares = x * x
+            n, s, q, c = seen.T @ seen, x.T @ seen, squares.T @ seen, x.T @ x
+            total += np.stack([n[i, j], s[i, j], s[j, i], q[i, j], q[j, i], c[i, j]])
+        yield pd.DataFrame(total.T, columns=["n", "sx", "sy", "sxx", "syy", "sxy"]).assign(pair=np.arange(len(at), dtype="int32"))
+
+    parts = wanted.mapInPandas(sums, "n double, sx double, sy double, sxx double, syy double, sxy double, pair int")
+    summed = parts.groupBy("pair").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
+    n = F.col("n")
+
+    def spread(s: str, ss: str, which: int) -> Column:
+        """Centred squares, 0 where what is left of the raw squares is rounding noise."""
+        centred = F.col(ss) - safe_ratio(F.col(s) * F.col(s), n)
+        floor = F.element_at(F.array(*[F.lit(float(1e-24 * shift[k] ** 2)) for k in at[:, which]]), F.col("pair") + 1) * n
+        return F.when((centred > 1e-12 * F.col(ss)) & (centred > floor), centred)
+
+    cross = F.col("sxy") - safe_ratio(F.col("sx") * F.col("sy"), n)
+    corr = safe_ratio(cross, F.sqrt(spread("sx", "sxx", 0)) * F.sqrt(spread("sy", "syy", 1)))
+    names = [F.element_at(F.array(*[F.lit(p[k]) for p in pairs]), F.col("pair") + 1) for k in (0, 1)]
+    found = summed.select(names[0].alias("column_a"), names[1].alias("column_b"), corr.alias("corr"))
+    if not mirrored:
+        return found
+    both = F.array(F.struct("column_a", "column_b", "corr"), F.struct(F.col("column_b").alias("column_a"), F.col("column_a").alias("column_b"), "corr"))
+    once = F.array(F.struct("column_a", "column_b", "corr"))
+    return found.select(F.explode(F.when(F.col("column_a") == F.col("column_b"), once).otherwise(both)).alias("e")).select("e.*")
+
+
 def target_correlations(df: DataFrame, targets: Sequence[str]) -> DataFrame:
     """Features by targets, ordered by strength of correlation with the first target."""
     numeric = numeric_columns(df)

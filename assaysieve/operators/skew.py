@@ -104,27 +104,33 @@ def exact_quantiles(
         found = df.agg(*[F.percentile(col(c).cast("double"), wanted).alias(str(i)) for i, c in enumerate(columns)]).first()
         return {c: list(found[str(i)]) if found[str(i)] else [None] * len(probs) for i, c in enumerate(columns)}
 
-    searches: dict[tuple[str, int], _Search] = {}
-    for c in columns:
-        for p in probs:
-            spot = p * (rows[c] - 1)
-            for rank in {math.floor(spot), math.ceil(spot)} if rows[c] else set():
-                searches[c, rank] = _Search(c, rank, rows[c])
+    spots = {c: [p * (rows[c] - 1) for p in probs] for c in columns if rows[c]}
+    searches = {(c, r): _Search(c, r, rows[c]) for c, at in spots.items() for r in {math.floor(s) for s in at}}
     _narrow(df, list(searches.values()), buffer_rows)
+    following = _next_values(df, [s for s in searches.values() if s.rank + 1 < s.rows])
 
     out: dict[str, list[float | None]] = {}
     for c in columns:
-        out[c] = []
-        for p in probs:
-            if not rows[c]:
-                out[c].append(None)
-                continue
-            spot = p * (rows[c] - 1)
-            low, high = searches[c, math.floor(spot)].value, searches[c, math.ceil(spot)].value
-            out[c].append(low + (high - low) * (spot - math.floor(spot)))
+        out[c] = [None] * len(probs)
+        for i, spot in enumerate(spots.get(c, [])):
+            found = searches[c, math.floor(spot)]
+            part = spot - found.rank
+            out[c][i] = found.value if part == 0 else found.value + (following[c, found.rank] - found.value) * part
     return out
 
 
+def _next_values(df: DataFrame, found: list[_Search]) -> dict[tuple[str, int], float]:
+    """The value of the rank after each found one: the same value where it repeats, else the next larger."""
+    if not found:
+        return {}
+    aggs = []
+    for i, s in enumerate(found):
+        c = col(s.column).cast("double")
+        aggs += [F.count_if(c <= s.value).alias(f"n{i}"), F.min(F.when(c > s.value, c)).alias(f"v{i}")]
+    row = df.agg(*aggs).first()
+    return {(s.column, s.rank): s.value if row[f"n{i}"] > s.rank + 1 else row[f"v{i}"] for i, s in enumerate(found)}
+
+
 def _narrow(df: DataFrame, searches: list[_Search], buffer_rows: int) -> None:
     accuracy = 10_000
     while open_ := [s for s in searches if s.value is None and s.inside > buffer_rows]:

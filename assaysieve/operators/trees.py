@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
@@ -27,7 +29,7 @@ def estimator(kind: str, label: str = "y", **options):
     """A forest that considers every feature at each split, or gradient-boosted trees."""
     shared = {"featuresCol": "_features", "labelCol": label, "predictionCol": "yhat", "seed": SEED}
     if kind == "random_forest":
-        settings = {"numTrees": TREES, "maxDepth": 30, "featureSubsetStrategy": "all", "maxMemoryInMB": 1024}
+        settings = {"numTrees": TREES, "maxDepth": 30, "featureSubsetStrategy": "all", "maxMemoryInMB": 1024, "cacheNodeIds": True}
         return RandomForestRegressor(**{**shared, **settings, **options})
     if kind == "gbt":
         return GBTRegressor(**{**shared, "maxIter": TREES, "maxDepth": 6, "stepSize": 0.3, **options})
@@ -35,6 +37,7 @@ def estimator(kind: str, label: str = "y", **options):
 
 
 ROWS_PER_TASK = 1_000_000
+PARALLEL_FITS = 4  # fits submitted at a time; each is itself distributed
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -57,14 +60,21 @@ def score_tree(df: DataFrame, model, features: Sequence[str], to: str = "yhat")
 def tree_out_of_fold(
     df: DataFrame, features: Sequence[str], target: str, kind: str, fold: str, folds: int, keep: Sequence[str], name: str | None = None, **options
 ) -> tuple[object, DataFrame]:
-    """The model on all rows, and its training-fit and out-of-fold predictions for every row."""
+    """The model on all rows, and its training-fit and out-of-fold predictions for every row.
+
+    The fits are independent jobs and are submitted side by side, so that small ones fill the cluster together.
+    """
     rows = spread(assemble(df.withColumn("y", col(target).cast("double")).where("y is not null"), features).select(
         *[col(c) for c in keep], col(fold).cast("int").alias("fold"), "y", "_features"
     ))
-    whole = estimator(kind, **options).fit(rows)
+
+    def fit(left_out: int | None):
+        return estimator(kind, **options).fit(rows if left_out is None else rows.where(F.col("fold") != left_out))
+
+    with ThreadPool(PARALLEL_FITS) as pool:
+        whole, *held_out = pool.map(inheritable_thread_target(df.sparkSession)(fit), [None, *range(folds)])
     parts = []
-    for f in range(folds):
-        part = estimator(kind, **options).fit(rows.where(F.col("fold") != f))
+    for f, part in enumerate(held_out):
         held = whole.transform(rows.where(F.col("fold") == f)).withColumnRenamed("yhat", "yhat_train")
         parts.append(part.transform(held).withColumnRenamed("yhat", "yhat_cv").drop("_features"))
     oof = reduce(DataFrame.unionByName, parts)

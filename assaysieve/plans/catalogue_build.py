@@ -26,6 +26,6 @@ def build_catalogue(
     names: DataFrame, landed: DataFrame, name: str = "solvent_name", schema: Sequence[tuple[str, str]] = V.MASTER_SCHEMA
 ) -> tuple[DataFrame, DataFrame]:
     """The catalogue in master column order, and how many names were looked up and failed."""
-    enriched = enrich(curated_names(names, name), landed, name).withColumnRenamed(name, schema[0][0])
+    enriched = enrich(curated_names(names, name), landed, name).withColumnRenamed(name, schema[0][0]).persist()
     catalogue = conform(enriched, schema, "strict").orderBy(schema[0][0])
     return catalogue, failed_lookups(catalogue)

@@ -132,7 +132,7 @@ def _corr_sql(columns, source):
        + "\nUNION ALL SELECT c, 'flat', NULL FROM (VALUES " + ", ".join(f"('{c}')" for c in [*_CORR, "flat"]) + ") v(c)"
        + "\nUNION ALL SELECT 'flat', c, NULL FROM (VALUES " + ", ".join(f"('{c}')" for c in _CORR) + ") v(c)")
 def corr_matrix(spark, folder):
-    train = parts(spark, folder).withColumns({"qty": F.when(F.col("size") > 9, F.col("qty")), "flat": F.lit(3.0)})
+    train = parts(spark, folder).persist().withColumns({"qty": F.when(F.col("size") > 9, F.col("qty")), "flat": F.lit(3.0)})
     return rounded(profile.correlations(train, [*_CORR, "flat"]), "corr")
 
 

@@ -84,6 +84,14 @@ def blank_experiment(spark: SparkSession, targets: Sequence[str] = ("glucose_upt
     return spark.createDataFrame([], "solvent_name string, " + ", ".join(f"`{t}` double" for t in targets))
 
 
+# The sample experiment offered to try the screens out.
+SAMPLE = (("Water", 95, 71), ("Ethanol", 40, 55), ("Hexane", 5, 12), ("Toluene", 2, 3))
+
+
+def sample_experiment(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(list(SAMPLE), "solvent_name string, glucose_uptake bigint, substrate_conversion bigint")
+
+
 def load_catalogue(spark: SparkSession, path: str, name: str = "Solvent_Name", to: str = "solvent_name", **options) -> DataFrame:
     """Catalogue from Parquet or CSV with its name column renamed."""
     df = read_csv(spark, path, **options) if path.rstrip("/").endswith(".csv") else spark.read.parquet(path)

@@ -19,6 +19,8 @@ def db():
 @pytest.mark.parametrize("name", list(entry.queries()))
 def test_query(spark, db, name):
     df = entry.queries()[name](spark, FOLDER)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     sql = entry.oracle_sql().get(name)
     if sql is None:
         assert df.count() > 0

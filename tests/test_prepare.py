@@ -137,7 +137,9 @@ def test_profile_uses_raw_missing_share(spark):
     assert row["missing_pct"] == 0.25 and row["n_samples"] == 2 and row["models"] == ["Gaussian Process"]
 
 
-def test_correlations_pairwise_complete(spark):
+@pytest.mark.parametrize("jvm_pairs", [15, 0])
+def test_correlations_pairwise_complete(spark, monkeypatch, jvm_pairs):
+    monkeypatch.setattr(profile, "JVM_PAIRS", jvm_pairs)
     rng = np.random.default_rng(5)
     a, b = rng.normal(size=80), rng.normal(size=80)
     b[:20] = np.nan
@@ -147,6 +149,11 @@ def test_correlations_pairwise_complete(spark):
     assert got["a", "b"] == pytest.approx(np.corrcoef(a[20:], b[20:])[0, 1]) and got["b", "a"] == got["a", "b"]
     assert got["a", "a"] == pytest.approx(1.0) and got["a", "flat"] is None and got["flat", "flat"] is None and got["none", "a"] is None
     assert len(got) == 16
+    some = {(r[0], r[1]): r[2] for r in profile.correlations(df, ["a"], ["b", "flat"]).collect()}
+    assert some == {("a", "b"): pytest.approx(got["a", "b"]), ("a", "flat"): None}
+    far = df.select((F.col("a") + 1e6).alias("a"), F.lit(0.1).alias("tenth"), F.when(F.col("b").isNotNull(), 0.7).otherwise(F.col("a")).alias("b"), (F.col("b") * 0 + 3).alias("c"))
+    pairs = {(r[0], r[1]): r[2] for r in profile.correlations(far, ["a", "b", "c", "tenth"]).collect()}
+    assert pairs["a", "tenth"] is None and pairs["b", "c"] is None and pairs["a", "a"] == pytest.approx(1.0)
 
 
 def test_target_correlations_order(spark):

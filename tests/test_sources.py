@@ -32,7 +32,8 @@ def test_declared_schema_skips_inference(spark, tmp_path):
     assert row["a"] == 1 and row["b"] is None
 
 
-def test_blank_experiment(spark):
+def test_blank_and_sample_experiment(spark):
+    assert R.infer_targets(files.sample_experiment(spark)) == ["glucose_uptake", "substrate_conversion"]
     assert files.blank_experiment(spark).dtypes[1] == ("glucose_uptake", "double")
 
 
