@@ -102,15 +102,24 @@ def tree_shap(
     features = list(features)
     _check(features)
     p = len(features)
-    cells = []
-    for inside, factor in coalition_weights(p):
-        for point, weight in zip(points, share, strict=True):
-            mixed = [col(c).cast("double") if keep else F.lit(float(v)) for c, v, keep in zip(features, point, inside, strict=True)]
-            cells.append(F.struct(F.array(*mixed).alias("x"), F.array(*[F.lit(float(f * weight)) for f in factor]).alias("f")))
-    crossed = df.select(col(row_id), F.explode(F.array(*cells)).alias("c"))
-    inputs = crossed.select(col(row_id), F.col("c.f").alias("f"), *[F.col("c.x")[j].alias(c) for j, c in enumerate(features)])
-    scored = model.transform(assemble(inputs, features))
-    return scored.groupBy(col(row_id)).agg(*[F.sum(F.col("yhat") * F.col("f")[j]).alias(f"phi_{c}") for j, c in enumerate(features)])
+    numbered = df.select(
+        col(row_id), *[col(c).cast("double").alias(f"x{j}") for j, c in enumerate(features)],
+        F.explode(F.sequence(F.lit(0), F.lit(2**p - 1))).alias("mask"),
+    ).withColumn("centre", F.explode(F.sequence(F.lit(1), F.lit(len(share)))))
+
+    def listed(values) -> Column:
+        return F.array(*[F.lit(float(v)) for v in values])
+
+    size = F.bit_count("mask") + 1
+    joins = listed([0.0] + [factorial(s - 1) * factorial(p - s) / factorial(p) for s in range(1, p + 1)])
+    leaves = listed([factorial(s) * factorial(p - s - 1) / factorial(p) for s in range(p)] + [0.0])
+    inputs, factors = [], []
+    for j, c in enumerate(features):
+        inside = F.col("mask").bitwiseAND(F.lit(1 << j)) != 0
+        inputs.append(F.when(inside, F.col(f"x{j}")).otherwise(F.element_at(listed(points[:, j]), F.col("centre"))).alias(c))
+        factors.append((F.element_at(listed(share), F.col("centre")) * F.when(inside, F.element_at(joins, size)).otherwise(-F.element_at(leaves, size))).alias(f"_w{j}"))
+    scored = model.transform(assemble(numbered.select(col(row_id), *inputs, *factors), features))
+    return scored.groupBy(col(row_id)).agg(*[F.sum(F.col("yhat") * F.col(f"_w{j}")).alias(f"phi_{c}") for j, c in enumerate(features)])
 
 
 def _check(features: Sequence[str]) -> None:

@@ -18,6 +18,7 @@ from assaysieve.operators import roles as R
 from assaysieve.operators import validate
 from assaysieve.operators.profile import recommend
 from assaysieve.operators.score import measured_values, target_bounds
+from assaysieve.session import checkpointable
 
 ROW = "row_id"
 
@@ -60,11 +61,20 @@ class Trained:
     best: dict[str, Best]
     measured: DataFrame
     bounds: dict[str, tuple[float | None, float | None]] = field(default_factory=dict)
+    kept: list[DataFrame] = field(default_factory=list)
+
+    def release(self) -> None:
+        """Give back the frames kept in memory; they are recomputed if they are used again."""
+        for df in self.kept:
+            df.unpersist()
 
 
 def with_rows(df: DataFrame, row_id: str = ROW) -> DataFrame:
-    """Row number used where a table brings no key of its own."""
-    return df if row_id in df.columns else df.withColumn(row_id, F.monotonically_increasing_id())
+    """Row number where a table brings no key of its own, written down so that recomputed tasks keep it."""
+    if row_id in df.columns:
+        return df
+    checkpointable(df.sparkSession)
+    return df.withColumn(row_id, F.monotonically_increasing_id()).checkpoint()
 
 
 def prepare_training(
@@ -187,4 +197,4 @@ def train(
             held.get((r["target"], r["fitted_as"])),
         )
     measured = measured_values(training.raw, targets, row_id, training.name)
-    return Trained(training, strategy, scores, oof, best, measured, target_bounds(frame, targets))
+    return Trained(training, strategy, scores, oof, best, measured, target_bounds(frame, targets), [frame, rows, oof, scores])

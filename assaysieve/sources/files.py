@@ -36,12 +36,17 @@ def csv_encoding(spark: SparkSession, path: str) -> str:
     return "ISO-8859-1" if lines.where(~F.is_valid_utf8("value")).limit(1).count() else "UTF-8"
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | T.StructType | None = None, encoding: str | None = None) -> DataFrame:
-    """CSV with header. A declared schema saves the inference pass; missing-value texts become NULL."""
+def read_csv(
+    spark: SparkSession, path: str, schema: str | T.StructType | None = None, encoding: str | None = None, multi_line: bool = False
+) -> DataFrame:
+    """CSV with header. A declared schema saves the inference pass; missing-value texts become NULL.
+
+    Files with line breaks inside quotes need multi_line, which reads each file in one task.
+    """
     encoding = encoding or csv_encoding(spark, path)
     reader = (
         spark.read.option("header", True).option("escape", '"').option("encoding", encoding)
-        .option("multiLine", encoding == "UTF-16").option("nullValue", "").option("nanValue", "NaN")
+        .option("multiLine", multi_line or encoding == "UTF-16").option("nullValue", "").option("nanValue", "NaN")
     )
     if schema is not None:
         return nan_as_null(reader.schema(schema).csv(path))
