@@ -101,14 +101,21 @@ def kernel_predict(fit: dict, x: np.ndarray) -> tuple[np.ndarray, np.ndarray | N
     return mean, np.sqrt(np.maximum(variance, 0.0)) * fit["spread"]
 
 
+def tasks_for(df: DataFrame, groups: int, rows: int, rows_per_task: int = 20_000) -> int:
+    """Tasks for grouped fits: bound by computing, so every core gets groups even where the bytes are few."""
+    return max(1, min(groups, max(df.sparkSession.sparkContext.defaultParallelism, rows // rows_per_task)))
+
+
 def bounded_groups(long: DataFrame, groups: Sequence[str], max_rows: int = MAX_ROWS) -> tuple[DataFrame, DataFrame]:
-    """Rows of groups within the bound, and the groups beyond it with their counts.
+    """Rows of groups within the bound, dealt out by group, and the groups beyond it with their counts.
 
     The counts are combined map-side, so that rows of an oversized group are filtered out where they lie.
     """
-    counts = long.groupBy(*[col(g) for g in groups]).agg(F.count("*").alias("rows"))
+    counts = long.groupBy(*[col(g) for g in groups]).agg(F.count("*").alias("rows")).persist()
     too_big = counts.where(F.col("rows") > max_rows)
-    return lookup_join(long, too_big.select(*[col(g) for g in groups]), groups, "left_anti"), too_big
+    within = counts.where(F.col("rows") <= max_rows).agg(F.count("*"), F.coalesce(F.sum("rows"), F.lit(0))).first()
+    small = lookup_join(long, too_big.select(*[col(g) for g in groups]), groups, "left_anti")
+    return small.repartition(tasks_for(long, *within), *[col(g) for g in groups]), too_big
 
 
 def _fit_rows(x: np.ndarray, y: np.ndarray, models: Sequence[str]) -> list[list]:
@@ -138,8 +145,9 @@ def fit_kernels(
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
         keys = [pdf[g].iloc[0] for g in groups]
-        ordered = pdf.sort_values([*features, "y"])
-        rows = _fit_rows(ordered[features].to_numpy(float), ordered["y"].to_numpy(float), models)
+        x, y = pdf[features].to_numpy(float), pdf["y"].to_numpy(float)
+        order = np.lexsort([y, *x.T])
+        rows = _fit_rows(x[order], y[order], models)
         return pd.DataFrame([keys + r for r in rows], columns=[*groups, *_NAMES])
 
     fitted = small.groupBy(*[col(g) for g in groups]).applyInPandas(fit, f"{head}, {MODEL_COLUMNS}")
@@ -172,7 +180,7 @@ def kernel_out_of_fold(
     schema += ", model string, fold int, y double, yhat_train double, yhat_cv double"
 
     def validate(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values([*features, "y", row_id]).reset_index(drop=True)
+        pdf = pdf.iloc[np.lexsort([pdf[c].to_numpy() for c in (row_id, "y", *features)])].reset_index(drop=True)
         x, y, folds = pdf[features].to_numpy(float), pdf["y"].to_numpy(float), pdf[fold].to_numpy()
         parts = []
         for name in models:
@@ -258,16 +266,19 @@ def score_kernels(
         return rows.mapInPandas(stream, schema)
 
     sizes = rows.groupBy(*[col(k) for k in by]).agg(
-        F.greatest(F.lit(1), F.ceil(F.count("*") / F.lit(chunk_rows))).cast("int").alias("_chunks")
-    )
-    salted = lookup_join(rows, sizes, by, "inner").withColumn(
+        F.greatest(F.lit(1), F.ceil(F.count("*") / F.lit(chunk_rows))).cast("int").alias("_chunks"), F.count("*").alias("_rows")
+    ).persist()
+    cells_, total = sizes.agg(F.coalesce(F.sum("_chunks"), F.lit(0)), F.coalesce(F.sum("_rows"), F.lit(0))).first()
+    cells = [*by, "_chunk"]
+    tasks = tasks_for(rows, cells_, total)
+    salted = lookup_join(rows, sizes.drop("_rows"), by, "inner").withColumn(
         "_chunk", F.pmod(F.xxhash64(*[col(c) for c in carried]), F.col("_chunks")).cast("int")
-    ).drop("_chunks")
-    repeated = usable.join(sizes, by).withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1))).drop("_chunks")
+    ).drop("_chunks").repartition(tasks, *[col(c) for c in cells])
+    every = F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1))
+    repeated = usable.join(sizes.drop("_rows"), by).withColumn("_chunk", every).drop("_chunks").repartition(tasks, *[col(c) for c in cells])
 
     def chunk(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         parts = [scored(left, r["target"], r["model"], unpack(r)) for r in right.to_dict("records")] if len(left) else []
         return pd.concat(parts) if parts else pd.DataFrame(columns=[*kept, "target", "model", "prediction", "deviation"])
 
-    cells = [*by, "_chunk"]
     return salted.groupBy(*[col(c) for c in cells]).cogroup(repeated.groupBy(*[col(c) for c in cells])).applyInPandas(chunk, schema)

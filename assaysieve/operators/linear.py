@@ -205,6 +205,12 @@ def fit_folds(
     return solve(training_sums(gram(df, features, targets, by, fold, degree), by), features, models, by)
 
 
+def _with_models(long: DataFrame, packed: DataFrame, by: Sequence[str]) -> DataFrame:
+    """One row per model. Without groups there is one packed row per target, few by construction; with groups their size is measured."""
+    joined = lookup_join(long, packed, [*by, "target"], "inner") if by else long.join(F.broadcast(packed), ["target"])
+    return joined.withColumn("_m", F.explode("_models"))
+
+
 def out_of_fold(
     df: DataFrame,
     fits: DataFrame,
@@ -223,7 +229,7 @@ def out_of_fold(
     packed = per_model.groupBy(*[col(k) for k in by], "target").agg(F.collect_list(F.struct("model", "fits")).alias("_models"))
     carried = list(dict.fromkeys([*by, *keep, *features, fold]))
     long = long_targets(df, targets, carried)
-    joined = lookup_join(long, packed, [*by, "target"], "inner").withColumn("_m", F.explode("_models"))
+    joined = _with_models(long, packed, by)
     model, by_fold = F.col("_m.model"), F.col("_m.fits")
 
     def predicted(number: Column) -> Column:
@@ -252,7 +258,7 @@ def leave_one_out(
     packed = full.groupBy(*[col(k) for k in by], "target").agg(F.collect_list("m").alias("_models"))
     carried = list(dict.fromkeys([*by, *keep, *features]))
     long = long_targets(df, targets, carried)
-    joined = lookup_join(long, packed, [*by, "target"], "inner").withColumn("_m", F.explode("_models"))
+    joined = _with_models(long, packed, by)
     p = len(features)
     off = [col(c).cast("double") - F.col("_m.means")[i] for i, c in enumerate(features)]
     spread = reduce(add, [off[i] * F.col("_m.inverse")[i * p + j] * off[j] for i in range(p) for j in range(p)])

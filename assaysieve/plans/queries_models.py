@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from assaysieve.operators import explain, kernels, linear, trees, validate, views
+from assaysieve.operators.skew import lookup_join
 from assaysieve.plans.registry import FEATURES, PARTS_SQL, TARGETS, parts, query, rounded
 
 
@@ -192,8 +193,9 @@ def plot_bounds(spark, folder):
 def _bucketed(spark, folder):
     """Parts in experiments of about 120 rows: brand, and as many buckets as the number of parts asks for."""
     train = _train(spark, folder)
-    per_brand = train.groupBy("p_brand").count().agg(F.max("count")).first()[0]
-    bucket = F.pmod(F.xxhash64("p_partkey"), F.lit(max(1, round(per_brand / 120)))).cast("int")
+    buckets = F.greatest(F.lit(1), F.round(F.count("*") / 120)).cast("int").alias("buckets")
+    train = lookup_join(train, train.groupBy("p_brand").agg(buckets), ["p_brand"])
+    bucket = F.pmod(F.xxhash64("p_partkey"), F.col("buckets")).cast("int")
     scaled = [((F.col(c) - F.lit(m)) / F.lit(s)).alias(c) for c, m, s in (("size", 25.0, 14.0), ("qty", 25.0, 3.0))]
     return train.select("p_partkey", "p_brand", bucket.alias("bucket"), *scaled, *TARGETS)
 

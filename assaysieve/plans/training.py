@@ -97,7 +97,7 @@ def prepare_training(
     targets = list(targets) if targets else R.infer_targets(df.drop(row_id), known)
     rows = R.without_controls(df, name)
     content = [c for c in rows.columns if c != row_id]
-    rows = rows.groupBy(*[col(c) for c in content]).agg(F.min(col(row_id)).alias(row_id))
+    rows = rows.groupBy(*[col(c) for c in content]).agg(F.min(col(row_id)).alias(row_id)).persist()
     features = [c for c in R.feature_columns(rows, targets) if c != row_id]
     described = rows.select(*[col(c) for c in features])
     numeric, categorical = R.numeric_columns(described), R.categorical_columns(described)
@@ -197,4 +197,4 @@ def train(
             held.get((r["target"], r["fitted_as"])),
         )
     measured = measured_values(training.raw, targets, row_id, training.name)
-    return Trained(training, strategy, scores, oof, best, measured, target_bounds(frame, targets), [frame, rows, oof, scores])
+    return Trained(training, strategy, scores, oof, best, measured, target_bounds(frame, targets), [training.raw, frame, rows, oof, scores])
