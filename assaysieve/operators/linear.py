@@ -63,7 +63,10 @@ def long_targets(df: DataFrame, targets: Sequence[str], keep: Sequence[str]) ->
 def gram(
     df: DataFrame, features: Sequence[str], targets: Sequence[str], by: Sequence[str] = (), fold: str | None = None, degree: int = 1
 ) -> DataFrame:
-    """Sums per (by, target, fold): n, term sums, term products, target sums. Partial sums are combined map-side."""
+    """Sums per (by, target, fold): n, term sums, term products, target sums. Partial sums are combined map-side.
+
+    Without folds the sums are those of the full fit and go straight to the solver.
+    """
     keep = list(dict.fromkeys([*by, *features, *([fold] if fold else [])]))
     long = long_targets(df, targets, keep)
     t = [term.value for term in terms(features, degree)]
@@ -73,7 +76,7 @@ def gram(
     sums += [F.sum(v * F.col("y")).alias(f"sxy_{i}") for i, v in enumerate(t)]
     sums += [F.sum(t[i] * t[j]).alias(f"sxx_{i}_{j}") for i in range(len(t)) for j in range(i, len(t))]
     keys = [*by, "target"]
-    fold_key = [col(fold).cast("int").alias("fold")] if fold else [F.lit(0).alias("fold")]
+    fold_key = [col(fold).cast("int").alias("fold")] if fold else [F.lit(FULL).alias("fold")]
     return long.where(used).groupBy(*[col(k) for k in keys], *fold_key).agg(*sums)
 
 

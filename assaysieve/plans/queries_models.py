@@ -28,8 +28,8 @@ def _folded(spark, folder):
 
 
 def _full_fits(spark, folder, features, models):
-    sums = linear.training_sums(linear.gram(parts(spark, folder), features, TARGETS, degree=max(linear.LINEAR_MODELS[m].degree for m in models)))
-    return linear.solve(sums.where(F.col("fold") == linear.FULL), features, models)
+    degree = max(linear.LINEAR_MODELS[m].degree for m in models)
+    return linear.solve(linear.gram(parts(spark, folder), features, TARGETS, degree=degree), features, models)
 
 
 @query("ols_1d", _LONG + """
@@ -125,7 +125,7 @@ oof AS (SELECT p_brand, target, y, fi + fs * x AS yhat_train, (ay - ls * ax) / m
 SELECT p_brand, target, 'Linear Regression' AS model, count(*) AS n, """ + _METRICS.replace(", 6)", ", 5)") + """, 'ok' AS status FROM oof GROUP BY p_brand, target""")
 def loocv_metrics(spark, folder):
     train = _train(spark, folder)
-    sums = linear.training_sums(linear.gram(train, ["size"], TARGETS, ["p_brand"]), ["p_brand"])
+    sums = linear.gram(train, ["size"], TARGETS, ["p_brand"])
     fits = linear.solve(sums, ["size"], ["Linear Regression"], ["p_brand"]).persist()
     oof = linear.leave_one_out(train, fits, ["size"], TARGETS, ["p_brand"])
     return rounded(validate.metrics(oof, ["p_brand"]), *_SCORES, digits=5)
@@ -257,8 +257,7 @@ shap AS (SELECT p_partkey, wa * (size - ma) AS phi_size, wb * (qty - mb) AS phi_
 
 
 def _linear_fit(train):
-    sums = linear.training_sums(linear.gram(train, _SHAP_FEATURES, ["return_pct"]))
-    return linear.solve(sums.where(F.col("fold") == linear.FULL), _SHAP_FEATURES, ["Linear Regression"]).first()
+    return linear.solve(linear.gram(train, _SHAP_FEATURES, ["return_pct"]), _SHAP_FEATURES, ["Linear Regression"]).first()
 
 
 def _linear_shap(spark, folder):
