@@ -55,18 +55,36 @@ def measured_values(
     return kept.groupBy(lookup_key(name).alias("name_key")).agg(F.max_by(row, col(row_id)).alias("_measured"))
 
 
-def override_measured(df: DataFrame, measured: DataFrame, targets: Sequence[str], name: str = "solvent_name") -> DataFrame:
-    """Replace predictions of measured entities by the measurement and set their uncertainty to 0."""
-    keyed = df.withColumn("name_key", lookup_key(name))
-    joined = lookup_join(keyed, measured, ["name_key"])
-    changed = {"measured": F.col("_measured").isNotNull()}
+def attach_measured(df: DataFrame, measured: DataFrame, targets: Sequence[str], name: str = "solvent_name") -> DataFrame:
+    """Add the measured value of each target and whether the entity was measured, by normalised name."""
+    joined = lookup_join(df.withColumn("name_key", lookup_key(name)), measured, ["name_key"])
+    values = {_measured_name(i): F.col("_measured")[f"m_{i}"] for i in range(len(targets))}
+    return joined.withColumns({"measured": F.col("_measured").isNotNull(), **values}).drop("name_key", "_measured")
+
+
+def _measured_name(i: int) -> str:
+    return f"_measured_{i}"
+
+
+def measured_columns(targets: Sequence[str]) -> list[str]:
+    return ["measured", *[_measured_name(i) for i in range(len(targets))]]
+
+
+def use_measured(df: DataFrame, targets: Sequence[str]) -> DataFrame:
+    """Put attached measurements in place of predictions, with uncertainty 0."""
+    changed = {}
     for i, t in enumerate(targets):
-        value = F.col("_measured")[f"m_{i}"]
+        value = col(_measured_name(i))
         if f"{t}_Prediction" in df.columns:
             changed[f"{t}_Prediction"] = F.coalesce(half_even(value, 1), col(f"{t}_Prediction"))
         if f"{t}_Uncertainty" in df.columns:
             changed[f"{t}_Uncertainty"] = F.when(value.isNotNull(), 0.0).otherwise(col(f"{t}_Uncertainty"))
-    return joined.withColumns(changed).drop("name_key", "_measured")
+    return df.withColumns(changed).drop(*measured_columns(targets)[1:])
+
+
+def override_measured(df: DataFrame, measured: DataFrame, targets: Sequence[str], name: str = "solvent_name") -> DataFrame:
+    """Replace predictions of measured entities by the measurement and set their uncertainty to 0."""
+    return use_measured(attach_measured(df, measured, targets, name), targets)
 
 
 def target_bounds(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float | None, float | None]]:

@@ -13,8 +13,8 @@ from assaysieve.functions.exprs import col
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_KEYS = 200
 HOT_SHARE = 1 / 400
+SALT = "_salt"
 
 
 def _row_bytes(df: DataFrame) -> Column:
@@ -36,12 +36,25 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int
     return measured[0] <= max_rows and (measured[1] or 0) <= max_bytes
 
 
-def hot_hashes(df: DataFrame, keys: Sequence[str]) -> list[int]:
-    """Hashes of keys that hold more than HOT_SHARE of the rows, from one mergeable sketch per task."""
+def hot_hashes(df: DataFrame, keys: Sequence[str]) -> dict[int, int]:
+    """Hashes of keys that hold more than HOT_SHARE of the rows, and into how many parts each is to be split.
+
+    One mergeable sketch per task; there are fewer than 1 / HOT_SHARE such keys whatever the data.
+    """
     sketch = df.select(F.xxhash64(*[col(k) for k in keys]).alias("h")).agg(
-        F.count("*").alias("n"), F.expr(f"approx_top_k(h, {HOT_KEYS}, {HOT_KEYS * 50})").alias("top")
+        F.count("*").alias("n"), F.expr(f"approx_top_k(h, {int(1 / HOT_SHARE)}, {int(20 / HOT_SHARE)})").alias("top")
     ).first()
-    return [t["item"] for t in sketch["top"] or [] if t["count"] > sketch["n"] * HOT_SHARE]
+    share = sketch["n"] * HOT_SHARE
+    return {t["item"]: math.ceil(t["count"] / share) for t in sketch["top"] or [] if t["count"] > share}
+
+
+def salted(left: DataFrame, right: DataFrame, keys: Sequence[str], hot: dict[int, int]) -> tuple[DataFrame, DataFrame]:
+    """Both sides with a salt column: left rows of a hot key are dealt over its parts, its right row is in every part."""
+    parts = F.create_map(*[F.lit(v).cast("bigint") for item in hot.items() for v in item])
+    count = F.coalesce(F.try_element_at(parts, F.xxhash64(*[col(k) for k in keys])), F.lit(1).cast("bigint"))
+    dealt = left.withColumn(SALT, F.when(count > 1, F.pmod(F.monotonically_increasing_id(), count)).otherwise(0).cast("int"))
+    repeated = right.withColumn(SALT, F.explode(F.sequence(F.lit(0), (count - 1).cast("int"))))
+    return dealt, repeated
 
 
 def lookup_join(
@@ -49,9 +62,9 @@ def lookup_join(
 ) -> DataFrame:
     """Join a large left side to a right side that is unique on the keys.
 
-    A right side measured to be small is copied to the executors. Otherwise both sides are shuffled on the keys,
-    except for hot keys: there are at most HOT_KEYS of them, the right side has one row for each, and so the
-    left rows that carry them are joined in place without a shuffle.
+    A right side measured to be small is copied to the executors. Otherwise both sides are shuffled on the keys and,
+    for hot keys, a salt. The left side is read once; of the right side only the rows of hot keys multiply. A missing
+    key counts as a key here, so that rows without one are spread too.
     """
     keys = list(keys)
     if fits_broadcast(right, max_rows):
@@ -59,10 +72,8 @@ def lookup_join(
     hot = hot_hashes(left, keys)
     if not hot:
         return left.join(right, keys, how)
-    is_hot = F.xxhash64(*[col(k) for k in keys]).isin(hot)
-    cold_rows = left.where(~is_hot).join(right.where(~is_hot), keys, how)
-    hot_rows = left.where(is_hot).join(F.broadcast(right.where(is_hot)), keys, how)
-    return cold_rows.unionByName(hot_rows)
+    dealt, repeated = salted(left, right, keys, hot)
+    return dealt.join(repeated, [*keys, SALT], how).drop(SALT)
 
 
 class _Search:

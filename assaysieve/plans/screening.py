@@ -61,11 +61,16 @@ def screen(
     keep: Sequence[str] = (),
     ranked: bool = True,
 ) -> DataFrame:
-    """Score a library, put measured values in place of predictions, add the desirability score and the rank."""
-    preparation = trained.training.preparation
+    """Score a library, put measured values in place of predictions, add the desirability score and the rank.
+
+    Measurements are attached before scoring, so that measuring and sketching the join never runs a model.
+    """
+    preparation, targets = trained.training.preparation, list(trained.best)
     prepared = prepare_library(library, preparation, name, fill, keep)
-    predicted = predict(prepared, trained.best, trained.training.features, [name, *keep, "_LogP"], bounds)
-    named = predicted.withColumnRenamed("_LogP", "LogP")
-    measured = S.override_measured(named, trained.measured, list(trained.best), name)
-    scored = S.classify(S.desirability(measured, trained.bounds), classes) if classes else S.desirability(measured, trained.bounds)
+    known = S.attach_measured(prepared, trained.measured, targets, name)
+    predicted = predict(known, trained.best, trained.training.features, [name, *keep, "_LogP", *S.measured_columns(targets)], bounds)
+    measured = S.use_measured(predicted.withColumnRenamed("_LogP", "LogP"), targets)
+    scored = S.desirability(measured, trained.bounds)
+    if classes:
+        scored = S.classify(scored, classes)
     return S.rank_all(scored, name) if ranked else scored

@@ -90,14 +90,15 @@ def prepare_training(
 ) -> Training:
     """Infer targets, drop controls and duplicates, impute, scale, engineer and select features.
 
-    Duplicates are dropped before features and targets part, so that both keep the same rows. Two small statistics
+    Duplicates are dropped before features and targets part, so that both keep the same rows; the last copy's row
+    number stays, so that the last measurement of a name is still the last. Two small statistics
     frames reach the driver; everything applied is a projection.
     """
     df = with_rows(R.nan_as_null(experiment), row_id)
     targets = list(targets) if targets else R.infer_targets(df.drop(row_id), known)
     rows = R.without_controls(df, name)
     content = [c for c in rows.columns if c != row_id]
-    rows = rows.groupBy(*[col(c) for c in content]).agg(F.min(col(row_id)).alias(row_id)).persist()
+    rows = rows.groupBy(*[col(c) for c in content]).agg(F.max(col(row_id)).alias(row_id)).persist()
     features = [c for c in R.feature_columns(rows, targets) if c != row_id]
     described = rows.select(*[col(c) for c in features])
     numeric, categorical = R.numeric_columns(described), R.categorical_columns(described)

@@ -146,6 +146,13 @@ def test_preparation(spark):
     assert t.preparation.missing_groups == ()
 
 
+def test_last_measurement_wins_across_duplicates(spark):
+    rows = [(1, "a", 1.0, 5.0), (2, "a", 2.0, 5.0), (3, "a", 1.0, 5.0), (4, "b", 9.0, 6.0)]
+    t = training.prepare_training(spark.createDataFrame(rows, "row_id int, solvent_name string, y double, LogP double"))
+    got = {r["name_key"]: r["_measured"]["m_0"] for r in score.measured_values(t.raw, ["y"], "row_id").collect()}
+    assert got == {"a": 1.0, "b": 9.0} and t.frame.count() == 3
+
+
 @pytest.mark.parametrize("models", [None, ["Linear Regression", "Ridge", "Lasso", "Polynomial Regression", "Neural Networks", "SVR"]])
 def test_train_screen_save_load(spark, tmp_path, models):
     trained = training.train(training.prepare_training(sample(spark)), models)

@@ -22,14 +22,15 @@ def test_lookup_join_beyond_broadcast_equals_plain_join(spark, hot, how):
     assert split.exceptAll(plain).count() == 0
 
 
-def test_hot_rows_are_joined_without_a_shuffle_of_their_side(spark, hot):
+def test_hot_keys_are_found_and_split(spark, hot):
     right = spark.range(0, 4000).select(F.col("id").cast("int").alias("k"), F.col("id").alias("v"))
     found = skew.hot_hashes(hot, ["k"])
-    assert 1 <= len(found) <= skew.HOT_KEYS
-    hot_key = spark.range(1).select(F.xxhash64(F.lit(7))).first()[0]
-    assert hot_key in found
-    plan = skew.lookup_join(hot, right, ["k"], "left", max_rows=10)._jdf.queryExecution().toString()
-    assert "BroadcastHashJoin" in plan and "Union" in plan
+    seven, missing = spark.range(1).select(F.xxhash64(F.lit(7)), F.xxhash64(F.lit(None).cast("int"))).first()
+    assert set(found) == {seven, missing} and found[seven] >= 130
+    dealt, repeated = skew.salted(hot, right, ["k"], found)
+    largest = dealt.groupBy("k", skew.SALT).count().agg(F.max("count")).first()[0]
+    assert largest <= 2 * 60_000 * skew.HOT_SHARE
+    assert repeated.count() == 4000 - 1 + found[seven]
 
 
 def test_small_right_side_is_broadcast(spark, hot):
