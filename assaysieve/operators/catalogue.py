@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from assaysieve.functions import vocabulary as V
 from assaysieve.functions.exprs import col, lookup_key, strip, substitute
 from assaysieve.operators.roles import numeric_columns
-from assaysieve.operators.skew import lookup_join
+from assaysieve.operators.skew import fits_broadcast, hot_hashes, lookup_join
 
 SYNONYMS = ("solvent_name", "IUPACName", "PubChem_CommonName")
 _KEY = "_lookup_key"
@@ -76,18 +76,20 @@ def first_per_key(df: DataFrame, key: str, order: Column) -> DataFrame:
 def fill_gaps(left: DataFrame, right: DataFrame, key: str, order: Column | None = None) -> DataFrame:
     """Union of rows and columns of both frames; left values win, right fills what is missing.
 
-    The right side is reduced to one row per key, the first in the given order. The outer join is written as a left join plus the right rows
-    without a partner, because Spark splits skewed partitions of a left join but not those of a full join.
+    The right side is reduced to one row per key, the first in the given order, and kept, as it is measured before it
+    is joined. A small right side, or hot keys on the left, call for a left join plus the right rows without a
+    partner: Spark can neither broadcast nor split a full outer join.
     """
     source = first_per_key(right, key, order if order is not None else F.monotonically_increasing_id())
     extra = [c for c in source.columns if c != key]
-    renamed = source.select(col(key), *[col(c).alias("_r_" + c) for c in extra])
-    matched = lookup_join(left, renamed, [key]).select(
-        *[F.coalesce(col(c), col("_r_" + c)).alias(c) if c in extra else col(c) for c in left.columns],
-        *[col("_r_" + c).alias(c) for c in extra if c not in left.columns],
-    )
-    unmatched = source.join(left.select(col(key)).distinct(), [key], "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True)
+    renamed = source.select(col(key), *[col(c).alias("_r_" + c) for c in extra]).persist()
+    filled = [F.coalesce(col(c), col("_r_" + c)).alias(c) if c in extra else col(c) for c in left.columns]
+    added = [col("_r_" + c).alias(c) for c in extra if c not in left.columns]
+    if not fits_broadcast(renamed) and not hot_hashes(left, [key]):
+        return left.join(renamed, [key], "full_outer").select(*filled, *added)
+    matched = lookup_join(left, renamed, [key]).select(*filled, *added)
+    unmatched = renamed.join(left.select(col(key)).distinct(), [key], "left_anti")
+    return matched.unionByName(unmatched.select(col(key), *[col("_r_" + c).alias(c) for c in extra]), allowMissingColumns=True)
 
 
 def refresh_missing(df: DataFrame, fetched: DataFrame, key: str, missing: str) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from assaysieve.functions.exprs import clip, col, half_even, lookup_key, row_geometric_mean, three_classes, unit_scale
 from assaysieve.operators.roles import prediction_columns
 from assaysieve.operators.skew import lookup_join
-from assaysieve.session import checkpointable
+from assaysieve.session import scratch_path
 
 Z95 = 1.96
 ONE_TASK_ROWS = 200_000
@@ -116,26 +116,28 @@ def top_ranked(df: DataFrame, k: int, entity: str = "solvent_name", score: str =
     return df.orderBy(*order).limit(k).withColumn("rank", F.row_number().over(Window.orderBy(*order)))
 
 
-def rank_all(df: DataFrame, entity: str = "solvent_name", score: str = "score", one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
-    """Every row with its rank by score, ties by entity.
+def rank_all(
+    df: DataFrame, entity: str = "solvent_name", score: str = "score", rows: int | None = None, one_task_rows: int = ONE_TASK_ROWS
+) -> DataFrame:
+    """Every row with its rank by score, ties by entity. Give `rows` where the row count is known, else it is counted.
 
-    Up to one_task_rows rows a plain window numbers them. Beyond, rows are range-partitioned by (score, entity) and
-    sorted, the result is written as a checkpoint so that its partitions are fixed, and each partition's numbers
-    start after the rows of the partitions before it.
+    Up to one_task_rows rows a plain window numbers them. Beyond, rows are range-partitioned by (score, entity), sorted
+    and written to the checkpoint folder together with their place, so that partitions are fixed; each partition's
+    numbers start after the rows of the partitions before it.
     """
     order = [col(score).desc_nulls_last(), col(entity)]
-    if df.count() <= one_task_rows:
+    if (df.count() if rows is None else rows) <= one_task_rows:
         return df.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
-    checkpointable(df.sparkSession)
-    placed = df.orderBy(*order).checkpoint().withColumns(
-        {"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}
-    )
+    spark = df.sparkSession
+    path = scratch_path(spark, "ranked")
+    df.orderBy(*order).withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}).write.parquet(path)
+    placed = spark.read.parquet(path)
     sizes = placed.groupBy("_part").agg(F.count("*").alias("_size"), F.min("_at").alias("_start"))
     before = F.coalesce(F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = sizes.select("_part", "_start", before.alias("_before"))
     numbered = placed.join(F.broadcast(offsets), "_part")
     rank = (F.col("_before") + F.col("_at") - F.col("_start") + 1).cast("bigint")
-    return numbered.withColumn("rank", rank).drop("_part", "_at", "_size", "_start", "_before")
+    return numbered.select(*[col(c) for c in df.columns], rank.alias("rank"))
 
 
 def best_entity(df: DataFrame, entity: str = "solvent_name", score: str = "score") -> DataFrame:

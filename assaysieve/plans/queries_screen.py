@@ -111,7 +111,7 @@ def measured_override(spark, folder):
 
 @query("desirability_rank", _SCORED_SQL + "SELECT *, row_number() OVER (ORDER BY score DESC, entity) AS rank FROM ranked")
 def desirability_rank(spark, folder):
-    return score.rank_all(_scored(spark, folder)[1], "entity")
+    return score.rank_all(_scored(spark, folder)[1], "entity", rows=table(spark, folder, "documents").count())
 
 
 @query("best_entity", _SCORED_SQL + "SELECT entity, score FROM ranked ORDER BY score DESC, entity LIMIT 1")

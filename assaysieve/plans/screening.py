@@ -73,4 +73,4 @@ def screen(
     scored = S.desirability(measured, trained.bounds)
     if classes:
         scored = S.classify(scored, classes)
-    return S.rank_all(scored, name) if ranked else scored
+    return S.rank_all(scored, name, rows=library.count()) if ranked else scored

@@ -41,7 +41,11 @@ def test_synonym_attribute_skips_null(spark):
     assert {tuple(r) for r in got.collect()} == {("ethanol", "CCO")}
 
 
-def test_fill_gaps(spark):
+@pytest.mark.parametrize("small", [True, False])
+def test_fill_gaps(spark, monkeypatch, small):
+    if not small:
+        monkeypatch.setattr(C, "fits_broadcast", lambda df: False)
+        monkeypatch.setattr(C, "hot_hashes", lambda df, keys: {})
     left = spark.createDataFrame([("a", 1, None), ("a", None, None), ("b", None, 2)], "k string, x int, y int")
     right = spark.createDataFrame([("a", 9, 5, 1), ("a", 8, 4, 0), ("c", 7, 6, 0), (None, 3, 3, 0)], "k string, x int, z int, o int")
     got = C.fill_gaps(left, right, "k", F.col("o")).select("k", "x", "y", "z").collect()
