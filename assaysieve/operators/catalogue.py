@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from assaysieve.functions import vocabulary as V
 from assaysieve.functions.exprs import col, lookup_key, strip, substitute
-from assaysieve.operators.roles import numeric_columns
 from assaysieve.operators.skew import fits_broadcast, hot_hashes, lookup_join
 
 SYNONYMS = ("solvent_name", "IUPACName", "PubChem_CommonName")
@@ -172,9 +171,3 @@ def missing_ratio(df: DataFrame, columns: Sequence[str] | None = None) -> Column
         return F.lit(0.0)
     gaps = sum((F.count_if(col(c).isNull()) for c in names[1:]), F.count_if(col(names[0]).isNull()))
     return F.coalesce(F.try_divide(gaps.cast("double"), (F.count("*") * len(names)).cast("double")), F.lit(0.0))
-
-
-def numeric_or_empty(df: DataFrame) -> list[str]:
-    """Numeric columns when there are at least two, else none."""
-    found = numeric_columns(df)
-    return found if len(found) >= 2 else []

@@ -170,6 +170,12 @@ def _wide_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]], mirrored
     return found.select(F.explode(F.when(F.col("column_a") == F.col("column_b"), once).otherwise(both)).alias("e")).select("e.*")
 
 
+def correlation_heatmap(df: DataFrame) -> DataFrame:
+    """Correlations of all numeric columns; no rows with fewer than two of them."""
+    numeric = numeric_columns(df)
+    return correlations(df, numeric if len(numeric) >= 2 else [])
+
+
 def target_correlations(df: DataFrame, targets: Sequence[str]) -> DataFrame:
     """Features by targets, ordered by strength of correlation with the first target."""
     numeric = numeric_columns(df)

@@ -138,7 +138,7 @@ def corr_matrix(spark, folder):
 
 @query("corr_heatmap", _corr_sql(_NUMBERS, "lineitem"))
 def corr_heatmap(spark, folder):
-    return rounded(profile.correlations(table(spark, folder, "lineitem").select(*_NUMBERS), _NUMBERS), "corr")
+    return rounded(profile.correlation_heatmap(table(spark, folder, "lineitem").select(*_NUMBERS, "l_returnflag")), "corr")
 
 
 @query("target_corr_rank", "WITH " + PARTS_SQL + "\n" + "\nUNION ALL ".join(

@@ -160,6 +160,10 @@ def test_correlations_pairwise_complete(spark, monkeypatch, jvm_pairs):
     assert pairs["a", "tenth"] is None and pairs["b", "c"] is None and pairs["a", "a"] == pytest.approx(1.0)
 
 
+def test_heatmap_needs_two_numeric_columns(spark):
+    assert profile.correlation_heatmap(spark.createDataFrame([(1.0, "x")], "a double, b string")).count() == 0
+
+
 def test_target_correlations_order(spark):
     df = spark.createDataFrame([(float(i), float(-i), float(i % 3), float(i % 2), 1.0) for i in range(30)], "t double, strong double, weak double, u double, flat double")
     got = profile.target_correlations(df, ["t"]).collect()
