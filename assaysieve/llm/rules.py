@@ -137,33 +137,45 @@ def _grow(x, bad, names, cuts):
         held &= _holds(x, names, [best[1]])
 
 
-def _prune(x, bad, names, conditions):
-    """The leading conditions that do best on rows they were not grown on."""
+def _pruned(x, bad, names, conditions):
+    """The leading conditions, those first that do best on rows they were not grown on; of equal ones the shorter."""
     def worth(some):
         held = _holds(x, names, some)
         p, n = int(bad[held].sum()), int((~bad[held]).sum())
         return (p - n) / (p + n) if p + n else -1.0
 
-    sizes = range(1, len(conditions) + 1)
-    return conditions[:max(sizes, key=lambda k: (worth(conditions[:k]), -k))]
+    return [conditions[:k] for k in sorted(range(1, len(conditions) + 1), key=lambda k: (-worth(conditions[:k]), k))]
+
+
+def _worth_its_conditions(bad: np.ndarray, held: np.ndarray, conditions, choices: int) -> bool:
+    """Whether telling the covered rows apart saves more bits than naming the conditions costs: chance finds do not."""
+    share, of = bad.mean(), bad[held].mean()
+    saved = sum(n * np.log2(p / q) for n, p, q in ((bad[held].sum(), of, share), ((~bad[held]).sum(), 1 - of, 1 - share)) if n)
+    return saved > len(conditions) * np.log2(choices)
 
 
 def learn(x: np.ndarray, bad: np.ndarray, names: list[str], cuts_per_statistic: int = 40, min_precision: float = 0.9, min_covered: int = 3) -> list[Rule]:
-    """Rules that reject bad rows, in the order they were found. Two of three rows grow a rule, the third prunes it."""
+    """Rules that reject bad rows, in the order they were found. Two of three rows grow a rule, the third prunes it.
+
+    A rule counts only if enough rows are covered and nearly all of them are bad; the first that cannot be had ends the list.
+    """
     cuts = [np.unique(np.quantile(x[:, k], np.linspace(0, 1, cuts_per_statistic + 1))) if len(x) else np.array([]) for k in range(len(names))]
     rows, rules = np.arange(len(x)), []
     while bad[rows].any():
-        grow, check = rows[rows % 3 != 0], rows[rows % 3 == 0]
-        conditions = _grow(x[grow], bad[grow], names, cuts)
-        if not conditions:
-            break
-        conditions = _prune(x[check], bad[check], names, conditions)
-        held = _holds(x[rows], names, conditions)
-        precision = float(bad[rows][held].mean()) if held.any() else 0.0
-        if held.sum() < min_covered or precision < min_precision:
+        found = None
+        # Where too few rows are left for a third of them to tell a good rule, it is grown and judged on all.
+        for grow, check in ((rows[rows % 3 != 0], rows[rows % 3 == 0]), (rows, rows)):
+            conditions = _grow(x[grow], bad[grow], names, cuts)
+            for some in _pruned(x[check], bad[check], names, conditions):
+                held = _holds(x[rows], names, some)
+                if found is not None or held.sum() < min_covered or bad[rows][held].mean() < min_precision:
+                    continue
+                if _worth_its_conditions(bad[rows], held, some, 2 * sum(map(len, cuts))):
+                    found = Rule(tuple(some), int(held.sum()), float(bad[rows][held].mean()))
+        if found is None:
             break
-        rules.append(Rule(tuple(conditions), int(held.sum()), precision))
-        rows = rows[~held]
+        rules.append(found)
+        rows = rows[~_holds(x[rows], names, found.conditions)]
     return rules
 
 
