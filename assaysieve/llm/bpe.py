@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from assaysieve.llm.text import per_text, sha256
 
-CACHED_WORDS = 250_000  # encoded words that a task remembers; beyond that it starts anew
+CACHED_WORDS = 400_000  # encoded words that a worker remembers, and as many of those before
 NEVER = np.iinfo(np.int64).max
+NO_RANK = 1 << 60
 # The published pattern of byte-level tokenizers: contractions, letters, digits, other signs, white space.
 PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
@@ -38,6 +39,7 @@ class Tokenizer:
             raise ValueError("not a byte-level BPE file without prefix space and normalizer")
         raw = {bytes(letters[c] for c in token): i for token, i in spec["model"]["vocab"].items()}
         self.number = raw
+        self.single = [raw[bytes([b])] for b in range(256)]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         size = max([*raw.values(), *self.special.values()], default=-1) + 1
         self.bytes = [b""] * size
@@ -45,40 +47,61 @@ class Tokenizer:
             self.bytes[i] = token
         for token, i in self.special.items():
             self.bytes[i] = token.encode()
-        self.longest = max(map(len, raw), default=0)
+        # Tokens as a tree of bytes: each byte leads to the next ones and to the token that ends here, if any.
+        self.tree: dict[int, tuple[dict, int]] = {}
+        for token, i in sorted(raw.items(), key=lambda t: len(t[0])):
+            node = self.tree
+            for b in token[:-1]:
+                if b not in node:
+                    node[b] = ({}, -1)
+                node = node[b][0]
+            node[token[-1]] = (node[token[-1]][0] if token[-1] in node else {}, i)
         self.left, self.right = np.full(size, -1, np.int64), np.full(size, -1, np.int64)
         self.rank = np.full(size, -1, np.int64)  # of the merge that makes the token; single bytes are there before all merges
-        self.merge: dict[tuple[int, int], tuple[int, int]] = {}
+        self.merge: dict[tuple[int, int], int] = {}
+        self.made: list[int] = []
         for rank, merge in enumerate(spec["model"]["merges"]):
             a, b = (bytes(letters[c] for c in part) for part in (merge if isinstance(merge, list) else merge.split(" ")))
             i, j, made = raw[a], raw[b], raw[a + b]
             self.left[made], self.right[made], self.rank[made] = i, j, rank
-            self.merge[i, j] = rank, made
+            self.merge[i, j] = rank
+            self.made.append(made)
         codes = np.array([i * size + j for i, j in self.merge], np.int64)
         order = np.argsort(codes)
-        self.codes, self.code_rank = codes[order], np.array([r for r, _ in self.merge.values()], np.int64)[order]
+        self.codes, self.code_rank = codes[order], np.array(list(self.merge.values()), np.int64)[order]
         self.size = size
+        self.packed = [i.to_bytes(4, "little") for i in range(size)]
         self.split = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         # Tokens that their own bytes do not encode to: a proposal with one of them always fails.
         self.alone = np.array([i in self.special.values() or self.merged(t) == [i] for i, t in enumerate(self.bytes)])
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def merged(self, word: bytes) -> list[int]:
         """The exact encoding: the pair of lowest rank is merged, the leftmost first, until none is left."""
-        parts, merge = [self.number[bytes([b])] for b in word], self.merge
-        while len(parts) > 1:
-            best, at = min((merge.get(pair, (NEVER, 0))[0], i) for i, pair in enumerate(zip(parts, parts[1:], strict=False)))
-            if best == NEVER:
-                break
-            parts[at:at + 2] = [merge[parts[at], parts[at + 1]][1]]
+        parts, rank = [self.single[b] for b in word], self.merge.get
+        ranks = [rank(pair, NO_RANK) for pair in zip(parts, parts[1:], strict=False)]
+        while ranks and (best := min(ranks)) != NO_RANK:
+            at = ranks.index(best)
+            parts[at:at + 2] = [self.made[best]]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = rank((parts[at - 1], parts[at]), NO_RANK)
+            if at < len(ranks):
+                ranks[at] = rank((parts[at], parts[at + 1]), NO_RANK)
         return parts
 
     def proposed(self, word: bytes) -> list[int]:
-        tokens, at, size, number = [], 0, len(word), self.number
+        """The longest token that fits, again and again."""
+        tokens, at, size, tree = [], 0, len(word), self.tree
         while at < size:
-            end = min(size, at + self.longest)
-            while (token := number.get(word[at:end])) is None:
-                end -= 1
+            node, end = tree, at
+            for i, b in enumerate(word[at:] if at else word, at + 1):
+                if (step := node.get(b)) is None:
+                    break
+                node, found = step
+                if found >= 0:
+                    token, end = found, i
             tokens.append(token)
             at = end
         return tokens
@@ -120,9 +143,9 @@ class Tokenizer:
         pair = np.flatnonzero(of[1:] == of[:-1])
         codes, where = np.unique(flat[pair] * self.size + flat[pair + 1], return_inverse=True)
         fails[of[pair[~self.compatible(codes // self.size, codes % self.size)[where]]]] = True
-        for n, word in enumerate(words):
-            ids = self.merged(raw[n]) if fails[n] else tokens[n]
-            self.known[word] = np.array(ids, "<u4").tobytes()
+        known, packed = self.known, self.packed
+        for word, data, own, failed in zip(words, raw, tokens, fails.tolist(), strict=True):
+            known[word] = b"".join([packed[t] for t in (self.merged(data) if failed else own)])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The token ids of each text as little-endian unsigned 32-bit numbers."""
@@ -130,13 +153,14 @@ class Tokenizer:
         for text in texts:
             segments = [] if not text else self.split.split(text) if self.split else [text]
             cut.append([(s, None) if s in self.special else (None, PATTERN.findall(s)) for s in segments])
-        new = {w for segments in cut for special, words in segments if special is None for w in words if w not in self.known}
-        if len(self.known) + len(new) > CACHED_WORDS:
-            self.known.clear()
-            new = {w for segments in cut for special, words in segments if special is None for w in words}
-        if new:
-            self.learn(list(new))
-        known = self.known
+        if len(self.known) > CACHED_WORDS:
+            self.known, self.before = {}, self.known
+        known, before = self.known, self.before
+        new = {w for segments in cut for special, words in segments if special is None for w in words if w not in known}
+        known.update({w: before[w] for w in new if w in before})
+        fresh = [w for w in new if w not in known]
+        if fresh:
+            self.learn(fresh)
         return [
             b"".join(np.array([self.special[s]], "<u4").tobytes() if s is not None else b"".join([known[w] for w in words]) for s, words in segments)
             for segments in cut
