@@ -1,6 +1,6 @@
 """Substring dedup by fixed-block anchors.
 
-1. Every document is cut into consecutive blocks of half a window, its anchors. A window that repeats elsewhere holds at least one whole
+1. Every document is cut into consecutive blocks of half a window (rounded up), its anchors. A window that repeats elsewhere holds at least one whole
    anchor there, wherever it begins. All rolling windows of block size probe the anchors of documents with a smaller id.
 2. Around the hits, and around the anchors that were hit, lie all windows that can repeat. Their hashes, 64 bits over whole windows, are compared:
    a window is a repeat if a document with a smaller id has it too. Consecutive repeated windows make up the maximal exact repeats.
@@ -24,11 +24,17 @@ from assaysieve.llm.text import space_words
 WINDOW = 50
 PIECE_WORDS = 200_000  # words whose hashes are packed together
 CACHED_WORDS = 300_000
+MIN_BUCKETS = 64  # hashes are dealt to as many buckets as there are shuffle partitions, but no fewer than these
 BASE = 0x9E3779B97F4A7C15 | 1
 ROW = "bucket int, phase int, data binary"
 FOUND = "doc_id bigint, data binary"
 
 
+def block_of(window: int) -> int:
+    """The longest block of which a window holds a whole one wherever it begins."""
+    return (window + 1) // 2
+
+
 @cache
 def _inverse() -> int:
     return pow(BASE, -1, 1 << 64)
@@ -129,7 +135,7 @@ def _rows(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple]:
 
 def _anchors_and_probes(window: int, buckets: int):
     """Anchors come twice: in phase 0 to be probed, in phase 2 to be told whether a later document hit them. Probes are phase 1."""
-    block = window // 2
+    block = block_of(window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, packer, held = Hasher(), _Packer(buckets, "<u4"), 0
@@ -153,6 +159,8 @@ def _anchors_and_probes(window: int, buckets: int):
 
 def _windows(window: int, buckets: int):
     """Windows around hits and hit anchors: phase 0 to be probed, phase 1 to probe."""
+    block = block_of(window)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, packer, held = Hasher(), _Packer(buckets, "<u8"), 0
         for doc, text, copy, hits in _rows(batches, "doc_id", "_text", "_copy", "_hits"):
@@ -161,8 +169,8 @@ def _windows(window: int, buckets: int):
                 continue
             near = np.zeros(len(words) + 1, np.int64)
             at = np.concatenate([np.frombuffer(h, "<u4") for h in hits]).astype(np.int64)
-            at = at[at <= len(words) - window // 2]  # others are of another text with this id
-            np.add.at(near, np.maximum(at - (window - window // 2), 0), 1)
+            at = at[at <= len(words) - block]  # others are of another text with this id
+            np.add.at(near, np.maximum(at - (window - block), 0), 1)
             np.add.at(near, at + 1, -1)
             places = np.flatnonzero(np.cumsum(near)[:len(words) - window + 1])
             hashes = hasher.windows(hasher.sums(words), places, window)
@@ -292,7 +300,7 @@ def deduplicate(documents: DataFrame, text: str = "text", doc_id: str = "doc_id"
     Rows with the same id take nothing from each other; each gives a row.
     """
     spark = documents.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(MIN_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("_text"))
     digests = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.sha2(F.col(text), 256).alias("_digest")).where("doc_id is not null and _digest is not null")
     first = digests.groupBy("_digest").agg(F.min("doc_id").alias("_first"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
