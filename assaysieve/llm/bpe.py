@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from assaysieve.llm.text import per_text, sha256
 
-CACHED_WORDS = 400_000  # encoded words that a worker remembers, and as many of those before
+CACHED_WORDS = 200_000  # encoded words that a task remembers, and as many of those before
 NEVER = np.iinfo(np.int64).max
 NO_RANK = 1 << 60
 # The published pattern of byte-level tokenizers: contractions, letters, digits, other signs, white space.
@@ -166,6 +166,10 @@ class Tokenizer:
             for segments in cut
         ]
 
+    def forget(self) -> None:
+        """Drop the remembered words: between tasks a worker keeps the tables alone."""
+        self.known, self.before = {}, {}
+
     def decode(self, ids: bytes) -> str:
         """The text of the ids, special tokens included; bytes that are no UTF-8 become the replacement character."""
         return b"".join(map(self.bytes.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
@@ -215,7 +219,12 @@ def encode(documents: DataFrame, path: str, text: str = "text", out: str = "toke
 
     def make():
         tokenizer = _tokenizer(shared)
-        return lambda texts: [(len(ids) // 4, ids) for ids in tokenizer.encode(texts)]
+
+        def rows(texts: list[str | None]) -> list[tuple]:
+            return [(len(ids) // 4, ids) for ids in tokenizer.encode(texts)]
+
+        rows.done = tokenizer.forget
+        return rows
 
     return documents.withColumn(out, per_text(make, "n_tokens bigint, ids binary")(F.col(text)))
 
@@ -226,7 +235,12 @@ def digest(documents: DataFrame, path: str) -> DataFrame:
 
     def make():
         tokenizer = _tokenizer(shared)
-        return lambda texts: [(len(ids) // 4, sha256(ids), sha256(tokenizer.decode(ids).encode())) for ids in tokenizer.encode(texts)]
+
+        def rows(texts: list[str | None]) -> list[tuple]:
+            return [(len(ids) // 4, sha256(ids), sha256(tokenizer.decode(ids).encode())) for ids in tokenizer.encode(texts)]
+
+        rows.done = tokenizer.forget
+        return rows
 
     tokens = per_text(make, "n_tokens bigint, ids_sha256 string, decoded_sha256 string")(F.col("text"))
     return documents.select("doc_id", tokens.alias("t")).select("doc_id", "t.n_tokens", "t.ids_sha256", "t.decoded_sha256")

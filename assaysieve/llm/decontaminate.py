@@ -4,12 +4,11 @@ Benchmark items are taken in blocks of bounded size; each block is broadcast, ev
 its documents through it. One block is one pass without a shuffle; more blocks are more passes, whose hits are joined by text.
 """
 
+from collections.abc import Callable
+
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import arrow_udf
-from pyspark.sql.types import StringType
 
 from assaysieve.llm.automaton import Scanner
 from assaysieve.llm.text import FOLD, folded_words, per_text
@@ -158,18 +157,40 @@ def _without(text: str | None, spans: list[dict]) -> str | None:
     return (b"".join(kept) + data[at:]).decode()
 
 
-@arrow_udf(StringType())
-def without(texts: pa.Array, spans: pa.Array) -> pa.Array:
-    """The texts without the words in their spans; what stands between other words stays."""
-    return pa.array([_without(t, s) for t, s in zip(texts.to_pylist(), spans.to_pylist(), strict=True)], pa.string())
+CLEANED = "kept boolean, text string"
+
+
+def _cleaned(scan: Callable[[list[str | None]], list[tuple]], longest: int, coverage: float) -> Callable[[list[str | None]], list[tuple]]:
+    def rows(texts: list[str | None]) -> list[tuple]:
+        out = []
+        for text, (n_words, spans, _) in zip(texts, scan(texts), strict=True):
+            hit = sum(s["last"] - s["first"] for s in spans)
+            out.append((hit <= coverage * n_words, _without(text, [s for s in spans if s["last"] - s["first"] >= longest])))
+        return out
+
+    return rows
 
 
-def decontaminate(documents: DataFrame, items: DataFrame, text: str = "text", longest: int = LONGEST, coverage: float = COVERAGE) -> DataFrame:
+def decontaminate(
+    documents: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW,
+    longest: int = LONGEST, coverage: float = COVERAGE, block_words: int = BLOCK_WORDS,
+) -> DataFrame:
     """The documents without benchmark passages: spans of `longest` or more words are cut from the text, and documents
     of which more than the share `coverage` is hit are removed. Texts without such spans stay as they are, null texts too.
     """
-    found = matches(documents, items, text, out="_hits")
-    wide = F.filter("_hits.spans", lambda s: s["last"] - s["first"] >= longest)
-    hit = F.aggregate("_hits.spans", F.lit(0).cast("bigint"), lambda n, s: n + s["last"] - s["first"])
-    kept = found.where(hit <= coverage * F.col("_hits.n_words"))
-    return kept.withColumn(text, F.when(F.size(wide) > 0, without(F.col(text), wide)).otherwise(F.col(text))).drop("_hits")
+    spark, kept = documents.sparkSession, documents
+    blocks = list(_blocks(items, item_id, item_text, block_words))
+    if len(blocks) > 1:
+        # A document's share counts the hits of all blocks; spans are then cut block after block.
+        found = matches(documents, items, text, item_id, item_text, window, block_words, "_hits")
+        hit = F.aggregate("_hits.spans", F.lit(0).cast("bigint"), lambda n, s: n + s["last"] - s["first"])
+        kept, coverage = found.where(hit <= coverage * F.col("_hits.n_words")).drop("_hits"), 1.0
+    for block in blocks:
+        shared = spark.sparkContext.broadcast(block)
+
+        def make(shared=shared):
+            return _cleaned(Items(*shared.value, window).scan, longest, coverage)
+
+        cleaned = kept.withColumn("_clean", per_text(make, CLEANED)(F.col(text)))
+        kept = cleaned.where("_clean.kept").withColumn(text, F.col("_clean.text")).drop("_clean")
+    return kept

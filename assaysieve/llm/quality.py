@@ -21,7 +21,7 @@ LEXICON_WORDS = 2_000  # words of the model
 MIN_DOCUMENTS = 4  # labelled documents a word must be in
 CLEAR, TELLING = 20.0, 1.5  # likelihood ratio statistic and log-odds that a word must have
 STEM = 4  # characters of a longer word that count as a word of their own, so that unseen forms of a telling stem tell too
-CACHED_WORDS = 200_000
+CACHED_WORDS = 100_000
 THRESHOLD = 0.5
 SITE_WEIGHT = 0.5  # how much of a site's log-odds counts beside the document's own
 EVIDENCE = "counts struct<" + rules.COUNTS.replace(" bigint", ":bigint") + ">, bad array<double>, toxic array<double>"
@@ -156,6 +156,7 @@ def fit(documents: DataFrame, labels: DataFrame, text: str = "text", sample_rows
     sample = sample.select("_row.*").withColumn("_half", F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)))
     sample = sample.persist(StorageLevel.DISK_ONLY)  # at most `sample_rows` texts, read twice
     try:
+        sample.count()  # kept before it is read on, so that no task runs two Python functions at once
         words = _lexicon(sample.where("_half = 0"))
         held = _with_evidence(sample.where("_half = 1"), "_text", words, "_e")
         columns = [c.alias(f"x{t}_{i}") for t in (0, 1) for i, c in enumerate(_features("_e", t))]

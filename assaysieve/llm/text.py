@@ -3,14 +3,16 @@
 import hashlib
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-# Texts are handed to the row functions in pieces of about this many characters; a single text is never cut.
-PIECE_CHARS = 2_000_000
+# Texts are handed to the row functions in pieces of about this many bytes, so that a task holds no more; a single text is never cut.
+PIECE_BYTES = 2_000_000
 
 _LETTERS = {**{c: c + 32 for c in range(0x41, 0x5B)}, **{c: c for c in [*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]}}
 # Bytes of UTF-8: A-Z to a-z, digits, letters and everything beyond ASCII unchanged, the rest to blanks.
@@ -32,36 +34,32 @@ def sha256(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
-def pieces(texts: list[str | None]) -> Iterator[list[str | None]]:
+def pieces(texts: pa.Array) -> Iterator[pa.Array]:
     """The texts in order, cut between texts so that a piece stays small; at least one text in each."""
-    held, size = [], 0
-    for text in texts:
-        held.append(text)
-        size += len(text or "")
-        if size >= PIECE_CHARS:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < len(texts):
+        done = ends[at - 1] if at else 0
+        end = max(int(np.searchsorted(ends, done + PIECE_BYTES, "right")), at + 1)
+        yield texts.slice(at, end - at)
+        at = end
 
 
 def per_text(make: Callable[[], Callable[[list[str | None]], list[tuple]]], schema: str) -> Callable[..., Column]:
     """A column function from a text to a struct.
 
-    `make` runs once per task and returns a function from a list of texts to as many tuples. The other columns of the
-    frame stay in the JVM, so their names and types do not matter.
+    `make` runs once per task and returns a function from a list of texts to as many tuples, whose attribute `done`, if it has one, is
+    called at the task's end. The other columns of the frame stay in the JVM, so their names and types do not matter.
     """
     fields = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         rows_of = make()
         for batch in batches:
-            parts = []
-            for piece in pieces(batch.to_pylist()):
-                rows = rows_of(piece)
-                parts.append(pa.StructArray.from_arrays(
-                    [pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), fields, strict=True)], fields=list(fields)
-                ))
-            yield pa.concat_arrays(parts) if parts else pa.array([], type=pa.struct(list(fields)))
+            for piece in pieces(batch):
+                rows = rows_of(piece.to_pylist())
+                yield pa.StructArray.from_arrays(
+                    [pa.array(c, type=f.type) for c, f in zip(zip(*rows, strict=True), fields, strict=True)], fields=list(fields))
+        getattr(rows_of, "done", bool)()
 
     return arrow_udf(run, returnType=StructType.fromDDL(schema))

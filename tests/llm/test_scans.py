@@ -92,9 +92,12 @@ def test_decontamination_of_random_texts(spark):
 def test_passages_are_cut_and_copies_dropped(spark):
     passage = awkward.prose(7, 20)
     rows = [(1, f"Before, {passage}! After."), (2, passage), (3, "clean text"), (4, None), (5, passage[:30])]
-    left = {r["doc_id"]: r["text"] for r in decontaminate.decontaminate(
-        spark.createDataFrame([(i, t if i != 1 else "word " * 30 + t) for i, t in rows], "doc_id bigint, text string"), spark.createDataFrame([(1, passage)], ITEM)).collect()}
-    assert left == {1: "word " * 30 + "Before, ! After.", 3: "clean text", 4: None, 5: passage[:30]}
+    documents = spark.createDataFrame([(i, t if i != 1 else "word " * 30 + t) for i, t in rows], "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, passage), (2, awkward.prose(8, 12)), (3, awkward.prose(9, 12))], ITEM)
+    want = {1: "word " * 30 + "Before, ! After.", 3: "clean text", 4: None, 5: passage[:30]}
+    for block_words in (1000, 15):
+        assert {r["doc_id"]: r["text"] for r in decontaminate.decontaminate(documents, items, block_words=block_words).collect()} == want
+    assert decontaminate.decontaminate(documents, items.where("false")).count() == len(rows)
 
 
 def test_licence_base_places(spark):
