@@ -130,6 +130,14 @@ def local_stamp(zone: str = "Asia/Kolkata", suffix: str = " IST") -> Column:
     return F.concat(F.date_format(moment, "yyyy-MM-dd HH:mm"), F.lit(suffix))
 
 
+def title_case(c: str | Column) -> Column:
+    """Every run of letters with its first letter in upper case and the others in lower case, underscores as blanks."""
+    text = F.replace(col(c), F.lit("_"), F.lit(" "))
+    # A blank after each other character makes initcap treat it as a border; the mark takes the blanks out again.
+    marked = F.regexp_replace(text, r"(?<=[^\p{L} ])(?=\p{L})", "\u0001 ")
+    return F.replace(F.initcap(marked), F.lit("\u0001 "), F.lit(""))
+
+
 def title_text(name: str) -> str:
     """Heading made from a column name."""
     return name.replace("_", " ").title()

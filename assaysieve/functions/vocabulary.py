@@ -85,44 +85,41 @@ class Label(NamedTuple):
     aliases: tuple[str, ...]
     text: str
     fmt: str | None
-    help: str
     low: float | None = None
     high: float | None = None
 
 
 # Display text, number format and allowed range per column (aliases in lower case).
 COLUMN_LABELS = (
-    Label(("solvent_name", "solventname"), "Solvent Name", None, "Name of the solvent"),
-    Label(("molecular_weight", "molecularweight", "mw"), "MW (g/mol)", "%.2f", "Molecular Weight"),
-    Label(("pubchem_cid",), "PubChem CID", "%d", "PubChem Compound ID"),
-    Label(("pubchem_commonname",), "Common Name", None, "Common or Synonymous Name"),
-    Label(("iupacname",), "IUPAC Name", None, "IUPAC Standard Chemical Name"),
-    Label(("molecular_formula",), "Formula", None, "Molecular Formula"),
-    Label(("smiles",), "SMILES", None, "Simplified Molecular Input Line Entry System (SMILES) String"),
-    Label(("xlogp",), "LogP", "%.2f", "Octanol-Water Partition Coefficient (XLogP)"),
-    Label(("topological_polar_surface_area", "tpsa"), "TPSA (Å²)", "%.1f", "Topological Polar Surface Area"),
-    Label(("hydrogen_bond_donor_count", "hbonddonorcount"), "HB Donors", "%d", "Hydrogen Bond Donor Count"),
-    Label(("hydrogen_bond_acceptor_count", "hbondacceptorcount"), "HB Acceptors", "%d", "Hydrogen Bond Acceptor Count"),
-    Label(("rotatable_bond_count", "rotatablebondcount"), "Rotatable Bonds", "%d", "Rotatable Bond Count"),
-    Label(("heavy_atom_count", "heavyatomcount"), "Heavy Atoms", "%d", "Heavy Atom Count"),
-    Label(("aromatic_ring_count", "aromaticringcount"), "Aromatic Rings", "%d", "Aromatic Ring Count"),
-    Label(("fraction_csp3", "fractioncsp3"), "Fraction CSP3", "%.3f", "Fraction of sp3 hybridized carbons"),
-    Label(("density",), "Density (g/mL)", "%.4f", "Liquid Density"),
-    Label(("dynamic_viscosity", "viscosity"), "Viscosity (mPa·s)", "%.4f", "Dynamic Viscosity"),
-    Label(("dielectric_constant", "dielectricconstant"), "Dielectric Const", "%.2f", "Relative Permittivity"),
-    Label(("surface_tension", "surfacetension"), "Surf Tension (mN/m)", "%.2f", "Surface Tension"),
-    Label(("vapor_pressure", "vaporpressure"), "Vapor Pres (kPa)", "%.3f", "Vapor Pressure"),
-    Label(("boiling_point", "boilingpoint"), "Boiling Pt (°C)", "%.1f", "Normal Boiling Point"),
-    Label(("water_solubility", "watersolubility"), "Water Sol (mg/L)", "%.2f", "Solubility in Water"),
-    Label(("hansen_dispersion", "hansen_dd"), "Hansen δd", "%.2f", "Hansen Dispersion Parameter"),
-    Label(("hansen_polar", "hansen_dp"), "Hansen δp", "%.2f", "Hansen Polar Parameter"),
-    Label(("hansen_hydrogen", "hansen_dh"), "Hansen δh", "%.2f", "Hansen Hydrogen Bonding Parameter"),
-    Label(("solvent_concentration", "solventconcentration", "concentration"), "Concentration (%)", "%.2f",
-          "Solvent Concentration in Experiment", 0.0, 100.0),
-    Label(("glucose_uptake", "glucoseuptake"), "Glucose Uptake", "%.2f", "Glucose Uptake (%) - Primary Target"),
-    Label(("sne",), "SNE", "%.2f", "SNE (%) - Target"),
-    Label(("substrate_conversion", "substrateconversion"), "Substrate Conv", "%.2f",
-          "Substrate Conversion (%) - Target"),
+    Label(("solvent_name", "solventname"), "Solvent Name", None),
+    Label(("molecular_weight", "molecularweight", "mw"), "MW (g/mol)", "%.2f"),
+    Label(("pubchem_cid",), "PubChem CID", "%d"),
+    Label(("pubchem_commonname",), "Common Name", None),
+    Label(("iupacname",), "IUPAC Name", None),
+    Label(("molecular_formula",), "Formula", None),
+    Label(("smiles",), "SMILES", None),
+    Label(("xlogp",), "LogP", "%.2f"),
+    Label(("topological_polar_surface_area", "tpsa"), "TPSA (Å²)", "%.1f"),
+    Label(("hydrogen_bond_donor_count", "hbonddonorcount"), "HB Donors", "%d"),
+    Label(("hydrogen_bond_acceptor_count", "hbondacceptorcount"), "HB Acceptors", "%d"),
+    Label(("rotatable_bond_count", "rotatablebondcount"), "Rotatable Bonds", "%d"),
+    Label(("heavy_atom_count", "heavyatomcount"), "Heavy Atoms", "%d"),
+    Label(("aromatic_ring_count", "aromaticringcount"), "Aromatic Rings", "%d"),
+    Label(("fraction_csp3", "fractioncsp3"), "Fraction CSP3", "%.3f"),
+    Label(("density",), "Density (g/mL)", "%.4f"),
+    Label(("dynamic_viscosity", "viscosity"), "Viscosity (mPa·s)", "%.4f"),
+    Label(("dielectric_constant", "dielectricconstant"), "Dielectric Const", "%.2f"),
+    Label(("surface_tension", "surfacetension"), "Surf Tension (mN/m)", "%.2f"),
+    Label(("vapor_pressure", "vaporpressure"), "Vapor Pres (kPa)", "%.3f"),
+    Label(("boiling_point", "boilingpoint"), "Boiling Pt (°C)", "%.1f"),
+    Label(("water_solubility", "watersolubility"), "Water Sol (mg/L)", "%.2f"),
+    Label(("hansen_dispersion", "hansen_dd"), "Hansen δd", "%.2f"),
+    Label(("hansen_polar", "hansen_dp"), "Hansen δp", "%.2f"),
+    Label(("hansen_hydrogen", "hansen_dh"), "Hansen δh", "%.2f"),
+    Label(("solvent_concentration", "solventconcentration", "concentration"), "Concentration (%)", "%.2f", 0.0, 100.0),
+    Label(("glucose_uptake", "glucoseuptake"), "Glucose Uptake", "%.2f"),
+    Label(("sne",), "SNE", "%.2f"),
+    Label(("substrate_conversion", "substrateconversion"), "Substrate Conv", "%.2f"),
 )
 
 # Where a structure picture is served, and the texts that mean "no identifier".

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,13 +16,28 @@ SYNONYMS = ("solvent_name", "IUPACName", "PubChem_CommonName")
 _KEY = "_lookup_key"
 
 
-def catalogue_keys(catalogue: DataFrame, synonyms: Sequence[str], order: Column, values: Sequence[str]) -> DataFrame:
+def row_order(df: DataFrame) -> Column:
+    """The order of rows as they lie in their files: by file name, place of the block, and place in it.
+
+    Numbers of partitions alone do not tell, as Spark reads large files first. A frame that does not come straight from files is taken as it is.
+    """
+    here = F.monotonically_increasing_id()
+    placed = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), here)
+    try:
+        df.select(placed)
+    except AnalysisException:
+        return here
+    return placed
+
+
+def catalogue_keys(catalogue: DataFrame, synonyms: Sequence[str], order: Column | None, values: Sequence[str]) -> DataFrame:
     """One row per distinct lower-case synonym, holding the first catalogue row that carries it.
 
     Every synonym becomes its own key, so that the lookup is one equi-join instead of an OR over three columns.
     """
     names = F.array(*[F.lower(col(s)) for s in synonyms if s in catalogue.columns])
     row = F.struct(*[col(v).alias(f"v{i}") for i, v in enumerate(values)])
+    order = row_order(catalogue) if order is None else order
     return (
         catalogue.select(F.explode(F.array_distinct(names)).alias(_KEY), order.alias("_order"), row.alias("_row"))
         .where(F.col(_KEY).isNotNull())
@@ -41,7 +57,7 @@ def lookup(
 ) -> DataFrame:
     """Fill descriptor cells of named entities from the catalogue. The caller's own values win."""
     values = list(values) if values is not None else [c for c in catalogue.columns if c != name]
-    keys = catalogue_keys(catalogue, synonyms, order if order is not None else F.monotonically_increasing_id(), values)
+    keys = catalogue_keys(catalogue, synonyms, order, values)
     keyed = df.withColumn(_KEY, substitute(lookup_key(name), dict(aliases)))
     joined = lookup_join(keyed, keys, [_KEY])
     found = {v: F.col("_row")[f"v{i}"] for i, v in enumerate(values)}
@@ -79,7 +95,7 @@ def fill_gaps(left: DataFrame, right: DataFrame, key: str, order: Column | None
     is joined. A small right side, or hot keys on the left, call for a left join plus the right rows without a
     partner: Spark can neither broadcast nor split a full outer join.
     """
-    source = first_per_key(right, key, order if order is not None else F.monotonically_increasing_id())
+    source = first_per_key(right, key, row_order(right) if order is None else order)
     extra = [c for c in source.columns if c != key]
     renamed = source.select(col(key), *[col(c).alias("_r_" + c) for c in extra]).persist()
     filled = [F.coalesce(col(c), col("_r_" + c)).alias(c) if c in extra else col(c) for c in left.columns]
@@ -94,10 +110,10 @@ def fill_gaps(left: DataFrame, right: DataFrame, key: str, order: Column | None
 def refresh_missing(df: DataFrame, fetched: DataFrame, key: str, missing: str) -> DataFrame:
     """Overwrite rows in which one column is missing with non-null fetched values, matched by key.
 
-    Only columns the frame already has are refreshed. The fetched frame holds one row per key.
+    Only columns the frame already has are refreshed. Of several fetched rows of a key the first counts.
     """
     shared = [c for c in fetched.columns if c != key and c in df.columns]
-    renamed = fetched.select(col(key), *[col(c).alias("_f_" + c) for c in shared])
+    renamed = first_per_key(fetched, key, row_order(fetched)).select(col(key), *[col(c).alias("_f_" + c) for c in shared])
     stale = df.where(col(missing).isNull())
     fresh = lookup_join(stale, renamed, [key]).select(
         *[F.coalesce(col("_f_" + c), col(c)).alias(c) if c in shared else col(c) for c in df.columns]

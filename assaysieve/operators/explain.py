@@ -1,4 +1,4 @@
-"""Shapley values: closed form for linear models, exact enumeration for any other model."""
+"""Shapley values: closed form for linear models, the paths of tree models, and coalitions for any other model."""
 
 from __future__ import annotations
 
@@ -12,15 +12,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assaysieve.functions.exprs import col
-from assaysieve.operators.trees import assemble
+from assaysieve.operators.trees import assemble, leaves
 
-MAX_FEATURES = 12
+COALITIONS = 4096  # coalitions up to which all are evaluated
+ORDERS = 256  # feature orders that are sampled where there are more, each also in reverse
+CELLS = 4_000_000  # rows times leaves times features that are held at once
 
 
-def linear_shap(df: DataFrame, features: Sequence[str], weights: Sequence[float], means: Sequence[float], keep: Sequence[str]) -> DataFrame:
-    """Shapley values of a linear model, wide: weight times distance from the background mean."""
+def linear_shap(
+    df: DataFrame, features: Sequence[str], weights: Sequence[float], means: Sequence[float], keep: Sequence[str], intercept: float | None = None
+) -> DataFrame:
+    """Shapley values of a linear model, wide: weight times distance from the background mean. With its intercept also `base`, the value at the mean."""
     values = [(F.lit(float(w)) * (col(c) - F.lit(float(m)))).alias(f"phi_{c}") for c, w, m in zip(features, weights, means, strict=True)]
-    return df.select(*[col(c) for c in keep], *values)
+    base = [] if intercept is None else [F.lit(float(intercept + np.dot(weights, means))).alias("base")]
+    return df.select(*[col(c) for c in keep], *values, *base)
 
 
 def background(df: DataFrame, features: Sequence[str], k: int = 10, seed: int = 42) -> tuple[np.ndarray, np.ndarray]:
@@ -55,14 +60,34 @@ def coalition_weights(p: int) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-def shapley_values(predict: Callable[[np.ndarray], np.ndarray], x: np.ndarray, points: np.ndarray, share: np.ndarray) -> np.ndarray:
-    """Exact Shapley values of a batch of rows against weighted background points."""
+def shapley_values(
+    predict: Callable[[np.ndarray], np.ndarray], x: np.ndarray, points: np.ndarray, share: np.ndarray, orders: int = ORDERS, seed: int = 42
+) -> np.ndarray:
+    """Shapley values of a batch of rows against weighted background points.
+
+    Exact over all coalitions of up to 12 features. Beyond, `orders` random orders of the features and their reverses are followed, the same
+    for all rows; the values still add up to prediction minus base.
+    """
+    def mean(inside: np.ndarray) -> np.ndarray:
+        return sum(weight * predict(np.where(inside, x, point)) for point, weight in zip(points, share, strict=True))
+
+    p = x.shape[1]
     phi = np.zeros_like(x)
-    for inside, factor in coalition_weights(x.shape[1]):
-        value = np.zeros(len(x))
-        for point, weight in zip(points, share, strict=True):
-            value += weight * predict(np.where(inside, x, point))
-        phi += value[:, None] * factor
+    if 2**p <= COALITIONS:
+        for inside, factor in coalition_weights(p):
+            phi += mean(inside)[:, None] * factor
+        return phi
+    rng = np.random.default_rng(seed)
+    none, whole = mean(np.zeros(p, bool)), mean(np.ones(p, bool))
+    for _ in range(orders):
+        forward = rng.permutation(p)
+        for order in (forward, forward[::-1]):
+            inside, before = np.zeros(p, bool), none
+            for place, j in enumerate(order):
+                inside[j] = True
+                after = whole if place == p - 1 else mean(inside)
+                phi[:, j] += (after - before) / (2 * orders)
+                before = after
     return phi
 
 
@@ -76,7 +101,6 @@ def kernel_shap(
 ) -> DataFrame:
     """Shapley values of a vectorised predictor. Coalitions are evaluated inside each Arrow batch: no row multiplies."""
     features, keep = list(features), list(keep)
-    _check(features)
     rows = df.select(*[col(c) for c in dict.fromkeys([*keep, *features])]).dropna(subset=features)
     kinds = dict(rows.dtypes)
     schema = ", ".join([f"`{c}` {kinds[c]}" for c in keep] + [f"`phi_{c}` double" for c in features] + ["base double"])
@@ -91,40 +115,57 @@ def kernel_shap(
     return rows.mapInPandas(explain, schema)
 
 
-def tree_shap(
-    df: DataFrame, features: Sequence[str], model, points: np.ndarray, share: np.ndarray, row_id: str
-) -> DataFrame:
-    """Shapley values of a fitted Spark ML tree model by the same enumeration.
+def path_values(x: np.ndarray, forest: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Shapley values of summed trees, where a feature that is not known follows both branches in the shares of the training rows.
 
-    Each row becomes 2^p coalitions by background points, all in its own task; the weighted sums are combined there
-    before the shuffle, so what is exchanged is one record per row.
+    A leaf contributes its value times one factor per feature: whether the row's number lies in the leaf's range where the feature is known, and the
+    share of rows that its splits let through where it is not. The Shapley value of such a product is an integral over one polynomial, which the
+    quadrature gives exactly.
     """
-    features = list(features)
-    _check(features)
-    p = len(features)
-    numbered = df.select(
-        col(row_id), *[col(c).cast("double").alias(f"x{j}") for j, c in enumerate(features)],
-        F.explode(F.sequence(F.lit(0), F.lit(2**p - 1))).alias("mask"),
-    ).withColumn("centre", F.explode(F.sequence(F.lit(1), F.lit(len(share)))))
-
-    def listed(values) -> Column:
-        return F.array(*[F.lit(float(v)) for v in values])
-
-    size = F.bit_count("mask") + 1
-    joins = listed([0.0] + [factorial(s - 1) * factorial(p - s) / factorial(p) for s in range(1, p + 1)])
-    leaves = listed([factorial(s) * factorial(p - s - 1) / factorial(p) for s in range(p)] + [0.0])
-    inputs, factors = [], []
-    for j, c in enumerate(features):
-        inside = F.col("mask").bitwiseAND(F.lit(1 << j)) != 0
-        inputs.append(F.when(inside, F.col(f"x{j}")).otherwise(F.element_at(listed(points[:, j]), F.col("centre"))).alias(c))
-        factors.append((F.element_at(listed(share), F.col("centre")) * F.when(inside, F.element_at(joins, size)).otherwise(-F.element_at(leaves, size))).alias(f"_w{j}"))
-    scored = model.transform(assemble(numbered.select(col(row_id), *inputs, *factors), features))
-    return scored.groupBy(col(row_id)).agg(*[F.sum(F.col("yhat") * F.col(f"_w{j}")).alias(f"phi_{c}") for j, c in enumerate(features)])
-
-
-def _check(features: Sequence[str]) -> None:
-    if len(features) > MAX_FEATURES:
-        raise ValueError(f"enumeration needs at most {MAX_FEATURES} selected features, got {len(features)}")
+    n, p = x.shape
+    nodes, weights = np.polynomial.legendre.leggauss(max(1, (p + 1) // 2))
+    nodes, weights = (nodes + 1) / 2, weights / 2
+    phi = np.zeros((n, p))
+    for low, high, share, value in forest:
+        step = max(1, CELLS // max(low.size, 1))
+        for begin in range(0, n, step):
+            part = x[begin:begin + step]
+            fits = [((part[:, j, None] > low[None, :, j]) & (part[:, j, None] <= high[None, :, j])).astype(float) for j in range(p)]
+            for t, w in zip(nodes, weights, strict=True):
+                factors = [t * fits[j] + (1 - t) * share[None, :, j] for j in range(p)]
+                for i in range(p):
+                    product = (fits[i] - share[None, :, i]) * (w * value[None, :])
+                    for j in range(p):
+                        if j != i:
+                            product = product * factors[j]
+                    phi[begin:begin + step, i] += product.sum(1)
+    return phi
+
+
+def tree_shap(df: DataFrame, features: Sequence[str], model, keep: Sequence[str]) -> DataFrame:
+    """Shapley values of a fitted Spark ML tree model from the paths of its trees, and `base`, its mean over the training rows.
+
+    The leaves travel to the executors once and rows are explained in their Arrow batches: no row multiplies and nothing is shuffled. A row
+    with a missing feature has NULL values.
+    """
+    features, keep = list(features), list(keep)
+    forest = leaves(model, len(features), df.sparkSession)
+    base = float(sum((np.prod(share, axis=1) * value).sum() for _, _, share, value in forest))
+    shared = df.sparkSession.sparkContext.broadcast(forest)
+    rows = df.select(*[col(c) for c in dict.fromkeys([*keep, *features])])
+    kinds = dict(rows.dtypes)
+    schema = ", ".join([f"`{c}` {kinds[c]}" for c in keep] + [f"`phi_{c}` double" for c in features] + ["base double"])
+
+    def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            x = batch[features].to_numpy(float)
+            whole = ~np.isnan(x).any(1)
+            phi = np.full(x.shape, np.nan)
+            phi[whole] = path_values(x[whole], shared.value)
+            values = pd.DataFrame(phi, columns=[f"phi_{c}" for c in features], index=batch.index).astype(object)
+            yield pd.concat([batch[keep], values.where(~np.isnan(phi), None)], axis=1).assign(base=base)
+
+    return rows.mapInPandas(explain, schema)
 
 
 def importance(shap: DataFrame, features: Sequence[str]) -> DataFrame:

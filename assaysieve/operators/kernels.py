@@ -1,8 +1,8 @@
-"""Kernel regressors for small experiments: Gaussian process and kernel ridge.
+"""Kernel regressors of any number of rows: Gaussian process and kernel ridge, from sums over landmarks.
 
-They are recommended only for experiments of at most MAX_ROWS rows. Each experiment and target is one group of
-bounded size; groups above the bound are turned away with a status before any row is moved. The library that is
-scored may be of any size: it is read in Arrow batches, or in salted chunks when there are many models.
+A model stands on at most `landmarks` rows of its experiment. The kernel between these and all rows is summed as products, per fold, like the
+sums of a linear fit: every row counts, memory is bounded by the landmarks, and the training side of a fold is the total minus the fold. An
+experiment with no more rows than landmarks is fitted exactly. Large experiments are summed in chunks, so that none becomes one task.
 """
 
 from __future__ import annotations
@@ -11,40 +11,44 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assaysieve.functions.exprs import col
-from assaysieve.operators.linear import long_targets
+from assaysieve.operators.linear import FULL, long_targets
 from assaysieve.operators.skew import fits_broadcast, lookup_join
 
-MAX_ROWS = 200
+LANDMARKS = 200  # rows an experiment's models stand on: those of smallest feature hash
 CHUNK_ROWS = 20_000
+MERGED = 64  # partial sums that one task adds up
 
 # Kernel settings. The signal amplitude is the only fitted one, within these bounds.
 LENGTH_SCALE = 1.0
 NOISE = 0.01
 JITTER = 1e-6
 AMPLITUDE_BOUNDS = (1e-5, 1e5)
-RIDGE_ALPHA = 1.0
+RIDGE_STRENGTH = 1.0
 
 MODEL_COLUMNS = (
-    "model string, n int, p int, points array<double>, alpha array<double>, inverse array<double>, "
+    "model string, n int, m int, p int, points array<double>, dual array<double>, cover array<double>, "
     "amplitude double, gamma double, centre double, spread double, status string"
 )
 _NAMES = [c.split()[0] for c in MODEL_COLUMNS.split(", ")]
+_TINY = 1e-12  # eigenvalues below this share of the largest are rounding noise
 
 
 def squared_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.maximum((a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * a @ b.T, 0.0)
 
 
-def fit_amplitude(eigenvalues: np.ndarray, projections: np.ndarray) -> float:
+def fit_amplitude(eigenvalues: np.ndarray, projections: np.ndarray, bounds: tuple[float, float] = AMPLITUDE_BOUNDS) -> float:
     """Amplitude at the stationary point of the marginal likelihood uphill from 1.
 
     With the noise fixed, K = c R + s I shares the eigenvectors of R, so the likelihood is a function of log c alone.
     """
+    if bounds[0] == bounds[1]:
+        return float(bounds[0])
     s = NOISE + JITTER
 
     def slope(log_c: float) -> float:
@@ -52,52 +56,91 @@ def fit_amplitude(eigenvalues: np.ndarray, projections: np.ndarray) -> float:
         total = signal + s
         return 0.5 * float(np.sum(projections * signal / total**2) - np.sum(signal / total))
 
-    low, high = np.log(AMPLITUDE_BOUNDS)
+    low, high = np.log(bounds)
     at, rising = 0.0, slope(0.0) > 0
     step = 0.25 if rising else -0.25
     while low < at + step < high and (slope(at + step) > 0) == rising:
         at += step
     a, b = at, min(max(at + step, low), high)
     if (slope(b) > 0) == rising:
-        return float(np.clip(np.exp(b), *AMPLITUDE_BOUNDS))
+        return float(np.clip(np.exp(b), *bounds))
     while abs(b - a) > 1e-12:
         middle = (a + b) / 2
         a, b = (middle, b) if (slope(middle) > 0) == rising else (a, middle)
-    return float(np.clip(np.exp((a + b) / 2), *AMPLITUDE_BOUNDS))
+    return float(np.clip(np.exp((a + b) / 2), *bounds))
 
 
-def fit_gaussian_process(x: np.ndarray, y: np.ndarray) -> dict:
-    centre, spread = float(y.mean()), float(y.std()) or 1.0
-    z = (y - centre) / spread
-    values, vectors = np.linalg.eigh(np.exp(-0.5 * squared_distances(x, x) / LENGTH_SCALE**2))
-    values = np.maximum(values, 0.0)
-    c = fit_amplitude(values, (vectors.T @ z) ** 2)
-    inverse = (vectors / (c * values + NOISE + JITTER)) @ vectors.T
-    return {
-        "points": x, "alpha": inverse @ z, "inverse": inverse, "amplitude": c, "gamma": 0.5 / LENGTH_SCALE**2,
-        "centre": centre, "spread": spread,
-    }
-
+def kernel_sums(x: np.ndarray, y: np.ndarray, points: np.ndarray, gamma: float) -> np.ndarray:
+    """Rows, target sums, and sums of the kernel with the points: alone, times the target, and products of each pair."""
+    k = np.exp(-gamma * squared_distances(x, points))
+    return np.concatenate([[len(y), y.sum(), y @ y], k.sum(0), k.T @ y, (k.T @ k)[np.triu_indices(len(points))]])
 
-def fit_kernel_ridge(x: np.ndarray, y: np.ndarray) -> dict:
-    variance = float(x.var())
-    gamma = 1.0 / (x.shape[1] * variance) if variance > 0 else 1.0
-    centre = float(y.mean())
-    kernel = np.exp(-gamma * squared_distances(x, x))
-    alpha = np.linalg.solve(kernel + RIDGE_ALPHA * np.eye(len(y)), y - centre)
-    return {"points": x, "alpha": alpha, "inverse": None, "amplitude": 1.0, "gamma": gamma, "centre": centre, "spread": 1.0}
 
+def solve_kernel(name: str, points: np.ndarray, gamma: float, sums: np.ndarray, bounds: tuple[float, float] = AMPLITUDE_BOUNDS) -> dict:
+    """The model of the rows that were summed.
 
-FITTERS = {"gaussian_process": fit_gaussian_process, "kernel_ridge": fit_kernel_ridge}
+    The points' own kernel is brought to eigenvectors; in these coordinates the model is a ridge regression, whose products are known from the
+    sums. Where the points hold all rows, it is the model of the full kernel, for its variance too.
+    """
+    m = len(points)
+    n, sy, syy = sums[:3]
+    if not n > 0:
+        raise ValueError("no training rows")
+    once, with_y = sums[3:3 + m], sums[3 + m:3 + 2 * m]
+    products = np.zeros((m, m))
+    products[np.triu_indices(m)] = sums[3 + 2 * m:]
+    products = products + np.triu(products, 1).T
+    centre = sy / n
+    spread = 1.0
+    if name == "gaussian_process":
+        variance = syy / n - centre * centre
+        spread = float(np.sqrt(variance)) if variance > 1e-14 * syy / n else 1.0
+    values, vectors = np.linalg.eigh(np.exp(-gamma * squared_distances(points, points)))
+    real = values > _TINY * values[-1]
+    basis = vectors[:, real] / np.sqrt(values[real])
+    inner = basis.T @ products @ basis
+    response = basis.T @ (with_y - centre * once) / spread
+    own, turn = np.linalg.eigh((inner + inner.T) / 2)
+    own = np.maximum(own, 0.0)
+    turned = turn.T @ response
+    basis = basis @ turn
+    amplitude, noise = 1.0, RIDGE_STRENGTH
+    if name == "gaussian_process":
+        noise = NOISE + JITTER
+        seen = own > _TINY * max(own.max(initial=0.0), 1e-300)
+        amplitude = fit_amplitude(own[seen], turned[seen] ** 2 / own[seen], bounds)
+    weight = 1 / (own + noise / amplitude)
+    fit = {"points": points, "dual": basis @ (weight * turned) / amplitude, "cover": None, "amplitude": amplitude, "gamma": gamma,
+           "centre": float(centre), "spread": spread}
+    if name == "gaussian_process":
+        fit["cover"] = (basis * (amplitude - noise * weight)) @ basis.T / amplitude**2
+    return fit
+
+
+def gamma_of(name: str, p: int, n: float, sx: float, sxx: float) -> float:
+    """Kernel width from all rows of the experiment: fixed for a Gaussian process, by the variance of its numbers for kernel ridge."""
+    if name == "gaussian_process":
+        return 0.5 / LENGTH_SCALE**2
+    variance = sxx / (n * p) - (sx / (n * p)) ** 2
+    return 1.0 / (p * variance) if variance > 1e-14 * sxx / (n * p) else 1.0
+
+
+def fit_rows(name: str, x: np.ndarray, y: np.ndarray, gamma: float | None = None) -> dict:
+    """The exact model of a few rows, all of which are landmarks."""
+    gamma = gamma_of(name, x.shape[1], len(y), x.sum(), (x * x).sum()) if gamma is None else gamma
+    return solve_kernel(name, x, gamma, kernel_sums(x, y, x, gamma))
+
+
+KERNEL_MODELS = ("gaussian_process", "kernel_ridge")
 
 
 def kernel_predict(fit: dict, x: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
     """Mean and, for a Gaussian process, the deviation including the noise."""
     k = fit["amplitude"] * np.exp(-fit["gamma"] * squared_distances(x, fit["points"]))
-    mean = k @ fit["alpha"] * fit["spread"] + fit["centre"]
-    if fit["inverse"] is None:
+    mean = k @ fit["dual"] * fit["spread"] + fit["centre"]
+    if fit["cover"] is None:
         return mean, None
-    variance = fit["amplitude"] + NOISE - np.einsum("ij,ij->i", k @ fit["inverse"], k)
+    variance = fit["amplitude"] + NOISE - np.einsum("ij,ij->i", k @ fit["cover"], k)
     return mean, np.sqrt(np.maximum(variance, 0.0)) * fit["spread"]
 
 
@@ -106,107 +149,189 @@ def tasks_for(df: DataFrame, groups: int, rows: int, rows_per_task: int = 20_000
     return max(1, min(groups, max(df.sparkSession.sparkContext.defaultParallelism, rows // rows_per_task)))
 
 
-def bounded_groups(long: DataFrame, groups: Sequence[str], max_rows: int = MAX_ROWS) -> tuple[DataFrame, DataFrame]:
-    """Rows of groups within the bound, dealt out by group, and the groups beyond it with their counts.
+def experiment_plans(long: DataFrame, groups: Sequence[str], features: Sequence[str], landmarks: int, chunk_rows: int) -> DataFrame:
+    """One row per experiment: its landmarks, sums of its numbers, and the chunks its rows are dealt to.
 
-    The counts are combined map-side, so that rows of an oversized group are filtered out where they lie.
+    Each task passes on no more than `landmarks` rows of an experiment, however many it has.
     """
-    counts = long.groupBy(*[col(g) for g in groups]).agg(F.count("*").alias("rows")).persist()
-    too_big = counts.where(F.col("rows") > max_rows)
-    within = counts.where(F.col("rows") <= max_rows).agg(F.count("*"), F.coalesce(F.sum("rows"), F.lit(0))).first()
-    small = lookup_join(long, too_big.select(*[col(g) for g in groups]), groups, "left_anti")
-    return small.repartition(tasks_for(long, *within), *[col(g) for g in groups]), too_big
-
-
-def _fit_rows(x: np.ndarray, y: np.ndarray, models: Sequence[str]) -> list[list]:
-    rows = []
-    for name in models:
-        try:
-            f = FITTERS[name](x, y)
-            rows.append([
-                name, len(y), x.shape[1], f["points"].ravel(), f["alpha"],
-                None if f["inverse"] is None else f["inverse"].ravel(), f["amplitude"], f["gamma"], f["centre"], f["spread"], "ok",
-            ])
-        except (ValueError, np.linalg.LinAlgError) as problem:
-            rows.append([name, len(y), x.shape[1], None, None, None, None, None, None, None, f"error: {problem}"])
-    return rows
+    keys = [col(g) for g in groups]
+    numbers = F.array(*[col(c).cast("double") for c in features])
+    squares = [col(c).cast("double") * col(c).cast("double") for c in features]
+    sizes = long.groupBy(*keys).agg(
+        F.count("*").alias("_rows"), F.sum(sum((col(c).cast("double") for c in features), F.lit(0.0))).alias("_sx"),
+        F.sum(sum(squares, F.lit(0.0))).alias("_sxx"),
+    ).withColumn("_chunks", F.greatest(F.lit(1), F.ceil(F.col("_rows") / F.lit(chunk_rows))).cast("int"))
+    chosen = long.select(*keys, numbers.alias("_x")).withColumn("_i", F.row_number().over(
+        Window.partitionBy(*keys).orderBy(F.xxhash64("_x"), F.col("_x")))).where(F.col("_i") <= landmarks)
+    points = chosen.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", "_x"))), lambda s: s["_x"]).alias("_points"))
+    return sizes.join(points, list(groups))
+
+
+def _dealt(long: DataFrame, plans: DataFrame, groups: Sequence[str], carried: Sequence[str]) -> tuple[DataFrame, DataFrame, list[str], int]:
+    """Rows dealt to chunks of their experiment, the experiment's plan repeated in each, and the largest number of chunks."""
+    cells = [*groups, "_chunk"]
+    measured = plans.agg(F.coalesce(F.sum("_chunks"), F.lit(0)), F.coalesce(F.sum("_rows"), F.lit(0)), F.coalesce(F.max("_chunks"), F.lit(1))).first()
+    tasks = tasks_for(long, measured[0], measured[1])
+    salted = lookup_join(long, plans.select(*[col(g) for g in groups], "_chunks"), groups, "inner").withColumn(
+        "_chunk", F.pmod(F.xxhash64(*[col(c) for c in carried]), F.col("_chunks")).cast("int")
+    ).drop("_chunks").repartition(tasks, *[col(c) for c in cells])
+    repeated = plans.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1))).repartition(tasks, *[col(c) for c in cells])
+    return salted, repeated, cells, measured[2]
 
 
-def fit_kernels(
-    df: DataFrame, features: Sequence[str], targets: Sequence[str], models: Sequence[str], by: Sequence[str] = (), max_rows: int = MAX_ROWS
+def _met(left: DataFrame, right: DataFrame, keys: Sequence[str]):
+    """Both sides grouped on the keys. The right one gets columns of its own, as both may come from the same frame."""
+    own = right.select(*[col(c).alias(c) for c in right.columns])
+    return left.groupBy(*[col(k) for k in keys]).cogroup(own.groupBy(*[col(k) for k in keys]))
+
+
+def _points(plan, p: int) -> np.ndarray:
+    return np.array([list(x) for x in plan["_points"]], float).reshape(-1, p)
+
+
+def kernel_gram(
+    long: DataFrame, plans: DataFrame, groups: Sequence[str], features: Sequence[str], models: Sequence[str], fold: str | None = None
 ) -> DataFrame:
-    """One model row per (by, target, model); groups beyond max_rows get a row with the reason instead."""
-    groups = [*by, "target"]
-    features = list(features)
-    long = long_targets(df, targets, [*by, *features]).dropna(subset=features)
-    kinds = dict(long.dtypes)
+    """Kernel sums per experiment, model and fold, with the experiment's plan; fold is FULL without folds."""
+    features, groups = list(features), list(groups)
+    carried = list(dict.fromkeys([*groups, *([fold] if fold else []), *features, "y"]))
+    salted, repeated, cells, chunks = _dealt(long.select(*[col(c) for c in carried]), plans, groups, carried)
+    kinds = dict(salted.dtypes)
+    head = ", ".join(f"`{g}` {kinds[g]}" for g in groups)
+    names = [*groups, "model", "fold", "part", "sums"]
+
+    def summed(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        if len(left) and len(right):
+            plan = right.iloc[0]
+            points, p = _points(plan, len(features)), len(features)
+            folds = left[fold].to_numpy() if fold else np.full(len(left), FULL)
+            x, y = left[features].to_numpy(float), left["y"].to_numpy(float)
+            keys = [left[g].iloc[0] for g in groups]
+            for model in models:
+                gamma = gamma_of(model, p, plan["_rows"], plan["_sx"], plan["_sxx"])
+                for f in np.unique(folds):
+                    rows.append([*keys, model, int(f), int(plan["_chunk"]) // MERGED, kernel_sums(x[folds == f], y[folds == f], points, gamma)])
+        return pd.DataFrame(rows, columns=names)
+
+    schema = f"{head}, model string, fold int, part int, sums array<double>"
+    sums = _met(salted, repeated, cells).applyInPandas(summed, schema)
+
+    def merged(pdf: pd.DataFrame) -> pd.DataFrame:
+        first = pdf.iloc[0]
+        total = np.sum(np.stack(pdf["sums"].to_list()), axis=0)
+        return pd.DataFrame([[*[first[g] for g in groups], first["model"], first["fold"], first["part"] // MERGED, total]], columns=names)
+
+    parts = [*groups, "model", "fold", "part"]
+    while chunks > 1:  # one round for every power of MERGED in the chunks of the largest experiment
+        sums = sums.groupBy(*[col(c) for c in parts]).applyInPandas(merged, schema)
+        chunks = -(-chunks // MERGED)
+    return sums.drop("part").join(plans, groups)
+
+
+def _solved(
+    grams: DataFrame, groups: Sequence[str], features: Sequence[str], folded: bool, bounds: tuple[float, float] = AMPLITUDE_BOUNDS
+) -> DataFrame:
+    """Models of all rows (fold = FULL) and, with folds, of all rows but each fold."""
+    groups, p = list(groups), len(features)
+    kinds = dict(grams.dtypes)
     head = ", ".join(f"`{g}` {kinds[g]}" for g in groups)
-    small, too_big = bounded_groups(long, groups, max_rows)
+    names = [*groups, "fold", *_NAMES]
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        first = pdf.iloc[0]
+        points, name = _points(first, p), first["model"]
+        gamma = gamma_of(name, p, first["_rows"], first["_sx"], first["_sxx"])
+        own = {int(f): np.asarray(s, float) for f, s in zip(pdf["fold"], pdf["sums"], strict=True)}
+        total = sum(own.values())
+        rows = []
+        for f, sums in {FULL: total, **({f: total - s for f, s in own.items()} if folded else {})}.items():
+            head_ = [*[first[g] for g in groups], f, name, int(round(sums[0])), len(points), p]
+            try:
+                fit = solve_kernel(name, points, gamma, sums, bounds)
+                cover = None if fit["cover"] is None else fit["cover"].ravel()
+                rows.append([*head_, fit["points"].ravel(), fit["dual"], cover, fit["amplitude"], fit["gamma"], fit["centre"], fit["spread"], "ok"])
+            except (ValueError, np.linalg.LinAlgError) as problem:
+                rows.append([*head_, None, None, None, None, None, None, None, f"error: {problem}"])
+        return pd.DataFrame(rows, columns=names)
 
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        keys = [pdf[g].iloc[0] for g in groups]
-        x, y = pdf[features].to_numpy(float), pdf["y"].to_numpy(float)
-        order = np.lexsort([y, *x.T])
-        rows = _fit_rows(x[order], y[order], models)
-        return pd.DataFrame([keys + r for r in rows], columns=[*groups, *_NAMES])
+    return grams.groupBy(*[col(g) for g in groups], "model").applyInPandas(solve, f"{head}, fold int, {MODEL_COLUMNS}")
 
-    fitted = small.groupBy(*[col(g) for g in groups]).applyInPandas(fit, f"{head}, {MODEL_COLUMNS}")
-    refused = too_big.select(
-        *[col(g) for g in groups], F.explode(F.array(*[F.lit(m) for m in models])).alias("model"),
-        F.col("rows").cast("int").alias("n"),
-        F.concat(F.lit("error: "), F.col("rows").cast("string"), F.lit(f" rows, at most {max_rows}")).alias("status"),
-    )
-    return fitted.unionByName(refused, allowMissingColumns=True)
+
+def _whole_rows(df: DataFrame, features: Sequence[str], targets: Sequence[str], carried: Sequence[str]) -> DataFrame:
+    """Measured targets of rows with all features; models learn nothing from the others."""
+    return long_targets(df, targets, list(dict.fromkeys([*carried, *features]))).dropna(subset=list(features))
+
+
+def fit_kernels(
+    df: DataFrame, features: Sequence[str], targets: Sequence[str], models: Sequence[str], by: Sequence[str] = (),
+    landmarks: int = LANDMARKS, chunk_rows: int = CHUNK_ROWS, bounds: tuple[float, float] = AMPLITUDE_BOUNDS,
+) -> DataFrame:
+    """One model row per (by, target, model), whatever the number of rows. Equal `bounds` fix the amplitude."""
+    groups, features = [*by, "target"], list(features)
+    long = _whole_rows(df, features, targets, by)
+    plans = experiment_plans(long, groups, features, landmarks, chunk_rows).persist()
+    return _solved(kernel_gram(long, plans, groups, features, models), groups, features, False, bounds).drop("fold")
 
 
 def kernel_out_of_fold(
-    df: DataFrame,
-    features: Sequence[str],
-    targets: Sequence[str],
-    models: Sequence[str],
-    fold: str,
-    row_id: str,
-    by: Sequence[str] = (),
-    max_rows: int = MAX_ROWS,
+    df: DataFrame, features: Sequence[str], targets: Sequence[str], models: Sequence[str], fold: str, row_id: str, by: Sequence[str] = (),
+    landmarks: int = LANDMARKS, chunk_rows: int = CHUNK_ROWS, single: bool = False,
 ) -> DataFrame:
-    """Training-fit and out-of-fold predictions. All refits of a group happen where its few rows already are."""
-    groups = [*by, "target"]
-    features = list(features)
-    long = long_targets(df, targets, list(dict.fromkeys([*by, row_id, fold, *features]))).dropna(subset=features)
-    kinds = dict(long.dtypes)
-    small, _ = bounded_groups(long, groups, max_rows)
-    out = [*groups, row_id, "model", "fold", "y", "yhat_train", "yhat_cv"]
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in [*groups, row_id])
-    schema += ", model string, fold int, y double, yhat_train double, yhat_cv double"
+    """Training-fit and out-of-fold predictions of every row with all features.
 
-    def validate(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.iloc[np.lexsort([pdf[c].to_numpy() for c in (row_id, "y", *features)])].reset_index(drop=True)
-        x, y, folds = pdf[features].to_numpy(float), pdf["y"].to_numpy(float), pdf[fold].to_numpy()
+    The few folds of a k-fold validation are models of their own. With `single` each row is a fold: no such models are made, but each row's
+    share is taken from its experiment's sums where the row is predicted.
+    """
+    groups, features = [*by, "target"], list(features)
+    long = _whole_rows(df, features, targets, [*by, row_id, fold]).persist()
+    plans = experiment_plans(long, groups, features, landmarks, chunk_rows).persist()
+    grams = kernel_gram(long, plans, groups, features, models, None if single else fold).persist()
+    fits = _solved(grams, groups, features, not single)
+    per_group = fits.where("status = 'ok'").groupBy(*[col(g) for g in groups]).agg(F.collect_list(F.struct("fold", *_NAMES)).alias("_fits"))
+    if single:
+        per_group = per_group.join(grams.groupBy(*[col(g) for g in groups]).agg(F.collect_list(F.struct("model", "sums")).alias("_sums")), groups)
+    carried = list(dict.fromkeys([*groups, row_id, fold, *features, "y"]))
+    salted, repeated, cells, _ = _dealt(long.select(*[col(c) for c in carried]), plans.join(per_group, groups), groups, carried)
+    kinds = dict(salted.dtypes)
+    out = [*groups, row_id, "model", "fold", "y", "yhat_train", "yhat_cv"]
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in [*groups, row_id]) + ", model string, fold int, y double, yhat_train double, yhat_cv double"
+
+    def predicted(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left) or not len(right):
+            return pd.DataFrame(columns=out)
+        plan = right.iloc[0]
+        x, y, folds = left[features].to_numpy(float), left["y"].to_numpy(float), left[fold].to_numpy()
+        fitted = {(r["model"], int(r["fold"])): unpack(r) for r in plan["_fits"]}
         parts = []
-        for name in models:
-            fit = FITTERS[name]
+        for model in models:
+            if (model, FULL) not in fitted:
+                continue
+            whole = fitted[model, FULL]
             cv = np.full(len(y), np.nan)
-            try:
-                train = kernel_predict(fit(x, y), x)[0]
+            if single:
+                total = next(np.asarray(s["sums"], float) for s in plan["_sums"] if s["model"] == model)
+                for i in range(len(y)):
+                    rest = total - kernel_sums(x[i:i + 1], y[i:i + 1], whole["points"], whole["gamma"])
+                    if rest[0] > 0.5:
+                        cv[i] = kernel_predict(solve_kernel(model, whole["points"], whole["gamma"], rest), x[i:i + 1])[0][0]
+            else:
                 for f in np.unique(folds):
-                    held = folds == f
-                    if not held.all():
-                        cv[held] = kernel_predict(fit(x[~held], y[~held]), x[held])[0]
-            except (ValueError, np.linalg.LinAlgError):
-                continue
-            part = pdf[[*groups, row_id, "y"]].assign(model=name, fold=folds.astype("int32"), yhat_train=train)
-            parts.append(part.assign(yhat_cv=pd.Series(cv).where(~np.isnan(cv), None).astype(object)))
+                    if (model, int(f)) in fitted:
+                        cv[folds == f] = kernel_predict(fitted[model, int(f)], x[folds == f])[0]
+            part = left[[*groups, row_id, "y"]].assign(model=model, fold=folds.astype("int32"), yhat_train=kernel_predict(whole, x)[0])
+            parts.append(part.assign(yhat_cv=pd.Series(cv, index=part.index).where(~np.isnan(cv), None).astype(object)))
         return pd.concat(parts)[out] if parts else pd.DataFrame(columns=out)
 
-    return small.groupBy(*[col(g) for g in groups]).applyInPandas(validate, schema)
+    return _met(salted, repeated, cells).applyInPandas(predicted, schema)
 
 
 def unpack(row) -> dict:
-    n, p = int(row["n"]), int(row["p"])
-    inverse = row["inverse"]
+    m, p = int(row["m"]), int(row["p"])
+    cover = row["cover"]
     return {
-        "points": np.asarray(row["points"], float).reshape(n, p), "alpha": np.asarray(row["alpha"], float),
-        "inverse": None if inverse is None else np.asarray(inverse, float).reshape(n, n),
+        "points": np.asarray(row["points"], float).reshape(m, p), "dual": np.asarray(row["dual"], float),
+        "cover": None if cover is None else np.asarray(cover, float).reshape(m, m),
         "amplitude": row["amplitude"], "gamma": row["gamma"], "centre": row["centre"], "spread": row["spread"],
     }
 
@@ -236,6 +361,8 @@ def score_kernels(
 ) -> DataFrame:
     """Mean and deviation for every library row, target and model, long form.
 
+    A row with a missing feature keeps its place with NULL predictions; a row of a group without any model has one row, with neither.
+
     Without groups the few models travel with the task and the library streams through in Arrow batches. With
     groups, library rows meet their group's models in chunks of bounded size: the models of a large group are
     repeated once per chunk, so that one group never becomes one task.
@@ -243,19 +370,28 @@ def score_kernels(
     features, keep, by = list(features), list(keep), list(by)
     usable = fits.where("status = 'ok'")
     carried = list(dict.fromkeys([*by, *keep, *features]))
-    rows = library.select(*[col(c) for c in carried]).dropna(subset=features)
+    rows = library.select(*[col(c) for c in carried])
     kinds = dict(rows.dtypes)
     kept = list(dict.fromkeys([*by, *keep]))
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in kept) + ", target string, model string, prediction double, deviation double"
 
     def scored(pdf: pd.DataFrame, target: str, model: str, fit: dict) -> pd.DataFrame:
-        mean, deviation = kernel_predict(fit, pdf[features].to_numpy(float))
-        out = pdf[kept].assign(target=target, model=model, prediction=mean)
-        return out.assign(deviation=deviation if deviation is not None else None)
+        x = pdf[features].to_numpy(float)
+        whole = ~np.isnan(x).any(1)
+        mean, deviation = np.full(len(x), np.nan), np.full(len(x), np.nan)
+        found = kernel_predict(fit, x[whole])
+        mean[whole] = found[0]
+        if found[1] is not None:
+            deviation[whole] = found[1]
+
+        def known(values):
+            return pd.Series(values, index=pdf.index).astype(object).where(~np.isnan(values), None)
+
+        return pdf[kept].assign(target=target, model=model, prediction=known(mean), deviation=known(deviation))
 
     if not by:
         if not fits_broadcast(usable):
-            raise ValueError("the models of one experiment exceed the broadcast bound")
+            raise ValueError("so many targets and models exceed the broadcast bound: score them by group")
         models = [(r["target"], r["model"], unpack(r)) for r in usable.collect()]
 
         def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -278,7 +414,9 @@ def score_kernels(
     repeated = usable.join(sizes.drop("_rows"), by).withColumn("_chunk", every).drop("_chunks").repartition(tasks, *[col(c) for c in cells])
 
     def chunk(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        parts = [scored(left, r["target"], r["model"], unpack(r)) for r in right.to_dict("records")] if len(left) else []
-        return pd.concat(parts) if parts else pd.DataFrame(columns=[*kept, "target", "model", "prediction", "deviation"])
+        if not len(left):
+            return pd.DataFrame(columns=[*kept, "target", "model", "prediction", "deviation"])
+        parts = [scored(left, r["target"], r["model"], unpack(r)) for r in right.to_dict("records")]
+        return pd.concat(parts) if parts else left[kept].assign(target=None, model=None, prediction=None, deviation=None)
 
-    return salted.groupBy(*[col(c) for c in cells]).cogroup(repeated.groupBy(*[col(c) for c in cells])).applyInPandas(chunk, schema)
+    return _met(salted, repeated, cells).applyInPandas(chunk, schema)

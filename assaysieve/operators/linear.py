@@ -22,12 +22,13 @@ from assaysieve.functions.exprs import col, safe_ratio
 from assaysieve.operators.skew import lookup_join
 
 FULL = -1  # fold number of the fit on all rows
+SWEEPS = 20_000  # coordinate sweeps of a lasso fit; a fit that still moves then is reported as failed
 FLAT = 1e-12  # centred squares below this share of the raw squares are rounding noise of a constant feature
 
 
 class LinearSpec(NamedTuple):
     penalty: str = "none"  # none, l2 or l1
-    alpha: float = 0.0
+    strength: float = 0.0
     degree: int = 1
 
 
@@ -106,12 +107,12 @@ def solve_line(sums: DataFrame, models: Sequence[str] = ("Linear Regression",),
     entries = []
     for model in models:
         spec = LINEAR_MODELS[model]
-        inverse = F.coalesce(safe_ratio(F.lit(1.0), g + spec.alpha if spec.penalty == "l2" else g), F.lit(0.0))
-        pull = b if spec.penalty != "l1" else F.signum(b) * F.greatest(F.abs(b) - n * spec.alpha, F.lit(0.0))
-        weight = pull * inverse
+        precision = F.coalesce(safe_ratio(F.lit(1.0), g + spec.strength if spec.penalty == "l2" else g), F.lit(0.0))
+        pull = b if spec.penalty != "l1" else F.signum(b) * F.greatest(F.abs(b) - n * spec.strength, F.lit(0.0))
+        weight = pull * precision
         entries.append(F.struct(
             F.lit(model).alias("model"), n.alias("n"), (mean_y - weight * mean_x).alias("intercept"), F.array(weight).alias("weights"),
-            F.array(mean_x).alias("means"), F.array(inverse).alias("inverse"),
+            F.array(mean_x).alias("means"), F.array(precision).alias("precision"),
             F.when(n > 0, "ok").otherwise("error: no training rows").alias("status"),
         ))
     keys = [*by, "target", "fold"]
@@ -123,24 +124,26 @@ def _shrink(value: float, by: float) -> float:
 
 
 def solve_one(n: float, sx: np.ndarray, sxx: np.ndarray, sy: float, sxy: np.ndarray, spec: LinearSpec):
-    """Intercept, weights, term means and inverse of the penalised centred Gram matrix of one fit."""
+    """Intercept, weights, term means and precision of the penalised centred Gram matrix of one fit."""
     mean_x, mean_y = sx / n, sy / n
     g = sxx - n * np.outer(mean_x, mean_x)
     b = sxy - n * mean_x * mean_y
     zero = FLAT * float(np.max(np.diag(sxx), initial=0.0))
-    values, vectors = np.linalg.eigh(g + spec.alpha * np.eye(len(sx)) if spec.penalty == "l2" else g)
-    inverse = (vectors * np.divide(1.0, values, out=np.zeros_like(values), where=values > zero)) @ vectors.T
+    values, vectors = np.linalg.eigh(g + spec.strength * np.eye(len(sx)) if spec.penalty == "l2" else g)
+    precision = (vectors * np.divide(1.0, values, out=np.zeros_like(values), where=values > zero)) @ vectors.T
     if spec.penalty == "l1":
-        w = np.zeros(len(sx))
-        for _ in range(20_000):
+        w, used = np.zeros(len(sx)), np.flatnonzero(np.diag(g) > zero)
+        for _ in range(SWEEPS):
             before = w.copy()
-            for j in np.flatnonzero(np.diag(g) > zero):
-                w[j] = _shrink(b[j] - g[j] @ w + g[j, j] * w[j], n * spec.alpha) / g[j, j]
-            if np.max(np.abs(w - before), initial=0.0) < 1e-13:
+            for j in used:
+                w[j] = _shrink(b[j] - g[j] @ w + g[j, j] * w[j], n * spec.strength) / g[j, j]
+            if np.max(np.abs(w - before), initial=0.0) < 1e-13 * max(1.0, np.max(np.abs(w), initial=0.0)):
                 break
+        else:
+            raise ValueError(f"no convergence in {SWEEPS} sweeps")
     else:
-        w = inverse @ b
-    return mean_y - mean_x @ w, w, mean_x, inverse
+        w = precision @ b
+    return mean_y - mean_x @ w, w, mean_x, precision
 
 
 def solve(sums: DataFrame, features: Sequence[str], models: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -154,7 +157,7 @@ def solve(sums: DataFrame, features: Sequence[str], models: Sequence[str], by: S
     keys = [*by, "target", "fold"]
     kinds = dict(sums.dtypes)
     schema = ", ".join(f"`{k}` {kinds[k]}" for k in keys)
-    schema += ", model string, n double, intercept double, weights array<double>, means array<double>, inverse array<double>, status string"
+    schema += ", model string, n double, intercept double, weights array<double>, means array<double>, precision array<double>, status string"
 
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -175,7 +178,38 @@ def solve(sums: DataFrame, features: Sequence[str], models: Sequence[str], by: S
                         rows.append(head + [float(b0), w.tolist(), m.tolist(), inv.ravel().tolist(), "ok"])
                     except (ValueError, np.linalg.LinAlgError) as problem:
                         rows.append(head + [None, None, None, None, f"error: {problem}"])
-            yield pd.DataFrame(rows, columns=[*keys, "model", "n", "intercept", "weights", "means", "inverse", "status"])
+            yield pd.DataFrame(rows, columns=[*keys, "model", "n", "intercept", "weights", "means", "precision", "status"])
+
+    return sums.mapInPandas(fit, schema)
+
+
+def solve_subsets(sums: DataFrame, features: Sequence[str], subsets: dict[str, Sequence[str]], by: Sequence[str] = ()) -> DataFrame:
+    """Least squares on several subsets of the features, all from the sums of one pass; the subset's name is the model.
+
+    Weights are those of all features, 0 outside the subset, so that any of these models is applied alike.
+    """
+    features, p = list(features), len(features)
+    keys = [*by, "target", "fold"]
+    kinds = dict(sums.dtypes)
+    schema = ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", model string, n double, intercept double, weights array<double>, status string"
+
+    def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for r in batch.to_dict("records"):
+                sx = np.array([r[f"sx_{i}"] for i in range(p)])
+                sxy = np.array([r[f"sxy_{i}"] for i in range(p)])
+                sxx = np.array([[r[f"sxx_{min(i, j)}_{max(i, j)}"] for j in range(p)] for i in range(p)])
+                for model, names in subsets.items():
+                    head, at = [*[r[k] for k in keys], model, r["n"]], [features.index(c) for c in names]
+                    if not r["n"] > 0:
+                        rows.append([*head, None, None, "error: no training rows"])
+                        continue
+                    b0, w, _, _ = solve_one(r["n"], sx[at], sxx[np.ix_(at, at)], r["sy"], sxy[at], LinearSpec())
+                    whole = np.zeros(p)
+                    whole[at] = w
+                    rows.append([*head, float(b0), whole.tolist(), "ok"])
+            yield pd.DataFrame(rows, columns=[*keys, "model", "n", "intercept", "weights", "status"])
 
     return sums.mapInPandas(fit, schema)
 
@@ -194,7 +228,8 @@ def linear_value(features: Sequence[str], intercept: Column, weights: Column | S
     return reduce(add, parts, intercept)
 
 
-def _spec_value(features: Sequence[str], models: Sequence[str], model: Column, intercept: Column, weights: Column) -> Column:
+def spec_value(features: Sequence[str], models: Sequence[str], model: Column, intercept: Column, weights: Column) -> Column:
+    """Prediction where the model, and so its degree, is told by a column."""
     wide = [m for m in models if LINEAR_MODELS[m].degree == 2]
     value = linear_value(features, intercept, weights)
     return F.when(model.isin(wide), linear_value(features, intercept, weights, 2)).otherwise(value) if wide else value
@@ -209,9 +244,8 @@ def fit_folds(
 
 
 def _with_models(long: DataFrame, packed: DataFrame, by: Sequence[str]) -> DataFrame:
-    """One row per model. Without groups there is one packed row per target, few by construction; with groups their size is measured."""
-    joined = lookup_join(long, packed, [*by, "target"], "inner") if by else long.join(F.broadcast(packed), ["target"])
-    return joined.withColumn("_m", F.explode("_models"))
+    """One row per model. The packed models are copied to the executors only if they are measured to be small."""
+    return lookup_join(long, packed, [*by, "target"], "inner").withColumn("_m", F.explode("_models"))
 
 
 def out_of_fold(
@@ -237,7 +271,7 @@ def out_of_fold(
 
     def predicted(number: Column) -> Column:
         found = F.try_element_at(by_fold, number)
-        return _spec_value(features, models, model, found["intercept"], found["weights"])
+        return spec_value(features, models, model, found["intercept"], found["weights"])
 
     kept = list(dict.fromkeys([*by, *keep]))
     return joined.select(
@@ -247,29 +281,76 @@ def out_of_fold(
 
 
 def leave_one_out(
-    df: DataFrame, fits: DataFrame, features: Sequence[str], targets: Sequence[str], by: Sequence[str] = (), keep: Sequence[str] = ()
+    df: DataFrame, fits: DataFrame, features: Sequence[str], targets: Sequence[str], by: Sequence[str] = (), keep: Sequence[str] = (), degree: int = 1
 ) -> DataFrame:
-    """Leave-one-out predictions of unpenalised or ridge fits from the full fit alone.
+    """Leave-one-out predictions of unpenalised or ridge fits of one degree from the full fit alone.
 
     For these models the left-out residual is the residual divided by one minus the row's leverage, so no refits
     are needed. Rows with leverage one have no left-out prediction.
     """
     full = fits.where((F.col("fold") == FULL) & (F.col("status") == "ok")).select(
         *[col(k) for k in by], "target",
-        F.struct("model", F.col("n").alias("rows"), "intercept", "weights", "means", "inverse").alias("m"),
+        F.struct("model", F.col("n").alias("rows"), "intercept", "weights", "means", "precision").alias("m"),
     )
     packed = full.groupBy(*[col(k) for k in by], "target").agg(F.collect_list("m").alias("_models"))
     carried = list(dict.fromkeys([*by, *keep, *features]))
     long = long_targets(df, targets, carried)
     joined = _with_models(long, packed, by)
-    p = len(features)
-    off = [col(c).cast("double") - F.col("_m.means")[i] for i, c in enumerate(features)]
-    spread = reduce(add, [off[i] * F.col("_m.inverse")[i * p + j] * off[j] for i in range(p) for j in range(p)])
+    off = [t.value - F.col("_m.means")[i] for i, t in enumerate(terms(features, degree))]
+    p = len(off)
+    spread = reduce(add, [off[i] * F.col("_m.precision")[i * p + j] * off[j] for i in range(p) for j in range(p)])
     leverage = F.lit(1.0) / F.col("_m.rows") + spread
-    fitted = linear_value(features, F.col("_m.intercept"), F.col("_m.weights"))
+    fitted = linear_value(features, F.col("_m.intercept"), F.col("_m.weights"), degree)
     slack = F.when(1 - leverage > 1e-9, 1 - leverage)
     kept = list(dict.fromkeys([*by, *keep]))
     return joined.select(
         *[col(k) for k in kept], "target", F.col("_m.model").alias("model"), "y", fitted.alias("yhat_train"),
         (F.col("y") - safe_ratio(F.col("y") - fitted, slack)).alias("yhat_cv"),
     )
+
+
+def leave_one_out_refits(
+    df: DataFrame, sums: DataFrame, features: Sequence[str], targets: Sequence[str], models: Sequence[str], keep: Sequence[str] = ()
+) -> DataFrame:
+    """Leave-one-out predictions of any linear model: each row's share is taken from the sums of its target, and the rest is solved.
+
+    The sums are one row per target; rows are refitted where they lie, so neither fits nor folds are ever gathered.
+    """
+    features, keep, models = list(features), list(keep), list(models)
+    degree = max(LINEAR_MODELS[m].degree for m in models)
+    named = term_names(features, degree)
+    p = len(named)
+    totals = {}
+    for r in sums.collect():
+        sxx = np.array([[r[f"sxx_{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(p)] for i in range(p)])
+        totals[r["target"]] = (r["n"], np.array([r[f"sx_{i}"] for i in range(p)]), sxx, r["sy"], np.array([r[f"sxy_{i}"] for i in range(p)]))
+    long = long_targets(df, targets, list(dict.fromkeys([*keep, *features])))
+    values = long.select(*[col(k) for k in keep], "target", "y", F.array(*[t.value for t in terms(features, degree)]).alias("_t"))
+    kinds = dict(values.dtypes)
+    schema = ", ".join(f"`{k}` {kinds[k]}" for k in keep) + ", target string, model string, y double, yhat_train double, yhat_cv double"
+    names = [*keep, "target", "model", "y", "yhat_train", "yhat_cv"]
+
+    def solved(total, spec):
+        n, sx, sxx, sy, sxy = total
+        q = p if spec.degree == degree else len(features)
+        try:
+            return solve_one(n, sx[:q], sxx[:q, :q], sy, sxy[:q], spec) if n > 0.5 else None
+        except (ValueError, np.linalg.LinAlgError):
+            return None
+
+    def value(fit, t):
+        return None if fit is None else float(fit[0] + fit[1] @ t[:len(fit[1])])
+
+    def refit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        whole = {(t, m): solved(total, LINEAR_MODELS[m]) for t, total in totals.items() for m in models}
+        for batch in batches:
+            rows = []
+            for r in batch.to_dict("records"):
+                t = np.asarray(r["_t"], float)
+                n, sx, sxx, sy, sxy = totals[r["target"]]
+                rest = (n - 1, sx - t, sxx - np.outer(t, t), sy - r["y"], sxy - t * r["y"])
+                for m in models:
+                    rows.append([*[r[k] for k in keep], r["target"], m, r["y"], value(whole[r["target"], m], t), value(solved(rest, LINEAR_MODELS[m]), t)])
+            yield pd.DataFrame(rows, columns=names)
+
+    return values.where(reduce(lambda a, b: a & b, [F.get("_t", F.lit(i)).isNotNull() for i in range(p)])).mapInPandas(refit, schema)

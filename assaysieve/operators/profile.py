@@ -102,40 +102,19 @@ def dataset_profile(
 def correlations(df: DataFrame, left: Sequence[str], right: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of column pairs over the rows where both are present, long form, from one aggregate.
 
-    NULL where either side is constant. Without `right`, all ordered pairs of `left` including the diagonal.
+    NULL and NaN are both missing. The result is NULL where either side is constant. Without `right`, all ordered pairs of `left` including the
+    diagonal. Sums of every pair come from matrix products per batch; each task hands on one small row per pair.
     """
     pairs = list(combinations(left, 2)) + [(c, c) for c in left] if right is None else [(a, b) for a in left for b in right]
+    mirrored = right is None
     if not pairs:
         return df.sparkSession.createDataFrame([], "column_a string, column_b string, corr double")
-    if len(pairs) > JVM_PAIRS:
-        return _wide_correlations(df, pairs, mirrored=right is None)
-    aggs = []
-    for i, (a, b) in enumerate(pairs):
-        x, y = col(a).cast("double"), col(b).cast("double")
-        spread = F.sqrt(F.regr_sxx(y, x)) * F.sqrt(F.regr_syy(y, x))
-        aggs.append(safe_ratio(F.regr_sxy(y, x), spread).alias(f"r{i}"))
-    entries = []
-    for i, (a, b) in enumerate(pairs):
-        entries.append((a, b, i))
-        if right is None and a != b:
-            entries.append((b, a, i))
-    rows = F.explode(F.array(*[
-        F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"r{i}").alias("corr")) for a, b, i in entries
-    ]))
-    return df.agg(*aggs).select(rows.alias("e")).select("e.*")
-
-
-# Beyond this many pairs the generated aggregate is too long to be compiled, and matrix products per Arrow batch win.
-JVM_PAIRS = 15
-
-
-def _wide_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]], mirrored: bool) -> DataFrame:
-    """Sums of every pair by matrix products per batch; each task hands on one small row per pair."""
     columns = list(dict.fromkeys(c for pair in pairs for c in pair))
-    means = df.agg(*[F.coalesce(F.avg(col(c).cast("double")), F.lit(0.0)).alias(str(i)) for i, c in enumerate(columns)]).first()
+    known = [F.when(~F.isnan(col(c).cast("double")), col(c).cast("double")) for c in columns]
+    means = df.agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(str(i)) for i, c in enumerate(known)]).first()
     shift = np.array([means[str(i)] for i in range(len(columns))])
     at = np.array([(columns.index(a), columns.index(b)) for a, b in pairs])
-    wanted = df.select(*[col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    wanted = df.select(*[c.alias(f"c{i}") for i, c in enumerate(known)])
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros((6, len(at)))
@@ -188,6 +167,9 @@ def target_correlations(df: DataFrame, targets: Sequence[str]) -> DataFrame:
     return wide.orderBy(F.abs(col(kept[0])).desc_nulls_last(), "feature") if kept else wide
 
 
+BIN_RANGE = 1 << 16  # bins that are made at a time
+
+
 def bin_plan(df: DataFrame, column: str) -> dict[str, float]:
     """Histogram range and bin count: the narrower of the Sturges and Freedman-Diaconis widths."""
     q1, q3 = exact_quantiles(df, [column], [0.25, 0.75])[column]
@@ -211,14 +193,17 @@ def bin_plan(df: DataFrame, column: str) -> dict[str, float]:
 
 
 def histogram(df: DataFrame, columns: Sequence[str], plans: dict[str, dict[str, float]] | None = None) -> DataFrame:
-    """Counts per bin of every column, empty bins included; the last bin is closed on the right."""
+    """Counts per bin of every column, empty bins included; the last bin is closed on the right.
+
+    Heavy tails can ask for very many bins: they are made in ranges of bounded size, and joined to the counts.
+    """
     plans = plans or {c: bin_plan(df, c) for c in columns}
     columns = [c for c in columns if plans[c]["n"]]
     cells = []
     for c in columns:
         p = plans[c]
-        spot = F.floor((col(c).cast("double") - p["low"]) / p["width"]).cast("int")
-        cells.append(F.struct(F.lit(c).alias("target"), F.least(spot, F.lit(p["bins"] - 1)).alias("bin")))
+        spot = F.floor((col(c).cast("double") - p["low"]) / p["width"]).cast("bigint")
+        cells.append(F.struct(F.lit(c).alias("target"), F.least(spot, F.lit(p["bins"] - 1).cast("bigint")).alias("bin")))
     counted = (
         df.select(F.explode(F.array(*cells)).alias("e")).select("e.*").where("bin is not null")
         .groupBy("target", "bin").agg(F.count("*").alias("n"))
@@ -229,44 +214,41 @@ def histogram(df: DataFrame, columns: Sequence[str], plans: dict[str, dict[str,
 def _with_all_bins(spark: SparkSession, counted: DataFrame, plans: dict[str, dict[str, float]]) -> DataFrame:
     layout = spark.createDataFrame(
         [(c, p["bins"], float(p["low"]), float(p["width"])) for c, p in plans.items()],
-        "target string, bins int, low double, width double",
+        "target string, bins bigint, low double, width double",
     )
-    every = layout.select("target", "low", "width", F.explode(F.sequence(F.lit(0), F.col("bins") - 1)).alias("bin"))
+    size = F.lit(BIN_RANGE).cast("bigint")
+    ranges = layout.withColumn("from", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("bins") - 1) / size)))).withColumn("from", F.col("from") * size)
+    spread = ranges.repartition("target", "from") if max(p["bins"] for p in plans.values()) > BIN_RANGE else ranges
+    every = spread.select("target", "low", "width", F.explode(F.sequence("from", F.least(F.col("from") + size, F.col("bins")) - 1)).alias("bin"))
     return every.join(counted, ["target", "bin"], "left").select(
         "target", "bin", (F.col("low") + F.col("bin") * F.col("width")).alias("bin_start"),
         F.coalesce("n", F.lit(0)).alias("n"),
     )
 
 
-# exp(-u*u/2) is exactly 0 in double precision beyond this distance.
-_ZERO_BEYOND = 38.7
-
-
 def density(df: DataFrame, column: str, plan: dict[str, float] | None = None, grid: int = 200) -> DataFrame:
     """Gaussian kernel density on an even grid from minimum to maximum, Scott bandwidth.
 
-    A value reaches only the grid points where its kernel is not exactly zero, so that the work per row shrinks
-    with the bandwidth as the data grow; equal values are counted first.
+    Equal values are counted first. Each task adds its values up on the whole grid and hands on one row per grid point.
     """
     plan = plan or bin_plan(df, column)
     n, low, high, deviation = plan["n"], plan["low"], plan["high"], plan["deviation"]
     if not n or n < 2 or not deviation:
         return df.sparkSession.createDataFrame([], "grid_index int, x double, density double, scaled_count double")
     bandwidth = deviation * n ** (-1 / 5)
-    step = (high - low) / (grid - 1)
-    reach = _ZERO_BEYOND * bandwidth
-    v = F.col("v")
-    first = F.greatest(F.lit(0), F.ceil((v - low - reach) / step).cast("int"))
-    last = F.least(F.lit(grid - 1), F.floor((v - low + reach) / step).cast("int"))
-    counted = df.select(col(column).cast("double").alias("v")).where("v is not null").groupBy("v").agg(F.count("*").alias("w"))
-    spread = counted.select("v", "w", F.explode(F.sequence(first, last)).alias("grid_index"))
-    x = F.lit(low) + F.col("grid_index") * F.lit(step)
-    u = (x - v) / F.lit(bandwidth)
+    points = low + np.arange(grid) * ((high - low) / (grid - 1))
     norm = 1.0 / (n * bandwidth * math.sqrt(2 * math.pi))
-    curve = spread.groupBy("grid_index").agg((F.sum(F.col("w") * F.exp(-u * u / 2)) * norm).alias("density"))
-    return curve.select(
-        "grid_index", x.alias("x"), "density", (F.col("density") * float(n * plan["width"])).alias("scaled_count")
-    )
+    counted = df.select(col(column).cast("double").alias("v")).where("v is not null").groupBy("v").agg(F.count("*").cast("double").alias("w"))
+
+    def added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(grid)
+        for batch in batches:
+            u = (points[None, :] - batch["v"].to_numpy()[:, None]) / bandwidth
+            total += batch["w"].to_numpy() @ np.exp(-u * u / 2)
+        yield pd.DataFrame({"grid_index": np.arange(grid, dtype="int32"), "x": points, "part": total})
+
+    sums = counted.mapInPandas(added, "grid_index int, x double, part double").groupBy("grid_index", "x").agg((F.sum("part") * norm).alias("density"))
+    return sums.select("grid_index", "x", "density", (F.col("density") * float(n * plan["width"])).alias("scaled_count"))
 
 
 def target_stats(df: DataFrame, targets: Sequence[str]) -> DataFrame:

@@ -103,14 +103,14 @@ def label_of(name: str) -> V.Label:
     for label in V.COLUMN_LABELS:
         if name.lower() in label.aliases:
             return label
-    return V.Label((name.lower(),), name.replace("_", " "), None, "")
+    return V.Label((name.lower(),), name.replace("_", " "), None)
 
 
 def with_labels(df: DataFrame) -> DataFrame:
     """Attach display text, number format and range to each column as metadata."""
     for name in df.columns:
         label = label_of(name)
-        info = {"label": label.text, "format": label.fmt, "help": label.help, "low": label.low, "high": label.high}
+        info = {"label": label.text, "format": label.fmt, "low": label.low, "high": label.high}
         df = df.withMetadata(name, {k: v for k, v in info.items() if v is not None})
     return df
 

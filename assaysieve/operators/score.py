@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from assaysieve.functions.exprs import clip, col, half_even, lookup_key, row_geometric_mean, three_classes, unit_scale
 from assaysieve.operators.roles import prediction_columns
@@ -13,7 +14,6 @@ from assaysieve.operators.skew import lookup_join
 from assaysieve.session import scratch_path
 
 Z95 = 1.96
-ONE_TASK_ROWS = 200_000
 
 
 def interval(prediction: Column, half_width: Column, target: str, bounds: tuple[float, float] | None = None) -> list[Column]:
@@ -116,25 +116,26 @@ def top_ranked(df: DataFrame, k: int, entity: str = "solvent_name", score: str =
     return df.orderBy(*order).limit(k).withColumn("rank", F.row_number().over(Window.orderBy(*order)))
 
 
-def rank_all(
-    df: DataFrame, entity: str = "solvent_name", score: str = "score", rows: int | None = None, one_task_rows: int = ONE_TASK_ROWS
-) -> DataFrame:
-    """Every row with its rank by score, ties by entity. Give `rows` where the row count is known, else it is counted.
+def rank_all(df: DataFrame, entity: str = "solvent_name", score: str = "score", written: list[str] | None = None) -> DataFrame:
+    """Every row with its rank by score, ties by entity.
 
-    Up to one_task_rows rows a plain window numbers them. Beyond, rows are range-partitioned by (score, entity), sorted
-    and written to the checkpoint folder together with their place, so that partitions are fixed; each partition's
-    numbers start after the rows of the partitions before it.
+    The rows are written to the checkpoint folder once, so that whatever scores them runs once. The written rows are range-partitioned by
+    (score, entity), sorted and written with their place, so that partitions are fixed; each partition's numbers start after the rows of the
+    partitions before it. `written` collects the folders, for the caller to delete when the ranking is no longer needed.
     """
     order = [col(score).desc_nulls_last(), col(entity)]
-    if (df.count() if rows is None else rows) <= one_task_rows:
-        return df.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
     spark = df.sparkSession
-    path = scratch_path(spark, "ranked")
-    df.orderBy(*order).withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}).write.parquet(path)
-    placed = spark.read.parquet(path)
+    scored, path = scratch_path(spark, "scored"), scratch_path(spark, "ranked")
+    df.write.parquet(scored)
+    if written is not None:
+        written += [scored, path]
+    spark.read.schema(df.schema).parquet(scored).orderBy(*order).withColumns(
+        {"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}).write.parquet(path)
+    places = [T.StructField("_part", T.IntegerType()), T.StructField("_at", T.LongType())]
+    placed = spark.read.schema(T.StructType([*df.schema.fields, *places])).parquet(path)
     sizes = placed.groupBy("_part").agg(F.count("*").alias("_size"), F.min("_at").alias("_start"))
     before = F.coalesce(F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = sizes.select("_part", "_start", before.alias("_before"))
+    offsets = sizes.select("_part", "_start", before.alias("_before"))  # a row per sorted partition
     numbered = placed.join(F.broadcast(offsets), "_part")
     rank = (F.col("_before") + F.col("_at") - F.col("_start") + 1).cast("bigint")
     return numbered.select(*[col(c) for c in df.columns], rank.alias("rank"))

@@ -24,7 +24,8 @@ def _row_bytes(df: DataFrame) -> Column:
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
             total = total + F.coalesce(F.octet_length(c), F.lit(0)) + 8
         elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+            total = total + (F.coalesce(F.size(c), F.lit(0)) * 8 if isinstance(field.dataType, T.ArrayType) and isinstance(field.dataType.elementType, T.NumericType)
+                             else F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)))
         else:
             total = total + 8
     return total
@@ -103,11 +104,12 @@ def exact_quantiles(
     """Exact quantiles (linear between neighbouring ranks) of many columns.
 
     Spark's own exact percentile keeps every distinct value of a column in one buffer. That is used only up to
-    buffer_rows values. Beyond, each rank is bracketed by an approximate sketch, counted, and narrowed until
+    buffer_rows values, shared by all columns. Beyond, each rank is bracketed by an approximate sketch, counted, and narrowed until
     the bracket fits the buffer; hot values become bracket ends and are answered by their counts.
     """
     if not columns:
         return {}
+    buffer_rows = max(buffer_rows // len(columns), 2)
     counts = df.agg(*[F.count(col(c)).alias(str(i)) for i, c in enumerate(columns)]).first()
     rows = {c: counts[str(i)] for i, c in enumerate(columns)}
     if max(rows.values()) <= buffer_rows:

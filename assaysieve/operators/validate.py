@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from assaysieve.functions.exprs import col, safe_ratio
+from assaysieve.operators.skew import lookup_join
 
-ORDERED_FOLD_ROWS = 100_000
+BUCKET_BITS = 12  # rows of an experiment are sorted in 2**BUCKET_BITS ranges of their hash
 
 
 class ModelChoice(NamedTuple):
@@ -53,21 +54,36 @@ def hashed_fold(key: str | Column, folds: int, seed: int = 42) -> Column:
     return F.pmod(F.xxhash64(col(key), F.lit(seed)), F.lit(folds)).cast("int")
 
 
-def assign_folds(df: DataFrame, key: str, folds: int | None, seed: int = 42, by: Sequence[str] = (), name: str = "fold") -> DataFrame:
-    """Shuffled folds whose sizes differ by at most one, or one fold per row for leave-one-out.
+def number_rows(df: DataFrame, key: str, seed: int = 42, by: Sequence[str] = (), name: str = "number", total: str | None = None) -> DataFrame:
+    """Shuffled row numbers from 0 within each experiment, in the order of the key's hash and then the key; `total` names their count.
 
-    Equal sizes need an ordering within each experiment. That is done while the largest experiment is measured to
-    be small; larger ones get hashed folds, whose sizes agree closely.
+    The range of hashes is cut into buckets. Counts of the buckets, which are combined before they are shuffled, say where each
+    begins, and rows are sorted within a bucket only: an experiment of any size is numbered by many tasks.
     """
-    keys = [col(k) for k in by]
-    largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    if largest > ORDERED_FOLD_ROWS:
-        if folds is None:
-            raise ValueError(f"leave-one-out folds need at most {ORDERED_FOLD_ROWS} rows per experiment, found {largest}")
-        return df.withColumn(name, hashed_fold(key, folds, seed))
-    order = Window.partitionBy(*keys).orderBy(F.xxhash64(col(key), F.lit(seed)), col(key))
-    number = F.row_number().over(order) if folds is None else F.ntile(folds).over(order)
-    return df.withColumn(name, (number - 1).cast("int"))
+    hashed = F.xxhash64(col(key), F.lit(seed))
+    # One text per experiment, so that a missing part of its key is a value like any other.
+    group = F.to_json(F.struct(*[col(k) for k in by])) if by else F.lit("")
+    bucketed = df.withColumns({"_group": group, "_bucket": F.shiftright(hashed, 64 - BUCKET_BITS).cast("int")})
+    before = Window.partitionBy("_group").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = bucketed.groupBy("_group", "_bucket").count()
+    begins = counts.select(
+        "_group", "_bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_begin"),
+        *([F.sum("count").over(Window.partitionBy("_group")).alias(total)] if total else []),
+    )
+    inside = Window.partitionBy("_group", "_bucket").orderBy(F.xxhash64(col(key), F.lit(seed)), col(key))
+    numbered = lookup_join(bucketed, begins, ["_group", "_bucket"], "inner").withColumn(name, F.col("_begin") + F.row_number().over(inside) - 1)
+    return numbered.select(*[col(c) for c in df.columns if c not in (name, total)], name, *([total] if total else []))
+
+
+def assign_folds(df: DataFrame, key: str, folds: int | None, seed: int = 42, by: Sequence[str] = (), name: str = "fold") -> DataFrame:
+    """Shuffled folds whose sizes differ by at most one, the larger ones first, or one fold per row for leave-one-out."""
+    if folds is None:
+        return number_rows(df, key, seed, by, name).withColumn(name, F.col(name).cast("int"))
+    numbered = number_rows(df, key, seed, by, "_number", "_total")
+    whole, more = F.floor(F.col("_total") / folds), F.col("_total") % folds
+    edge = more * (whole + 1)
+    fold = F.when(F.col("_number") < edge, F.floor(F.col("_number") / (whole + 1))).otherwise(more + F.floor(safe_ratio(F.col("_number") - edge, whole)))
+    return numbered.withColumn(name, fold.cast("int")).drop("_number", "_total")
 
 
 def r_squared(y: Column, sse: Column) -> Column:

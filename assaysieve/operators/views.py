@@ -122,6 +122,14 @@ def measured_order(experiment: DataFrame, target: str, name: str, limit: int) ->
     return top.withColumn("position", F.row_number().over(Window.orderBy(*order)))
 
 
+def measured_positions(experiment: DataFrame, targets: Sequence[str], name: str, limit: int | None = None) -> DataFrame:
+    """Measured values of every target with their position, best first; at most `limit` per target, of which each task passes on no more."""
+    entries = F.array(*[F.struct(F.lit(t).alias("target"), col(t).cast("double").alias("value")) for t in targets])
+    long = experiment.select(col(name), F.explode(entries).alias("e")).select(col(name), "e.*").where("value is not null")
+    placed = long.withColumn("position", F.row_number().over(Window.partitionBy("target").orderBy(F.col("value").desc(), col(name))))
+    return placed if limit is None else placed.where(F.col("position") <= limit)
+
+
 def with_links(df: DataFrame, identifier: str = "SMILES", fallback: str | None = None, to: str = "Structure") -> DataFrame:
     """Picture link from the identifier or its fallback, as second column; no column if no row has one."""
     own = col(identifier) if identifier in df.columns else F.lit(None).cast("string")

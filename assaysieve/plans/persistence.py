@@ -15,8 +15,8 @@ from assaysieve.sources.files import write_table
 TREE_LOADERS = {"random_forest": RandomForestRegressionModel, "gbt": GBTRegressionModel}
 _BEST = (
     "target string, model string, fitted_as string, family string, train_r2 double, cv_r2 double, cv_rmse double, "
-    "low double, high double, intercept double, weights array<double>, n int, p int, points array<double>, alpha array<double>, "
-    "inverse array<double>, amplitude double, gamma double, centre double, spread double"
+    "low double, high double, intercept double, weights array<double>, n int, m int, p int, points array<double>, dual array<double>, "
+    "cover array<double>, amplitude double, gamma double, centre double, spread double"
 )
 
 
@@ -44,13 +44,13 @@ def save(trained: Trained, path: str) -> None:
         low, high = trained.bounds.get(t, (None, None))
         row = [t, b.model, b.fitted_as, b.family, b.train_r2, b.cv_r2, b.cv_rmse, low, high]
         intercept = weights = None
-        kernel = [None] * 9
+        kernel = [None] * 10
         if b.family == "linear":
             intercept, weights = float(b.parameters[0]), [float(w) for w in b.parameters[1]]
         elif b.family == "kernel":
             k = b.parameters
-            inverse = None if k["inverse"] is None else k["inverse"].ravel().tolist()
-            kernel = [*k["points"].shape, k["points"].ravel().tolist(), k["alpha"].tolist(), inverse]
+            cover = None if k["cover"] is None else k["cover"].ravel().tolist()
+            kernel = [len(k["points"]), *k["points"].shape, k["points"].ravel().tolist(), k["dual"].tolist(), cover]
             kernel += [float(k[c]) for c in ("amplitude", "gamma", "centre", "spread")]
         else:
             b.parameters.write().save(f"{path}/trees/{i}")

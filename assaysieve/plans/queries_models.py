@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from assaysieve.operators import explain, kernels, linear, trees, validate, views
 from assaysieve.operators.skew import lookup_join
-from assaysieve.plans.registry import FEATURES, PARTS_SQL, TARGETS, parts, query, rounded
+from assaysieve.plans import experiments
+from assaysieve.plans.registry import FEATURES, PARTS_SQL, TARGETS, parts, query, rounded, table
 
 
 # Long targets with one feature x; the fold is the part key modulo 5, which both engines compute alike.
@@ -86,6 +87,21 @@ def linear_family(spark, folder):
     return fits.select("target", "fold", "model", "n", "intercept", "weights", "status")
 
 
+@query("two_feature_folds", _LONG + """,
+spec AS (SELECT * FROM (VALUES ('Linear Regression', CAST(0 AS DOUBLE)), ('Ridge', CAST(1 AS DOUBLE))) AS t(model, a)),
+folds AS (SELECT DISTINCT fold FROM long UNION ALL SELECT -1),
+c AS (SELECT l.target, f.fold, model, count(*) AS n, avg(size) AS ma, avg(qty) AS mb, avg(y) AS my, covar_pop(size, size) * count(*) + a AS aa,
+        covar_pop(size, qty) * count(*) AS ab, covar_pop(qty, qty) * count(*) + a AS bb, covar_pop(size, y) * count(*) AS ay, covar_pop(qty, y) * count(*) AS by_
+      FROM folds f JOIN long l ON l.fold <> f.fold, spec GROUP BY l.target, f.fold, model, a),
+w AS (SELECT *, (bb * ay - ab * by_) / (aa * bb - ab * ab) AS wa, (aa * by_ - ab * ay) / (aa * bb - ab * ab) AS wb FROM c)
+SELECT target, CAST(fold AS INTEGER) AS fold, model, n, round(my - wa * ma - wb * mb, 6) AS intercept, round(wa, 6) AS w_size, round(wb, 6) AS w_qty FROM w""")
+def two_feature_folds(spark, folder):
+    """Least squares and ridge on two features: the full fits and those without each fold."""
+    fits = linear.fit_folds(_folded(spark, folder), ["size", "qty"], TARGETS, ["Linear Regression", "Ridge"], "fold")
+    shown = fits.select("target", "fold", "model", F.col("n").cast("bigint").alias("n"), "intercept", F.col("weights")[0].alias("w_size"), F.col("weights")[1].alias("w_qty"))
+    return rounded(shown, "intercept", "w_size", "w_qty")
+
+
 _OOF = _LONG + """,
 full_fit AS (SELECT target, regr_slope(y, x) AS s, regr_intercept(y, x) AS i FROM long GROUP BY target),
 fold_fit AS (SELECT f.fold, l.target, regr_slope(y, x) AS s, regr_intercept(y, x) AS i
@@ -131,6 +147,43 @@ def loocv_metrics(spark, folder):
     return rounded(validate.metrics(oof, ["p_brand"]), *_SCORES, digits=5)
 
 
+_EXPERIMENTS_SQL = _LONG + """,
+spec AS (SELECT * FROM (VALUES ('Linear Regression', CAST(0 AS DOUBLE)), ('Ridge', CAST(1 AS DOUBLE))) AS t(model, a)),
+full_fit AS (SELECT p_brand, target, model, avg(x) AS mx, avg(y) AS my, covar_pop(x, y) * count(*) / (covar_pop(x, x) * count(*) + a) AS s
+             FROM long, spec GROUP BY p_brand, target, model, a),
+fold_fit AS (SELECT l.p_brand, f.fold, l.target, model, avg(x) AS mx, avg(y) AS my, covar_pop(x, y) * count(*) / (covar_pop(x, x) * count(*) + a) AS s
+             FROM (SELECT DISTINCT p_brand, fold FROM long) f JOIN long l ON l.p_brand = f.p_brand AND l.fold <> f.fold, spec
+             GROUP BY l.p_brand, f.fold, l.target, model, a),
+oof AS (SELECT l.*, a.model, a.my + a.s * (x - a.mx) AS yhat_train, k.my + k.s * (x - k.mx) AS yhat_cv
+        FROM long l JOIN full_fit a USING (p_brand, target) JOIN fold_fit k ON k.p_brand = l.p_brand AND k.target = l.target AND k.fold = l.fold AND k.model = a.model),
+scores AS (SELECT p_brand, target, model, count(*) AS n, 1 - sum((y - yhat_train) * (y - yhat_train)) / (var_pop(y) * count(*)) AS train_r2,
+  1 - sum((y - yhat_cv) * (y - yhat_cv)) / (var_pop(y) * count(*)) AS cv_r2, sqrt(avg((y - yhat_cv) * (y - yhat_cv))) AS cv_rmse
+  FROM oof GROUP BY p_brand, target, model)
+"""
+
+
+def _experiments(spark, folder):
+    """A brand is an experiment."""
+    return experiments.train_experiments(_folded(spark, folder), ["size"], TARGETS, ["p_brand"], ["Linear Regression", "Ridge"], "p_partkey", fold=F.col("fold"))
+
+
+@query("experiment_scores", _EXPERIMENTS_SQL + "SELECT p_brand, target, model, n, round(cv_r2, 4) AS cv_r2, round(cv_rmse, 4) AS cv_rmse FROM scores")
+def experiment_scores(spark, folder):
+    return rounded(_experiments(spark, folder).scores.select("p_brand", "target", "model", "n", "cv_r2", "cv_rmse"), "cv_r2", "cv_rmse", digits=4)
+
+
+@query("experiment_predictions", _EXPERIMENTS_SQL + """,
+best AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY p_brand, target ORDER BY
+  CASE WHEN train_r2 - cv_r2 > 0.4 AND cv_r2 < 0.5 THEN 1 ELSE 0 END, cv_r2 DESC, model) = 1),
+library AS (SELECT p_partkey, p_brand, CAST(p_size AS DOUBLE) AS x FROM part)
+SELECT p_partkey, b.target, b.model, round(my + s * (x - mx), 4) AS prediction, round(1.96 * cv_rmse, 4) AS half_width
+FROM library l JOIN best b USING (p_brand) JOIN full_fit f ON f.p_brand = b.p_brand AND f.target = b.target AND f.model = b.model""")
+def experiment_predictions(spark, folder):
+    library = table(spark, folder, "part").select("p_partkey", "p_brand", F.col("p_size").cast("double").alias("size"))
+    scored = experiments.screen_experiments(_experiments(spark, folder), library, ["p_partkey"])
+    return rounded(scored.drop("p_brand"), "prediction", "half_width", digits=4)
+
+
 @query("fold_sizes", """
 WITH f AS (SELECT p_brand, CAST(ntile(5) OVER (PARTITION BY p_brand ORDER BY p_partkey) - 1 AS INTEGER) AS fold FROM part)
 SELECT p_brand, fold, count(*) AS n FROM f GROUP BY p_brand, fold""")
@@ -139,11 +192,23 @@ def fold_sizes(spark, folder):
     return validate.assign_folds(train, "p_partkey", 5, by=["p_brand"]).groupBy("p_brand", "fold").agg(F.count("*").alias("n"))
 
 
+@query("left_out_numbers", """
+SELECT p_brand, count(*) AS n, CAST(0 AS INTEGER) AS low, CAST(count(*) - 1 AS INTEGER) AS high, count(*) AS folds FROM part GROUP BY p_brand""")
+def left_out_numbers(spark, folder):
+    """Leave-one-out folds number the rows of each experiment without gap or repeat."""
+    numbered = validate.assign_folds(parts(spark, folder, "left").select("p_brand", "p_partkey"), "p_partkey", None, by=["p_brand"])
+    return numbered.groupBy("p_brand").agg(
+        F.count("*").alias("n"), F.min("fold").alias("low"), F.max("fold").alias("high"), F.countDistinct("fold").alias("folds"))
+
+
 def _candidates(spark, folder):
-    """One single-feature model per descriptor, scored by 5 folds."""
+    """One single-feature model per descriptor, scored by 5 folds: all from the sums of one pass, and scored in one more."""
     names = ["size", "price", "qty"]
-    scored = [validate.metrics(_oof(spark, folder, c)).withColumn("model", F.lit(c)) for c in names]
-    return names, scored[0].unionByName(scored[1]).unionByName(scored[2])
+    train = _folded(spark, folder)
+    sums = linear.gram(train, names, TARGETS, fold="fold")
+    fits = linear.solve_subsets(linear.training_sums(sums), names, {c: [c] for c in names})
+    oof = linear.out_of_fold(train, fits, names, TARGETS, ["Linear Regression"], "fold", keep=["p_partkey"])
+    return names, validate.metrics(oof)
 
 
 def _candidate_sql():
@@ -190,63 +255,119 @@ def plot_bounds(spark, folder):
     return rounded(views.plot_bounds(_oof(spark, folder)), "low", "high")
 
 
-def _bucketed(spark, folder):
-    """Parts in experiments of about 120 rows: brand, and as many buckets as the number of parts asks for."""
-    train = _train(spark, folder)
-    buckets = F.greatest(F.lit(1), F.round(F.count("*") / 120)).cast("int").alias("buckets")
-    train = lookup_join(train, train.groupBy("p_brand").agg(buckets), ["p_brand"])
-    bucket = F.pmod(F.xxhash64("p_partkey"), F.col("buckets")).cast("int")
+def _scaled(spark, folder):
+    """Every measured part with its features on comparable scales; a brand is an experiment."""
     scaled = [((F.col(c) - F.lit(m)) / F.lit(s)).alias(c) for c, m, s in (("size", 25.0, 14.0), ("qty", 25.0, 3.0))]
-    return train.select("p_partkey", "p_brand", bucket.alias("bucket"), *scaled, *TARGETS)
-
-
-_GROUPS = ["p_brand", "bucket"]
+    return _train(spark, folder).select("p_partkey", "p_brand", *scaled, *TARGETS)
 
 
 @query("gp_fit")
 def gp_fit(spark, folder):
-    fits = kernels.fit_kernels(_bucketed(spark, folder), ["size", "qty"], TARGETS, ["gaussian_process"], _GROUPS)
-    return fits.select(*_GROUPS, "target", "model", "n", "amplitude", "centre", "spread", "status")
+    fits = kernels.fit_kernels(_scaled(spark, folder), ["size", "qty"], TARGETS, ["gaussian_process"], ["p_brand"])
+    return fits.select("p_brand", "target", "model", "n", "amplitude", "centre", "spread", "status")
 
 
 @query("gp_fit_score")
 def gp_fit_score(spark, folder):
-    train = _bucketed(spark, folder)
-    fits = kernels.fit_kernels(train, ["size", "qty"], TARGETS, ["gaussian_process"], _GROUPS)
-    return kernels.score_kernels(train, fits, ["size", "qty"], ["p_partkey"], _GROUPS)
+    train = _scaled(spark, folder)
+    fits = kernels.fit_kernels(train, ["size", "qty"], TARGETS, ["gaussian_process"], ["p_brand"])
+    return kernels.score_kernels(train, fits, ["size", "qty"], ["p_partkey"], ["p_brand"])
 
 
 @query("kernel_ridge")
 def kernel_ridge(spark, folder):
-    train = _bucketed(spark, folder).withColumn("fold", validate.hashed_fold("p_partkey", 5))
-    oof = kernels.kernel_out_of_fold(train, ["size", "qty"], TARGETS, ["kernel_ridge", "gaussian_process"], "fold", "p_partkey", _GROUPS)
-    return validate.metrics(oof, _GROUPS)
+    train = _scaled(spark, folder).withColumn("fold", validate.hashed_fold("p_partkey", 5))
+    oof = kernels.kernel_out_of_fold(train, ["size", "qty"], TARGETS, ["kernel_ridge", "gaussian_process"], "fold", "p_partkey", ["p_brand"])
+    return validate.metrics(oof, ["p_brand"])
 
 
-def _tree_scores(spark, folder, kind, **options):
-    train = _train(spark, folder)
-    model = trees.fit_tree(train, FEATURES, "return_pct", kind, **options)
-    return trees.score_tree(parts(spark, folder, "left").select("p_partkey", *FEATURES), model, FEATURES).select("p_partkey", "yhat")
+# Parts in experiments of two rows (or one), where both kernel models have a closed form: k is the kernel of the pair, d half the difference.
+_PAIRS_SQL = "WITH " + PARTS_SQL + """,
+rows AS (SELECT p_partkey, p_partkey // 2 AS pair, (size - 25) / 14 AS x, return_pct AS y FROM train),
+pairs AS (SELECT pair, count(*) AS n, avg(y) AS m, max(x) - min(x) AS dx, var_pop(x) AS vx, stddev_pop(y) AS sd FROM rows GROUP BY pair),
+"""
+
+
+def _pairs(spark, folder):
+    x = ((F.col("size") - 25.0) / 14.0).alias("x")
+    return _train(spark, folder).select("p_partkey", F.floor(F.col("p_partkey") / 2).alias("pair"), x, F.col("return_pct").alias("y"))
+
+
+@query("kernel_ridge_pairs", _PAIRS_SQL + """
+k AS (SELECT *, CASE WHEN vx > 0 THEN exp(-dx * dx / vx) ELSE 1.0 END AS k FROM pairs)
+SELECT p_partkey, round(m + (y - m) * (1 - k) / (2 - k), 6) AS prediction FROM rows JOIN k USING (pair)""")
+def kernel_ridge_pairs(spark, folder):
+    rows = _pairs(spark, folder)
+    fits = kernels.fit_kernels(rows, ["x"], ["y"], ["kernel_ridge"], ["pair"])
+    return rounded(kernels.score_kernels(rows, fits, ["x"], ["p_partkey"], ["pair"]).select("p_partkey", "prediction"), "prediction")
+
+
+@query("gp_pairs", _PAIRS_SQL + """
+k AS (SELECT *, exp(-0.5 * dx * dx) AS k, 1 + 0.01 + 0.000001 AS a, CASE WHEN sd > 0 THEN sd ELSE 1.0 END AS s FROM pairs)
+SELECT p_partkey, round(CASE WHEN n = 2 THEN m + (y - m) * (1 - k) / (a - k) ELSE m END, 5) AS prediction,
+  round(s * sqrt(1 + 0.01 - CASE WHEN n = 2 THEN (a - 2 * k * k + a * k * k) / (a * a - k * k) ELSE 1 / a END), 5) AS deviation
+FROM rows JOIN k USING (pair)""")
+def gp_pairs(spark, folder):
+    """Gaussian processes of fixed amplitude 1 over pairs of parts."""
+    rows = _pairs(spark, folder)
+    fits = kernels.fit_kernels(rows, ["x"], ["y"], ["gaussian_process"], ["pair"], bounds=(1.0, 1.0))
+    return rounded(kernels.score_kernels(rows, fits, ["x"], ["p_partkey"], ["pair"]).select("p_partkey", "prediction", "deviation"), "prediction", "deviation", digits=5)
+
+
+def _tree_scores(spark, folder, kind, features, **options):
+    model = trees.fit_tree(_train(spark, folder), features, "return_pct", kind, **options)
+    return trees.score_tree(parts(spark, folder, "left").select("p_partkey", *features), model, features).select("p_partkey", "yhat")
 
 
 @query("forest")
 def forest(spark, folder):
-    return _tree_scores(spark, folder, "random_forest", maxDepth=10)
+    return _tree_scores(spark, folder, "random_forest", FEATURES)
 
 
 @query("gbt")
 def gbt(spark, folder):
-    return _tree_scores(spark, folder, "gbt", maxIter=20)
+    return _tree_scores(spark, folder, "gbt", FEATURES)
 
 
 @query("tree_metrics")
 def tree_metrics(spark, folder):
-    _, oof = trees.tree_out_of_fold(
-        _folded(spark, folder), FEATURES, "return_pct", "gbt", "fold", 5, ["p_partkey"], name="XGBoost", maxIter=5, maxDepth=4
-    )
+    _, oof = trees.tree_out_of_fold(_folded(spark, folder), FEATURES, "return_pct", "gbt", "fold", 5, ["p_partkey"], name="XGBoost")
     return validate.metrics(oof).withColumn("fitted_as", F.lit(validate.resolve_model("XGBoost").fitted_as))
 
 
+def _best_split_sql(name: str, source: str) -> str:
+    """The split of `source` (size, y) between two neighbouring sizes with the least squared error, and the means of both sides."""
+    return f"""
+{name}_sums AS (SELECT size, count(*) AS n, sum(y) AS s FROM {source} GROUP BY size),
+{name}_left AS (SELECT size, sum(n) OVER (ORDER BY size) AS nl, sum(s) OVER (ORDER BY size) AS sl, sum(n) OVER () AS n, sum(s) OVER () AS s,
+    lead(size) OVER (ORDER BY size) AS next FROM {name}_sums),
+{name} AS (SELECT (size + next) / 2 AS cut, sl / nl AS below, (s - sl) / (n - nl) AS above FROM {name}_left
+    WHERE next IS NOT NULL ORDER BY sl * sl / nl + (s - sl) * (s - sl) / (n - nl) DESC, size LIMIT 1),
+"""
+
+
+_STUMP_SQL = "WITH " + PARTS_SQL + ", measured AS (SELECT size, return_pct AS y FROM train)," + _best_split_sql("one", "measured") + """
+library AS (SELECT p_partkey, CAST(p_size AS DOUBLE) AS size FROM part),
+first AS (SELECT p_partkey, size, CASE WHEN size <= cut THEN below ELSE above END AS yhat FROM library, one)
+"""
+
+
+@query("forest_stump", _STUMP_SQL + "SELECT p_partkey, round(yhat, 6) AS yhat FROM first")
+def forest_stump(spark, folder):
+    """A forest of one tree of one split over all rows: its split is the best one."""
+    return rounded(_tree_scores(spark, folder, "random_forest", ["size"], numTrees=1, maxDepth=1, bootstrap=False), "yhat")
+
+
+@query("boosted_stumps", "WITH " + PARTS_SQL + ", measured AS (SELECT size, return_pct AS y FROM train)," + _best_split_sql("one", "measured") + """
+left_over AS (SELECT size, 2 * (y - CASE WHEN size <= cut THEN below ELSE above END) AS y FROM measured, one),""" + _best_split_sql("two", "left_over") + """
+library AS (SELECT p_partkey, CAST(p_size AS DOUBLE) AS size FROM part)
+SELECT p_partkey, round(CASE WHEN size <= one.cut THEN one.below ELSE one.above END + 0.3 * CASE WHEN size <= two.cut THEN two.below ELSE two.above END, 6) AS yhat
+FROM library, one, two""")
+def boosted_stumps(spark, folder):
+    """Two rounds of boosting with one split each; the second follows the slope of the squared error, at the step size."""
+    return rounded(_tree_scores(spark, folder, "gbt", ["size"], maxIter=2, maxDepth=1), "yhat")
+
+
 _SHAP_FEATURES = ["size", "qty"]
 _SHAP_SQL = "WITH " + PARTS_SQL + """,
 c AS (SELECT avg(size) AS ma, avg(qty) AS mb, covar_pop(size, size) AS aa, covar_pop(size, qty) AS ab, covar_pop(qty, qty) AS bb,
@@ -286,23 +407,20 @@ def shap_long(spark, folder):
 
 @query("kernel_shap_linear", _SHAP_SQL + "SELECT p_partkey, round(phi_size, 6) AS phi_size, round(phi_qty, 6) AS phi_qty FROM shap")
 def kernel_shap_linear(spark, folder):
-    """Enumeration against the mean of each part type, weighted by its count: equals the closed form."""
+    """Enumeration against the mean of the parts: equals the closed form."""
     train = _train(spark, folder)
-    types = train.groupBy("p_type").agg(F.avg("size"), F.avg("qty"), F.count("*")).orderBy("p_type").collect()
     fit = _linear_fit(train)
-    points = np.array([[r[1], r[2]] for r in types])
-    share = np.array([r[3] for r in types], float)
+    points, share = np.array([list(fit["means"])]), np.ones(1)
     intercept, weights = fit["intercept"], np.array(fit["weights"])
-    shap = explain.kernel_shap(train, _SHAP_FEATURES, lambda x: intercept + x @ weights, points, share / share.sum(), ["p_partkey"])
+    shap = explain.kernel_shap(train, _SHAP_FEATURES, lambda x: intercept + x @ weights, points, share, ["p_partkey"])
     return rounded(shap.drop("base"), "phi_size", "phi_qty")
 
 
 @query("kernel_shap")
 def kernel_shap(spark, folder):
-    """Kernel ridge on the mean response per size, explained for every part against a 10-centre summary."""
+    """Kernel ridge on all measured parts, explained for every part against a 10-centre summary."""
     train = _train(spark, folder)
-    per_size = train.groupBy("size").agg(*[F.avg(c).alias(c) for c in ("qty", "return_pct")])
-    fit = kernels.unpack(kernels.fit_kernels(per_size, _SHAP_FEATURES, ["return_pct"], ["kernel_ridge"]).first())
+    fit = kernels.unpack(kernels.fit_kernels(train, _SHAP_FEATURES, ["return_pct"], ["kernel_ridge"]).first())
     points, share = explain.background(train, _SHAP_FEATURES)
     return explain.kernel_shap(train, _SHAP_FEATURES, lambda x: kernels.kernel_predict(fit, x)[0], points, share, ["p_partkey"])
 
@@ -310,9 +428,19 @@ def kernel_shap(spark, folder):
 @query("tree_shap")
 def tree_shap(spark, folder):
     train = _train(spark, folder)
-    model = trees.fit_tree(train, _SHAP_FEATURES, "return_pct", "random_forest", numTrees=10, maxDepth=5)
-    points, share = explain.background(train, _SHAP_FEATURES, k=5)
-    return explain.tree_shap(train, _SHAP_FEATURES, model, points, share, "p_partkey")
+    model = trees.fit_tree(train, FEATURES, "return_pct", "gbt")
+    return explain.tree_shap(train, FEATURES, model, ["p_partkey"])
+
+
+@query("stump_shap", _STUMP_SQL + """
+SELECT p_partkey, round(CASE WHEN size <= cut THEN below ELSE above END - m, 6) AS phi_size, CAST(0 AS DOUBLE) AS phi_qty, round(m, 6) AS base
+FROM train, one, (SELECT avg(y) AS m FROM measured)""")
+def stump_shap(spark, folder):
+    """One split on size: the value is the distance from the mean of the training rows, and a feature without a split has none."""
+    train = _train(spark, folder).withColumn("_flat", F.lit(0.0))
+    model = trees.fit_tree(train, ["size", "_flat"], "return_pct", "random_forest", numTrees=1, maxDepth=1, bootstrap=False)
+    shap = explain.tree_shap(train, ["size", "_flat"], model, ["p_partkey"]).withColumnRenamed("phi__flat", "phi_qty")
+    return rounded(shap, "phi_size", "phi_qty", "base")
 
 
 @query("feature_map", "WITH " + PARTS_SQL + """,

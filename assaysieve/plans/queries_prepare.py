@@ -160,7 +160,7 @@ plan AS (SELECT *, CAST(ceil((high - low) / w0) AS INTEGER) AS bins, (high - low
 @query("target_histogram", _BINS_SQL + """,
 cells AS (SELECT target, unnest(range(bins)) AS bin, low, width FROM plan),
 hits AS (SELECT target, least(CAST(floor((v - low) / width) AS INTEGER), bins - 1) AS bin, count(*) AS n FROM long JOIN plan USING (target) GROUP BY ALL)
-SELECT target, CAST(bin AS INTEGER) AS bin, round(low + bin * width, 6) AS bin_start, coalesce(hits.n, 0) AS n
+SELECT target, CAST(bin AS BIGINT) AS bin, round(low + bin * width, 6) AS bin_start, coalesce(hits.n, 0) AS n
 FROM cells LEFT JOIN hits USING (target, bin)""")
 def target_histogram(spark, folder):
     return rounded(profile.histogram(parts(spark, folder).select(*TARGETS).persist(), TARGETS), "bin_start")

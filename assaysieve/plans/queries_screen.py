@@ -111,7 +111,7 @@ def measured_override(spark, folder):
 
 @query("desirability_rank", _SCORED_SQL + "SELECT *, row_number() OVER (ORDER BY score DESC, entity) AS rank FROM ranked")
 def desirability_rank(spark, folder):
-    return score.rank_all(_scored(spark, folder)[1], "entity", rows=table(spark, folder, "documents").count())
+    return score.rank_all(_scored(spark, folder)[1], "entity")
 
 
 @query("best_entity", _SCORED_SQL + "SELECT entity, score FROM ranked ORDER BY score DESC, entity LIMIT 1")
@@ -158,6 +158,24 @@ def measured_order(spark, folder):
     return views.measured_order(parts(spark, folder), "return_pct", "p_partkey", 15)
 
 
+@query("measured_positions", "WITH " + PARTS_SQL + """,
+long AS (SELECT p_partkey, 'return_pct' AS target, return_pct AS value FROM train UNION ALL SELECT p_partkey, 'discount_pct', discount_pct FROM train)
+SELECT p_partkey, target, value, CAST(row_number() OVER (PARTITION BY target ORDER BY value DESC, p_partkey) AS INTEGER) AS position
+FROM long QUALIFY position <= 15""")
+def measured_positions(spark, folder):
+    return views.measured_positions(parts(spark, folder), ["return_pct", "discount_pct"], "p_partkey", 15)
+
+
+@query("result_table", _SCORED_SQL + """,
+shown AS (SELECT entity, "quality_pct_Prediction", score FROM ranked ORDER BY score DESC, entity LIMIT 100)
+SELECT entity, 'https://pubchem.ncbi.nlm.nih.gov/rest/pug/compound/smiles/' || replace(url_encode(entity), '%2F', '/') || '/PNG?record_type=3d&image_size=large' AS "Structure",
+  "quality_pct_Prediction", score, printf('%.1f%%', score) AS "Overall_Compatibility" FROM shown""")
+def result_table(spark, folder):
+    """The hundred best documents as the screening page lists them; their names stand for identifiers."""
+    best = score.top_ranked(_scored(spark, folder)[1], 100, "entity").withColumn("SMILES", F.col("entity"))
+    return screening.result_table(best.select("entity", "SMILES", "quality_pct_Prediction", "score"), name="entity")
+
+
 _END_SQL = "WITH " + DOCS_SQL + """,
 med AS (SELECT median(blanks) AS m FROM measured),
 filled AS (SELECT doc_id, entity, coalesce(blanks, m) AS b, quality_pct, clean_pct FROM measured, med),

@@ -9,7 +9,7 @@ from assaysieve.functions.vocabulary import MASTER_SCHEMA
 from assaysieve.operators import catalogue as C
 from assaysieve.operators import prepare as P
 from assaysieve.operators import roles as R
-from assaysieve.plans.catalogue_build import build_catalogue
+from assaysieve.plans.catalogue_build import build_catalogue, names_to_library
 from assaysieve.plans.registry import DOCS_SQL, doc_library, parts, query, rounded, table
 from assaysieve.session import scratch_path
 from assaysieve.sources import files, lists, responses
@@ -223,6 +223,31 @@ def catalogue_build(spark, folder):
     return catalogue.select(*shown, *[F.lit(counts[c]).cast("bigint").alias(c) for c in ("total", "failed")])
 
 
+def _people(customer):
+    """Customers as names, a third of them in the catalogue with a weight, a third without one, a third unknown; landed responses for all."""
+    third = F.col("c_custkey") % 3
+    smiles = F.concat(F.lit("C"), F.col("c_nationkey").cast("string"))
+    catalogue = customer.where(third < 2).select(
+        F.upper("c_name").alias("IUPACName"), F.lit("x").alias("solvent_name"), F.when(third == 0, smiles).alias("SMILES"),
+        F.when(third == 0, F.col("c_acctbal")).alias("Molecular_Weight"))
+    record = F.concat(F.lit('{"CID": 1, "MolecularWeight": "'), F.col("c_custkey").cast("string"), F.lit('", "SMILES": "'), F.lit("N"), F.lit('"}'))
+    landed = customer.select(
+        F.col("c_name").alias("entity"), F.lit(1).alias("attempt"), F.when(F.col("c_acctbal") >= 0, 200).otherwise(404).alias("status"),
+        F.concat(F.lit('{"PropertyTable": {"Properties": ['), record, F.lit("]}}")).alias("body"))
+    return customer.select(F.col("c_name").alias("solvent_name")), catalogue, landed
+
+
+@query("names_to_library", """
+WITH p AS (SELECT c_name, c_custkey, c_nationkey, c_acctbal, c_custkey % 3 AS third, c_acctbal >= 0 AS answered FROM customer),
+q AS (SELECT c_name AS solvent_name, CASE WHEN third = 0 THEN 'C' || c_nationkey WHEN answered THEN 'N' ELSE '' END AS "SMILES",
+  CASE WHEN third = 0 THEN c_acctbal WHEN answered THEN CAST(c_custkey AS DOUBLE) END AS "Molecular_Weight" FROM p)
+SELECT *, "SMILES" <> '' AS resolved FROM q""")
+def names_to_library_query(spark, folder):
+    ready, unresolved = names_to_library(*_people(table(spark, folder, "customer")), order=F.col("IUPACName"))
+    open_ = unresolved.select("solvent_name", F.lit("").alias("SMILES"), F.lit(None).cast("double").alias("Molecular_Weight"), F.lit(False).alias("resolved"))
+    return ready.select("solvent_name", "SMILES", "Molecular_Weight", F.lit(True).alias("resolved")).unionByName(open_)
+
+
 @query("resolved_split", """
 SELECT page_id, CASE WHEN contains(url, '?') OR contains(url, '#') THEN url ELSE '' END AS "SMILES",
   CASE WHEN contains(url, '?') OR contains(url, '#') THEN 'resolved' ELSE 'unresolved' END AS state FROM pages""")

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assaysieve.functions.exprs import col
-from assaysieve.operators import kernels, linear, trees
+from assaysieve.functions.exprs import col, percent_text
+from assaysieve.operators import explain as E
+from assaysieve.operators import kernels, linear, trees, views
 from assaysieve.operators import prepare as P
 from assaysieve.operators import score as S
 from assaysieve.operators.catalogue import align_for_inference
@@ -73,4 +75,37 @@ def screen(
     scored = S.desirability(measured, trained.bounds)
     if classes:
         scored = S.classify(scored, classes)
-    return S.rank_all(scored, name, rows=library.count()) if ranked else scored
+    return S.rank_all(scored, name, written=trained.written) if ranked else scored
+
+
+def result_table(ranked: DataFrame, identifier: str = "SMILES", name: str = "solvent_name", to: str = "Overall_Compatibility") -> DataFrame:
+    """The ranking as it is shown: picture links as second column where any row has an identifier, and the score as percent text."""
+    shown = ranked.withColumn(to, percent_text("score"))
+    first = [name, *[c for c in shown.columns if c not in (name, identifier)]]
+    linked = views.with_links(shown.select(*[col(c) for c in first], *([col(identifier)] if identifier in shown.columns else [])), identifier)
+    return linked.drop(identifier)
+
+
+def explain(trained: Trained, target: str, rows: DataFrame | None = None, keep: Sequence[str] = (), centres: int = 10) -> DataFrame:
+    """Shapley values of the model that was chosen for a target, with `base`, for prepared rows (by default the training rows).
+
+    Linear models in closed form, trees along their paths, all others over coalitions against a summary of the training rows.
+    """
+    best, features, frame = trained.best[target], trained.training.features, trained.training.frame
+    rows = frame if rows is None else rows
+    if best.family == "trees":
+        return E.tree_shap(rows, features, best.parameters, keep)
+    if best.family == "linear" and linear.LINEAR_MODELS[best.fitted_as].degree == 1:
+        means = frame.where(col(target).isNotNull()).agg(*[F.avg(col(c)).alias(f"m{i}") for i, c in enumerate(features)]).first()
+        intercept, weights = best.parameters
+        return E.linear_shap(rows, features, weights, list(means), keep, intercept)
+    points, share = E.background(frame, features, centres)
+    if best.family == "kernel":
+        return E.kernel_shap(rows, features, lambda x: kernels.kernel_predict(best.parameters, x)[0], points, share, keep)
+    intercept, weights = best.parameters
+    pairs = [(i, j) for i in range(len(features)) for j in range(i, len(features))]
+
+    def value(x: np.ndarray) -> np.ndarray:
+        return intercept + np.column_stack([x, *[x[:, i] * x[:, j] for i, j in pairs]]) @ np.asarray(weights)
+
+    return E.kernel_shap(rows, features, value, points, share, keep)

@@ -18,7 +18,7 @@ from assaysieve.operators import roles as R
 from assaysieve.operators import validate
 from assaysieve.operators.profile import recommend
 from assaysieve.operators.score import measured_values, target_bounds
-from assaysieve.session import checkpointable
+from assaysieve.session import checkpointable, delete_paths
 
 ROW = "row_id"
 
@@ -62,11 +62,15 @@ class Trained:
     measured: DataFrame
     bounds: dict[str, tuple[float | None, float | None]] = field(default_factory=dict)
     kept: list[DataFrame] = field(default_factory=list)
+    written: list[str] = field(default_factory=list)
 
     def release(self) -> None:
-        """Give back the frames kept in memory; they are recomputed if they are used again."""
+        """Give back the frames kept in memory, which are recomputed if they are used again, and delete the tables written by screenings:
+        their rankings cannot be read after that."""
         for df in self.kept:
             df.unpersist()
+        delete_paths(self.scores.sparkSession, self.written)
+        self.written.clear()
 
 
 def with_rows(df: DataFrame, row_id: str = ROW) -> DataFrame:
@@ -127,10 +131,30 @@ def _attempt(failures: list, target: str, model: str, job):
     try:
         return job()
     except Exception as problem:
-        failures.append((target, model, f"error: {type(problem).__name__}: {problem}"[:500]))
+        failures.append((target, model, f"error: {type(problem).__name__}: {problem}"))
         return None
 
 
+def _linear_left_out(rows: DataFrame, features: Sequence[str], targets: Sequence[str], names: Sequence[str], row_id: str) -> tuple[DataFrame, DataFrame]:
+    """Full fits and leave-one-out predictions: by leverages where the model allows, else by refits from the sums."""
+    degree = max(linear.LINEAR_MODELS[m].degree for m in names)
+    sums = linear.gram(rows, features, targets, degree=degree).persist()
+    fits = linear.solve(sums, features, names).persist()
+    parts = []
+    for d in (1, 2):
+        by_leverage = [m for m in names if linear.LINEAR_MODELS[m].degree == d and linear.LINEAR_MODELS[m].penalty != "l1"]
+        if by_leverage:
+            parts.append(linear.leave_one_out(rows, fits.where(F.col("model").isin(by_leverage)), features, targets, keep=[row_id, "fold"], degree=d))
+    refitted = [m for m in names if linear.LINEAR_MODELS[m].penalty == "l1"]
+    if refitted:
+        parts.append(linear.leave_one_out_refits(rows, sums, features, targets, refitted, keep=[row_id, "fold"]))
+    return fits, reduce(DataFrame.unionByName, parts)
+
+
+def _reasons(failures: list[tuple[str, str, str]]) -> str:
+    return "; ".join(sorted({f"{m} for {t}: {why}" for t, m, why in failures})) or "no model has all its predictions"
+
+
 def train(
     training: Training,
     models: Sequence[str] | None = None,
@@ -138,38 +162,47 @@ def train(
     row_id: str = ROW,
     tree_options: dict | None = None,
     fold: Column | None = None,
+    boosting: str = "gbt",
 ) -> Trained:
     """Fit and cross-validate every model for every target, then choose the best per target.
 
+    `boosting="random_forest"` fits forests where boosting packages are asked for. Raises if no model of any target could be fitted.
+
     Folds are drawn by the validation strategy, unless the caller gives them as an expression over the row key.
     """
     frame, features, targets = training.frame.persist(), training.features, training.targets
     advised, plan = recommend(frame.count())
     models, strategy = list(models or advised), strategy or plan
     folds = validate.fold_count(strategy)
-    choices = [validate.resolve_model(m) for m in models]
+    choices = [validate.resolve_model(m, boosting) for m in models]
     families = {f: list(dict.fromkeys(c.fitted_as for c in choices if c.family == f)) for f in ("linear", "kernel", "trees")}
     drawn = validate.assign_folds(frame, row_id, folds) if fold is None else frame.withColumn("fold", fold.cast("int"))
     rows = drawn.persist()
     number = folds if folds is not None else rows.count()
 
-    oofs, failures, held = [], [], {}
+    oofs, failures, held, kept = [], [], {}, []
     shape = [row_id, "target", "model", "fold", "y", "yhat_train", "yhat_cv"]
     if families["linear"]:
         names = families["linear"]
-        fits = linear.fit_folds(rows, features, targets, names, "fold").persist()
+        if folds is None and fold is None:
+            fits, predicted = _linear_left_out(rows, features, targets, names, row_id)
+        else:
+            fits = linear.fit_folds(rows, features, targets, names, "fold").persist()
+            predicted = linear.out_of_fold(rows, fits, features, targets, names, "fold", keep=[row_id])
+        kept.append(fits)
         for r in fits.where(F.col("fold") == linear.FULL).collect():
             held[r["target"], r["model"]] = (r["intercept"], list(r["weights"] or []))
             if r["status"] != "ok":
                 failures.append((r["target"], r["model"], r["status"]))
-        oofs.append(linear.out_of_fold(rows, fits, features, targets, names, "fold", keep=[row_id]).select(*shape))
+        oofs.append(predicted.select(*shape))
     if families["kernel"]:
         names = families["kernel"]
         for r in kernels.fit_kernels(frame, features, targets, names).collect():
             held[r["target"], r["model"]] = kernels.unpack(r) if r["status"] == "ok" else None
             if r["status"] != "ok":
                 failures.append((r["target"], r["model"], r["status"]))
-        oofs.append(kernels.kernel_out_of_fold(rows, features, targets, names, "fold", row_id).select(*shape))
+        left_out = kernels.kernel_out_of_fold(rows, features, targets, names, "fold", row_id, single=folds is None and fold is None)
+        oofs.append(left_out.select(*shape))
     for kind in families["trees"]:
         for t in targets:
             fitted = _attempt(failures, t, kind, lambda: trees.tree_out_of_fold(
@@ -179,6 +212,8 @@ def train(
                 held[t, kind] = fitted[0]
                 oofs.append(fitted[1].select(*shape))
 
+    if not oofs:
+        raise ValueError(f"no model could be fitted and validated: {_reasons(failures)}")
     spark = frame.sparkSession
     oof = reduce(DataFrame.unionByName, oofs).persist()
     asked = spark.createDataFrame([(c.asked, c.fitted_as, c.family) for c in choices], "asked string, model string, family string")
@@ -197,5 +232,7 @@ def train(
             r["target"], r["model"], r["fitted_as"], r["family"], r["train_r2"], r["cv_r2"], r["cv_rmse"],
             held.get((r["target"], r["fitted_as"])),
         )
+    if not best:
+        raise ValueError(f"no model could be fitted and validated: {_reasons(failures)}")
     measured = measured_values(training.raw, targets, row_id, training.name)
-    return Trained(training, strategy, scores, oof, best, measured, target_bounds(frame, targets), [training.raw, frame, rows, oof, scores])
+    return Trained(training, strategy, scores, oof, best, measured, target_bounds(frame, targets), [training.raw, frame, rows, oof, scores, *kept])

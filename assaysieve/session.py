@@ -43,3 +43,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder name in the checkpoint folder, which all executors can reach."""
     checkpointable(spark)
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+def delete_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch folders that are no longer needed."""
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,46 +15,43 @@ from assaysieve.functions.vocabulary import NULL_TEXTS
 from assaysieve.operators.roles import name_entity_column, nan_as_null
 
 
-def csv_encoding(spark: SparkSession, path: str) -> str:
-    """UTF-16 by its byte-order mark, else UTF-8 if every byte sequence is valid, else Latin-1.
+def csv_encodings(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Files of a path by encoding: UTF-16 by its byte-order mark, UTF-8 if every byte sequence is valid, else Latin-1.
 
-    The mark is read from the first bytes of each file; validity is checked by the executors.
+    One pass of the executors over all files; the driver gets one row per file, as the reader's own listing does.
     """
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    target = hadoop.Path(path)
-    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    for status in system.globStatus(target):
-        listed = system.listStatus(status.getPath()) if status.isDirectory() else [status]
-        for entry in listed:
-            if entry.isDirectory() or entry.getLen() < 2:
-                continue
-            stream = system.open(entry.getPath())
-            first, second = stream.read(), stream.read()
-            stream.close()
-            if (first, second) in ((0xFF, 0xFE), (0xFE, 0xFF)):
-                return "UTF-16"
-            break
-    lines = spark.read.text(path)
-    return "ISO-8859-1" if lines.where(~F.is_valid_utf8("value")).limit(1).count() else "UTF-8"
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    marked = F.hex(F.substring(F.col("value").cast("binary"), 1, 2)).isin("FFFE", "FEFF")
+    files = lines.groupBy("file").agg(F.bool_or(marked).alias("marked"), F.bool_and(F.is_valid_utf8("value")).alias("valid")).collect()
+    found: dict[str, list[str]] = {}
+    for f in sorted(files, key=lambda r: r["file"]):
+        found.setdefault("UTF-16" if f["marked"] else "UTF-8" if f["valid"] else "ISO-8859-1", []).append(unquote(f["file"]))
+    return found
+
+
+def _without_null_texts(df: DataFrame) -> DataFrame:
+    texts = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    return df.select(*[F.when(~col(c).isin(*NULL_TEXTS), col(c)).alias(c) if c in texts else col(c) for c in df.columns])
 
 
 def read_csv(
     spark: SparkSession, path: str, schema: str | T.StructType | None = None, encoding: str | None = None, multi_line: bool = False
 ) -> DataFrame:
-    """CSV with header. A declared schema saves the inference pass; missing-value texts become NULL.
+    """CSV with header. A declared schema saves the inference pass; missing-value texts become NULL either way.
 
-    Files with line breaks inside quotes need multi_line, which reads each file in one task.
+    Each file is read in its own encoding unless one is given. Files with line breaks inside quotes need multi_line, which reads
+    each file in one task, as does UTF-16.
     """
-    encoding = encoding or csv_encoding(spark, path)
-    reader = (
-        spark.read.option("header", True).option("escape", '"').option("encoding", encoding)
-        .option("multiLine", multi_line or encoding == "UTF-16").option("nullValue", "").option("nanValue", "NaN")
-    )
-    if schema is not None:
-        return nan_as_null(reader.schema(schema).csv(path))
-    text = reader.csv(path)
-    cleaned = text.select(*[F.when(~col(c).isin(*NULL_TEXTS), col(c)).alias(c) for c in text.columns])
-    return _infer(cleaned)
+    groups = {encoding: [path]} if encoding else csv_encodings(spark, path) or {"UTF-8": [path]}
+    parts = []
+    for name, files in groups.items():
+        reader = (
+            spark.read.option("header", True).option("escape", '"').option("encoding", name)
+            .option("multiLine", multi_line or name == "UTF-16").option("nullValue", "").option("nanValue", "NaN")
+        )
+        parts.append((reader if schema is None else reader.schema(schema)).csv(files))
+    table = _without_null_texts(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts))
+    return _infer(table) if schema is None else nan_as_null(table)
 
 
 # The texts each inferred type accepts.

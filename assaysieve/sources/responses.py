@@ -16,28 +16,30 @@ RESPONSE_SCHEMA = (
 )
 
 
-def latest_attempts(landed: DataFrame, key: str = "entity", max_attempts: int = 3) -> DataFrame:
-    """The attempt that settles each entity: its first answer (200 or 404), else its last try.
+MAX_ATTEMPTS = 3
 
-    An aggregate rather than a window, so many retries of one entity are combined before the shuffle.
+
+def latest_attempts(landed: DataFrame, key: str = "entity", max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
+    """The attempt that settles each entity: its first answer (200 or 404), else its last try, both among the first attempts.
+
+    An entity that was tried only later keeps its row, with its earliest such try, so that it can be rejected with a reason. An aggregate
+    rather than a window, so many retries of one entity are combined before the shuffle.
     """
-    answered = F.col("status").isin(200, 404)
-    order = F.struct((~answered).cast("int"), F.when(answered, F.col("attempt")).otherwise(-F.col("attempt")))
+    late, answered = F.col("attempt") > max_attempts, F.col("status").isin(200, 404)
+    order = F.struct(late.cast("int"), (~answered & ~late).cast("int"), F.when(answered | late, F.col("attempt")).otherwise(-F.col("attempt")))
     return (
-        landed.where(F.col("attempt") <= max_attempts)
-        .groupBy(key)
+        landed.groupBy(key)
         .agg(F.min_by(F.struct("attempt", "status", "body"), order).alias("r"))
         .select(key, "r.attempt", "r.status", "r.body")
     )
 
 
-def route(latest: DataFrame, key: str = "entity") -> tuple[DataFrame, DataFrame]:
+def route(latest: DataFrame, key: str = "entity", max_attempts: int = MAX_ATTEMPTS) -> tuple[DataFrame, DataFrame]:
     """Parsable answers, and the rest with a reason. Control entities are never looked up."""
     asked = latest.where(~F.startswith(F.lower(F.col(key)), F.lit("control")))
-    accepted = asked.where("status = 200")
-    reason = F.when(F.col("status") == 404, "not found").otherwise("failed")
-    rejected = asked.where("status <> 200").select(key, "attempt", "status", reason.alias("reason"))
-    return accepted, rejected
+    late, good = F.coalesce(F.col("attempt") > max_attempts, F.lit(False)), F.coalesce(F.col("status") == 200, F.lit(False))
+    reason = F.when(late, "too many attempts").when(F.col("status") == 404, "not found").otherwise("failed")
+    return asked.where(good & ~late), asked.where(~good | late).select(key, "attempt", "status", reason.alias("reason"))
 
 
 def parse_properties(accepted: DataFrame, key: str = "entity", body: str = "body") -> DataFrame:

@@ -87,3 +87,9 @@ def test_substitute(spark):
 def test_local_stamp_has_report_form(spark):
     stamp = one(spark, X.local_stamp())
     assert stamp.endswith(" IST") and len(stamp) == 20
+
+
+def test_title_case_of_a_column(spark):
+    words = ["glucose_uptake", "o'neil's 2nd cAFÉ", "", None, "a-b_c  d", "ÉTÉ été"]
+    got = spark.createDataFrame([(w,) for w in words], "w string").select(X.title_case("w")).collect()
+    assert [r[0] for r in got] == [None if w is None else w.replace("_", " ").title() for w in words]

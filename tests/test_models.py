@@ -1,5 +1,8 @@
+from itertools import permutations
+
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from assaysieve.operators import explain, kernels, linear, trees, validate
@@ -72,7 +75,7 @@ def test_single_feature_closed_form_equals_solver(data, model):
     for r in sums.collect():
         b0, w, _, inv = linear.solve_one(r["n"], np.array([r["sx_0"]]), np.array([[r["sxx_0_0"]]]), r["sy"], np.array([r["sxy_0"]]), linear.LINEAR_MODELS[model])
         c = closed[r["fold"]]
-        assert (c["intercept"], c["weights"][0], c["inverse"][0]) == pytest.approx((b0, w[0], inv[0, 0]), abs=1e-10)
+        assert (c["intercept"], c["weights"][0], c["precision"][0]) == pytest.approx((b0, w[0], inv[0, 0]), abs=1e-10)
 
 
 def test_collinear_features_give_the_shortest_weights(spark):
@@ -160,14 +163,15 @@ def test_fold_sizes_differ_by_at_most_one(spark):
     assert grouped.agg(F.max("count") - F.min("count")).first()[0] == 1
 
 
-def test_large_experiments_get_hashed_folds(spark, monkeypatch):
-    monkeypatch.setattr(validate, "ORDERED_FOLD_ROWS", 100)
-    df = spark.range(5000).withColumnRenamed("id", "k")
-    out = validate.assign_folds(df, "k", 5)
-    assert "Window" not in out._jdf.queryExecution().toString()
-    assert out.groupBy("fold").count().agg(F.min("count")).first()[0] > 850
-    with pytest.raises(ValueError):
-        validate.assign_folds(df, "k", None)
+@pytest.mark.parametrize("rows", [1, 4, 23, 5000])
+def test_folds_follow_one_rule_at_every_size(spark, rows):
+    """Folds are those of a plain sort by hash and key, however many rows there are."""
+    df = spark.range(rows).select(F.col("id").alias("k"), (F.col("id") % 3).alias("g"))
+    order = Window.partitionBy("g").orderBy(F.xxhash64(F.col("k"), F.lit(42)), "k")
+    want = df.withColumns({"a": F.ntile(5).over(order) - 1, "b": F.row_number().over(order) - 1})
+    got = validate.assign_folds(df, "k", 5, by=["g"]).join(validate.assign_folds(df, "k", None, by=["g"]).withColumnRenamed("fold", "single"), ["k", "g"])
+    both = got.join(want, ["k", "g"])
+    assert both.count() == rows and both.where("fold <> a or single <> b").count() == 0
 
 
 def test_metrics_edges(spark):
@@ -202,7 +206,7 @@ def dense_gp(x, y, c):
 
 def test_gaussian_process_against_dense_algebra():
     x, y = arrays(25)
-    fit = kernels.fit_gaussian_process(x, y)
+    fit = kernels.fit_rows("gaussian_process", x, y)
     grid = np.exp(np.linspace(np.log(1e-5), np.log(1e5), 4001))
     best = grid[np.argmax([dense_gp(x, y, c)[2] for c in grid])]
     assert np.log(fit["amplitude"]) == pytest.approx(np.log(best), abs=0.01)
@@ -217,37 +221,94 @@ def test_gaussian_process_against_dense_algebra():
 
 def test_gaussian_process_amplitude_bounds_and_constant_target():
     x = np.array([[0.0], [1.0], [2.0]])
-    fit = kernels.fit_gaussian_process(x, np.array([4.0, 4.0, 4.0]))
+    fit = kernels.fit_rows("gaussian_process", x, np.array([4.0, 4.0, 4.0]))
     assert kernels.kernel_predict(fit, x)[0] == pytest.approx([4.0] * 3)
     assert 1e-5 <= fit["amplitude"] <= 1e5
 
 
 def test_kernel_ridge_against_dense_algebra():
     x, y = arrays(20)
-    fit = kernels.fit_kernel_ridge(x, y)
+    fit = kernels.fit_rows("kernel_ridge", x, y)
     k = np.exp(-kernels.squared_distances(x, x) / (3 * x.var()))
-    assert fit["alpha"] == pytest.approx(np.linalg.solve(k + np.eye(20), y - y.mean()))
+    assert fit["dual"] == pytest.approx(np.linalg.solve(k + np.eye(20), y - y.mean()))
 
 
-def test_groups_above_the_bound_are_refused_not_gathered(spark):
-    x, y = arrays(60)
-    df = frame(spark, x, y).withColumn("g", F.when(F.col("row_id") < 12, "small").otherwise("big"))
-    fits = kernels.fit_kernels(df, FEATURES, ["y1"], ["gaussian_process", "kernel_ridge"], ["g"], max_rows=20).collect()
-    status = {(r["g"], r["model"]): r["status"] for r in fits}
-    assert status["small", "gaussian_process"] == status["small", "kernel_ridge"] == "ok"
-    assert status["big", "gaussian_process"] == "error: 48 rows, at most 20"
-    oof = kernels.kernel_out_of_fold(df, FEATURES, ["y1"], ["kernel_ridge"], "fold", "row_id", ["g"], max_rows=20)
-    assert oof.select("g").distinct().collect()[0][0] == "small" and oof.count() == 12
+@pytest.mark.parametrize("rows", [12, 201, 3000])
+def test_experiments_of_any_size_get_models(spark, rows):
+    """Beyond the landmarks every row still counts: the model is the projected one, computed densely."""
+    rng = np.random.default_rng(rows)
+    x = rng.normal(size=(rows, 3))
+    y = x @ [1.0, -2.0, 0.5] + np.sin(x[:, 0]) + rng.normal(size=rows) / 10
+    df = frame(spark, x, y)
+    fits = {r["model"]: r for r in kernels.fit_kernels(df, FEATURES, ["y1"], list(kernels.KERNEL_MODELS), landmarks=60, chunk_rows=500).collect()}
+    for name in kernels.KERNEL_MODELS:
+        assert (fits[name]["status"], fits[name]["n"], fits[name]["m"]) == ("ok", rows, min(rows, 60))
+        fit = kernels.unpack(fits[name])
+        z, gamma, c = fit["points"], fit["gamma"], fit["amplitude"]
+        noise = kernels.RIDGE_STRENGTH if name == "kernel_ridge" else kernels.NOISE + kernels.JITTER
+        spread = 1.0 if name == "kernel_ridge" else y.std()
+        kzz, kzx = (c * np.exp(-gamma * kernels.squared_distances(z, o)) for o in (z, x))
+        dense = np.linalg.lstsq(kzx @ kzx.T + noise * kzz, kzx @ (y - y.mean()) / spread, rcond=1e-13)[0]
+        assert kernels.kernel_predict(fit, x)[0] == pytest.approx((dense @ kzx) * spread + y.mean(), abs=1e-4)
+    oof = kernels.kernel_out_of_fold(df, FEATURES, ["y1"], list(kernels.KERNEL_MODELS), "fold", "row_id", landmarks=60, chunk_rows=500)
+    assert oof.count() == 2 * rows and oof.where("yhat_cv is null").count() == 0
+
+
+def gamma_of_all(name, x):
+    return kernels.gamma_of(name, x.shape[1], len(x), x.sum(), (x * x).sum())
 
 
 def test_kernel_out_of_fold_equals_refits(spark):
     x, y = arrays(20)
     got = kernels.kernel_out_of_fold(frame(spark, x, y), FEATURES, ["y1"], ["kernel_ridge", "gaussian_process"], "fold", "row_id").collect()
     folds = np.arange(20) % 5
+    assert len(got) == 40
     for r in got:
         keep = folds != r["fold"]
-        fit = kernels.FITTERS[r["model"]](x[keep], y[keep])
-        assert r["yhat_cv"] == pytest.approx(kernels.kernel_predict(fit, x[r["row_id"]:r["row_id"] + 1])[0][0], abs=1e-6)
+        fit = kernels.fit_rows(r["model"], x[keep], y[keep], gamma_of_all(r["model"], x))
+        assert r["yhat_cv"] == pytest.approx(kernels.kernel_predict(fit, x[r["row_id"]:r["row_id"] + 1])[0][0], abs=1e-5)
+
+
+def test_kernel_leave_one_out_equals_refits(spark):
+    x, y = arrays(15)
+    df = frame(spark, x, y).withColumn("fold", F.col("row_id").cast("int"))
+    got = kernels.kernel_out_of_fold(df, FEATURES, ["y1"], list(kernels.KERNEL_MODELS), "fold", "row_id", single=True, chunk_rows=4).collect()
+    assert len(got) == 30
+    for r in got:
+        keep = np.arange(15) != r["row_id"]
+        fit = kernels.fit_rows(r["model"], x[keep], y[keep], gamma_of_all(r["model"], x))
+        assert r["yhat_cv"] == pytest.approx(kernels.kernel_predict(fit, x[r["row_id"]:r["row_id"] + 1])[0][0], abs=1e-5)
+
+
+def test_scoring_keeps_rows_with_gaps_and_without_models(spark):
+    x, y = arrays(12)
+    df = frame(spark, x, y).withColumn("g", F.lit("a"))
+    fits = kernels.fit_kernels(df, FEATURES, ["y1"], ["gaussian_process"], ["g"])
+    gap = df.withColumn(FEATURES[0], F.when(F.col("row_id") > 2, F.col(FEATURES[0])))
+    library = gap.unionByName(df.where("row_id < 2").withColumn("g", F.lit("other")))
+    rows = kernels.score_kernels(library, fits, FEATURES, ["row_id"], ["g"]).collect()
+    assert len(rows) == 14
+    assert sorted(r["row_id"] for r in rows if r["g"] == "a" and r["prediction"] is None) == [0, 1, 2]
+    assert all(r["model"] is None and r["prediction"] is None for r in rows if r["g"] == "other")
+
+
+def test_linear_leave_one_out_equals_refits(spark):
+    x, y = arrays(14)
+    df = frame(spark, x, y).withColumn("fold", F.col("row_id").cast("int"))
+    names = ["Linear Regression", "Ridge", "Lasso", "Polynomial Regression"]
+    sums = linear.gram(df, FEATURES, ["y1"], degree=2)
+    by_sums = {(r["model"], r["row_id"]): r for r in linear.leave_one_out_refits(df, sums, FEATURES, ["y1"], names, ["row_id", "fold"]).collect()}
+    by_folds = {(r["model"], r["row_id"]): r for r in linear.out_of_fold(
+        df, linear.fit_folds(df, FEATURES, ["y1"], names, "fold"), FEATURES, ["y1"], names, "fold", keep=["row_id"]).collect()}
+    assert by_sums.keys() == by_folds.keys() and len(by_sums) == 56
+    for k, r in by_sums.items():
+        assert (r["yhat_train"], r["yhat_cv"]) == pytest.approx((by_folds[k]["yhat_train"], by_folds[k]["yhat_cv"]), abs=1e-6)
+    fits = linear.solve(sums, FEATURES, names)
+    for degree, model in ((1, "Linear Regression"), (1, "Ridge")):
+        got = linear.leave_one_out(df, fits.where(F.col("model") == model), FEATURES, ["y1"], keep=["row_id"], degree=degree).collect()
+        assert len(got) == 14
+        for r in got:
+            assert r["yhat_cv"] == pytest.approx(by_folds[model, r["row_id"]]["yhat_cv"], abs=1e-7)
 
 
 def test_chunked_scoring_equals_streaming(spark):
@@ -280,7 +341,7 @@ def test_trees_fit_and_validate(spark):
 def test_enumeration_adds_up(spark):
     x, y = arrays(30)
     df = frame(spark, x, y)
-    fit = kernels.fit_kernel_ridge(x, y)
+    fit = kernels.fit_rows("kernel_ridge", x, y)
     points, share = explain.background(df, FEATURES, k=4)
     assert share.sum() == pytest.approx(1.0) and all(v in x[:, j] for j in range(3) for v in points[:, j])
     got = explain.kernel_shap(df, FEATURES, lambda z: kernels.kernel_predict(fit, z)[0], points, share, ["row_id"]).collect()
@@ -300,18 +361,43 @@ def test_enumeration_of_a_linear_model_is_its_closed_form(spark):
         assert [a[f"phi_{c}"] for c in FEATURES] == pytest.approx([b[f"phi_{c}"] for c in FEATURES])
 
 
-def test_tree_explanation_adds_up(spark):
+def path_values_by_force(forest, row):
+    """Shapley values over all orders, where an unknown feature follows both branches."""
+    p = len(row)
+
+    def value(known):
+        total = 0.0
+        for low, high, share, leaf in forest:
+            for a, b, r, v in zip(low, high, share, leaf, strict=True):
+                total += v * np.prod([float(a[j] < row[j] <= b[j]) if j in known else r[j] for j in range(p)])
+        return total
+
+    phi = np.zeros(p)
+    orders = list(permutations(range(p)))
+    for order in orders:
+        for i, j in enumerate(order):
+            phi[j] += (value(set(order[:i + 1])) - value(set(order[:i]))) / len(orders)
+    return phi, value(set())
+
+
+@pytest.mark.parametrize("kind", ["random_forest", "gbt"])
+def test_tree_explanation_follows_the_paths(spark, kind):
     x, y = arrays(40)
     df = frame(spark, x, y)
-    model = trees.fit_tree(df, FEATURES, "y1", "random_forest", numTrees=5, maxDepth=4)
-    points, share = np.array([[0.0, 0.0, 0.0], [1.0, -1.0, 0.5]]), np.array([0.5, 0.5])
-    base = spark.createDataFrame([tuple(map(float, p)) for p in points], FEATURES)
-    expected = trees.score_tree(base, model, FEATURES).agg(F.avg("yhat")).first()[0]
-    shap = explain.tree_shap(df, FEATURES, model, points, share, "row_id")
-    both = shap.join(trees.score_tree(df, model, FEATURES).select("row_id", "yhat"), "row_id").collect()
+    model = trees.fit_tree(df, FEATURES, "y1", kind, maxDepth=4, **({"numTrees": 5} if kind == "random_forest" else {"maxIter": 4}))
+    gap = df.withColumn(FEATURES[1], F.when(F.col("row_id") != 7, F.col(FEATURES[1])))
+    both = explain.tree_shap(gap, FEATURES, model, ["row_id"]).join(trees.score_tree(gap, model, FEATURES).select("row_id", "yhat"), "row_id").collect()
     assert len(both) == 40
+    forest = trees.leaves(model, 3, spark)
     for r in both:
-        assert expected + sum(r[f"phi_{c}"] for c in FEATURES) == pytest.approx(r["yhat"], abs=1e-9)
+        phi = [r[f"phi_{c}"] for c in FEATURES]
+        if r["row_id"] == 7:
+            assert phi == [None] * 3 and r["yhat"] is None
+            continue
+        assert r["base"] + sum(phi) == pytest.approx(r["yhat"], abs=1e-9)
+        if r["row_id"] < 6:
+            want, base = path_values_by_force(forest, x[r["row_id"]])
+            assert phi == pytest.approx(want, abs=1e-9) and r["base"] == pytest.approx(base)
 
 
 def test_importance_orders_features(spark):
@@ -319,8 +405,14 @@ def test_importance_orders_features(spark):
     assert [tuple(r) for r in explain.importance(df, ["a", "b"]).collect()] == [("b", 3.0), ("a", 1.0)]
 
 
-def test_too_many_features_are_refused(spark):
-    names = [f"f{i}" for i in range(13)]
-    df = spark.createDataFrame([tuple([1.0] * 13)], names)
-    with pytest.raises(ValueError):
-        explain.kernel_shap(df, names, lambda z: z[:, 0], np.zeros((1, 13)), np.ones(1), names[:1])
+def test_many_features_are_explained_by_sampled_orders(spark):
+    rng = np.random.default_rng(2)
+    names, w = [f"f{i}" for i in range(14)], rng.normal(size=14)
+    x = rng.normal(size=(6, 14))
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], ["row_id", *names])
+    points, share = rng.normal(size=(2, 14)), np.array([0.5, 0.5])
+    for r in explain.kernel_shap(df, names, lambda z: z @ w + z[:, 0] * z[:, 1], points, share, ["row_id"]).collect():
+        row = x[r["row_id"]]
+        phi = [r[f"phi_{c}"] for c in names]
+        assert r["base"] + sum(phi) == pytest.approx(row @ w + row[0] * row[1])
+        assert phi[2:] == pytest.approx(list(w[2:] * (row[2:] - points.mean(0)[2:])))

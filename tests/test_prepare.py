@@ -54,7 +54,7 @@ def test_fill_gaps(spark, monkeypatch, small):
 
 def test_refresh_is_by_key(spark):
     df = spark.createDataFrame([("a", 1.0, "x"), ("b", None, "y"), ("c", None, "z")], "k string, w double, t string")
-    fetched = spark.createDataFrame([("c", 3.0, "new", 1), ("a", 9.0, "no", 1)], "k string, w double, t string, extra int")
+    fetched = spark.createDataFrame([("c", 3.0, "new", 1), ("a", 9.0, "no", 1), ("c", 4.0, "late", 2)], "k string, w double, t string, extra int").coalesce(1)
     got = C.refresh_missing(df, fetched, "k", "w").collect()
     assert {tuple(r) for r in got} == {("a", 1.0, "x"), ("b", None, "y"), ("c", 3.0, "new")}
 
@@ -141,9 +141,7 @@ def test_profile_uses_raw_missing_share(spark):
     assert row["missing_pct"] == 0.25 and row["n_samples"] == 2 and row["models"] == ["Gaussian Process"]
 
 
-@pytest.mark.parametrize("jvm_pairs", [15, 0])
-def test_correlations_pairwise_complete(spark, monkeypatch, jvm_pairs):
-    monkeypatch.setattr(profile, "JVM_PAIRS", jvm_pairs)
+def test_correlations_pairwise_complete(spark):
     rng = np.random.default_rng(5)
     a, b = rng.normal(size=80), rng.normal(size=80)
     b[:20] = np.nan
@@ -160,6 +158,33 @@ def test_correlations_pairwise_complete(spark, monkeypatch, jvm_pairs):
     assert pairs["a", "tenth"] is None and pairs["b", "c"] is None and pairs["a", "a"] == pytest.approx(1.0)
 
 
+@pytest.mark.parametrize("columns", [2, 5, 6, 9])
+def test_missing_numbers_follow_one_rule_for_any_number_of_pairs(spark, columns):
+    rows = [(1.0, 2.0), (2.0, float("nan")), (3.0, 5.0), (None, 7.0), (4.0, 9.0)]
+    df = spark.createDataFrame(rows, "a double, b double").withColumns({f"c{i}": F.col("a") * i for i in range(2, columns)})
+    names = df.columns
+    got = {(r[0], r[1]): r[2] for r in profile.correlations(df, names).collect()}
+    assert got["a", "b"] == pytest.approx(np.corrcoef([1, 3, 4], [2, 5, 9])[0, 1]) and len(got) == len(names) ** 2
+
+
+def test_histogram_of_a_heavy_tail_has_all_its_bins(spark):
+    df = spark.range(999).select((F.col("id") / 999).alias("v")).union(spark.createDataFrame([(3e4,)], "v double"))
+    plan = profile.bin_plan(df, "v")
+    got = profile.histogram(df, ["v"], {"v": plan})
+    assert plan["bins"] > profile.BIN_RANGE
+    assert got.agg(F.count("*"), F.countDistinct("bin"), F.sum("n")).first()[:] == (plan["bins"], plan["bins"], 1000)
+
+
+def test_density_adds_up_in_tasks(spark):
+    values = np.random.default_rng(3).normal(size=500)
+    df = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(7)
+    got = {r["grid_index"]: r["density"] for r in profile.density(df, "v").collect()}
+    x = np.linspace(values.min(), values.max(), 200)
+    h = values.std(ddof=1) * 500 ** (-1 / 5)
+    want = np.exp(-((x[:, None] - values) / h) ** 2 / 2).sum(1) / (500 * h * np.sqrt(2 * np.pi))
+    assert [got[i] for i in range(200)] == pytest.approx(want.tolist())
+
+
 def test_heatmap_needs_two_numeric_columns(spark):
     assert profile.correlation_heatmap(spark.createDataFrame([(1.0, "x")], "a double, b string")).count() == 0
 

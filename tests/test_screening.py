@@ -1,9 +1,11 @@
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from assaysieve.operators import score, views
 from assaysieve.plans import persistence, screening, training
+from assaysieve.session import delete_paths
 
 
 def results(spark):
@@ -47,9 +49,27 @@ def test_rank_of_a_large_table_equals_the_window(spark):
     df = spark.range(3000).select(
         F.concat(F.lit("e"), F.col("id")).alias("solvent_name"), F.when(F.col("id") % 3 == 0, 0.1).otherwise(F.pmod(F.hash("id"), F.lit(50)) / 10.0).alias("score")
     )
-    small = {r["solvent_name"]: r["rank"] for r in score.rank_all(df).collect()}
-    large = {r["solvent_name"]: r["rank"] for r in score.rank_all(df, one_task_rows=10).collect()}
-    assert small == large and sorted(small.values()) == list(range(1, 3001))
+    window = Window.orderBy(F.col("score").desc(), "solvent_name")
+    plain = {r["solvent_name"]: r["rank"] for r in df.withColumn("rank", F.row_number().over(window)).collect()}
+    written = []
+    ranked = score.rank_all(df, written=written)
+    assert {r["solvent_name"]: r["rank"] for r in ranked.collect()} == plain and len(written) == 2
+    delete_paths(spark, written)
+    with pytest.raises(Exception):
+        ranked.collect()
+
+
+def test_models_score_a_library_once(spark):
+    """What scores the rows runs in one pass, though they are ranked by a sort that looks at its input twice."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    df = spark.range(500).selectExpr("cast(id as string) solvent_name", "cast(id % 9 as double) score").mapInPandas(count, "solvent_name string, score double")
+    assert score.rank_all(df).count() == 500 and seen.value == 500
 
 
 def test_top_rank_keeps_k_rows_per_task(spark):
@@ -196,3 +216,69 @@ def test_scoring_a_library_is_one_projection(spark):
     prepared = screening.prepare_library(library(spark), trained.training.preparation)
     plan = screening.predict(prepared, trained.best, trained.training.features, ["solvent_name"])._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
+
+
+def measured(spark, rows, folds=5):
+    rng = np.random.default_rng(rows)
+    x = rng.normal(size=(rows, 2))
+    y = 2 + x @ [1.0, -0.5] + rng.normal(size=rows) / 20
+    data = [(i, f"e{i}", float(a), float(b), float(t)) for i, ((a, b), t) in enumerate(zip(x, y, strict=True))]
+    df = spark.createDataFrame(data, "row_id bigint, solvent_name string, LogP double, Density double, yield_pct double")
+    return training.prepare_training(df, targets=["yield_pct"])
+
+
+def test_leave_one_out_of_many_rows(spark):
+    """No fit per row is made, kept or joined for models that need none."""
+    rows = 20_000
+    df = spark.range(rows).select(
+        F.col("id").alias("row_id"), F.concat(F.lit("e"), "id").alias("solvent_name"), F.rand(1).alias("LogP"), F.rand(2).alias("Density")
+    ).withColumn("yield_pct", F.col("LogP") * 3 - F.col("Density") + F.rand(3) / 10)
+    trained = training.train(training.prepare_training(df, targets=["yield_pct"]), ["Ridge", "Linear Regression"], "LOOCV")
+    assert trained.oof.count() == 2 * rows and trained.oof.where("yhat_cv is null").count() == 0
+    assert trained.best["yield_pct"].cv_r2 > 0.85
+    plan = trained.oof._jdf.queryExecution().optimizedPlan().toString()
+    assert "map_from_entries" not in plan
+    trained.release()
+
+
+def test_kernel_models_beyond_the_landmarks_are_screened(spark):
+    trained = training.train(measured(spark, 260), ["Gaussian Process", "SVR"], "5-Fold CV")
+    assert {r["status"] for r in trained.scores.collect()} == {"ok"} and trained.best["yield_pct"].cv_r2 > 0.7
+    library = spark.createDataFrame([("new", 0.1, 0.2), ("gap", None, 0.2)], "solvent_name string, LogP double, Density double")
+    assert screening.screen(trained, library).count() == 2
+    trained.release()
+
+
+def test_nothing_fitted_raises(spark, monkeypatch):
+    monkeypatch.setattr(training.trees, "tree_out_of_fold", lambda *a, **k: 1 / 0)
+    with pytest.raises(ValueError, match="no model could be fitted"):
+        training.train(measured(spark, 12), ["Random Forest"], "5-Fold CV")
+
+
+@pytest.mark.parametrize("model", ["Ridge", "Polynomial Regression", "SVR", "Random Forest"])
+def test_the_chosen_model_is_explained(spark, model):
+    trained = training.train(measured(spark, 40), [model], "5-Fold CV", tree_options={"random_forest": {"numTrees": 5, "maxDepth": 4}})
+    frame, features = trained.training.frame, trained.training.features
+    shap = screening.explain(trained, "yield_pct", keep=["row_id"])
+    unbounded = screening.predict(frame, trained.best, features, ["row_id"])
+    both = shap.join(unbounded, "row_id").collect()
+    assert len(both) == 40
+    for r in both:
+        assert r["base"] + sum(r[f"phi_{c}"] for c in features) == pytest.approx(r["yield_pct_Prediction"], abs=0.051)
+
+
+def test_boosting_falls_back_to_forests(spark):
+    trained = training.train(measured(spark, 30), ["XGBoost"], "5-Fold CV", tree_options={"random_forest": {"numTrees": 3, "maxDepth": 3}}, boosting="random_forest")
+    assert trained.best["yield_pct"].fitted_as == "random_forest"
+
+
+def test_positions_per_target(spark):
+    got = {(r["target"], r["solvent_name"]): r["position"] for r in views.measured_positions(experiment(spark), ["u", "s"], "solvent_name", 2).collect()}
+    assert got == {("u", "control"): 1, ("u", " A "): 2, ("s", "control"): 1, ("s", " A "): 2}
+
+
+def test_result_table(spark):
+    df = ranked(spark).withColumn("SMILES", F.when(F.col("solvent_name") == "A", "C"))
+    shown = screening.result_table(df)
+    assert shown.columns[:2] == ["solvent_name", "Structure"] and "SMILES" not in shown.columns
+    assert all(r["Overall_Compatibility"].endswith("%") for r in shown.collect())

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from assaysieve.operators import catalogue as catalogue_ops
 from assaysieve.operators import roles as R
 from assaysieve.plans.catalogue_build import build_catalogue
 from assaysieve.sources import files, lists, responses
@@ -69,7 +70,7 @@ def test_responses(spark):
     e, b = rows["Ethanol"], rows["Bare"]
     assert (e["PubChem_CID"], e["SMILES"], e["Molecular_Weight"], e["XLogP"]) == (702, "CCO", 46.07, -0.1)
     assert (b["PubChem_CID"], b["XLogP"], b["Molecular_Weight"], b["Topological_Polar_Surface_Area"], b["IUPACName"]) == (None, None, 0.0, 0.0, "")
-    assert {(r["entity"], r["attempt"], r["reason"]) for r in rejected.collect()} == {("Gone", 1, "not found"), ("Down", 2, "failed")}
+    assert {(r["entity"], r["attempt"], r["reason"]) for r in rejected.collect()} == {("Gone", 1, "not found"), ("Down", 2, "failed"), ("Late", 4, "too many attempts")}
 
 
 def test_catalogue_build(spark):
@@ -132,7 +133,7 @@ def test_controls_and_tags(spark):
 def test_labels(spark):
     df = spark.createDataFrame([(1.0, 120.0, 3)], "Molecular_Weight double, Concentration double, my_value int")
     labelled = R.with_labels(df).schema
-    assert labelled["Molecular_Weight"].metadata == {"label": "MW (g/mol)", "format": "%.2f", "help": "Molecular Weight"}
+    assert labelled["Molecular_Weight"].metadata == {"label": "MW (g/mol)", "format": "%.2f"}
     assert labelled["my_value"].metadata["label"] == "my value"
     assert R.range_violations(df).count() == 1
 
@@ -144,3 +145,33 @@ def test_small_column_rules(spark):
     assert R.add_constant(df, "new").select("new").first()[0] == 0.0
     nan = spark.createDataFrame([(float("nan"),)], "f double")
     assert R.nan_as_null(nan).where(F.col("f").isNull()).count() == 1
+
+
+def test_each_file_has_its_own_encoding(spark, tmp_path):
+    for name, text, encoding in (("a", "n,v\nCafé,1\n", "utf-8"), ("b", "n,v\nThé,2\n", "latin-1"), ("c d", "n,v\nÖl,3\nEis,4\n", "utf-16"), ("e", "n,v\nNA,n/a\n", "utf-8")):
+        (tmp_path / f"{name}.csv").write_bytes(text.encode(encoding))
+    want = {("Café", 1), ("Thé", 2), ("Öl", 3), ("Eis", 4), (None, None)}
+    assert {tuple(r) for r in files.read_csv(spark, str(tmp_path)).collect()} == want
+    assert {tuple(r) for r in files.read_csv(spark, str(tmp_path), "n string, v int").collect()} == want
+
+
+def test_first_catalogue_row_is_first_in_file_order(spark, tmp_path):
+    """Spark reads the larger file first; the row that counts is that of the file which comes first by name."""
+    for name, rows in (("a", 1), ("b", 200_000)):
+        spark.range(rows).select(F.lit("x").alias("solvent_name"), F.lit(name).alias("v"), "id").coalesce(1).write.parquet(str(tmp_path / "t" / name))
+    catalogue = spark.read.option("recursiveFileLookup", True).parquet(str(tmp_path / "t"))
+    names = spark.createDataFrame([("X",)], "solvent_name string")
+    assert catalogue_ops.lookup(names, catalogue).select("v", "id").collect() == [("a", 0)]
+    only_b = spark.read.parquet(str(tmp_path / "t" / "b"))
+    assert catalogue_ops.fill_gaps(names.withColumn("solvent_name", F.lit("x")), only_b, "solvent_name").select("v", "id").collect() == [("b", 0)]
+    # A frame that is not read from files is taken in its own order.
+    made = spark.range(10, 13).select(F.lit("x").alias("solvent_name"), "id").coalesce(1)
+    assert catalogue_ops.lookup(names, made).first()["id"] == 10
+
+
+def test_every_entity_is_accepted_or_rejected(spark):
+    rows = [("a", 1, 500, "x"), ("a", 5, 200, "x"), ("late", 4, 200, "x"), ("late", 6, 404, "x"), ("none", None, None, None), ("ok", 3, 200, "x")]
+    latest = responses.latest_attempts(spark.createDataFrame(rows, "entity string, attempt int, status int, body string"))
+    accepted, rejected = responses.route(latest)
+    assert [r["entity"] for r in accepted.collect()] == ["ok"]
+    assert {(r["entity"], r["attempt"], r["reason"]) for r in rejected.collect()} == {("a", 1, "failed"), ("late", 4, "too many attempts"), ("none", None, "failed")}
