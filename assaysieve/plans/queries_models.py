@@ -148,40 +148,41 @@ def loocv_metrics(spark, folder):
 
 
 _EXPERIMENTS_SQL = _LONG + """,
+typed AS (SELECT l.*, t.p_type FROM long l JOIN train t USING (p_partkey)),
 spec AS (SELECT * FROM (VALUES ('Linear Regression', CAST(0 AS DOUBLE)), ('Ridge', CAST(1 AS DOUBLE))) AS t(model, a)),
-full_fit AS (SELECT p_brand, target, model, avg(x) AS mx, avg(y) AS my, covar_pop(x, y) * count(*) / (covar_pop(x, x) * count(*) + a) AS s
-             FROM long, spec GROUP BY p_brand, target, model, a),
-fold_fit AS (SELECT l.p_brand, f.fold, l.target, model, avg(x) AS mx, avg(y) AS my, covar_pop(x, y) * count(*) / (covar_pop(x, x) * count(*) + a) AS s
-             FROM (SELECT DISTINCT p_brand, fold FROM long) f JOIN long l ON l.p_brand = f.p_brand AND l.fold <> f.fold, spec
-             GROUP BY l.p_brand, f.fold, l.target, model, a),
+full_fit AS (SELECT p_type, target, model, avg(x) AS mx, avg(y) AS my, covar_pop(x, y) * count(*) / (covar_pop(x, x) * count(*) + a) AS s
+             FROM typed, spec GROUP BY p_type, target, model, a),
+fold_fit AS (SELECT l.p_type, f.fold, l.target, model, avg(x) AS mx, avg(y) AS my, covar_pop(x, y) * count(*) / (covar_pop(x, x) * count(*) + a) AS s
+             FROM (SELECT DISTINCT p_type, fold FROM typed) f JOIN typed l ON l.p_type = f.p_type AND l.fold <> f.fold, spec
+             GROUP BY l.p_type, f.fold, l.target, model, a),
 oof AS (SELECT l.*, a.model, a.my + a.s * (x - a.mx) AS yhat_train, k.my + k.s * (x - k.mx) AS yhat_cv
-        FROM long l JOIN full_fit a USING (p_brand, target) JOIN fold_fit k ON k.p_brand = l.p_brand AND k.target = l.target AND k.fold = l.fold AND k.model = a.model),
-scores AS (SELECT p_brand, target, model, count(*) AS n, 1 - sum((y - yhat_train) * (y - yhat_train)) / (var_pop(y) * count(*)) AS train_r2,
+        FROM typed l JOIN full_fit a USING (p_type, target) JOIN fold_fit k ON k.p_type = l.p_type AND k.target = l.target AND k.fold = l.fold AND k.model = a.model),
+scores AS (SELECT p_type, target, model, count(*) AS n, 1 - sum((y - yhat_train) * (y - yhat_train)) / (var_pop(y) * count(*)) AS train_r2,
   1 - sum((y - yhat_cv) * (y - yhat_cv)) / (var_pop(y) * count(*)) AS cv_r2, sqrt(avg((y - yhat_cv) * (y - yhat_cv))) AS cv_rmse
-  FROM oof GROUP BY p_brand, target, model)
+  FROM oof GROUP BY p_type, target, model)
 """
 
 
 def _experiments(spark, folder):
-    """A brand is an experiment."""
-    return experiments.train_experiments(_folded(spark, folder), ["size"], TARGETS, ["p_brand"], ["Linear Regression", "Ridge"], "p_partkey", fold=F.col("fold"))
+    """A type of part is an experiment."""
+    return experiments.train_experiments(_folded(spark, folder), ["size"], TARGETS, ["p_type"], ["Linear Regression", "Ridge"], "p_partkey", fold=F.col("fold"))
 
 
-@query("experiment_scores", _EXPERIMENTS_SQL + "SELECT p_brand, target, model, n, round(cv_r2, 4) AS cv_r2, round(cv_rmse, 4) AS cv_rmse FROM scores")
+@query("experiment_scores", _EXPERIMENTS_SQL + "SELECT p_type, target, model, n, round(cv_r2, 4) AS cv_r2, round(cv_rmse, 4) AS cv_rmse FROM scores")
 def experiment_scores(spark, folder):
-    return rounded(_experiments(spark, folder).scores.select("p_brand", "target", "model", "n", "cv_r2", "cv_rmse"), "cv_r2", "cv_rmse", digits=4)
+    return rounded(_experiments(spark, folder).scores.select("p_type", "target", "model", "n", "cv_r2", "cv_rmse"), "cv_r2", "cv_rmse", digits=4)
 
 
 @query("experiment_predictions", _EXPERIMENTS_SQL + """,
-best AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY p_brand, target ORDER BY
+best AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY p_type, target ORDER BY
   CASE WHEN train_r2 - cv_r2 > 0.4 AND cv_r2 < 0.5 THEN 1 ELSE 0 END, cv_r2 DESC, model) = 1),
-library AS (SELECT p_partkey, p_brand, CAST(p_size AS DOUBLE) AS x FROM part)
+library AS (SELECT p_partkey, p_type, CAST(p_size AS DOUBLE) AS x FROM part)
 SELECT p_partkey, b.target, b.model, round(my + s * (x - mx), 4) AS prediction, round(1.96 * cv_rmse, 4) AS half_width
-FROM library l JOIN best b USING (p_brand) JOIN full_fit f ON f.p_brand = b.p_brand AND f.target = b.target AND f.model = b.model""")
+FROM library l JOIN best b USING (p_type) JOIN full_fit f ON f.p_type = b.p_type AND f.target = b.target AND f.model = b.model""")
 def experiment_predictions(spark, folder):
-    library = table(spark, folder, "part").select("p_partkey", "p_brand", F.col("p_size").cast("double").alias("size"))
+    library = table(spark, folder, "part").select("p_partkey", "p_type", F.col("p_size").cast("double").alias("size"))
     scored = experiments.screen_experiments(_experiments(spark, folder), library, ["p_partkey"])
-    return rounded(scored.drop("p_brand"), "prediction", "half_width", digits=4)
+    return rounded(scored.drop("p_type"), "prediction", "half_width", digits=4)
 
 
 @query("fold_sizes", """
