@@ -4,11 +4,14 @@ Benchmark items are taken in blocks of bounded size; each block is broadcast, ev
 its documents through it. One block is one pass without a shuffle; more blocks are more passes, whose hits are joined by text.
 """
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import StringType
 
 from assaysieve.llm.automaton import Scanner
 from assaysieve.llm.text import FOLD, folded_words, per_text
@@ -99,9 +102,13 @@ def matches(documents: DataFrame, items: DataFrame, text: str = "text", item_id:
     Null and empty texts have no words; null and empty items no windows. Repeated items are one id each; a null id reads
     "null". With no items at all every document has empty spans. A column that is called `out` is replaced, all others stay.
     """
+    return _matched(documents, _blocks(items, item_id, item_text, block_words), text, window, out)
+
+
+def _matched(documents: DataFrame, blocks: Iterable[tuple], text: str, window: int, out: str) -> DataFrame:
     spark = documents.sparkSession
-    blocks = [_scan(spark, ids, words, window) for ids, words in _blocks(items, item_id, item_text, block_words)]
-    first, *others = blocks or [_scan(spark, [], [], window)]
+    scans = [_scan(spark, ids, words, window) for ids, words in blocks]
+    first, *others = scans or [_scan(spark, [], [], window)]
     result = documents.withColumn(out, first(F.col(text)))
     if not others:
         return result
@@ -157,6 +164,11 @@ def _without(text: str | None, spans: list[dict]) -> str | None:
     return (b"".join(kept) + data[at:]).decode()
 
 
+@arrow_udf(returnType=StringType())
+def _cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
+    return pa.array([_without(t.as_py(), s.as_py() or []) for t, s in zip(texts, spans, strict=True)], pa.string())
+
+
 CLEANED = "kept boolean, text string"
 
 
@@ -178,13 +190,16 @@ def decontaminate(
     """The documents without benchmark passages: spans of `longest` or more words are cut from the text, and documents
     of which more than the share `coverage` is hit are removed. Texts without such spans stay as they are, null texts too.
     """
-    spark, kept = documents.sparkSession, documents
-    blocks = list(_blocks(items, item_id, item_text, block_words))
+    spark, blocks = documents.sparkSession, list(_blocks(items, item_id, item_text, block_words))
     if len(blocks) > 1:
-        # A document's share counts the hits of all blocks; spans are then cut block after block.
-        found = matches(documents, items, text, item_id, item_text, window, block_words, "_hits")
+        # Passages of items of different blocks may overlap or touch: all blocks' hits are merged before anything is cut.
+        found = _matched(documents, blocks, text, window, "_hits")
         hit = F.aggregate("_hits.spans", F.lit(0).cast("bigint"), lambda n, s: n + s["last"] - s["first"])
-        kept, coverage = found.where(hit <= coverage * F.col("_hits.n_words")).drop("_hits"), 1.0
+        cut = F.filter("_hits.spans", lambda s: s["last"] - s["first"] >= longest)
+        kept = found.where(hit <= coverage * F.col("_hits.n_words"))
+        touched = F.size(cut) > 0  # other texts do not travel to Python again
+        return kept.withColumn(text, F.when(touched, _cut(F.when(touched, F.col(text)), cut)).otherwise(F.col(text))).drop("_hits")
+    kept = documents
     for block in blocks:
         shared = spark.sparkContext.broadcast(block)
 

@@ -100,6 +100,20 @@ def test_passages_are_cut_and_copies_dropped(spark):
     assert decontaminate.decontaminate(documents, items.where("false")).count() == len(rows)
 
 
+def test_passages_of_different_blocks_are_cut_as_one(spark):
+    w = awkward.prose(21, 60).split()
+    short = awkward.prose(22, 12).split()
+    items = spark.createDataFrame([(1, " ".join(w[:12])), (2, " ".join(w[7:20])), (3, " ".join(w[30:42])), (4, " ".join(w[42:54])),
+                                   (5, " ".join(short[:6])), (6, " ".join(short[6:]))], ITEM).coalesce(1)
+    filler = awkward.prose(23, 60)
+    rows = [(1, " ".join(w[:20])), (2, " ".join(w[30:54])), (3, " ".join(short)), (4, " ".join(short[:6])), (5, "")]
+    documents = spark.createDataFrame([(i, f"{filler}; {t}. End") for i, t in rows] + [(6, None)], "doc_id bigint, text string")
+    want = {1: f"{filler}; . End", 2: f"{filler}; . End", 3: f"{filler}; . End", 4: f"{filler}; {rows[3][1]}. End", 5: f"{filler}; . End", 6: None}
+    for block_words in (1000, 14, 1):
+        got = decontaminate.decontaminate(documents, items, block_words=block_words)
+        assert got.columns == documents.columns and {r["doc_id"]: r["text"] for r in got.collect()} == want
+
+
 def test_licence_base_places(spark):
     rows = [(r[0], r[1]) for r in awkward.texts()] + [(50, "cc by cc-by CC  BY general public LICENSE all rights reserved by cc"), (51, "cc"), (52, "All rights reserved. all rights")]
     got = licences.digest(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
