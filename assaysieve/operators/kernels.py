@@ -1,8 +1,8 @@
 """Kernel regressors of any number of rows: Gaussian process and kernel ridge, from sums over landmarks.
 
-A model stands on at most `landmarks` rows of its experiment. The kernel between these and all rows is summed as products, per fold, like the
-sums of a linear fit: every row counts, memory is bounded by the landmarks, and the training side of a fold is the total minus the fold. An
-experiment with no more rows than landmarks is fitted exactly. Large experiments are summed in chunks, so that none becomes one task.
+A model stands on at most `landmarks` distinct feature vectors of its experiment. The kernel between these and all rows is summed as products, per
+fold, like the sums of a linear fit: every row counts, memory is bounded by the landmarks, and the training side of a fold is the total minus the
+fold. An experiment with no more distinct vectors than landmarks is fitted exactly, however many rows repeat them. Large experiments are summed in chunks, so that none becomes one task.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from assaysieve.functions.exprs import col
 from assaysieve.operators.linear import FULL, long_targets
 from assaysieve.operators.skew import fits_broadcast, lookup_join
 
-LANDMARKS = 200  # rows an experiment's models stand on: those of smallest feature hash
+LANDMARKS = 200  # distinct feature vectors an experiment's models stand on: those of smallest hash
 CHUNK_ROWS = 20_000
 MERGED = 64  # partial sums that one task adds up
 
@@ -152,7 +152,7 @@ def tasks_for(df: DataFrame, groups: int, rows: int, rows_per_task: int = 20_000
 def experiment_plans(long: DataFrame, groups: Sequence[str], features: Sequence[str], landmarks: int, chunk_rows: int) -> DataFrame:
     """One row per experiment: its landmarks, sums of its numbers, and the chunks its rows are dealt to.
 
-    Each task passes on no more than `landmarks` rows of an experiment, however many it has.
+    Equal vectors are one landmark; they are dealt by vector, and then each task passes on no more than `landmarks` of an experiment.
     """
     keys = [col(g) for g in groups]
     numbers = F.array(*[col(c).cast("double") for c in features])
@@ -161,7 +161,7 @@ def experiment_plans(long: DataFrame, groups: Sequence[str], features: Sequence[
         F.count("*").alias("_rows"), F.sum(sum((col(c).cast("double") for c in features), F.lit(0.0))).alias("_sx"),
         F.sum(sum(squares, F.lit(0.0))).alias("_sxx"),
     ).withColumn("_chunks", F.greatest(F.lit(1), F.ceil(F.col("_rows") / F.lit(chunk_rows))).cast("int"))
-    chosen = long.select(*keys, numbers.alias("_x")).withColumn("_i", F.row_number().over(
+    chosen = long.select(*keys, numbers.alias("_x")).distinct().withColumn("_i", F.row_number().over(
         Window.partitionBy(*keys).orderBy(F.xxhash64("_x"), F.col("_x")))).where(F.col("_i") <= landmarks)
     points = chosen.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("_i", "_x"))), lambda s: s["_x"]).alias("_points"))
     return sizes.join(points, list(groups))

@@ -254,6 +254,27 @@ def test_experiments_of_any_size_get_models(spark, rows):
     assert oof.count() == 2 * rows and oof.where("yhat_cv is null").count() == 0
 
 
+def test_replicates_beyond_the_landmarks_are_fitted_exactly(spark):
+    """Rows of few distinct settings: one landmark per setting gives the model of all rows, for single features and hot settings too."""
+    rng = np.random.default_rng(4)
+    x = np.repeat(rng.normal(size=(40, 3)), [5] * 39 + [200], axis=0)
+    y = x @ [1.0, -2.0, 0.5] + np.sin(x[:, 0]) + rng.normal(size=len(x)) / 10
+    df = frame(spark, x, y)
+    names = list(kernels.KERNEL_MODELS)
+    for r in kernels.fit_kernels(df, FEATURES, ["y1"], names, landmarks=60, chunk_rows=100).collect():
+        exact, fit = kernels.fit_rows(r["model"], x, y), kernels.unpack(r)
+        assert (r["status"], r["n"], r["m"]) == ("ok", len(x), 40)
+        for got, want in zip(kernels.kernel_predict(fit, x), kernels.kernel_predict(exact, x), strict=True):
+            assert got is want is None or got == pytest.approx(want, abs=1e-5)
+    single = {r["model"]: r for r in kernels.fit_kernels(df, ["a"], ["y1"], names, landmarks=60).collect()}
+    assert {r["m"] for r in single.values()} == {40}
+    folds = np.arange(len(x)) % 5
+    for r in kernels.kernel_out_of_fold(df, FEATURES, ["y1"], ["kernel_ridge"], "fold", "row_id", landmarks=60, chunk_rows=100).where("row_id < 10").collect():
+        keep = folds != r["fold"]
+        refit = kernels.fit_rows(r["model"], x[keep], y[keep], gamma_of_all(r["model"], x))
+        assert r["yhat_cv"] == pytest.approx(kernels.kernel_predict(refit, x[r["row_id"]:r["row_id"] + 1])[0][0], abs=1e-5)
+
+
 def gamma_of_all(name, x):
     return kernels.gamma_of(name, x.shape[1], len(x), x.sum(), (x * x).sum())
 
