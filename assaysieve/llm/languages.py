@@ -15,9 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assaysieve.llm import sites
-from assaysieve.llm.text import per_text
+from assaysieve.llm.text import per_text, pieces
 
-SAMPLE_ROWS = 4_000  # labelled texts that the n-gram model is fitted on: those of smallest hash
+SAMPLE_ROWS = 4_000  # distinct labelled texts per language that the n-gram model is fitted on: all, or about so many dealt by hash
+POOLED = 0.03  # share of the n-grams of all languages in each one's: what no language has seen favours none, however few texts one has
 BUCKETS = 1 << 16  # hashed n-grams of the model
 TEMPER = 4.0  # n-grams overlap and depend on each other: so many count as one
 HOST_ROWS, DOMAIN_ROWS = 5.0, 20.0  # rows that the domain weighs against a host, and all rows against a domain
@@ -65,25 +66,31 @@ def _count(batches):
     for batch in batches:
         frame = batch.to_pandas()
         for lang, own in frame.groupby("_lang"):
-            counts = np.bincount(buckets(own["_text"].tolist())[0], minlength=BUCKETS)
+            counts = sum(np.bincount(buckets(piece.to_pylist())[0], minlength=BUCKETS) for piece in pieces(pa.array(own["_text"], pa.string())))
             used = np.flatnonzero(counts)
             yield pa.RecordBatch.from_pydict({"lang": [lang] * len(used), "bucket": used, "n": counts[used]},
                                              schema=pa.schema([("lang", pa.string()), ("bucket", pa.int64()), ("n", pa.int64())]))
 
 
 def fit(documents: DataFrame, text: str = "text", lang: str = "lang", sample_rows: int = SAMPLE_ROWS) -> tuple[list[str], np.ndarray]:
-    """Languages, and log-probabilities of n-gram buckets per language, from at most `sample_rows` labelled texts.
+    """All languages of the labelled rows, and log-probabilities of n-gram buckets per language.
 
-    Rows with a null text or language are left out. Without any, there are no languages and every result is null.
+    N-grams are counted over distinct texts, so copies weigh nothing: all texts of a language that has at most `sample_rows`, else about as many,
+    dealt by hash. Rows with a null text or language are left out. Without any, there are no languages and every result is null.
     """
     labelled = documents.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("_lang"), F.col(text).alias("_text"))
-    chosen = labelled.select(F.xxhash64("_text", "_lang").alias("_h")).orderBy("_h").limit(sample_rows).agg(F.max("_h")).first()[0]
-    sample = labelled.where(F.xxhash64("_text", "_lang") <= F.lit(chosen)) if chosen is not None else labelled
+    hashed = labelled.withColumn("_h", F.xxhash64("_text"))
+    sizes = hashed.select("_lang", "_h").distinct().groupBy("_lang").agg(F.count("*").alias("_n")).orderBy("_lang").collect()
+    langs = sorted(r["_lang"] for r in sizes)
+    shares = documents.sparkSession.createDataFrame([(r["_lang"], sample_rows / r["_n"]) for r in sizes], "_lang string, _share double")
+    inside = F.shiftrightunsigned("_h", 11) < F.col("_share") * float(1 << 53)
+    sample = hashed.join(F.broadcast(shares), "_lang").where(inside).select("_lang", "_text").distinct()
     rows = sample.mapInArrow(_count, "lang string, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    langs = sorted(rows["lang"].unique())
     counts = np.zeros((BUCKETS, len(langs)))
     counts[rows["bucket"].to_numpy(int), [langs.index(x) for x in rows["lang"]]] = rows["n"].to_numpy(float)
-    return langs, np.log((counts + 0.5) / (counts.sum(0) + 0.5 * BUCKETS))
+    pooled = (counts.sum(1, keepdims=True) + 0.5) / (counts.sum() + 0.5 * BUCKETS)
+    own = np.where(counts.sum(0) > 0, counts / np.maximum(counts.sum(0), 1), pooled)
+    return langs, np.log((1 - POOLED) * own + POOLED * pooled)
 
 
 def host_of(url: Column) -> Column:

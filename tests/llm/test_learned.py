@@ -123,6 +123,26 @@ def test_languages_on_held_out_texts(spark):
     assert got.where("detected = lang").count() > 0.97 * got.count()
 
 
+def test_rare_languages_and_hot_texts(spark):
+    """One labelled row in 10,000 makes a language; copies of one text count once, and unseen letters do not fall to the rare language."""
+    words = {"en": "the house stands near the river and they walk", "fr": "la maison près de la rivière où nous marchons"}
+    rng = random.Random(6)
+    rare = "talo seisoo joen lähellä ja me kävelemme kotiin"
+    rows = [(k, " ".join(rng.choices(v.split(), k=12))) for k, v in words.items() for _ in range(4999)] + [("fi", rare)]
+    hot = [("en", words["en"] + " hot")] * 5000
+    train = spark.createDataFrame(rows + hot, "lang string, text string").repartition(4)
+    once = spark.createDataFrame(rows + hot[:1], "lang string, text string").repartition(4)
+    model, alone = languages.fit(train, sample_rows=300), languages.fit(once, sample_rows=300)
+    assert model[0] == ["en", "fi", "fr"] and np.array_equal(model[1], alone[1])
+    pages = [(1, None, f"<p>{rare}</p>"), (2, None, "<html lang='fi'><p>12</p>"), (3, "https://a.example.fi", "<p>1</p>"), (4, None, "<p>joen lähellä me seisoo</p>"),
+             (5, None, "<p>ξψω жщю xqz wvq kjx</p>")]
+    pages += [(10 + i, None, f"<p>{t}</p>") for i, (_, t) in enumerate(rows[::500][:20])]
+    got = languages.identify(spark.createDataFrame(pages, "page_id int, url string, html string"), model, "html", address="url", markup=True)
+    found = {r["page_id"]: r["detected"] for r in got.collect()}
+    assert [found[i] for i in (1, 2, 3, 4)] == ["fi"] * 4 and found[5] != "fi"
+    assert [found[10 + i] for i in range(20)] == [k for k, _ in rows[::500][:20]]
+
+
 def test_languages_fuse_evidence(spark):
     words = {"en": "the house stands near the river and they walk", "fr": "la maison près de la rivière où nous marchons", "de": "das haus steht nahe dem fluss und wir gehen"}
     train = spark.createDataFrame([(k, " ".join(random.Random(i).sample(v.split(), 6))) for k, v in words.items() for i in range(60)], "lang string, text string")
