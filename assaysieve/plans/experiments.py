@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,17 +58,19 @@ def train_experiments(
     return Experiments(by, features, scores, best, linear_fits, kernel_fits)
 
 
-def screen_experiments(trained: Experiments, library: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """Every library row with the prediction of its experiment's best model per target and the half-width of its interval, long form.
+def screen_experiments(trained: Experiments, library: DataFrame, keep: Sequence[str], unmatched: bool = False) -> DataFrame:
+    """Library rows with the prediction of their experiment's best model per target and the half-width of its interval, long form.
 
-    The library has the columns that tell experiments apart. Models meet rows in measured or salted joins.
+    The library has the columns that tell experiments apart. Models meet rows in measured or salted joins. Rows of an experiment without any
+    usable model, or of a null one, are left out; with `unmatched` each has one row, with null target, model, prediction and half_width.
     """
     by, features, keep = trained.by, trained.features, list(keep)
     chosen = trained.best.select(*[col(k) for k in by], "target", "model", "cv_rmse").persist()
-    out = []
+    out, usable = [], []
     if trained.linear_fits is not None:
         packed = trained.linear_fits.join(chosen, [*by, "target", "model"]).groupBy(*[col(k) for k in by]).agg(
             F.collect_list(F.struct("target", "model", "intercept", "weights", "cv_rmse")).alias("_fits"))
+        usable.append(packed.select(*[col(k) for k in by]))
         met = lookup_join(library, packed, by, "inner").withColumn("_m", F.explode("_fits"))
         models = [m for m, s in linear.LINEAR_MODELS.items()]
         value = linear.spec_value(features, models, F.col("_m.model"), F.col("_m.intercept"), F.col("_m.weights"))
@@ -75,8 +78,15 @@ def screen_experiments(trained: Experiments, library: DataFrame, keep: Sequence[
                               (F.lit(Z95) * F.col("_m.cv_rmse")).alias("half_width")))
     if trained.kernel_fits is not None:
         fits = trained.kernel_fits.join(chosen.drop("cv_rmse"), [*by, "target", "model"])
+        usable.append(fits.select(*[col(k) for k in by]))
         scored = kernels.score_kernels(library, fits, features, keep, by).where("model is not null")
         errors = lookup_join(scored, chosen.drop("model"), [*by, "target"], "left")
         width = F.when(F.col("model") == "gaussian_process", F.lit(Z95) * F.col("deviation")).otherwise(F.lit(Z95) * F.col("cv_rmse"))
         out.append(errors.select(*[col(k) for k in dict.fromkeys([*by, *keep])], "target", "model", "prediction", width.alias("half_width")))
-    return out[0] if len(out) == 1 else out[0].unionByName(out[1])
+    if unmatched:
+        known = reduce(DataFrame.unionByName, usable).distinct().withColumn("_known", F.lit(True))
+        without = lookup_join(library, known, by, "left").where(F.col("_known").isNull())
+        kinds = dict(out[0].dtypes)
+        nothing = [F.lit(None).cast(kinds[c]).alias(c) for c in ("target", "model", "prediction", "half_width")]
+        out.append(without.select(*[col(k) for k in dict.fromkeys([*by, *keep])], *nothing))
+    return reduce(DataFrame.unionByName, out)

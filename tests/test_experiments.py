@@ -50,6 +50,18 @@ def test_every_row_is_scored_by_its_experiments_best_model(spark):
     assert np.corrcoef([values[k] for k in truth], list(truth.values()))[0, 1] > 0.95
 
 
+def test_rows_without_a_model_can_be_kept(spark):
+    df = table(spark)
+    trained = train_experiments(df, FEATURES, ["y"], ["g"], ["Ridge", "SVR"], "name")
+    more = df.limit(2)
+    library = df.unionByName(more.withColumn("g", F.lit("unknown"))).unionByName(more.withColumn("g", F.lit(None).cast("string")))
+    rows = screen_experiments(trained, library, ["name"], unmatched=True).collect()
+    assert len(rows) == library.count() == 76
+    for r in rows:
+        values = (r["target"], r["model"], r["prediction"], r["half_width"])
+        assert all(v is None for v in values) if r["g"] in ("unknown", None) else None not in values
+
+
 def test_trees_are_for_one_experiment(spark):
     with pytest.raises(ValueError):
         train_experiments(table(spark), FEATURES, ["y"], ["g"], ["Random Forest"], "name")
