@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from assaysieve.llm import bpe, decontaminate, extraction, languages, licences, quality, repeats, rules, secrets, simhash
+from assaysieve.llm import bpe, decontaminate, extraction, languages, licences, quality, repeats, rules, secrets, simhash, vector_links
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -66,6 +66,21 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)"""
 
+NEAR_VECTORS_SQL = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, label, CAST(embedding AS DOUBLE[]) AS x,
+         coalesce(label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = len(embedding)
+                  AND len(list_filter(embedding, lambda c: c <> 0)) > 0, false) AS usable FROM embeddings),
+links AS MATERIALIZED (
+  SELECT p.r AS a, q.r AS b, q.vec_id FROM v AS p JOIN v AS q ON p.label = q.label AND len(p.x) = len(q.x) AND p.r <> q.r
+  WHERE p.usable AND q.usable AND list_cosine_similarity(p.x, q.x) >= 0.93),
+reach(a, b) AS (
+  SELECT r, r FROM v UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least AS (SELECT reach.a, min(v.vec_id) AS component_id FROM reach JOIN v ON reach.b = v.r GROUP BY reach.a),
+n AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, component_id, coalesce(vec_id = component_id, false) AS kept
+FROM v JOIN least ON v.r = least.a LEFT JOIN n ON v.r = n.a"""
+
 
 @query("op1_substring_dedup", REPEATS_SQL)
 def substring_dedup(spark, folder):
@@ -115,3 +130,8 @@ def licence_scan(spark, folder):
 @query("op10_language_id")
 def language_id(spark, folder):
     return languages.digest(table(spark, folder, "documents"), table(spark, folder, "pages"))
+
+
+@query("op11_vector_links", NEAR_VECTORS_SQL)
+def near_vectors(spark, folder):
+    return vector_links.near_copies(table(spark, folder, "embeddings"))
