@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from assaysieve.llm import bpe, decontaminate, extraction, languages, licences, quality, repeats, rules, secrets, simhash, vector_links
+from assaysieve.llm import bpe, decontaminate, extraction, languages, licences, quality, repeats, rules, secrets, simhash, vector_links, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -135,3 +135,8 @@ def language_id(spark, folder):
 @query("op11_vector_links", NEAR_VECTORS_SQL)
 def near_vectors(spark, folder):
     return vector_links.near_copies(table(spark, folder, "embeddings"))
+
+
+@query("op12_whitening")
+def whitened_vectors(spark, folder):
+    return whitening.whiten(table(spark, folder, "embeddings"))

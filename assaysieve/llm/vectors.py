@@ -10,6 +10,7 @@ from pyspark.sql.functions import arrow_udf
 
 STEPS = 256  # steps of one when entries become whole numbers
 LARGEST = float(1 << 53)  # whole entries beyond this are taken as not finite
+STEP_KINDS = ("<i1", "<i2", "<i4", "<i8")
 _CHUNK = 1 << 22  # entries handled at once
 
 
@@ -65,19 +66,56 @@ def float_bytes(vector: Column) -> Column:
     return _bytes_of(change)(vector)
 
 
-def step_bytes(vector: Column) -> Column:
-    """A vector's whole numbers floor(256 * c) as little-endian 64-bit numbers; null if it is null, empty or has a null or non-finite entry.
+def narrowest(numbers: np.ndarray) -> np.dtype:
+    """The smallest kind of whole number that holds all of these."""
+    low, high = (int(numbers.min()), int(numbers.max())) if numbers.size else (0, 0)
+    return next(np.dtype(k) for k in STEP_KINDS if np.iinfo(k).min <= low and high <= np.iinfo(k).max)
 
-    An entry whose whole number lies beyond 2^53 counts as not finite.
-    """
 
-    def change(places, rows):
+def _step_rows(vectors: pa.Array) -> pa.Array:
+    count = len(vectors)
+    sizes: list[int | None] = [None] * count
+    out: list[bytes | None] = [None] * count
+    for places, rows in _whole_rows(vectors):
         with np.errstate(over="ignore"):
             steps = np.floor(rows * STEPS)
         fits = (np.abs(steps) <= LARGEST).all(1)
-        return places[fits], steps[fits].astype("<i8")
+        places, steps = places[fits], steps[fits].astype(np.int64)
+        largest = np.maximum(steps.max(1), -1 - steps.min(1)) if places.size else np.zeros(0, np.int64)
+        kinds = np.searchsorted([np.iinfo(k).max for k in STEP_KINDS], largest)
+        for kind in np.unique(kinds).tolist():
+            which = np.flatnonzero(kinds == kind)
+            data, width = steps[which].astype(STEP_KINDS[kind]).tobytes(), steps.shape[1] * np.dtype(STEP_KINDS[kind]).itemsize
+            for n, place in enumerate(places[which].tolist()):
+                sizes[place], out[place] = steps.shape[1], data[n * width:(n + 1) * width]
+    return pa.StructArray.from_arrays([pa.array(sizes, pa.int32()), pa.array(out, pa.binary())], ["size", "x"])
+
+
+def steps(vector: Column) -> Column:
+    """A vector's whole numbers floor(256 * c): a struct of their number `size` and `x`, their bytes in the smallest kind that holds them all.
+
+    Both are null if the vector is null, empty or has a null or non-finite entry; an entry whose whole number lies beyond 2^53 counts as such.
+    Equal whole numbers have equal bytes.
+    """
 
-    return _bytes_of(change)(vector)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for vectors in batches:
+            yield _step_rows(vectors)
+
+    return arrow_udf(run, returnType="size int, x binary")(vector)
+
+
+def step_matrix(column: pa.Array | pa.ChunkedArray, size: int) -> np.ndarray:
+    """Bytes of `steps`, all of `size` numbers, as rows of 64-bit numbers."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    out = np.zeros((len(column), size), np.int64)
+    width = pc.binary_length(column).to_numpy(zero_copy_only=False)
+    for kind in STEP_KINDS:
+        which = np.flatnonzero(width == size * np.dtype(kind).itemsize)
+        if which.size:
+            out[which] = matrix(column.take(pa.array(which)), kind)
+    return out
 
 
 def matrix(column: pa.Array | pa.ChunkedArray, dtype: str) -> np.ndarray:
