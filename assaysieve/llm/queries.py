@@ -4,8 +4,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from assaysieve.llm import bpe, decontaminate, extraction, languages, licences, quality, repeats, rules, secrets, simhash, vector_links, whitening
+from assaysieve.llm import bpe, decontaminate, extraction, hard_negatives, languages, licences, quality, repeats, rules, secrets, simhash, vector_links, whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,6 +82,25 @@ n AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
 SELECT vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, component_id, coalesce(vec_id = component_id, false) AS kept
 FROM v JOIN least ON v.r = least.a LEFT JOIN n ON v.r = n.a"""
 
+HARD_NEGATIVES_SQL = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(CAST(embedding AS DOUBLE[]), lambda c: floor(256 * c)) AS x
+  FROM embeddings WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = len(embedding)),
+pairs AS MATERIALIZED (
+  SELECT a.r AS anchor, a.vec_id AS anchor_id, b.r, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+  FROM v AS a JOIN v AS b ON a.r <> b.r AND len(a.x) = len(b.x) WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor, anchor_id, vec_id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id) AS turn
+  FROM pairs WHERE same QUALIFY turn <= 5),
+negatives AS (
+  SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+         row_number() OVER (PARTITION BY anchor, turn ORDER BY score DESC, vec_id) AS rank
+  FROM positives JOIN pairs USING (anchor, anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+  QUALIFY rank <= 10)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM negatives"""
+
 
 @query("op1_substring_dedup", REPEATS_SQL)
 def substring_dedup(spark, folder):
@@ -140,3 +160,10 @@ def near_vectors(spark, folder):
 @query("op12_whitening")
 def whitened_vectors(spark, folder):
     return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+@query("op13_hard_negatives", HARD_NEGATIVES_SQL)
+def mined_negatives(spark, folder):
+    vectors = table(spark, folder, "embeddings")
+    turned = vectors.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(turned, F.col("vec_id") % 100 == 0)
