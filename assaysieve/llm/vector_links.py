@@ -25,6 +25,7 @@ from assaysieve.session import scratch_path
 
 THRESHOLD = 0.93
 CELL_ROWS = 4096  # nodes of a label for each of its pivots
+PACKS = 8  # places for every so many rows that small labels share
 PIVOTS = 1024  # pivots of a label at most; cells beyond SLICE_ROWS are dealt in slices
 PIVOT_SAMPLE = 8192  # nodes from which the pivots are chosen; any choice gives the same links
 SLICE_ROWS = 32_768
@@ -164,7 +165,7 @@ def _members(nodes: DataFrame, threshold: float, cell_rows: int, sample: int, dt
     spark = nodes.sparkSession
     kinds = nodes.groupBy("label", F.octet_length("vector").alias("size")).agg(F.count("*").alias("rows")).checkpoint()
     total, largest, most = kinds.agg(F.sum("rows"), F.max("rows"), F.max_by("size", F.struct("rows", "size"))).first()
-    packs = max(1, math.ceil((total or 0) / cell_rows))
+    packs = max(1, math.ceil((total or 0) / cell_rows * PACKS))
     kind = F.xxhash64("label", F.octet_length("vector"))
     shared = F.pmod(kind, F.lit(packs))
     if (largest or 0) <= cell_rows:
