@@ -20,26 +20,25 @@ class ModelChoice(NamedTuple):
     family: str
 
 
-# What is fitted for each model name. Boosting packages share one boosted-tree slot; the kernel
-# machine's slot holds kernel ridge; every unknown name falls back to least squares.
+# What is fitted for each model name. The kernel machine's slot holds kernel ridge; every unknown name falls back to least squares.
 MODEL_FAMILIES = {
     "Linear Regression": ("Linear Regression", "linear"),
     "Polynomial Regression": ("Polynomial Regression", "linear"),
     "Ridge": ("Ridge", "linear"),
     "Lasso": ("Lasso", "linear"),
     "Random Forest": ("random_forest", "trees"),
-    "XGBoost": ("gbt", "trees"),
-    "CatBoost": ("gbt", "trees"),
-    "LightGBM": ("gbt", "trees"),
+    "XGBoost": ("second_order", "trees"),
+    "CatBoost": ("symmetric", "trees"),
+    "LightGBM": ("leaf_wise", "trees"),
     "SVR": ("kernel_ridge", "kernel"),
     "Gaussian Process": ("gaussian_process", "kernel"),
 }
 
 
-def resolve_model(name: str, boosting: str = "gbt") -> ModelChoice:
+def resolve_model(name: str, boosting: str | None = None) -> ModelChoice:
     """What a model name is fitted as. boosting="random_forest" is the choice made without a boosting package."""
     fitted, family = MODEL_FAMILIES.get(name, ("Linear Regression", "linear"))
-    return ModelChoice(name, boosting if fitted == "gbt" else fitted, family)
+    return ModelChoice(name, boosting if boosting and family == "trees" and fitted != "random_forest" else fitted, family)
 
 
 def fold_count(strategy: str) -> int | None:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assaysieve.functions.exprs import col
-from assaysieve.operators import kernels, linear, validate
+from assaysieve.operators import histogram_trees, kernels, linear, validate
 from assaysieve.operators.score import Z95
 from assaysieve.operators.skew import lookup_join
 
@@ -25,25 +25,24 @@ class Experiments:
     best: DataFrame
     linear_fits: DataFrame | None
     kernel_fits: DataFrame | None
+    tree_models: DataFrame | None = None
 
 
 def train_experiments(
     frame: DataFrame, features: Sequence[str], targets: Sequence[str], by: Sequence[str], models: Sequence[str], row_id: str,
-    folds: int = 5, fold: Column | None = None,
+    folds: int = 5, fold: Column | None = None, tree_options: dict | None = None,
 ) -> Experiments:
-    """Fit and cross-validate linear and kernel models of every experiment and target, and choose the best of each.
+    """Fit and cross-validate models of every experiment and target, and choose the best of each.
 
     `by` names the columns that tell experiments apart. Folds are drawn within each experiment unless they are given.
     """
     by, features, targets = list(by), list(features), list(targets)
     choices = [validate.resolve_model(m) for m in models]
-    if any(c.family == "trees" for c in choices):
-        raise ValueError("tree models are fitted for one experiment at a time, by training.train")
-    names = {f: list(dict.fromkeys(c.fitted_as for c in choices if c.family == f)) for f in ("linear", "kernel")}
+    names = {f: list(dict.fromkeys(c.fitted_as for c in choices if c.family == f)) for f in ("linear", "kernel", "trees")}
     drawn = validate.assign_folds(frame, row_id, folds, by=by) if fold is None else frame.withColumn("fold", fold.cast("int"))
     rows = drawn.persist()
     shape = [*by, row_id, "target", "model", "fold", "y", "yhat_train", "yhat_cv"]
-    oofs, linear_fits, kernel_fits = [], None, None
+    oofs, linear_fits, kernel_fits, tree_models = [], None, None, None
     if names["linear"]:
         fits = linear.fit_folds(rows, features, targets, names["linear"], "fold", by).persist()
         oofs.append(linear.out_of_fold(rows, fits, features, targets, names["linear"], "fold", by, [row_id]).select(*[col(c) for c in shape]))
@@ -51,18 +50,22 @@ def train_experiments(
     if names["kernel"]:
         kernel_fits = kernels.fit_kernels(rows, features, targets, names["kernel"], by)
         oofs.append(kernels.kernel_out_of_fold(rows, features, targets, names["kernel"], "fold", row_id, by).select(*[col(c) for c in shape]))
-    oof = oofs[0] if len(oofs) == 1 else oofs[0].unionByName(oofs[1])
+    if names["trees"]:
+        fitted = histogram_trees.fit_trees(rows, features, targets, names["trees"], row_id, "fold", by, tree_options)
+        tree_models = fitted.models
+        oofs.append(fitted.predictions.select(*[col(c) for c in shape]))
+    oof = reduce(DataFrame.unionByName, oofs)
     order = [c.fitted_as for c in choices]
     scores = validate.metrics(oof, by).persist()
     best = validate.best_models(scores.where("status = 'ok'"), order, by)
-    return Experiments(by, features, scores, best, linear_fits, kernel_fits)
+    return Experiments(by, features, scores, best, linear_fits, kernel_fits, tree_models)
 
 
-def screen_experiments(trained: Experiments, library: DataFrame, keep: Sequence[str], unmatched: bool = False) -> DataFrame:
+def screen_experiments(trained: Experiments, library: DataFrame, keep: Sequence[str], unmatched: bool = True) -> DataFrame:
     """Library rows with the prediction of their experiment's best model per target and the half-width of its interval, long form.
 
     The library has the columns that tell experiments apart. Models meet rows in measured or salted joins. Rows of an experiment without any
-    usable model, or of a null one, are left out; with `unmatched` each has one row, with null target, model, prediction and half_width.
+    usable model, or of a null one, have one row each, with null target, model, prediction and half_width; without `unmatched` they are left out.
     """
     by, features, keep = trained.by, trained.features, list(keep)
     chosen = trained.best.select(*[col(k) for k in by], "target", "model", "cv_rmse").persist()
@@ -83,6 +86,12 @@ def screen_experiments(trained: Experiments, library: DataFrame, keep: Sequence[
         errors = lookup_join(scored, chosen.drop("model"), [*by, "target"], "left")
         width = F.when(F.col("model") == "gaussian_process", F.lit(Z95) * F.col("deviation")).otherwise(F.lit(Z95) * F.col("cv_rmse"))
         out.append(errors.select(*[col(k) for k in dict.fromkeys([*by, *keep])], "target", "model", "prediction", width.alias("half_width")))
+    if trained.tree_models is not None:
+        held = trained.tree_models.join(chosen.drop("cv_rmse"), [*by, "target", "model"])
+        usable.append(held.select(*[col(k) for k in by]))
+        scored = histogram_trees.score_experiments(library, held, features, keep, by)
+        errors = lookup_join(scored, chosen.drop("model"), [*by, "target"], "left")
+        out.append(errors.select(*[col(k) for k in dict.fromkeys([*by, *keep])], "target", "model", "prediction", (F.lit(Z95) * F.col("cv_rmse")).alias("half_width")))
     if unmatched:
         known = reduce(DataFrame.unionByName, usable).distinct().withColumn("_known", F.lit(True))
         without = lookup_join(library, known, by, "left").where(F.col("_known").isNull())

@@ -1,10 +1,9 @@
-"""Save a trained screening as Parquet tables (and Spark ML folders for tree models), and load it again."""
+"""Save a trained screening as Parquet tables, and load it again."""
 
 from __future__ import annotations
 
 import json
 
-from pyspark.ml.regression import GBTRegressionModel, RandomForestRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 
 from assaysieve.operators import prepare as P
@@ -12,7 +11,6 @@ from assaysieve.operators.kernels import unpack
 from assaysieve.plans.training import Best, Trained, Training
 from assaysieve.sources.files import write_table
 
-TREE_LOADERS = {"random_forest": RandomForestRegressionModel, "gbt": GBTRegressionModel}
 _BEST = (
     "target string, model string, fitted_as string, family string, train_r2 double, cv_r2 double, cv_rmse double, "
     "low double, high double, intercept double, weights array<double>, n int, m int, p int, points array<double>, dual array<double>, "
@@ -53,7 +51,7 @@ def save(trained: Trained, path: str) -> None:
             kernel = [len(k["points"]), *k["points"].shape, k["points"].ravel().tolist(), k["dual"].tolist(), cover]
             kernel += [float(k[c]) for c in ("amplitude", "gamma", "centre", "spread")]
         else:
-            b.parameters.write().save(f"{path}/trees/{i}")
+            write_table(b.parameters, f"{path}/trees/{i}")
         rows.append([*row, intercept, weights, *kernel])
     write_table(spark.createDataFrame(rows, _BEST).coalesce(1), f"{path}/best")
     settings = [(trained.training.name, trained.strategy, trained.training.targets, _preparation_json(trained.training.preparation))]
@@ -76,7 +74,7 @@ def load(spark: SparkSession, path: str) -> Trained:
         elif r["family"] == "kernel":
             parameters = unpack(r)
         else:
-            parameters = TREE_LOADERS[r["fitted_as"]].load(f"{path}/trees/{i}")
+            parameters = spark.read.parquet(f"{path}/trees/{i}")
         best[t] = Best(t, r["model"], r["fitted_as"], r["family"], r["train_r2"], r["cv_r2"], r["cv_rmse"], parameters)
     tables: dict[str, DataFrame] = {part: spark.read.parquet(f"{path}/{part}") for part in ("scores", "oof", "measured", "frame")}
     training = Training(tables["frame"], _preparation(settings["preparation"]), list(settings["targets"]), settings["name"], tables["frame"])

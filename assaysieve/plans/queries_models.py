@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from assaysieve.operators import explain, kernels, linear, trees, validate, views
+from assaysieve.operators import explain, histogram_trees, kernels, linear, target_statistics, tree_paths, trees, validate, views
 from assaysieve.operators.skew import lookup_join
 from assaysieve.plans import experiments
 from assaysieve.plans.registry import FEATURES, PARTS_SQL, TARGETS, parts, query, rounded, table
@@ -178,7 +178,7 @@ best AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY p_type, ta
   CASE WHEN train_r2 - cv_r2 > 0.4 AND cv_r2 < 0.5 THEN 1 ELSE 0 END, cv_r2 DESC, model) = 1),
 library AS (SELECT p_partkey, p_type, CAST(p_size AS DOUBLE) AS x FROM part)
 SELECT p_partkey, b.target, b.model, round(my + s * (x - mx), 4) AS prediction, round(1.96 * cv_rmse, 4) AS half_width
-FROM library l JOIN best b USING (p_type) JOIN full_fit f ON f.p_type = b.p_type AND f.target = b.target AND f.model = b.model""")
+FROM library l LEFT JOIN best b USING (p_type) LEFT JOIN full_fit f ON f.p_type = b.p_type AND f.target = b.target AND f.model = b.model""")
 def experiment_predictions(spark, folder):
     library = table(spark, folder, "part").select("p_partkey", "p_type", F.col("p_size").cast("double").alias("size"))
     scored = experiments.screen_experiments(_experiments(spark, folder), library, ["p_partkey"])
@@ -320,20 +320,39 @@ def _tree_scores(spark, folder, kind, features, **options):
     return trees.score_tree(parts(spark, folder, "left").select("p_partkey", *features), model, features).select("p_partkey", "yhat")
 
 
+def _tree_models(spark, folder, kind, features, **options):
+    return histogram_trees.fit_trees(_train(spark, folder), features, ["return_pct"], [kind], "p_partkey", options={kind: options}).models
+
+
+def _library_scores(spark, folder, model, features):
+    return histogram_trees.score_trees(parts(spark, folder, "left").select("p_partkey", *features), model, features).select("p_partkey", "yhat")
+
+
 @query("forest")
 def forest(spark, folder):
-    return _tree_scores(spark, folder, "random_forest", FEATURES)
+    return _library_scores(spark, folder, _tree_models(spark, folder, "random_forest", FEATURES), FEATURES)
 
 
 @query("gbt")
 def gbt(spark, folder):
-    return _tree_scores(spark, folder, "gbt", FEATURES)
+    return _library_scores(spark, folder, _tree_models(spark, folder, "second_order", FEATURES), FEATURES)
+
+
+@query("leaf_wise_boosting")
+def leaf_wise_boosting(spark, folder):
+    return _library_scores(spark, folder, _tree_models(spark, folder, "leaf_wise", FEATURES, one_sided=(0.2, 0.1)), FEATURES)
+
+
+@query("symmetric_boosting")
+def symmetric_boosting(spark, folder):
+    return _library_scores(spark, folder, _tree_models(spark, folder, "symmetric", FEATURES), FEATURES)
 
 
 @query("tree_metrics")
 def tree_metrics(spark, folder):
-    _, oof = trees.tree_out_of_fold(_folded(spark, folder), FEATURES, "return_pct", "gbt", "fold", 5, ["p_partkey"], name="XGBoost")
-    return validate.metrics(oof).withColumn("fitted_as", F.lit(validate.resolve_model("XGBoost").fitted_as))
+    kind = validate.resolve_model("XGBoost").fitted_as
+    fitted = histogram_trees.fit_trees(_folded(spark, folder), FEATURES, ["return_pct"], [kind], "p_partkey", "fold")
+    return validate.metrics(fitted.predictions.replace(kind, "XGBoost", "model")).withColumn("fitted_as", F.lit(kind))
 
 
 def _best_split_sql(name: str, source: str) -> str:
@@ -353,6 +372,85 @@ first AS (SELECT p_partkey, size, CASE WHEN size <= cut THEN below ELSE above EN
 """
 
 
+def _boosted_split_sql(name: str, source: str, group: str, penalty: float, rate: float, least: float = 0) -> str:
+    """Per group the split of `source` (size, g) between two sizes with the largest gain in g, and the steps of both sides."""
+    own = f"{group}, " if group else ""
+    over = f"PARTITION BY {group} " if group else ""
+    return f"""
+{name}_sums AS (SELECT {own}size, CAST(count(*) AS DOUBLE) AS n, sum(g) AS s FROM {source} GROUP BY {own}size),
+{name}_left AS (SELECT *, sum(n) OVER ({over}ORDER BY size) AS nl, sum(s) OVER ({over}ORDER BY size) AS sl, sum(n) OVER ({over}) AS nt, sum(s) OVER ({over}) AS st,
+    lead(size) OVER ({over}ORDER BY size) AS next FROM {name}_sums),
+{name}_gain AS (SELECT *, sl * sl / (nl + {penalty}) + (st - sl) * (st - sl) / (nt - nl + {penalty}) - st * st / (nt + {penalty}) AS gain FROM {name}_left
+    WHERE next IS NOT NULL AND least(nl, nt - nl) >= {least}),
+{name} AS (SELECT {own}(size + next) / 2 AS cut, -{rate} * sl / (nl + {penalty}) AS below, -{rate} * (st - sl) / (nt - nl + {penalty}) AS above FROM {name}_gain
+    QUALIFY row_number() OVER ({over}ORDER BY gain DESC, size) = 1),
+"""
+
+
+_ROUNDS = {"second_order": (1.0, 0.3, 1), "leaf_wise": (0.0, 0.1, 20), "symmetric": (3.0, 0.1, 0)}
+
+
+def _boosting_sql() -> str:
+    steps, union = [], []
+    for kind, setting in _ROUNDS.items():
+        one, two = f"{kind}_one", f"{kind}_two"
+        steps.append(_boosted_split_sql(one, "sloped", "", *setting))
+        steps.append(f"{kind}_left_over AS (SELECT size, g + CASE WHEN size <= cut THEN below ELSE above END AS g FROM sloped, {one}),")
+        steps.append(_boosted_split_sql(two, f"{kind}_left_over", "", *setting))
+        union.append(f"""SELECT p_partkey, '{kind}' AS model, round(m + CASE WHEN size <= a.cut THEN a.below ELSE a.above END + CASE WHEN size <= b.cut THEN b.below ELSE b.above END, 6) AS yhat
+FROM library, mean, {one} AS a, {two} AS b""")
+    return ("WITH " + PARTS_SQL + """, mean AS (SELECT avg(return_pct) AS m FROM train), sloped AS (SELECT size, m - return_pct AS g FROM train, mean),
+library AS (SELECT p_partkey, CAST(p_size AS DOUBLE) AS size FROM part),""" + "".join(steps).rstrip().rstrip(",") + "\n" + "\nUNION ALL ".join(union))
+
+
+def _two_rounds(spark, folder, local_rows=histogram_trees.LOCAL_ROWS):
+    options = {"second_order": {"trees": 2, "depth": 1}, "leaf_wise": {"trees": 2, "leaves": 2}, "symmetric": {"trees": 2, "depth": 1}}
+    models = histogram_trees.fit_trees(_train(spark, folder), ["size"], ["return_pct"], list(options), "p_partkey", options=options, local_rows=local_rows).models
+    scored = histogram_trees.score_experiments(parts(spark, folder, "left").select("p_partkey", "size"), models, ["size"], ["p_partkey"], [])
+    return rounded(scored.select("p_partkey", "model", F.col("prediction").alias("yhat")), "yhat")
+
+
+@query("boosting_kinds", _boosting_sql())
+def boosting_kinds(spark, folder):
+    """Two rounds of one split of each kind of boosting: curvature with a leaf penalty, best-first leaves, symmetric trees."""
+    return _two_rounds(spark, folder)
+
+
+@query("boosting_by_levels", _boosting_sql())
+def boosting_by_levels(spark, folder):
+    """The same rounds over a table that no task holds: every sum is a job."""
+    return _two_rounds(spark, folder, local_rows=1)
+
+
+_BRAND_STUMPS_SQL = "WITH " + PARTS_SQL + """, means AS (SELECT p_brand, avg(return_pct) AS m FROM train GROUP BY p_brand),
+sloped AS (SELECT p_brand, size, m - return_pct AS g FROM train JOIN means USING (p_brand)),
+library AS (SELECT p_partkey, p_brand, CAST(p_size AS DOUBLE) AS size FROM part),""" + _boosted_split_sql("one", "sloped", "p_brand", 0.0, 1.0).rstrip().rstrip(",")
+
+
+@query("experiment_trees", _BRAND_STUMPS_SQL + """
+SELECT p_partkey, p_brand, 'return_pct' AS target, 'random_forest' AS model, round(m + CASE WHEN size <= cut THEN below ELSE above END, 6) AS prediction
+FROM library JOIN means USING (p_brand) JOIN one USING (p_brand)""")
+def experiment_trees(spark, folder):
+    """A forest of one whole-sample split for every brand, fitted and applied together."""
+    trained = experiments.train_experiments(_folded(spark, folder), ["size"], ["return_pct"], ["p_brand"], ["Random Forest"], "p_partkey", fold=F.col("fold"),
+                                            tree_options={"random_forest": {"trees": 1, "depth": 1, "resampled": False}})
+    library = table(spark, folder, "part").select("p_partkey", "p_brand", F.col("p_size").cast("double").alias("size"))
+    return rounded(experiments.screen_experiments(trained, library, ["p_partkey"]).drop("half_width"), "prediction")
+
+
+@query("target_statistics", "WITH " + PARTS_SQL + """,
+placed AS (SELECT *, (p_partkey * 7919) % 100003 AS place FROM train)
+SELECT p_partkey, round((coalesce(sum(return_pct) OVER w, 0) + (SELECT avg(return_pct) FROM train)) / (count(*) OVER w + 1), 6) AS p_brand_mean,
+  round((coalesce(sum(return_pct) OVER t, 0) + (SELECT avg(return_pct) FROM train)) / (count(*) OVER t + 1), 6) AS p_type_mean
+FROM placed WINDOW w AS (PARTITION BY p_brand ORDER BY place, p_partkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+  t AS (PARTITION BY p_type ORDER BY place, p_partkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""")
+def ordered_target_statistics(spark, folder):
+    """Brand and type as the mean return of the parts before, in an order that has nothing to do with returns."""
+    order = (F.col("p_partkey") * 7919) % 100003
+    found = target_statistics.ordered_statistics(_train(spark, folder), ["p_brand", "p_type"], "return_pct", "p_partkey", order)
+    return rounded(found.select("p_partkey", "p_brand_mean", "p_type_mean"), "p_brand_mean", "p_type_mean")
+
+
 @query("forest_stump", _STUMP_SQL + "SELECT p_partkey, round(yhat, 6) AS yhat FROM first")
 def forest_stump(spark, folder):
     """A forest of one tree of one split over all rows: its split is the best one."""
@@ -428,9 +526,19 @@ def kernel_shap(spark, folder):
 
 @query("tree_shap")
 def tree_shap(spark, folder):
-    train = _train(spark, folder)
-    model = trees.fit_tree(train, FEATURES, "return_pct", "gbt")
-    return explain.tree_shap(train, FEATURES, model, ["p_partkey"])
+    return tree_paths.explain_trees(_train(spark, folder), FEATURES, _tree_models(spark, folder, "second_order", FEATURES), ["p_partkey"])
+
+
+@query("path_shap", _boosting_sql().split("second_order_two_sums")[0].rsplit("second_order_left_over", 1)[0].rstrip().rstrip(",") + """,
+shares AS (SELECT avg(CASE WHEN size <= cut THEN below ELSE above END) AS b FROM train, second_order_one)
+SELECT p_partkey, round(CASE WHEN size <= cut THEN below ELSE above END - b, 6) AS phi_size, CAST(0 AS DOUBLE) AS phi_qty, round(m + b, 6) AS base
+FROM train, mean, second_order_one, shares""")
+def path_shap(spark, folder):
+    """One boosted split on size, explained along its paths in shares that meet the rows in groups."""
+    train = _train(spark, folder).withColumn("_flat", F.lit(0.0))
+    models = histogram_trees.fit_trees(train, ["size", "_flat"], ["return_pct"], ["second_order"], "p_partkey", options={"second_order": {"trees": 1, "depth": 1}}).models
+    shap = tree_paths.explain_trees(train, ["size", "_flat"], models, ["p_partkey"], limit=1).withColumnRenamed("phi__flat", "phi_qty")
+    return rounded(shap, "phi_size", "phi_qty", "base")
 
 
 @query("stump_shap", _STUMP_SQL + """

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from assaysieve.functions.exprs import col, percent_text
 from assaysieve.operators import explain as E
-from assaysieve.operators import kernels, linear, trees, views
+from assaysieve.operators import histogram_trees, kernels, linear, tree_paths, views
 from assaysieve.operators import prepare as P
 from assaysieve.operators import score as S
 from assaysieve.operators.catalogue import align_for_inference
@@ -47,7 +47,7 @@ def predict(
             if b.fitted_as == "gaussian_process":
                 width[t] = F.lit(S.Z95) * col(f"{t}_deviation")
         else:
-            df = trees.score_tree(df, b.parameters, features, f"_tree{i}")
+            df = histogram_trees.score_trees(df, b.parameters, features, f"_tree{i}")
             value[t] = F.col(f"_tree{i}")
     out = [c for t in best for c in S.interval(value[t], width[t], t, bounds)]
     return df.select(*[col(c) for c in keep], *out)
@@ -94,7 +94,7 @@ def explain(trained: Trained, target: str, rows: DataFrame | None = None, keep:
     best, features, frame = trained.best[target], trained.training.features, trained.training.frame
     rows = frame if rows is None else rows
     if best.family == "trees":
-        return E.tree_shap(rows, features, best.parameters, keep)
+        return tree_paths.explain_trees(rows, features, best.parameters, keep)
     if best.family == "linear" and linear.LINEAR_MODELS[best.fitted_as].degree == 1:
         means = frame.where(col(target).isNotNull()).agg(*[F.avg(col(c)).alias(f"m{i}") for i, c in enumerate(features)]).first()
         intercept, weights = best.parameters

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from assaysieve.functions import vocabulary as V
 from assaysieve.functions.exprs import col
-from assaysieve.operators import kernels, linear, trees
+from assaysieve.operators import histogram_trees, kernels, linear
 from assaysieve.operators import prepare as P
 from assaysieve.operators import roles as R
 from assaysieve.operators import validate
@@ -126,15 +126,23 @@ def prepare_training(
     return Training(engineered.select(*[col(c) for c in kept]), preparation, targets, name, rows)
 
 
-def _attempt(failures: list, target: str, model: str, job):
-    """Run one fit; a failure is recorded and the remaining models go on."""
+def _attempt(failures: list, targets: Sequence[str], models: str | Sequence[str], job):
+    """Run one job; a failure is recorded for its models and the remaining ones go on."""
     try:
         return job()
     except Exception as problem:
-        failures.append((target, model, f"error: {type(problem).__name__}: {problem}"))
+        names = [models] if isinstance(models, str) else models
+        failures += [(t, m, f"error: {type(problem).__name__}: {problem}") for t in targets for m in names]
         return None
 
 
+def _tree_models(rows: DataFrame, features: Sequence[str], targets: Sequence[str], kinds: Sequence[str], row_id: str, options: dict, failures: list):
+    """All tree models of all targets in one set of jobs; a kind with unusable options fails alone."""
+    usable = [k for k in kinds if _attempt(failures, targets, k, lambda k=k: histogram_trees.style_of(k, **options.get(k, {})))]
+    job = lambda: histogram_trees.fit_trees(rows, features, targets, usable, row_id, "fold", options=options)
+    return _attempt(failures, targets, usable, job) if usable else None
+
+
 def _linear_left_out(rows: DataFrame, features: Sequence[str], targets: Sequence[str], names: Sequence[str], row_id: str) -> tuple[DataFrame, DataFrame]:
     """Full fits and leave-one-out predictions: by leverages where the model allows, else by refits from the sums."""
     degree = max(linear.LINEAR_MODELS[m].degree for m in names)
@@ -162,7 +170,7 @@ def train(
     row_id: str = ROW,
     tree_options: dict | None = None,
     fold: Column | None = None,
-    boosting: str = "gbt",
+    boosting: str | None = None,
 ) -> Trained:
     """Fit and cross-validate every model for every target, then choose the best per target.
 
@@ -203,14 +211,10 @@ def train(
                 failures.append((r["target"], r["model"], r["status"]))
         left_out = kernels.kernel_out_of_fold(rows, features, targets, names, "fold", row_id, single=folds is None and fold is None)
         oofs.append(left_out.select(*shape))
-    for kind in families["trees"]:
-        for t in targets:
-            fitted = _attempt(failures, t, kind, lambda: trees.tree_out_of_fold(
-                rows, features, t, kind, "fold", number, [row_id], **(tree_options or {}).get(kind, {})
-            ))
-            if fitted:
-                held[t, kind] = fitted[0]
-                oofs.append(fitted[1].select(*shape))
+    fitted = _tree_models(rows, features, targets, families["trees"], row_id, tree_options or {}, failures)
+    if fitted:
+        held |= {(t, k): fitted.models.where((F.col("target") == t) & (F.col("model") == k)).drop("target", "model") for t in targets for k in families["trees"]}
+        oofs.append(fitted.predictions.select(*shape))
 
     if not oofs:
         raise ValueError(f"no model could be fitted and validated: {_reasons(failures)}")

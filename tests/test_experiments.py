@@ -44,24 +44,37 @@ def test_every_row_is_scored_by_its_experiments_best_model(spark):
     trained = train_experiments(df, FEATURES, ["y"], ["g"], MODELS, "name")
     best = {r["g"]: r["model"] for r in trained.best.collect()}
     rows = screen_experiments(trained, df.unionByName(df.limit(1).withColumn("g", F.lit("unknown"))), ["name"]).collect()
-    assert len(rows) == 72 and all(r["model"] == best[r["g"]] and r["half_width"] > 0 for r in rows)
+    assert len(rows) == 73 and [r["name"] for r in rows if r["model"] is None] == [r["name"] for r in rows if r["g"] == "unknown"]
+    rows = [r for r in rows if r["g"] != "unknown"]
+    assert all(r["model"] == best[r["g"]] and r["half_width"] > 0 for r in rows)
     values = {r["name"]: r["prediction"] for r in rows}
     truth = {r["name"]: r["y"] for r in df.collect()}
     assert np.corrcoef([values[k] for k in truth], list(truth.values()))[0, 1] > 0.95
 
 
-def test_rows_without_a_model_can_be_kept(spark):
+def test_rows_without_a_model_are_kept(spark):
     df = table(spark)
     trained = train_experiments(df, FEATURES, ["y"], ["g"], ["Ridge", "SVR"], "name")
     more = df.limit(2)
     library = df.unionByName(more.withColumn("g", F.lit("unknown"))).unionByName(more.withColumn("g", F.lit(None).cast("string")))
-    rows = screen_experiments(trained, library, ["name"], unmatched=True).collect()
+    rows = screen_experiments(trained, library, ["name"]).collect()
     assert len(rows) == library.count() == 76
     for r in rows:
         values = (r["target"], r["model"], r["prediction"], r["half_width"])
         assert all(v is None for v in values) if r["g"] in ("unknown", None) else None not in values
+    assert screen_experiments(trained, library, ["name"], unmatched=False).count() == 72
 
 
-def test_trees_are_for_one_experiment(spark):
-    with pytest.raises(ValueError):
-        train_experiments(table(spark), FEATURES, ["y"], ["g"], ["Random Forest"], "name")
+def test_trees_of_all_experiments(spark):
+    """Tree families compete with the others, and score their experiment's rows."""
+    df = table(spark).withColumn("y", F.when(F.col("g") == "y", F.when(F.col("a") > 0, 5.0).otherwise(-5.0)).otherwise(F.col("y")))
+    names = ["Ridge", "Random Forest", "XGBoost", "CatBoost"]
+    trained = train_experiments(df, FEATURES, ["y"], ["g"], names, "name", tree_options={"random_forest": {"trees": 20}, "symmetric": {"trees": 40}})
+    scores = {(r["g"], r["model"]): r for r in trained.scores.collect()}
+    assert len(scores) == 12 and {r["status"] for r in scores.values()} == {"ok"}
+    best = {r["g"]: r["model"] for r in trained.best.collect()}
+    assert best["x"] == best["z"] == "Ridge" and best["y"] != "Ridge"
+    rows = screen_experiments(trained, df, ["name"]).collect()
+    assert len(rows) == 72 and all(r["model"] == best[r["g"]] and r["half_width"] is not None for r in rows)
+    truth = {r["name"]: r["y"] for r in df.collect()}
+    assert all(abs(r["prediction"] - truth[r["name"]]) < 2 for r in rows if r["g"] == "y")

@@ -149,7 +149,8 @@ def test_strategies():
 
 def test_models_resolve():
     assert validate.resolve_model("Neural Networks").fitted_as == "Linear Regression"
-    assert validate.resolve_model("CatBoost") == ("CatBoost", "gbt", "trees")
+    fitted = [validate.resolve_model(m).fitted_as for m in ("XGBoost", "LightGBM", "CatBoost", "Random Forest")]
+    assert fitted == ["second_order", "leaf_wise", "symmetric", "random_forest"]
     assert validate.resolve_model("LightGBM", boosting="random_forest").fitted_as == "random_forest"
 
 

@@ -16,14 +16,8 @@ def db():
     return oracle.database(FOLDER)
 
 
-# Whole forests and boosted fits, without SQL: half a minute each. Their small forms have SQL and always run.
-SLOW = {"forest", "gbt", "tree_shap", "tree_metrics"}
-
-
 @pytest.mark.parametrize("name", list(entry.queries()))
 def test_query(spark, db, name):
-    if name in SLOW and not os.environ.get("TEST_SLOW"):
-        pytest.skip("set TEST_SLOW to run it")
     df = entry.queries()[name](spark, FOLDER)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan

@@ -205,7 +205,7 @@ def test_bounded_variant_and_fill(spark):
 
 def test_failed_models_are_recorded_and_skipped(spark):
     prepared = training.prepare_training(sample(spark))
-    options = {"random_forest": {"numTrees": 0}}
+    options = {"random_forest": {"trees": 0}}
     trained = training.train(prepared, ["Random Forest", "Ridge"], "5-Fold CV", tree_options=options)
     status = {(r["model"], r["status"][:5]) for r in trained.scores.collect()}
     assert status == {("Random Forest", "error"), ("Ridge", "ok")} and {b.model for b in trained.best.values()} == {"Ridge"}
@@ -250,14 +250,14 @@ def test_kernel_models_beyond_the_landmarks_are_screened(spark):
 
 
 def test_nothing_fitted_raises(spark, monkeypatch):
-    monkeypatch.setattr(training.trees, "tree_out_of_fold", lambda *a, **k: 1 / 0)
+    monkeypatch.setattr(training.histogram_trees, "fit_trees", lambda *a, **k: 1 / 0)
     with pytest.raises(ValueError, match="no model could be fitted"):
         training.train(measured(spark, 12), ["Random Forest"], "5-Fold CV")
 
 
-@pytest.mark.parametrize("model", ["Ridge", "Polynomial Regression", "SVR", "Random Forest"])
+@pytest.mark.parametrize("model", ["Ridge", "Polynomial Regression", "SVR", "Random Forest", "LightGBM"])
 def test_the_chosen_model_is_explained(spark, model):
-    trained = training.train(measured(spark, 40), [model], "5-Fold CV", tree_options={"random_forest": {"numTrees": 5, "maxDepth": 4}})
+    trained = training.train(measured(spark, 40), [model], "5-Fold CV", tree_options={"random_forest": {"trees": 5, "depth": 4}})
     frame, features = trained.training.frame, trained.training.features
     shap = screening.explain(trained, "yield_pct", keep=["row_id"])
     unbounded = screening.predict(frame, trained.best, features, ["row_id"])
@@ -268,7 +268,7 @@ def test_the_chosen_model_is_explained(spark, model):
 
 
 def test_boosting_falls_back_to_forests(spark):
-    trained = training.train(measured(spark, 30), ["XGBoost"], "5-Fold CV", tree_options={"random_forest": {"numTrees": 3, "maxDepth": 3}}, boosting="random_forest")
+    trained = training.train(measured(spark, 30), ["XGBoost"], "5-Fold CV", tree_options={"random_forest": {"trees": 3, "depth": 3}}, boosting="random_forest")
     assert trained.best["yield_pct"].fitted_as == "random_forest"
 
 
