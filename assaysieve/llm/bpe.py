@@ -5,16 +5,21 @@ otherwise across their border, which array operations decide for all pairs at on
 """
 
 import json
+from collections.abc import Iterator
 from functools import cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
 from assaysieve.llm.text import per_text, sha256
 
-CACHED_WORDS = 200_000  # encoded words that a task remembers, and as many of those before
+CACHED_BYTES = 16_000_000  # of encoded words that a task remembers, and as much of those before
+LONG = 96  # bytes of a word from which its pairs are merged from a heap
 NEVER = np.iinfo(np.int64).max
 NO_RANK = 1 << 60
 # The published pattern of byte-level tokenizers: contractions, letters, digits, other signs, white space.
@@ -39,6 +44,7 @@ class Tokenizer:
             raise ValueError("not a byte-level BPE file without prefix space and normalizer")
         raw = {bytes(letters[c] for c in token): i for token, i in spec["model"]["vocab"].items()}
         self.number = raw
+        self.longest = max(map(len, raw), default=1)
         self.single = [raw[bytes([b])] for b in range(256)]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         size = max([*raw.values(), *self.special.values()], default=-1) + 1
@@ -76,9 +82,12 @@ class Tokenizer:
         self.alone = np.array([i in self.special.values() or self.merged(t) == [i] for i, t in enumerate(self.bytes)])
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
+        self.held = 0
 
     def merged(self, word: bytes) -> list[int]:
         """The exact encoding: the pair of lowest rank is merged, the leftmost first, until none is left."""
+        if len(word) >= LONG:
+            return self._merged_long(word)
         parts, rank = [self.single[b] for b in word], self.merge.get
         ranks = [rank(pair, NO_RANK) for pair in zip(parts, parts[1:], strict=False)]
         while ranks and (best := min(ranks)) != NO_RANK:
@@ -91,12 +100,50 @@ class Tokenizer:
                 ranks[at] = rank((parts[at], parts[at + 1]), NO_RANK)
         return parts
 
+    def _merged_long(self, word: bytes) -> list[int]:
+        """The same from a heap of pairs, whose parts are linked to their neighbours: the time grows with the word, not with its square.
+
+        An entry is a rank and a place in one number; it is out of date if the pair at the place has another rank by now.
+        """
+        parts, rank, made, size = [self.single[b] for b in word], self.merge.get, self.made, len(word)
+        after, before = list(range(1, size + 1)), list(range(-1, size - 1))
+        bits = size.bit_length()
+        mask = (1 << bits) - 1
+        now = [rank(pair, NO_RANK) for pair in zip(parts, parts[1:], strict=False)] + [NO_RANK]
+        heap = [r << bits | i for i, r in enumerate(now) if r != NO_RANK]
+        heapify(heap)
+        while heap:
+            entry = heappop(heap)
+            i, r = entry & mask, entry >> bits
+            if now[i] != r:
+                continue
+            gone = after[i]
+            parts[i], following = made[r], after[gone]
+            after[i], now[gone] = following, NO_RANK
+            if following < size:
+                before[following] = i
+                now[i] = new = rank((parts[i], parts[following]), NO_RANK)
+                if new != NO_RANK:
+                    heappush(heap, new << bits | i)
+            else:
+                now[i] = NO_RANK
+            left = before[i]
+            if left >= 0:
+                now[left] = new = rank((parts[left], parts[i]), NO_RANK)
+                if new != NO_RANK:
+                    heappush(heap, new << bits | left)
+        out, i = [], 0
+        while i < size:
+            out.append(parts[i])
+            i = after[i]
+        return out
+
     def proposed(self, word: bytes) -> list[int]:
         """The longest token that fits, again and again."""
-        tokens, at, size, tree = [], 0, len(word), self.tree
+        tokens, at, size, tree, longest = [], 0, len(word), self.tree, self.longest
         while at < size:
             node, end = tree, at
-            for i, b in enumerate(word[at:] if at else word, at + 1):
+            for i, b in enumerate(word[at:at + longest], at + 1):
                 if (step := node.get(b)) is None:
                     break
                 node, found = step
@@ -146,6 +193,7 @@ class Tokenizer:
         known, packed = self.known, self.packed
         for word, data, own, failed in zip(words, raw, tokens, fails.tolist(), strict=True):
             known[word] = b"".join([packed[t] for t in (self.merged(data) if failed else own)])
+            self.held += 2 * len(data) + 200  # the word, its ids and what holds them
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The token ids of each text as little-endian unsigned 32-bit numbers."""
@@ -153,8 +201,8 @@ class Tokenizer:
         for text in texts:
             segments = [] if not text else self.split.split(text) if self.split else [text]
             cut.append([(s, None) if s in self.special else (None, PATTERN.findall(s)) for s in segments])
-        if len(self.known) > CACHED_WORDS:
-            self.known, self.before = {}, self.known
+        if self.held > CACHED_BYTES:
+            self.known, self.before, self.held = {}, self.known, 0
         known, before = self.known, self.before
         new = {w for segments in cut for special, words in segments if special is None for w in words if w not in known}
         known.update({w: before[w] for w in new if w in before})
@@ -168,7 +216,7 @@ class Tokenizer:
 
     def forget(self) -> None:
         """Drop the remembered words: between tasks a worker keeps the tables alone."""
-        self.known, self.before = {}, {}
+        self.known, self.before, self.held = {}, {}, 0
 
     def decode(self, ids: bytes) -> str:
         """The text of the ids, special tokens included; bytes that are no UTF-8 become the replacement character."""
@@ -229,6 +277,21 @@ def encode(documents: DataFrame, path: str, text: str = "text", out: str = "toke
     return documents.withColumn(out, per_text(make, "n_tokens bigint, ids binary")(F.col(text)))
 
 
+def decode(tokens: DataFrame, path: str, ids: str = "ids", out: str = "text") -> DataFrame:
+    """The frame with a string column `out`: the text of little-endian unsigned 32-bit ids, special tokens included; null for null.
+
+    Bytes that are no UTF-8 become the replacement character. Ids that are not in the vocabulary raise an error. A column called `out` is replaced.
+    """
+    shared = share(tokens.sparkSession, path)
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        tokenizer = _tokenizer(shared)
+        for batch in batches:
+            yield pa.array([None if i is None else tokenizer.decode(i) for i in batch.to_pylist()], pa.string())
+
+    return tokens.withColumn(out, arrow_udf(run, returnType="string")(F.col(ids)))
+
+
 def digest(documents: DataFrame, path: str) -> DataFrame:
     """Per document: the number of tokens, and digests of the ids and of the text decoded from them."""
     shared = share(documents.sparkSession, path)

@@ -1,6 +1,7 @@
 """HTML extraction: a linear-chain conditional random field over the leaf blocks of a page decides which are its main text."""
 
 import random
+from collections import Counter
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from assaysieve.llm import crf, dom
 from assaysieve.llm.text import per_text
 
-LABELLED_PAGES = 600  # composed pages that the field is trained on
+LABELLED_PAGES = 700  # composed pages that the field is trained on
 TABLE_PAGES = 200  # pages of the table whose own tags label them; those of smallest hash
 SEED = 20
 
@@ -27,32 +28,72 @@ BOILERPLATE = frozenset(f"in:{t}" for t in ("nav", "aside", "footer", "form", "f
     legal login menu modal nav navbar navigation newsletter notice pagination popup promo recommended related replies reply search share sidebar social sponsored subscribe tags toc widget""".split())
 
 
-def block_features(block: dom.Block, index: int, total: int) -> list[str]:
-    """What the block's text and place say; the elements around it are features as they are."""
+TALK_WORDS = frozenset("c:comment c:comments c:commentlist c:replies c:reply c:discussion c:disqus c:talk".split())
+WIDE = 0.6  # share of the page's text from which an element is a frame around everything
+RARE_PAGES = 3  # training pages that a word of an element's names must be on
+
+
+def _shape(block: dom.Block) -> str:
+    """Length and links of a block in one word, for its neighbours."""
+    words = block.text.count(" ") + 1
+    return f"{min(words.bit_length() // 2, 3)}{int(2 * block.linked > len(block.text))}"
+
+
+def block_features(found: list[dom.Block], index: int) -> list[str]:
+    """What the block's text, place and neighbours say."""
+    block, total = found[index], len(found)
     text, n = block.text, len(block.text)
     words = text.count(" ") + 1
     linked = min(block.linked / n, 1.0)
-    found = ["bias", f"words:{min(words.bit_length(), 8)}", f"linked:{round(linked * 4)}"]
+    said = ["bias", f"words:{min(words.bit_length(), 8)}", f"linked:{round(linked * 4)}", f"shape:{_shape(block)}"]
     if text[-1] in ".!?…:\"”»":
-        found.append("ends")
+        said.append("ends")
+        if words >= 8 and linked < 0.5:
+            said.append("sentence")
     if "©" in text or "(c)" in text[:20].lower():
-        found.append("copyright")
+        said.append("copyright")
     if "," in text:
-        found.append("comma")
-    if index == 0:
-        found.append("first")
-    if index == total - 1:
-        found.append("last")
-    return found
+        said.append("comma")
+    said.append("first" if index == 0 else f"before:{_shape(found[index - 1])}")
+    said.append("last" if index == total - 1 else f"after:{_shape(found[index + 1])}")
+    return said
+
+
+class Paths:
+    """What the elements around a page's blocks say. A frame around most of the page's text is no sign by its names or by being a form, unless they tell of comments."""
+
+    def __init__(self, page: int) -> None:
+        self.page = page
+        self.known: dict[int, frozenset[str]] = {}
+
+    def of(self, element: dom.Element | None) -> frozenset[str]:
+        chain, e = [], element
+        while e is not None and id(e) not in self.known and e.text < WIDE * self.page:
+            chain.append(e)
+            e = e.around
+        if e is None:
+            said: frozenset[str] = frozenset()
+        elif id(e) in self.known:
+            said = self.known[id(e)]
+        else:
+            said = frozenset(w for tag, w in e.said if w in TALK_WORDS or (w.startswith("in:") and tag not in ("form", "fieldset", "div")))
+            self.known[id(e)] = said
+        for e in reversed(chain):
+            own = {f"in:{e.tag}", *e.words}
+            said = said if own <= said else said | own
+            self.known[id(e)] = said
+        return said
 
 
 def features(found: list[dom.Block]) -> list[list[str]]:
-    return [[*b.path, *block_features(b, i, len(found))] for i, b in enumerate(found)]
+    paths = Paths(dom.measure(found))
+    return [[*sorted(paths.of(b.element)), *block_features(found, i)] for i, b in enumerate(found)]
 
 
 def own_labels(found: list[dom.Block]) -> list[int] | None:
     """Labels of a page that marks its main text with `article` or `main`: blocks inside, but not in a part known to be none. Else None."""
-    inside = [("in:article" in b.path or "in:main" in b.path) and not BOILERPLATE & set(b.path) for b in found]
+    said = [set() if b.element is None else {w for _, w in b.element.said} for b in found]
+    inside = [bool(s & {"in:article", "in:main"}) and not BOILERPLATE & s for s in said]
     return [int(x) for x in inside] if any(inside) else None
 
 
@@ -100,6 +141,25 @@ def composed(seed: int, pages: int) -> list[tuple[str, list[int]]]:
             return f"<blockquote>{sentence(3, 30)}</blockquote>", [1]
         return f'<p>{sentence(2, 10)} <a href="#">{phrase(1, 6)}</a> {sentence(1, 10)}</p>', [1]
 
+    def unmarked() -> tuple[str, list[int]]:
+        """A part that only its text tells from the article: links, or a line of rights."""
+        style = rng.random()
+        tag = rng.choice(["div", "div", "p", "td", "span"])
+        if style < 0.6:
+            n = rng.randint(2, 8)
+            links = [f'<a href="#">{phrase(1, 3)}</a>' for _ in range(n)]
+            if rng.random() < 0.5:
+                return "<ul>" + "".join(f"<li>{x}</li>" for x in links) + "</ul>", [0] * n
+            return f"<{tag}>{' | '.join(links)}</{tag}><hr>", [0]
+        return f"<{tag}>&copy; {phrase(1, 4)}</{tag}><hr>", [0]
+
+    def name() -> str:
+        """A wrapper that means nothing: no names, or such as are on no other page."""
+        return rng.choice(["div", "div", "section", "table><tr><td", f'div class="{phrase(1, 2)}"', f'div id="{phrase(1, 1)}"'])
+
+    def closed(opened: str) -> str:
+        return "".join(f"</{part.split()[0].strip('<>')}>" for part in reversed(opened.split("><")))
+
     out = []
     for _ in range(pages):
         body, labels = [], []
@@ -108,26 +168,39 @@ def composed(seed: int, pages: int) -> list[tuple[str, list[int]]]:
             body.append(piece[0])
             labels.extend(piece[1])
 
+        plain = rng.random() < 0.5  # whether no element marks the article
+        frames = [name() for _ in range(rng.choice([0, 0, 1, 2, 4]))]
+        if rng.random() < 0.15:
+            frames.insert(0, 'form id="page"')
+        body += [f"<{f}>" for f in frames]
         for kinds in rng.sample([MENU, OTHER, OTHER, FORM], rng.randint(0, 4)):
-            put(part(kinds))
-        opened = rng.choice(MAIN[:2] * 3 + MAIN)
-        body.append(f"<{opened}>")
+            put(unmarked() if plain and rng.random() < 0.5 else part(kinds))
+        opened = rng.choice(["", name(), name()]) if plain else rng.choice(MAIN[:2] * 3 + MAIN)
+        body.append(f"<{opened}>" if opened else "")
         if rng.random() < 0.3:
-            body.append("<header>")
+            body.append("<header>" if not plain else "<div>")
             put((f"<h1>{phrase(2, 10)}</h1>", [1]))
-            body.append("</header>")
+            body.append("</header>" if not plain else "</div>")
         elif rng.random() < 0.8:
             put((f"<h1>{phrase(2, 10)}</h1>", [1]))
+        inner = name() if rng.random() < 0.3 else ""
+        body.append(f"<{inner}>" if inner else "")
         for _ in range(rng.randint(1, 12)):
+            own = name() if rng.random() < 0.15 else ""
+            body.append(f"<{own}>" if own else "")
             put(prose())
+            body.append(closed(own) if own else "")
             if rng.random() < 0.12:
                 put(part(rng.choice([OTHER, OTHER, FORM, MENU, TALK])))
+        body.append(closed(inner) if inner else "")
         if rng.random() < 0.3:
             put(part(TALK))
-        body.append(f"</{opened.split()[0]}>")
+        body.append(closed(opened) if opened else "")
         for kinds in rng.sample([OTHER, OTHER, TALK, FORM, MENU], rng.randint(0, 4)):
-            put(part(kinds))
-        out.append((f"<!DOCTYPE html><html><head><title>{phrase(2, 6)}</title></head><body>{''.join(body)}</body></html>", labels))
+            put(unmarked() if plain and rng.random() < 0.5 else part(kinds))
+        body += [closed(f) for f in reversed(frames)]
+        head = f"<head><title>{phrase(2, 6)}</title>" + ("</head><body>" if rng.random() < 0.9 else "")
+        out.append((f"<!DOCTYPE html><html>{head}{''.join(body)}", labels))
     return out
 
 
@@ -144,25 +217,28 @@ def fit(pages: DataFrame | None = None, markup: str = "html", labelled: int = LA
                 labels = own_labels(found)
                 if labels:
                     chosen.append((found, labels))
-    chosen = sorted(((features(b), labels) for b, labels in chosen if len(b) == len(labels) and len(b) <= 400), key=lambda p: (len(p[0]), p))
-    return crf.train(chosen)
+    told = [(features(b), labels) for b, labels in chosen if len(b) == len(labels) and len(b) <= 400]
+    pages_with = Counter(f for places, _ in told for f in {f for place in places for f in place})
+    known = [([[f for f in place if pages_with[f] >= RARE_PAGES] for place in places], labels) for places, labels in told]
+    return crf.train(sorted(known, key=lambda p: (len(p[0]), p)))
 
 
 def extractor(model: crf.Chain):
     """The function from pages to their main texts; scores of element paths are remembered."""
-    weight, paths = model.weights.get, {}
+    weight, scores_of = model.weights.get, {}
 
     def rows(pages: list[str | None]) -> list[tuple]:
         out = []
         for page in pages:
             found = dom.blocks(page)
-            scores = []
+            paths, scores = Paths(dom.measure(found)), []
             for i, b in enumerate(found):
-                if b.path not in paths:
-                    if len(paths) > 20_000:
-                        paths.clear()
-                    paths[b.path] = sum(weight(f, 0.0) for f in b.path)
-                scores.append(paths[b.path] + sum(weight(f, 0.0) for f in block_features(b, i, len(found))))
+                path = paths.of(b.element)
+                if path not in scores_of:
+                    if len(scores_of) > 20_000:
+                        scores_of.clear()
+                    scores_of[path] = sum(weight(f, 0.0) for f in sorted(path))
+                scores.append(scores_of[path] + sum(weight(f, 0.0) for f in block_features(found, i)))
             labels = model.decode(scores)
             kept = [b.text for b, label in zip(found, labels, strict=True) if label]
             out.append(("\n".join(kept), len(found), len(kept)))

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import awkward
 import numpy as np
@@ -173,17 +174,6 @@ def test_a_site_decides_where_the_text_does_not(spark):
     assert got == {(100, "french"): "fr", (101, "english"): "en"}
 
 
-def test_field_on_held_out_pages():
-    model = extraction.fit()
-    wrong = total = 0
-    for page, labels in extraction.composed(1234, 200):
-        found = dom.blocks(page)
-        weight = [sum(model.weights.get(f, 0.0) for f in place) for place in extraction.features(found)]
-        wrong += sum(a != b for a, b in zip(model.decode(weight), labels, strict=True))
-        total += len(labels)
-    assert wrong < 0.03 * total
-
-
 def test_decoding_finds_the_best_path():
     rng = random.Random(0)
     for _ in range(200):
@@ -199,6 +189,77 @@ def test_decoding_finds_the_best_path():
     assert chain.decode([]) == [] and crf.train([]).decode([0.0]) == [0]
 
 
+# Article layouts whose names are in no list of the training pages: what opens and closes the article, and whether menus and footers lie inside too.
+LAYOUTS = {
+    "article": ("<article>", "</article>", False), "bare": ("", "", False), "cell": ("<table><tr><td>", "</td></tr></table>", False), "div": ("<div>", "</div>", False),
+    "page": ('<div class="page">', "</div>", False), "columns": ('<div id="wrapper"><div class="row"><div class="col-md-8">', "</div></div></div>", False),
+    "parser": ('<div class="mw-parser-output">', "</div>", False), "grid": ('<div class="grid"><div class="cell"><section class="s12"><div>', "</div></section></div></div>", False),
+    "font": ("<center><font size=2>", "</font></center>", False), "form around article": ("<form action=x><article>", "</article></form>", True),
+    "form around all": ('<form id="aspnetForm"><div class="zone">', "</div></form>", True), "fieldset": ("<form><fieldset><div>", "</div></fieldset></form>", True),
+    "names of the page": ('<div class="layout has-sidebar with-nav"><div class="b">', "</div></div>", True),
+}
+
+
+def laid_out(layout, seed):
+    """A page of eight paragraphs, its title, and what does not belong."""
+    rng = random.Random(seed)
+
+    def say(n):
+        return " ".join("".join(rng.choice("bdgklmnprst") + rng.choice("aeiou") for _ in range(rng.randint(1, 4))) for _ in range(n))
+
+    paragraphs, title = [say(rng.randint(12, 70)).capitalize() + "." for _ in range(8)], say(5)
+    links = [f'<a href="#">{say(rng.randint(1, 2))}</a>' for _ in range(4)]
+    menu = rng.choice([f"<nav><ul>{''.join(f'<li>{x}</li>' for x in links)}</ul></nav>", f"<div>{' '.join(links)}</div>", f"<ul>{''.join(f'<li>{x}</li>' for x in links)}</ul>"])
+    foot = rng.choice([f"<footer>&copy; {say(2)}</footer>", f'<div class="footer"><p>&copy; {say(2)}</p></div>', f"<div>&copy; {say(3)}</div>"])
+    side = rng.choice([f"<aside><p>{say(6)}</p></aside>", f'<div class="cookie-notice">{say(7)}.</div>', f'<div class="comments"><p>{say(9)}.</p><p>{say(4)}!</p></div>'])
+    opened, closed, inside = LAYOUTS[layout]
+    own = f"<h1>{title}</h1>" + "".join(f"<p>{p}</p>" for p in paragraphs)
+    body = opened + menu + own + side + foot + closed if inside else menu + opened + own + closed + side + foot
+    return f"<html><head><title>t</title></head><body>{body}", paragraphs, title
+
+
+@pytest.fixture(scope="module")
+def field():
+    return extraction.fit()
+
+
+def test_field_on_held_out_pages(field):
+    model = field
+    wrong = total = 0
+    for page, labels in extraction.composed(1234, 200):
+        found = dom.blocks(page)
+        weight = [sum(model.weights.get(f, 0.0) for f in place) for place in extraction.features(found)]
+        wrong += sum(a != b for a, b in zip(model.decode(weight), labels, strict=True))
+        total += len(labels)
+    assert wrong < 0.03 * total
+
+
+@pytest.mark.parametrize("layout", list(LAYOUTS))
+def test_layouts_without_known_names(field, layout):
+    run, kept, junk, other = extraction.extractor(field), 0, 0, 0
+    for seed in range(30):
+        page, paragraphs, title = laid_out(layout, seed)
+        got = run([page])[0][0].split("\n")
+        kept += sum(p in got for p in [*paragraphs, title])
+        junk += sum(x not in paragraphs and x != title for x in got if x)
+        other += len(dom.blocks(page)) - 9
+    assert kept >= 0.95 * 9 * 30 and junk <= 0.05 * other
+
+
+def test_nesting_takes_linear_time(field):
+    run = extraction.extractor(field)
+    begin = time.process_time()
+    for page in ("<b>" * 20_000 + "".join(f"<p>number {i} here, it is.</p>" for i in range(20_000)), "<div>" * 10_000 + "<div><p>so it is, again.</p>" * 10_000):
+        assert run([page])[0][1] >= 10_000
+    assert time.process_time() - begin < 15
+
+
+def test_heads_and_embedded_text():
+    assert [b.text for b in dom.blocks("<html><head><title>t</title><meta x><article><p>One.</p></article>")] == ["One."]
+    assert [b.text for b in dom.blocks("<p>Energy is <math><mi>E</mi></math> as <object>is known</object>.<noscript>off</noscript>")] == ["Energy is E as is known."]
+    assert [b.text for b in dom.blocks("<head><style>p{}</style><title>x</title></head><p>b")] == ["b"]
+
+
 PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{}</style><script>var x="</p>";</script></head><body>
 <header class="site-header"><a href="/">Home</a></header><nav><ul><li><a href="#">One</a><li><a href="#">Two</a></ul></nav>
 <div class="cookie-notice">We use cookies</div><!-- <p>gone</p> -->

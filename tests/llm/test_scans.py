@@ -4,6 +4,7 @@ import base64
 import json
 import random
 import re
+import time
 
 import awkward
 import numpy as np
@@ -256,3 +257,81 @@ def test_proposals_are_checked_not_trusted():
     apart = own.compatible(left, right)
     for a, b, is_apart in zip(left.tolist(), right.tolist(), apart.tolist(), strict=True):
         assert (own.merged(own.bytes[a] + own.bytes[b]) == [a, b]) == is_apart
+
+
+def test_long_words_take_linear_time():
+    """A run of a million letters is as the public library has it, in seconds."""
+    tokenizer, public = made_tokenizer(), Tokenizer.from_file(VOCABULARY)
+    rng = random.Random(5)
+    for n in (bpe.LONG - 1, bpe.LONG, bpe.LONG + 1, 700, 5000):
+        for letters in ("ab", "aeinorst", "abcdefghijklmnopqrstuvwxyz", "é漢字a"):
+            word = "".join(rng.choices(letters, k=n))
+            assert np.frombuffer(tokenizer.encode([word])[0], "<u4").tolist() == public.encode(word, add_special_tokens=False).ids
+    word = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=1_000_000))
+    begin = time.process_time()
+    ids = np.frombuffer(tokenizer.encode([word])[0], "<u4")
+    assert time.process_time() - begin < 15
+    assert ids.tolist() == public.encode(word, add_special_tokens=False).ids and tokenizer.held > 2_000_000
+
+
+def made_tokenizer():
+    with open(VOCABULARY, encoding="utf-8") as file:
+        return bpe.Tokenizer(file.read())
+
+
+def test_ids_become_texts_again(spark):
+    df = awkward.documents(spark)
+    coded = bpe.encode(df, VOCABULARY).withColumn("ids", F.col("tokens.ids"))
+    for r in bpe.decode(coded, VOCABULARY, "ids", "again").select("text", "again").collect():
+        assert r["again"] == (r["text"] or "")
+    nothing = bpe.decode(spark.createDataFrame([(None,)], "ids binary"), VOCABULARY).first()
+    assert nothing["text"] is None
+
+
+def licence_scanner():
+    return licences.Wordings(licences.WORDINGS, licences.PHRASES, licences.SEED, licences.GAP, licences.COVERED).scan
+
+
+def chains_by_force(scanner, wording, matches):
+    """Spans by comparing every match with every earlier one and every span with every other."""
+    best = []
+    for i, (at, of, n) in enumerate(matches):
+        score, first = n, i
+        for j in range(i - 1, -1, -1):
+            a, o, m = matches[j]
+            over = max(a + m - at, o + m - of, 0)
+            if a < at and o < of and n > over and at - (a + m) <= scanner.gap and best[j][0] + n - over > score:
+                score, first = best[j][0] + n - over, best[j][1]
+        best.append((score, first))
+    spans = []
+    for i in sorted(range(len(matches)), key=lambda i: (-best[i][0], i)):
+        begin, end = matches[best[i][1]][0], matches[i][0] + matches[i][2]
+        if best[i][0] >= scanner.covered * scanner.sizes[wording] and all(end <= b or begin >= e for b, e, _ in spans):
+            spans.append((begin, end, best[i][0]))
+    return sorted(spans)
+
+
+def test_chains_by_force():
+    rng = random.Random(2)
+    scanner = licences.Wordings([("x", "a b c d e f g h i j k l")], [], 2, 3, 0.5)
+    for _ in range(300):
+        matches = sorted({(rng.randrange(60), rng.randrange(10), rng.randint(2, 6)) for _ in range(rng.randint(0, 25))})
+        matches = [(a, o, min(n, 12 - o)) for a, o, n in matches]
+        assert [(s["first"], s["last"], s["words"]) for s in scanner._chains(0, matches)] == chains_by_force(scanner, 0, matches)
+
+
+def test_every_wording_is_told_from_the_others():
+    scan = licence_scanner()
+    for label, wording in licences.WORDINGS:
+        (_, _, spans), = scan([f"some lead words {wording} and a tail"])
+        assert {s["label"] for s in spans} == {label}, label
+    holder = licences.BSD_FIRST + licences.BSD_NAMES + licences.BSD_WARRANTY
+    (_, _, spans), = scan([holder.replace("the copyright holder nor", "Some Company nor")])
+    assert {s["label"] for s in spans} == {"bsd-3-clause"}
+
+
+def test_many_notices_take_linear_time():
+    begin = time.process_time()
+    (_, places, spans), = licence_scanner()(["All rights reserved. Licensed under CC BY-SA 4.0 today. " * 100_000])
+    assert time.process_time() - begin < 15
+    assert len(places) == 200_000 and len(spans) == 200_000 and {s["label"] for s in spans} == {"reserved", "cc-by-sa"}
