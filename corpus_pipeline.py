@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assaysieve.llm import bpe, decontaminate, quality, queries, secrets, simhash
-from assaysieve.session import scratch_path
+from assaysieve.session import delete_paths, scratch_path
 
 
 def _sized(documents: DataFrame) -> DataFrame:
@@ -34,9 +34,11 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of the texts; the texts themselves are left behind."""
-    return bpe.encode(docs, queries.VOCABULARY, out="_tokens").select(
+    """Token ids of the texts, and the digest of what they decode to; the texts themselves are left behind."""
+    coded = bpe.encode(docs, queries.VOCABULARY, out="_tokens").select(
         "doc_id", "lang", "source", F.col("_tokens.n_tokens").alias("n_tokens"), F.col("_tokens.ids").alias("token_ids"))
+    decoded = bpe.decode(coded, queries.VOCABULARY, "token_ids", "_decoded")
+    return decoded.withColumn("decoded_sha256", F.sha2("_decoded", 256)).drop("_decoded")
 
 
 STAGES = [
@@ -44,7 +46,7 @@ STAGES = [
     ("SimHash near-dedup", one_of_each),
     ("benchmark decontamination", clean_of_benchmarks),
     ("secret scans", without_secrets),
-    ("BPE encoding", tokenized),
+    ("BPE encoding and decoding", tokenized),
 ]
 # The stages are learned, iterative or tokenizers: SQL cannot express them. Tests compare the rows with brute force.
 ORACLE_SQL = None
@@ -52,9 +54,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents; what each keeps is written to the shared scratch folder and read again by the next."""
-    docs = queries.table(spark, sf_dir, "documents")
+    docs, before = queries.table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
         path = scratch_path(spark, name.replace(" ", "-").lower())
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        delete_paths(spark, before)  # the stage that read it is written
+        docs, before = spark.read.parquet(path), [path]
     return STAGES[-1][1](spark, docs, sf_dir)
