@@ -179,19 +179,22 @@ def _without(base: DataFrame, large: DataFrame, by: list[str]) -> DataFrame:
     return base.join(F.broadcast(large), same, "left_anti")  # one row per experiment beyond local_rows
 
 
+def exploded_fits(base: DataFrame, by: list[str], features: int, folds: bool) -> DataFrame:
+    """Each row once for every target it has and every fit of its experiment: that on all rows (`left_out` is FULL), and those without a fold.
+
+    Every fit sees all rows of its experiment: those of the left-out fold are only predicted.
+    """
+    dealt = base.select("*", F.explode("_targets").alias("_t")).where("_t.y is not null").select(
+        *[col(k) for k in by], "_t.target", "_t.y", "row", "hash", "fold", *[f"f{j}" for j in range(features)])
+    if not folds:
+        return dealt.withColumn("left_out", F.lit(FULL))
+    packed = base.groupBy(*[col(k) for k in by]).agg(F.collect_set("fold").alias("_left"))
+    return _attach(dealt, packed, by).withColumn("left_out", F.explode(F.array_union(F.array(F.lit(FULL)), F.col("_left")))).drop("_left")
+
+
 def _fit_groups(base: DataFrame, by: list[str], features: int, styles: dict[str, Style], folds: bool) -> DataFrame:
     jobs = F.array(*[F.struct(F.lit(k).alias("model"), F.lit(b).alias("share")) for k, s in styles.items() for b in (range(min(BUNDLES, s.trees)) if s.bagged else [0])])
-    dealt = base.select("*", F.explode("_targets").alias("_t")).where("_t.y is not null").select(
-        *by, "_t.target", "_t.y", "row", "hash", "fold", *[f"f{j}" for j in range(features)], F.explode(jobs).alias("_j"))
-    dealt = dealt.select("*", "_j.*").drop("_j")
-    if folds:
-        # Every fit sees all rows of its experiment: those of the left-out fold are only predicted.
-        present = base.select(*by, "fold").distinct().select(*by, F.col("fold").alias("left_out"))
-        present = present.unionByName(base.select(*by).distinct().withColumn("left_out", F.lit(FULL)) if by else base.sparkSession.range(1).select(F.lit(FULL).alias("left_out")))
-        packed = present.groupBy(*by).agg(F.collect_set("left_out").alias("_left")) if by else present.agg(F.collect_set("left_out").alias("_left"))
-        dealt = _attach(dealt, packed, by).withColumn("left_out", F.explode("_left")).drop("_left")
-    else:
-        dealt = dealt.withColumn("left_out", F.lit(FULL))
+    dealt = exploded_fits(base, by, features, folds).withColumn("_j", F.explode(jobs)).select("*", "_j.*").drop("_j")
     kinds = dict(base.dtypes)
     schema = ", ".join([*[f"`{k}` {kinds[k]}" for k in by], "target string, model string, left_out int", f"row {kinds['row']}",
                         "fold int, y double, yhat double, tree int, piece int, start double", ARRAYS])
@@ -741,10 +744,11 @@ def _score_shares(df: DataFrame, model: DataFrame, features: Sequence[str], to:
     return rows.drop(to).join(total, "_row").withColumnRenamed("_total", to).drop("_row")
 
 
-def score_experiments(library: DataFrame, models: DataFrame, features: Sequence[str], keep: Sequence[str], by: Sequence[str], rows_each: int = LOCAL_ROWS) -> DataFrame:
-    """Rows with the predictions of all models of their experiment, long: by, keep, target, model, prediction. Rows without a model are left out.
+def met_by_experiment(library: DataFrame, models: DataFrame, features: Sequence[str], keep: Sequence[str], by: Sequence[str], parts: Sequence[str],
+                      work: Callable[[np.ndarray, pa.Table], np.ndarray], rows_each: int = LOCAL_ROWS) -> DataFrame:
+    """Rows with what `work` makes of the models of their experiment, long: by, keep, target, model, prediction. Rows without a model are left out.
 
-    An experiment's rows are dealt in slices, and its models go to each of them.
+    An experiment's rows are dealt in slices, and its models, of which `parts` are the columns, go to each of them.
     """
     by, keep, width = list(by), list(keep), len(features)
     kinds = dict(library.dtypes)
@@ -759,17 +763,22 @@ def score_experiments(library: DataFrame, models: DataFrame, features: Sequence[
         rows, held = (df.withColumns({"_key": F.lit(""), "_slices": F.lit(slices)}) for df in (vectors, models))
     rows = rows.withColumn("_slice", F.pmod(F.xxhash64(*[col(c) for c in names], "_x"), F.col("_slices")).cast("int"))
     held = held.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.col("_slices") - 1)))
-    held = held.select(F.col("_key").alias("_owner"), F.col("_slice").alias("_part"), "target", "model", "tree", "piece", "start", *ARRAY_NAMES)
+    held = held.select(F.col("_key").alias("_owner"), F.col("_slice").alias("_part"), "target", "model", *parts)
 
-    def score(group: tuple[pa.Scalar, ...], own: pa.Table, trees: pa.Table) -> pa.Table:
+    def score(group: tuple[pa.Scalar, ...], own: pa.Table, held: pa.Table) -> pa.Table:
         out = []
-        if own.num_rows and trees.num_rows:
+        if own.num_rows and held.num_rows:
             x = _as_matrix(own["_x"].combine_chunks(), width)
-            for target, model in sorted({(r["target"], r["model"]) for r in trees.select(["target", "model"]).to_pylist()}):
-                mine = trees.filter(pc.and_(pc.equal(trees["target"], target), pc.equal(trees["model"], model)))
-                values = joined_nodes(mine).predict(x)
-                out.append(pa.table({**{c: own[c] for c in names}, "target": [target] * len(x), "model": [model] * len(x), "prediction": values}))
+            for target, model in sorted({(r["target"], r["model"]) for r in held.select(["target", "model"]).to_pylist()}):
+                mine = held.filter(pc.and_(pc.equal(held["target"], target), pc.equal(held["model"], model)))
+                values = work(x, mine)
+                out.append(pa.table({**{c: own[c] for c in names}, "target": [target] * len(x), "model": [model] * len(x), "prediction": pa.array(values, mask=np.isnan(values))}))
         return pa.concat_tables(out) if out else pa.Table.from_pylist([], pa.schema([]))
 
     schema = ", ".join([*[f"`{c}` {kinds[c]}" for c in names], "target string, model string, prediction double"])
     return rows.groupBy("_key", "_slice").cogroup(held.groupBy("_owner", "_part")).applyInArrow(score, schema)
+
+
+def score_experiments(library: DataFrame, models: DataFrame, features: Sequence[str], keep: Sequence[str], by: Sequence[str], rows_each: int = LOCAL_ROWS) -> DataFrame:
+    """Rows with the predictions of all tree models of their experiment, long form. Rows without a model are left out."""
+    return met_by_experiment(library, models, features, keep, by, ["tree", "piece", "start", *ARRAY_NAMES], lambda x, trees: joined_nodes(trees).predict(x), rows_each)

@@ -20,7 +20,7 @@ class ModelChoice(NamedTuple):
     family: str
 
 
-# What is fitted for each model name. The kernel machine's slot holds kernel ridge; every unknown name falls back to least squares.
+# What is fitted for each model name; every unknown name falls back to least squares.
 MODEL_FAMILIES = {
     "Linear Regression": ("Linear Regression", "linear"),
     "Polynomial Regression": ("Polynomial Regression", "linear"),
@@ -30,7 +30,8 @@ MODEL_FAMILIES = {
     "XGBoost": ("second_order", "trees"),
     "CatBoost": ("symmetric", "trees"),
     "LightGBM": ("leaf_wise", "trees"),
-    "SVR": ("kernel_ridge", "kernel"),
+    "SVR": ("support_vectors", "vectors"),
+    "Kernel Ridge": ("kernel_ridge", "kernel"),
     "Gaussian Process": ("gaussian_process", "kernel"),
 }
 

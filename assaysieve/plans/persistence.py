@@ -51,7 +51,7 @@ def save(trained: Trained, path: str) -> None:
             kernel = [len(k["points"]), *k["points"].shape, k["points"].ravel().tolist(), k["dual"].tolist(), cover]
             kernel += [float(k[c]) for c in ("amplitude", "gamma", "centre", "spread")]
         else:
-            write_table(b.parameters, f"{path}/trees/{i}")
+            write_table(b.parameters, f"{path}/models/{i}")
         rows.append([*row, intercept, weights, *kernel])
     write_table(spark.createDataFrame(rows, _BEST).coalesce(1), f"{path}/best")
     settings = [(trained.training.name, trained.strategy, trained.training.targets, _preparation_json(trained.training.preparation))]
@@ -74,7 +74,7 @@ def load(spark: SparkSession, path: str) -> Trained:
         elif r["family"] == "kernel":
             parameters = unpack(r)
         else:
-            parameters = spark.read.parquet(f"{path}/trees/{i}")
+            parameters = spark.read.parquet(f"{path}/models/{i}")
         best[t] = Best(t, r["model"], r["fitted_as"], r["family"], r["train_r2"], r["cv_r2"], r["cv_rmse"], parameters)
     tables: dict[str, DataFrame] = {part: spark.read.parquet(f"{path}/{part}") for part in ("scores", "oof", "measured", "frame")}
     training = Training(tables["frame"], _preparation(settings["preparation"]), list(settings["targets"]), settings["name"], tables["frame"])

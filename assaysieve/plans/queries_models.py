@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import functions as F
 
-from assaysieve.operators import explain, histogram_trees, kernels, linear, target_statistics, tree_paths, trees, validate, views
+from assaysieve.operators import explain, histogram_trees, kernels, linear, support_vectors, target_statistics, tree_paths, trees, validate, views
 from assaysieve.operators.skew import lookup_join
 from assaysieve.plans import experiments
 from assaysieve.plans.registry import FEATURES, PARTS_SQL, TARGETS, parts, query, rounded, table
@@ -303,6 +303,26 @@ def kernel_ridge_pairs(spark, folder):
     return rounded(kernels.score_kernels(rows, fits, ["x"], ["p_partkey"], ["pair"]).select("p_partkey", "prediction"), "prediction")
 
 
+@query("support_vector_pairs", _PAIRS_SQL + """
+k AS (SELECT pair, n, m, CASE WHEN vx > 0 THEN exp(-dx * dx / vx) ELSE 1.0 END AS k, ds FROM pairs
+      JOIN (SELECT pair, max(y) - min(y) AS ds FROM rows GROUP BY pair) USING (pair)),
+t AS (SELECT *, CASE WHEN ds <= 0.2 THEN 0 WHEN k = 1 THEN 1 ELSE least((ds - 0.2) / (2 - 2 * k), 1) END AS t FROM k)
+SELECT p_partkey, round(m + sign(y - m) * t * (1 - k), 5) AS prediction FROM rows JOIN t USING (pair)""")
+def support_vector_pairs(spark, folder):
+    """Support-vector regression over pairs of parts, whose dual has one unknown."""
+    rows = _pairs(spark, folder)
+    models = support_vectors.fit_support_vectors(rows, ["x"], ["y"], "p_partkey", by=["pair"], tolerance=1e-9).models
+    scored = support_vectors.score_experiments(rows, models, ["x"], ["p_partkey"], ["pair"])
+    return rounded(scored.select("p_partkey", "prediction"), "prediction", digits=5)
+
+
+@query("support_vectors")
+def support_vector_metrics(spark, folder):
+    """Every brand's support-vector regression, cross-validated."""
+    fitted = support_vectors.fit_support_vectors(_scaled(spark, folder).withColumn("fold", F.pmod("p_partkey", F.lit(5)).cast("int")), ["size", "qty"], ["return_pct"], "p_partkey", "fold", ["p_brand"])
+    return validate.metrics(fitted.predictions, ["p_brand"])
+
+
 @query("gp_pairs", _PAIRS_SQL + """
 k AS (SELECT *, exp(-0.5 * dx * dx) AS k, 1 + 0.01 + 0.000001 AS a, CASE WHEN sd > 0 THEN sd ELSE 1.0 END AS s FROM pairs)
 SELECT p_partkey, round(CASE WHEN n = 2 THEN m + (y - m) * (1 - k) / (a - k) ELSE m END, 5) AS prediction,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from assaysieve.functions.exprs import col, percent_text
 from assaysieve.operators import explain as E
-from assaysieve.operators import histogram_trees, kernels, linear, tree_paths, views
+from assaysieve.operators import histogram_trees, kernels, linear, support_vectors, tree_paths, views
 from assaysieve.operators import prepare as P
 from assaysieve.operators import score as S
 from assaysieve.operators.catalogue import align_for_inference
@@ -47,8 +47,9 @@ def predict(
             if b.fitted_as == "gaussian_process":
                 width[t] = F.lit(S.Z95) * col(f"{t}_deviation")
         else:
-            df = histogram_trees.score_trees(df, b.parameters, features, f"_tree{i}")
-            value[t] = F.col(f"_tree{i}")
+            score = histogram_trees.score_trees if b.family == "trees" else support_vectors.score_vectors
+            df = score(df, b.parameters, features, f"_own{i}")
+            value[t] = F.col(f"_own{i}")
     out = [c for t in best for c in S.interval(value[t], width[t], t, bounds)]
     return df.select(*[col(c) for c in keep], *out)
 
@@ -100,6 +101,8 @@ def explain(trained: Trained, target: str, rows: DataFrame | None = None, keep:
         intercept, weights = best.parameters
         return E.linear_shap(rows, features, weights, list(means), keep, intercept)
     points, share = E.background(frame, features, centres)
+    if best.family == "vectors":
+        return E.kernel_shap(rows, features, support_vectors.predictor(best.parameters), points, share, keep)
     if best.family == "kernel":
         return E.kernel_shap(rows, features, lambda x: kernels.kernel_predict(best.parameters, x)[0], points, share, keep)
     intercept, weights = best.parameters

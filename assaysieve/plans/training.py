@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from assaysieve.functions import vocabulary as V
 from assaysieve.functions.exprs import col
-from assaysieve.operators import histogram_trees, kernels, linear
+from assaysieve.operators import histogram_trees, kernels, linear, support_vectors
 from assaysieve.operators import prepare as P
 from assaysieve.operators import roles as R
 from assaysieve.operators import validate
@@ -171,10 +171,12 @@ def train(
     tree_options: dict | None = None,
     fold: Column | None = None,
     boosting: str | None = None,
+    landmarks: int = kernels.LANDMARKS,
 ) -> Trained:
     """Fit and cross-validate every model for every target, then choose the best per target.
 
-    `boosting="random_forest"` fits forests where boosting packages are asked for. Raises if no model of any target could be fitted.
+    `boosting="random_forest"` fits forests where boosting packages are asked for. Kernel models stand on at most `landmarks` distinct vectors: they are exact
+    up to so many. Raises if no model of any target could be fitted.
 
     Folds are drawn by the validation strategy, unless the caller gives them as an expression over the row key.
     """
@@ -183,7 +185,7 @@ def train(
     models, strategy = list(models or advised), strategy or plan
     folds = validate.fold_count(strategy)
     choices = [validate.resolve_model(m, boosting) for m in models]
-    families = {f: list(dict.fromkeys(c.fitted_as for c in choices if c.family == f)) for f in ("linear", "kernel", "trees")}
+    families = {f: list(dict.fromkeys(c.fitted_as for c in choices if c.family == f)) for f in ("linear", "kernel", "trees", "vectors")}
     drawn = validate.assign_folds(frame, row_id, folds) if fold is None else frame.withColumn("fold", fold.cast("int"))
     rows = drawn.persist()
     number = folds if folds is not None else rows.count()
@@ -205,15 +207,18 @@ def train(
         oofs.append(predicted.select(*shape))
     if families["kernel"]:
         names = families["kernel"]
-        for r in kernels.fit_kernels(frame, features, targets, names).collect():
+        for r in kernels.fit_kernels(frame, features, targets, names, landmarks=landmarks).collect():
             held[r["target"], r["model"]] = kernels.unpack(r) if r["status"] == "ok" else None
             if r["status"] != "ok":
                 failures.append((r["target"], r["model"], r["status"]))
-        left_out = kernels.kernel_out_of_fold(rows, features, targets, names, "fold", row_id, single=folds is None and fold is None)
+        left_out = kernels.kernel_out_of_fold(rows, features, targets, names, "fold", row_id, landmarks=landmarks, single=folds is None and fold is None)
         oofs.append(left_out.select(*shape))
-    fitted = _tree_models(rows, features, targets, families["trees"], row_id, tree_options or {}, failures)
-    if fitted:
-        held |= {(t, k): fitted.models.where((F.col("target") == t) & (F.col("model") == k)).drop("target", "model") for t in targets for k in families["trees"]}
+    tables = [_tree_models(rows, features, targets, families["trees"], row_id, tree_options or {}, failures)]
+    if families["vectors"]:
+        tables.append(_attempt(failures, targets, families["vectors"], lambda: support_vectors.fit_support_vectors(rows, features, targets, row_id, "fold")))
+    for fitted in (t for t in tables if t):
+        held |= {(t, k): fitted.models.where((F.col("target") == t) & (F.col("model") == k)).drop("target", "model") for t in targets for k in families["trees"] + families["vectors"]
+                 if (k in families["trees"]) == (fitted is tables[0])}
         oofs.append(fitted.predictions.select(*shape))
 
     if not oofs:

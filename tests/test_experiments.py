@@ -20,7 +20,7 @@ def table(spark):
     return spark.createDataFrame(rows, "name string, g string, a double, b double, y double").repartition(5)
 
 
-MODELS = ["Ridge", "Polynomial Regression", "SVR", "Gaussian Process"]
+MODELS = ["Ridge", "Polynomial Regression", "Kernel Ridge", "Gaussian Process"]
 
 
 def test_each_experiment_is_trained_as_if_alone(spark):
@@ -54,7 +54,7 @@ def test_every_row_is_scored_by_its_experiments_best_model(spark):
 
 def test_rows_without_a_model_are_kept(spark):
     df = table(spark)
-    trained = train_experiments(df, FEATURES, ["y"], ["g"], ["Ridge", "SVR"], "name")
+    trained = train_experiments(df, FEATURES, ["y"], ["g"], ["Ridge", "Kernel Ridge", "SVR"], "name")
     more = df.limit(2)
     library = df.unionByName(more.withColumn("g", F.lit("unknown"))).unionByName(more.withColumn("g", F.lit(None).cast("string")))
     rows = screen_experiments(trained, library, ["name"]).collect()

@@ -181,7 +181,7 @@ def test_train_screen_save_load(spark, tmp_path, models):
         assert {b.fitted_as for b in trained.best.values()} == {"gaussian_process"}
     else:
         names = {(r["model"], r["fitted_as"]) for r in trained.scores.collect()}
-        assert ("Neural Networks", "Linear Regression") in names and ("SVR", "kernel_ridge") in names and len(names) == 6
+        assert ("Neural Networks", "Linear Regression") in names and ("SVR", "support_vectors") in names and len(names) == 6
     got = screening.screen(trained, library(spark))
     rows = {r["solvent_name"]: r for r in got.collect()}
     assert sorted(r["rank"] for r in rows.values()) == list(range(1, len(rows) + 1))
@@ -242,7 +242,7 @@ def test_leave_one_out_of_many_rows(spark):
 
 
 def test_kernel_models_beyond_the_landmarks_are_screened(spark):
-    trained = training.train(measured(spark, 260), ["Gaussian Process", "SVR"], "5-Fold CV")
+    trained = training.train(measured(spark, 260), ["Gaussian Process", "Kernel Ridge"], "5-Fold CV")
     assert {r["status"] for r in trained.scores.collect()} == {"ok"} and trained.best["yield_pct"].cv_r2 > 0.7
     library = spark.createDataFrame([("new", 0.1, 0.2), ("gap", None, 0.2)], "solvent_name string, LogP double, Density double")
     assert screening.screen(trained, library).count() == 2
