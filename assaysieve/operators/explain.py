@@ -15,7 +15,6 @@ from assaysieve.functions.exprs import col
 from assaysieve.operators.trees import assemble, leaves
 
 COALITIONS = 4096  # coalitions up to which all are evaluated
-ORDERS = 256  # feature orders that are sampled where there are more, each also in reverse
 CELLS = 4_000_000  # rows times leaves times features that are held at once
 
 
@@ -29,15 +28,18 @@ def linear_shap(
 
 
 def background(df: DataFrame, features: Sequence[str], k: int = 10, seed: int = 42) -> tuple[np.ndarray, np.ndarray]:
-    """k-means summary of the features: centres moved to the nearest observed value per feature, and cluster shares.
+    """k-means summary of the features: centres moved to the nearest observed value per feature, and cluster shares. One centre is the mean.
 
     The clustering and the search for nearest values run on the executors; k rows come back.
     """
     features = list(features)
-    rows = assemble(df.select(*[col(c) for c in features]), features)
-    model = KMeans(k=k, seed=seed, featuresCol="_features", predictionCol="_cluster").fit(rows)
-    centres = [c.tolist() for c in model.clusterCenters()]
-    sizes = {r["_cluster"]: r["count"] for r in model.transform(rows).groupBy("_cluster").count().collect()}
+    if k == 1:
+        centres, sizes = [list(df.agg(*[F.avg(col(c).cast("double")) for c in features]).first())], {0: 1}
+    else:
+        rows = assemble(df.select(*[col(c) for c in features]), features)
+        model = KMeans(k=k, seed=seed, featuresCol="_features", predictionCol="_cluster").fit(rows)
+        centres = [c.tolist() for c in model.clusterCenters()]
+        sizes = {r["_cluster"]: r["count"] for r in model.transform(rows).groupBy("_cluster").count().collect()}
     picks = [
         F.min_by(col(c).cast("double"), F.struct(F.abs(col(c) - F.lit(centre[j])), col(c))).alias(f"{i}_{j}")
         for i, centre in enumerate(centres) for j, c in enumerate(features)
@@ -48,47 +50,77 @@ def background(df: DataFrame, features: Sequence[str], k: int = 10, seed: int =
     return points, share / share.sum()
 
 
-def coalition_weights(p: int) -> list[tuple[np.ndarray, np.ndarray]]:
+def coalition_weights(p: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Every subset of features as a mask with its contribution factor for each feature."""
-    out = []
     for mask in range(2**p):
         inside = np.array([(mask >> j) & 1 for j in range(p)], bool)
         size = int(inside.sum())
         with_feature = factorial(size - 1) * factorial(p - size) / factorial(p) if size else 0.0
         without = factorial(size) * factorial(p - size - 1) / factorial(p) if size < p else 0.0
-        out.append((inside, np.where(inside, with_feature, -without)))
-    return out
+        yield inside, np.where(inside, with_feature, -without)
 
 
-def shapley_values(
-    predict: Callable[[np.ndarray], np.ndarray], x: np.ndarray, points: np.ndarray, share: np.ndarray, orders: int = ORDERS, seed: int = 42
-) -> np.ndarray:
-    """Shapley values of a batch of rows against weighted background points.
+def shapley_values(predict: Callable[[np.ndarray], np.ndarray], x: np.ndarray, points: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Shapley values of a batch of rows against weighted background points, over all coalitions."""
+    phi = np.zeros_like(x)
+    for inside, factor in coalition_weights(x.shape[1]):
+        mean = sum(weight * predict(np.where(inside, x, point)) for point, weight in zip(points, share, strict=True))
+        phi += mean[:, None] * factor
+    return phi
 
-    Exact over all coalitions of up to 12 features. Beyond, `orders` random orders of the features and their reverses are followed, the same
-    for all rows; the values still add up to prediction minus base.
-    """
-    def mean(inside: np.ndarray) -> np.ndarray:
-        return sum(weight * predict(np.where(inside, x, point)) for point, weight in zip(points, share, strict=True))
 
-    p = x.shape[1]
-    phi = np.zeros_like(x)
-    if 2**p <= COALITIONS:
-        for inside, factor in coalition_weights(p):
-            phi += mean(inside)[:, None] * factor
-        return phi
-    rng = np.random.default_rng(seed)
+PAIRS = 64  # pairs of coalitions of the first draw; every further draw doubles them
+MOST_PAIRS = 4096
+ERROR = 0.01  # standard error, against the spread of a row's values, at which drawing ends
+
+
+def drawn_pairs(rng: np.random.Generator, p: int, pairs: int) -> np.ndarray:
+    """Coalitions whose size has the weight of the Shapley kernel; each one's complement is its other half."""
+    sizes = np.arange(1, p)
+    weight = 1.0 / (sizes * (p - sizes))
+    drawn = rng.choice(sizes, pairs, p=weight / weight.sum())
+    order = rng.random((pairs, p)).argsort(1).argsort(1)
+    return order < drawn[:, None]
+
+
+def regression_values(
+    predict: Callable[[np.ndarray], np.ndarray], x: np.ndarray, points: np.ndarray, share: np.ndarray,
+    error: float = ERROR, most_pairs: int = MOST_PAIRS, seed: int = 42,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Shapley values of a batch of rows by constrained least squares over drawn coalitions, and their standard errors.
+
+    A linear model of coalitions is fitted to the predictions so that its values add up to prediction minus base. The pairs of a coalition and its complement are the same
+    for all rows; the errors come from how the pairs' residuals scatter. Drawing ends when no error is above `error` of the spread between a row's values, or at
+    `most_pairs`. A model that is linear in coalitions has errors of 0.
+    """
+    n, p = x.shape
+    mean = lambda inside: sum(w * predict(np.where(inside, x, point)) for point, w in zip(points, share, strict=True))
     none, whole = mean(np.zeros(p, bool)), mean(np.ones(p, bool))
-    for _ in range(orders):
-        forward = rng.permutation(p)
-        for order in (forward, forward[::-1]):
-            inside, before = np.zeros(p, bool), none
-            for place, j in enumerate(order):
-                inside[j] = True
-                after = whole if place == p - 1 else mean(inside)
-                phi[:, j] += (after - before) / (2 * orders)
-                before = after
-    return phi
+    if p < 2:
+        return (whole - none)[:, None] * np.ones((1, p)), np.zeros((n, p))
+    rng = np.random.default_rng(seed)
+    masks, values = np.zeros((0, p), bool), np.zeros((0, 2, n))
+    while True:
+        fresh = drawn_pairs(rng, p, max(PAIRS, len(masks), p))
+        masks = np.concatenate([masks, fresh])
+        values = np.concatenate([values, [[mean(m) - none, mean(~m) - none] for m in fresh]])
+        z = np.stack([masks, ~masks], 1).astype(float)
+        flat = z.reshape(-1, p)
+        inverse = np.linalg.pinv(flat.T @ flat / len(flat))
+        response = flat.T @ values.reshape(-1, n) / len(flat)
+        ones = inverse.sum(1)
+        phi = inverse @ response
+        phi -= np.outer(ones, (phi.sum(0) - (whole - none)) / ones.sum())
+        residual = values - np.einsum("kap,pn->kan", z, phi)
+        # What one pair moves the values by, if it is weighed a little more: the constraint holds for it too.
+        turned = z @ (inverse - np.outer(ones, ones) / ones.sum()).T
+        first, second = turned[:, 0], turned[:, 1]
+        a, b = residual[:, 0], residual[:, 1]
+        spread = (a * a).T @ (first * first) + 2 * (a * b).T @ (first * second) + (b * b).T @ (second * second)
+        errors = np.sqrt(np.maximum(spread, 0)) / len(flat)
+        wide = np.maximum(phi.max(0) - phi.min(0), 1e-12)
+        if len(masks) >= most_pairs or (errors <= error * wide[:, None]).all():
+            return phi.T, errors
 
 
 def kernel_shap(
@@ -98,19 +130,27 @@ def kernel_shap(
     points: np.ndarray,
     share: np.ndarray,
     keep: Sequence[str],
+    exact: bool | None = None,
+    error: float = ERROR,
 ) -> DataFrame:
-    """Shapley values of a vectorised predictor. Coalitions are evaluated inside each Arrow batch: no row multiplies."""
+    """Shapley values of a vectorised predictor. Coalitions are evaluated inside each Arrow batch: no row multiplies.
+
+    With `exact` every coalition is, at any number of features; by default up to 12. Otherwise values are fitted to drawn coalitions, until their standard
+    errors, which come as columns `error_<feature>`, are below `error` of the spread of a row's values.
+    """
+    exact = 2 ** len(features) <= COALITIONS if exact is None else exact
     features, keep = list(features), list(keep)
     rows = df.select(*[col(c) for c in dict.fromkeys([*keep, *features])]).dropna(subset=features)
     kinds = dict(rows.dtypes)
-    schema = ", ".join([f"`{c}` {kinds[c]}" for c in keep] + [f"`phi_{c}` double" for c in features] + ["base double"])
+    names = [f"phi_{c}" for c in features] + ([] if exact else [f"error_{c}" for c in features])
+    schema = ", ".join([f"`{c}` {kinds[c]}" for c in keep] + [f"`{c}` double" for c in names] + ["base double"])
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         base = float(share @ predict(points))
         for batch in batches:
-            phi = shapley_values(predict, batch[features].to_numpy(float), points, share)
-            values = pd.DataFrame(phi, columns=[f"phi_{c}" for c in features], index=batch.index)
-            yield pd.concat([batch[keep], values], axis=1).assign(base=base)
+            x = batch[features].to_numpy(float)
+            found = shapley_values(predict, x, points, share) if exact else np.hstack(regression_values(predict, x, points, share, error))
+            yield pd.concat([batch[keep], pd.DataFrame(found, columns=names, index=batch.index)], axis=1).assign(base=base)
 
     return rows.mapInPandas(explain, schema)
 

@@ -198,7 +198,14 @@ def _fit_groups(base: DataFrame, by: list[str], features: int, styles: dict[str,
     kinds = dict(base.dtypes)
     schema = ", ".join([*[f"`{k}` {kinds[k]}" for k in by], "target string, model string, left_out int", f"row {kinds['row']}",
                         "fold int, y double, yhat double, tree int, piece int, start double", ARRAYS])
-    return dealt.groupBy(*[col(k) for k in by], "target", "model", "share", "left_out").applyInArrow(_local_fit(by, features, styles), schema)
+    keys = [*[col(k) for k in by], F.col("target"), F.col("model"), F.col("share"), F.col("left_out")]
+    return spread_fits(dealt, base, keys).groupBy(*keys).applyInArrow(_local_fit(by, features, styles), schema)
+
+
+def spread_fits(dealt: DataFrame, base: DataFrame, keys: list[Column]) -> DataFrame:
+    """Fits dealt to several tasks per core, however few their bytes: they are bound by computing."""
+    tasks = max(4 * base.sparkSession.sparkContext.defaultParallelism, base.count() // LOCAL_ROWS)
+    return dealt.repartition(tasks, *keys)
 
 
 def _attach(rows: DataFrame, packed: DataFrame, by: list[str]) -> DataFrame:

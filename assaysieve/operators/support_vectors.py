@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from assaysieve.functions.exprs import col
-from assaysieve.operators.histogram_trees import FULL, Fitted, _as_matrix, _features, _is, _vectors, _without, exploded_fits, met_by_experiment
+from assaysieve.operators.histogram_trees import FULL, Fitted, _as_matrix, _features, _is, _vectors, _without, exploded_fits, met_by_experiment, spread_fits
 from assaysieve.operators.kernels import squared_distances
 from assaysieve.session import checkpointable, delete_paths, scratch_path
 
@@ -167,7 +167,8 @@ def fit_support_vectors(
     if by or base.count() <= local_rows:
         small = _without(base, large, by) if by else base
         dealt = exploded_fits(small, by, p, fold is not None)
-        outputs.append(dealt.groupBy(*[col(k) for k in by], "target", "left_out").applyInArrow(_local_fit(by, p, cost, band, tolerance), schema))
+        own = [*[col(k) for k in by], F.col("target"), F.col("left_out")]
+        outputs.append(spread_fits(dealt, small, own).groupBy(*own).applyInArrow(_local_fit(by, p, cost, band, tolerance), schema))
     names = ["target", "model", "left_out", "row", "fold", "y", "yhat", *_MODEL_NAMES]
     for key in large.collect() if by else [None] if not outputs else []:
         own = base.where(_is(key, by)).drop(*by) if by else base

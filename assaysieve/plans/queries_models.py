@@ -544,6 +544,49 @@ def kernel_shap(spark, folder):
     return explain.kernel_shap(train, _SHAP_FEATURES, lambda x: kernels.kernel_predict(fit, x)[0], points, share, ["p_partkey"])
 
 
+_MANY = 20
+_MANY_SQL = "WITH " + PARTS_SQL + ", " + f"""
+wide AS (SELECT p_partkey, j, CAST((p_partkey * (j + 3)) % 17 AS DOUBLE) AS x FROM train, (SELECT unnest(range({_MANY})) AS j)),
+means AS (SELECT j, avg(x) AS m FROM wide GROUP BY j)
+"""
+
+
+@query("shap_regression", _MANY_SQL + """
+SELECT p_partkey, 'f' || CAST(j AS VARCHAR) AS feature, round((j - 9) * (x - m), 6) AS phi, CAST(0 AS DOUBLE) AS error FROM wide JOIN means USING (j)""")
+def shap_regression(spark, folder):
+    """A linear model of 20 features by constrained regression over drawn coalitions: equals the closed form, without error."""
+    names = [f"f{j}" for j in range(_MANY)]
+    wide = _train(spark, folder).select("p_partkey", *[((F.col("p_partkey") * (j + 3)) % 17).cast("double").alias(f"f{j}") for j in range(_MANY)])
+    means = np.array([list(wide.agg(*[F.avg(c) for c in names]).first())])
+    weights = np.arange(_MANY) - 9.0
+    shap = explain.kernel_shap(wide, names, lambda x: x @ weights, means, np.ones(1), ["p_partkey"])
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"phi_{c}").alias("phi"), F.col(f"error_{c}").alias("error")) for c in names])).alias("e")
+    # Adding 0.0 makes a rounded minus zero plain.
+    return shap.select("p_partkey", pairs).select("p_partkey", "e.feature", (F.round("e.phi", 6) + 0.0).alias("phi"), (F.round("e.error", 6) + 0.0).alias("error"))
+
+
+@query("background_point", "WITH " + PARTS_SQL + """, c AS (SELECT avg(size) AS ms, avg(qty) AS mq FROM train)
+SELECT (SELECT size FROM train, c ORDER BY abs(size - ms), size LIMIT 1) AS size, round((SELECT qty FROM train, c ORDER BY abs(qty - mq), qty LIMIT 1), 6) AS qty,
+  CAST(1 AS DOUBLE) AS share, (SELECT count(*) FROM train) AS n""")
+def background_point(spark, folder):
+    """The background of one centre: per feature the observed value nearest to the mean."""
+    train = _train(spark, folder)
+    points, share = explain.background(train, _SHAP_FEATURES, k=1)
+    summary = train.agg(F.count("*").alias("n"))
+    return summary.select(F.lit(float(points[0, 0])).alias("size"), F.round(F.lit(float(points[0, 1])), 6).alias("qty"), F.lit(float(share[0])).alias("share"), "n")
+
+
+@query("strategy_metrics", _OOF + f"SELECT target, 'Neural Networks' AS model, 'Linear Regression' AS fitted_as, count(*) AS n, {_METRICS}, 'ok' AS status FROM oof GROUP BY target")
+def strategy_metrics(spark, folder):
+    """A strategy chosen by its name and an unknown model name, which is fitted as least squares."""
+    choice, folds = validate.resolve_model("Neural Networks"), validate.fold_count("5-Fold CV")
+    train = _train(spark, folder).withColumn("fold", F.pmod("p_partkey", F.lit(folds)).cast("int"))
+    fits = linear.fit_folds(train, ["size"], TARGETS, [choice.fitted_as], "fold").persist()
+    oof = linear.out_of_fold(train, fits, ["size"], TARGETS, [choice.fitted_as], "fold", keep=["p_partkey"])
+    scores = validate.metrics(oof).withColumnRenamed("model", "fitted_as").withColumn("model", F.lit(choice.asked))
+    return rounded(scores, *_SCORES)
+
+
 @query("tree_shap")
 def tree_shap(spark, folder):
     return tree_paths.explain_trees(_train(spark, folder), FEATURES, _tree_models(spark, folder, "second_order", FEATURES), ["p_partkey"])

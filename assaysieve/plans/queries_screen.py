@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from assaysieve.functions.exprs import percent_text, percent_value
 from assaysieve.operators import linear, score, validate, views
-from assaysieve.plans import screening, training
+from assaysieve.plans import persistence, screening, training
 from assaysieve.plans.registry import DOC_TARGETS, DOCS_SQL, PARTS_SQL, TARGETS, doc_library, doc_measured, parts, query, table
+from assaysieve.session import scratch_path
 
 _MODEL_SQL = "WITH " + DOCS_SQL + """,
 long AS (
@@ -204,11 +205,25 @@ ranked AS (SELECT * EXCLUDE (ql, qh, tl, th), round_even(100 * sqrt(
 SELECT *, row_number() OVER (ORDER BY score DESC, entity) AS rank FROM ranked"""
 
 
+def _end_trained(spark, folder):
+    experiment = doc_measured(spark, folder).select(F.col("doc_id").alias("row_id"), "entity", F.col("blanks").alias("LogP"), *DOC_TARGETS)
+    prepared = training.prepare_training(experiment, "entity", ids=["entity"])
+    return training.train(prepared, ["Linear Regression"], "5-Fold CV", fold=F.pmod("row_id", F.lit(5)))
+
+
+def _end_library(spark, folder):
+    return doc_library(spark, folder).select("entity", F.col("blanks").alias("LogP"))
+
+
 @query("screen_end_to_end", _END_SQL)
 def screen_end_to_end(spark, folder):
     """Infer targets, impute, scale, select, fit, validate, choose, score the library, override, rank."""
-    experiment = doc_measured(spark, folder).select(F.col("doc_id").alias("row_id"), "entity", F.col("blanks").alias("LogP"), *DOC_TARGETS)
-    prepared = training.prepare_training(experiment, "entity", ids=["entity"])
-    trained = training.train(prepared, ["Linear Regression"], "5-Fold CV", fold=F.pmod("row_id", F.lit(5)))
-    library = doc_library(spark, folder).select("entity", F.col("blanks").alias("LogP"))
-    return screening.screen(trained, library, "entity")
+    return screening.screen(_end_trained(spark, folder), _end_library(spark, folder), "entity")
+
+
+@query("saved_screening", _END_SQL)
+def saved_screening(spark, folder):
+    """The same ranking by a model that was saved and loaded again."""
+    path = scratch_path(spark, "saved-model")
+    persistence.save(_end_trained(spark, folder), path)
+    return screening.screen(persistence.load(spark, path), _end_library(spark, folder), "entity")

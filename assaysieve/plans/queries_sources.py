@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from assaysieve.functions import exprs as X
+from assaysieve.functions import molecules
 from assaysieve.functions.vocabulary import MASTER_SCHEMA
 from assaysieve.operators import catalogue as C
 from assaysieve.operators import prepare as P
@@ -349,3 +350,36 @@ def missing_ratio(spark, folder):
 @query("curated_brands", "SELECT DISTINCT p_brand FROM part WHERE p_brand IS NOT NULL ORDER BY p_brand")
 def curated_brands(spark, folder):
     return C.curated_names(parts(spark, folder, "left"), "p_brand")
+
+
+@query("table_sources", """
+SELECT n_name AS solvent_name, CAST(n_nationkey AS DOUBLE) AS glucose_uptake, CAST(n_regionkey AS DOUBLE) AS substrate_conversion FROM nation
+UNION ALL SELECT r_name, CAST(r_regionkey AS DOUBLE), NULL FROM region
+UNION ALL SELECT * FROM (VALUES ('Water', 95, 71), ('Ethanol', 40, 55), ('Hexane', 5, 12), ('Toluene', 2, 3))""")
+def table_sources(spark, folder):
+    """An experiment from memory, a blank one that is filled, and the sample one, put together."""
+    held = table(spark, folder, "nation").select(F.col("n_nationkey").cast("double").alias("glucose_uptake"), F.col("n_regionkey").cast("double").alias("substrate_conversion"), F.col("n_name").alias("Solvent Name"))
+    blank = files.blank_experiment(spark)
+    filled = blank.unionByName(table(spark, folder, "region").select(F.col("r_name").alias("solvent_name"), F.col("r_regionkey").cast("double").alias("glucose_uptake")), allowMissingColumns=True)
+    return files.load_experiment(spark, held).unionByName(filled).unionByName(files.sample_experiment(spark)).select(*blank.columns)
+
+
+@query("catalogue_scan", "SELECT p_name AS solvent_name, CAST(p_size AS BIGINT) AS p_size, p_retailprice FROM part")
+def catalogue_scan(spark, folder):
+    """A catalogue in a CSV file."""
+    path = scratch_path(spark, "catalogue") + ".csv"
+    files.write_csv(table(spark, folder, "part").select(F.col("p_name").alias("Solvent_Name"), "p_size", "p_retailprice"), path)
+    return files.load_catalogue(spark, path)
+
+
+@query("molecule_counts", """
+SELECT p_partkey, CAST(p_size + CASE p_partkey % 3 WHEN 0 THEN 6 WHEN 1 THEN 10 ELSE 5 END AS INTEGER) AS heavy_atoms,
+  CAST(CASE p_partkey % 3 WHEN 0 THEN 1 WHEN 1 THEN 2 ELSE 0 END AS INTEGER) AS aromatic_rings,
+  round(CASE p_partkey % 3 WHEN 0 THEN CAST(p_size AS DOUBLE) / (p_size + 6) WHEN 1 THEN CAST(p_size AS DOUBLE) / (p_size + 10) ELSE 1 END, 6) AS fraction_csp3
+FROM part""")
+def molecule_counts(spark, folder):
+    """A chain as long as the part's size on a benzene, a naphthalene or a cyclopentane ring."""
+    ring = F.when(F.col("p_partkey") % 3 == 0, "C1=CC=CC=C1").when(F.col("p_partkey") % 3 == 1, "C1=CC=C2C=CC=CC2=C1").otherwise("C1CCCC1")
+    smiles = F.concat(F.repeat(F.lit("C"), F.col("p_size")), ring)
+    told = table(spark, folder, "part").select("p_partkey", molecules.molecule_counts(smiles).alias("m"))
+    return told.select("p_partkey", "m.heavy_atoms", "m.aromatic_rings", F.round("m.fraction_csp3", 6).alias("fraction_csp3"))

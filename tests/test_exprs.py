@@ -93,3 +93,26 @@ def test_title_case_of_a_column(spark):
     words = ["glucose_uptake", "o'neil's 2nd cAFÉ", "", None, "a-b_c  d", "ÉTÉ été"]
     got = spark.createDataFrame([(w,) for w in words], "w string").select(X.title_case("w")).collect()
     assert [r[0] for r in got] == [None if w is None else w.replace("_", " ").title() for w in words]
+
+
+# Molecules: heavy atoms, aromatic rings, share of saturated carbons.
+MOLECULES = [
+    ("C1=CC=C2C=CC=CC2=C1", (10, 2, 0.0)), ("c1ccc2ccccc2c1", (10, 2, 0.0)), ("C1=CC=C2C=CC=C2C=C1", (10, 2, 0.0)), ("C1=CNC=C1", (5, 1, 0.0)), ("n1ccccc1", (6, 1, 0.0)),
+    ("O=C1C=CNC=C1", (7, 1, 0.0)), ("C1CCCCC1", (6, 0, 1.0)), ("C1=CC=CC=CC=C1", (8, 0, 0.0)), ("C12C3C4C1C5C2C3C45", (8, 0, 1.0)), ("CN1C=NC2=C1C(=O)N(C(=O)N2C)C", (14, 2, 3 / 8)),
+    ("CC(Cl)(Cl)Cl", (5, 0, 1.0)), ("CCOC(=O)C", (6, 0, 0.75)), ("C1COC(=O)O1", (6, 0, 2 / 3)), ("CC#N", (3, 0, 0.5)), ("[Na+].[Cl-]", (2, 0, 0.0)), ("[13CH4]", (1, 0, 1.0)), ("O", (1, 0, 0.0)),
+    ("C%10CCCC%10", (5, 0, 1.0)), ("C/C=C\\C", (4, 0, 0.5)), ("[H]O[H]", (1, 0, 0.0)), ("C1=CC=C(C=C1)C2=CC=CS2", (11, 2, 0.0)),
+]
+
+
+def test_molecule_counts(spark):
+    from assaysieve.functions import molecules
+
+    bad = ["C1CC", "C(", "C)", "C==C", "1CC1", "[C", "Qx", "", "  ", None, "C11"]
+    df = spark.createDataFrame([(t,) for t, _ in MOLECULES] + [(t,) for t in bad], "SMILES string")
+    got = {r["SMILES"]: r for r in molecules.with_molecule_counts(df).collect()}
+    for text, want in MOLECULES:
+        r = got[text]
+        assert (r["Heavy_Atom_Count"], r["Aromatic_Ring_Count"], r["Fraction_CSP3"]) == pytest.approx(want), text
+    assert all(got[t]["Heavy_Atom_Count"] is None and got[t]["Fraction_CSP3"] is None for t in bad)
+    cube = molecules.smallest_rings(molecules.parse("C12C3C4C1C5C2C3C45"))
+    assert sorted(map(len, cube)) == [4] * 5 and sorted(map(len, molecules.smallest_rings(molecules.parse("C1CC2CCC1CC2")))) == [6, 6]

@@ -427,14 +427,28 @@ def test_importance_orders_features(spark):
     assert [tuple(r) for r in explain.importance(df, ["a", "b"]).collect()] == [("b", 3.0), ("a", 1.0)]
 
 
-def test_many_features_are_explained_by_sampled_orders(spark):
+def test_many_features_are_explained_by_regression(spark):
+    """Values with errors: exact for what is linear in coalitions, within the errors for products."""
     rng = np.random.default_rng(2)
     names, w = [f"f{i}" for i in range(14)], rng.normal(size=14)
     x = rng.normal(size=(6, 14))
     df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], ["row_id", *names])
     points, share = rng.normal(size=(2, 14)), np.array([0.5, 0.5])
-    for r in explain.kernel_shap(df, names, lambda z: z @ w + z[:, 0] * z[:, 1], points, share, ["row_id"]).collect():
+    line, bent = (lambda z: z @ w), (lambda z: z @ w + z[:, 0] * z[:, 1] + np.maximum(z[:, 2], 0) * z[:, 3])
+    for r in explain.kernel_shap(df, names, line, points, share, ["row_id"]).collect():
         row = x[r["row_id"]]
-        phi = [r[f"phi_{c}"] for c in names]
-        assert r["base"] + sum(phi) == pytest.approx(row @ w + row[0] * row[1])
-        assert phi[2:] == pytest.approx(list(w[2:] * (row[2:] - points.mean(0)[2:])))
+        assert [r[f"phi_{c}"] for c in names] == pytest.approx(list(w * (row - points.mean(0))), abs=1e-9)
+        assert max(r[f"error_{c}"] for c in names) < 1e-9
+    whole = {r["row_id"]: r for r in explain.kernel_shap(df, names, bent, points, share, ["row_id"], exact=True).collect()}
+    assert "error_f0" not in whole[0].asDict()
+    far = total = 0
+    for r in explain.kernel_shap(df, names, bent, points, share, ["row_id"]).collect():
+        phi, sure = ([q[f"phi_{c}"] for c in names] for q in (r, whole[r["row_id"]]))
+        errors = [r[f"error_{c}"] for c in names]
+        assert r["base"] + sum(phi) == pytest.approx(bent(x[r["row_id"]][None])[0])
+        assert max(errors) <= explain.ERROR * (max(phi) - min(phi))
+        far += sum(abs(a - b) > 2 * e + 1e-9 for a, b, e in zip(phi, sure, errors, strict=True))
+        total += len(phi)
+    assert far <= 0.15 * total
+    one = explain.regression_values(lambda z: z[:, 0] ** 2, x[:, :1], points[:, :1], share)
+    assert one[0][:, 0] == pytest.approx(x[:, 0] ** 2 - share @ points[:, 0] ** 2)
