@@ -7,21 +7,25 @@ tables come from grouped aggregation.
 
 import html
 import re
-from functools import cache, reduce
+from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
 from assaysieve.llm import sites
 from assaysieve.llm.text import per_text, pieces
+from assaysieve.session import checkpointable, scratch_path
 
 SAMPLE_ROWS = 4_000  # distinct labelled texts per language that the n-gram model is fitted on: all, or about so many dealt by hash
 POOLED = 0.03  # share of the n-grams of all languages in each one's: what no language has seen favours none, however few texts one has
 BUCKETS = 1 << 16  # hashed n-grams of the model
 TEMPER = 4.0  # n-grams overlap and depend on each other: so many count as one
 HOST_ROWS, DOMAIN_ROWS = 5.0, 20.0  # rows that the domain weighs against a host, and all rows against a domain
+SLICE = 128  # languages whose n-grams are copied to the executors at once: 32 MB
 ERROR_ROWS = 20.0  # rows that the prior of an observation's error table weighs
 DECLARED_RIGHT = 0.9
 
@@ -72,6 +76,12 @@ def _count(batches):
                                              schema=pa.schema([("lang", pa.string()), ("bucket", pa.int64()), ("n", pa.int64())]))
 
 
+def _packed(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    counts = np.zeros(BUCKETS, np.int64)
+    counts[table["bucket"].to_numpy()] = table["n"].to_numpy()
+    return pa.table({"lang": pa.array([key[0].as_py()], pa.string()), "counts": pa.array([counts.tobytes()], pa.binary())})
+
+
 def fit(documents: DataFrame, text: str = "text", lang: str = "lang", sample_rows: int = SAMPLE_ROWS) -> tuple[list[str], np.ndarray]:
     """All languages of the labelled rows, and log-probabilities of n-gram buckets per language.
 
@@ -85,9 +95,10 @@ def fit(documents: DataFrame, text: str = "text", lang: str = "lang", sample_row
     shares = documents.sparkSession.createDataFrame([(r["_lang"], sample_rows / r["_n"]) for r in sizes], "_lang string, _share double")
     inside = F.shiftrightunsigned("_h", 11) < F.col("_share") * float(1 << 53)
     sample = hashed.join(F.broadcast(shares), "_lang").where(inside).select("_lang", "_text").distinct()
-    rows = sample.mapInArrow(_count, "lang string, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    summed = sample.mapInArrow(_count, "lang string, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     counts = np.zeros((BUCKETS, len(langs)))
-    counts[rows["bucket"].to_numpy(int), [langs.index(x) for x in rows["lang"]]] = rows["n"].to_numpy(float)
+    for row in summed.groupBy("lang").applyInArrow(_packed, "lang string, counts binary").toLocalIterator():  # one row of BUCKETS numbers per language
+        counts[:, langs.index(row["lang"])] = np.frombuffer(row["counts"], np.int64)
     pooled = (counts.sum(1, keepdims=True) + 0.5) / (counts.sum() + 0.5 * BUCKETS)
     own = np.where(counts.sum(0) > 0, counts / np.maximum(counts.sum(0), 1), pooled)
     return langs, np.log((1 - POOLED) * own + POOLED * pooled)
@@ -110,29 +121,80 @@ def suffix_of(url: Column, langs: list[str]) -> Column:
     return F.coalesce(*known)
 
 
-def _seen(documents: DataFrame, content: str, markup: bool, model) -> DataFrame:
-    shared = documents.sparkSession.sparkContext.broadcast(model[1])  # buckets times languages numbers
+def _seen(content: Column, markup: bool, model: tuple, spark) -> Column:
+    """What a text says: its declared language, its words, and a score per language. The model is copied to the executors in slices of languages."""
+    slices = []
+    for begin in range(0, len(model[0]), SLICE):
+        shared = spark.sparkContext.broadcast(np.ascontiguousarray((model[1][:, begin:begin + SLICE] / TEMPER).astype(np.float32)))
+
+        def make(shared=shared):
+            table = shared.value
+
+            def rows(texts: list[str | None]) -> list[tuple]:
+                shown = [visible(t) if markup and t else t for t in texts]
+                tags = [_TAG_LANG.search(t) if markup and t else None for t in texts]
+                bucket, of, words = buckets(shown)
+                scores = np.stack([np.bincount(of, table[bucket, i], minlength=len(texts)) for i in range(table.shape[1])], 1)
+                return [(tag[1].lower() if tag else None, int(n), own) for tag, n, own in zip(tags, words, scores.tolist(), strict=True)]
+
+            return rows
+
+        slices.append(per_text(make, SEEN)(content))
+    return slices[0] if len(slices) == 1 else F.struct(slices[0]["declared"].alias("declared"), slices[0]["words"].alias("words"),
+                                                      F.concat(*[s["scores"] for s in slices]).alias("scores"))
+
+
+def _lists(column: pa.Array, width: int) -> np.ndarray:
+    """Lists of `width` numbers as rows; zeros for null."""
+    out = np.zeros((len(column), width))
+    whole = np.flatnonzero(column.is_valid().to_numpy(zero_copy_only=False))
+    if whole.size:
+        out[whole] = column.drop_null().flatten().to_numpy(zero_copy_only=False).reshape(whole.size, width)
+    return out
+
+
+def _softmax(weights: np.ndarray) -> np.ndarray:
+    raised = np.exp(weights - weights.max(1, keepdims=True))
+    return raised / raised.sum(1, keepdims=True)
 
-    def make():
-        table = shared.value / TEMPER
 
-        def rows(texts: list[str | None]) -> list[tuple]:
-            shown = [visible(t) if markup and t else t for t in texts]
-            tags = [_TAG_LANG.search(t) if markup and t else None for t in texts]
-            bucket, of, words = buckets(shown)
-            scores = np.stack([np.bincount(of, table[bucket, i], minlength=len(texts)) for i in range(table.shape[1])], 1)
-            return [(tag[1].lower() if tag else None, int(n), own) for tag, n, own in zip(tags, words, scores.tolist(), strict=True)]
+def _text_shares(languages: int):
+    """Probabilities from the text alone; zeros without a word."""
 
-        return rows
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for scores, words in batches:
+            shares = _softmax(_lists(scores, languages)) * (words.fill_null(0).to_numpy(zero_copy_only=False) > 0)[:, None]
+            yield _as_lists(shares)
 
-    return documents.withColumn("_seen", per_text(make, SEEN)(F.col(content)))
+    return arrow_udf(run, returnType="array<double>")
 
 
-def _shares(weights: list[Column]) -> list[Column]:
-    """Probabilities from log-weights, one column per language."""
-    top = F.greatest(*weights) if len(weights) > 1 else weights[0]
-    raised = [F.exp(w - top) for w in weights]
-    return [r / reduce(Column.__add__, raised) for r in raised]
+def _as_lists(rows: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1], rows.ravel())
+
+
+def _fused(langs: list[str], tables: dict[str, dict[str, list[float]]], overall: np.ndarray):
+    """All evidence of a row: its text, both observations, and the prior of its host and domain without the row itself."""
+    k, names = len(langs), np.array(langs, object)
+    silent = [0.0] * k
+
+    def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for scores, words, shares, declared, suffix, host, host_rows, domain, domain_rows in batches:
+            spoken = words.fill_null(0).to_numpy(zero_copy_only=False) > 0
+            own, self_ = _lists(shares, k), spoken.astype(float)[:, None]
+            rows = lambda c: c.fill_null(0.0).to_numpy(zero_copy_only=False)[:, None]
+            above = np.maximum(_lists(domain, k) - own, 0) + DOMAIN_ROWS * overall
+            above /= np.maximum(rows(domain_rows) - self_, 0) + DOMAIN_ROWS
+            prior = np.maximum(_lists(host, k) - own, 0) + HOST_ROWS * above
+            prior /= np.maximum(rows(host_rows) - self_, 0) + HOST_ROWS
+            said = [np.array([tables[name].get(v, silent) for v in column.to_pylist()]) for name, column in (("declared", declared), ("suffix", suffix))]
+            weights = _lists(scores, k) + said[0].reshape(-1, k) + said[1].reshape(-1, k) + np.log(prior)
+            found = _softmax(weights)
+            nothing = ~spoken & ~(declared.is_valid().to_numpy(zero_copy_only=False) | suffix.is_valid().to_numpy(zero_copy_only=False))
+            detected = np.where(nothing, None, names[weights.argmax(1)])  # of equal languages the first by name
+            yield pa.StructArray.from_arrays([pa.array(detected, pa.string()), pa.array(np.where(nothing, 0.0, found.max(1))), _as_lists(found)], ["detected", "confidence", "shares"])
+
+    return arrow_udf(run, returnType="detected string, confidence double, shares array<double>")
 
 
 def _errors(rows: list, langs: list[str]) -> dict[str, list[float]]:
@@ -147,77 +209,71 @@ def _errors(rows: list, langs: list[str]) -> dict[str, list[float]]:
     return out
 
 
-def identify(documents: DataFrame, model: tuple, content: str = "text", site: str | None = None, address: str | None = None, markup: bool = False) -> DataFrame:
+EVIDENCE = "_language_evidence"  # the only column that the frame must not have
+
+
+def identify(documents: DataFrame, model: tuple, content: str = "text", site: str | None = None, address: str | None = None, markup: bool = False,
+             keep_content: bool = True) -> DataFrame:
     """The documents with `detected` (null without any evidence), `confidence`, `declared`, `suffix` and `shares` per language.
 
     `address` is a column of URLs; `site` one of plain site names where there are no URLs. Evidence that is missing (null or empty text, no
-    declared language, unknown values, no address) says nothing. Columns called like the new ones are replaced, all others stay.
+    declared language, unknown values, no address) says nothing. A row's own text does not count in the prior of its host. Columns called like the new ones are
+    replaced, all others stay; without `keep_content` the texts are left behind, and what they say is written down once instead of being worked out in both passes.
     """
-    langs = model[0]
+    langs, spark = model[0], documents.sparkSession
+    checkpointable(spark)
     k = len(langs)
+    carried = documents if keep_content else documents.drop(content)
     if not langs:
         none = F.lit(None).cast("string")
-        return documents.withColumns({"detected": none, "confidence": F.lit(0.0), "declared": none, "suffix": none,
-                                      "shares": F.array().cast("array<double>")})
-    host = host_of(F.col(address)) if address else F.col(site) if site else F.lit(None).cast("string")
-
-    def observed(frame: DataFrame) -> DataFrame:
-        seen = _seen(frame, content, markup, model)
-        declared = F.when(F.col("_seen.declared").isin(langs), F.col("_seen.declared"))
-        suffix = suffix_of(F.col(address), langs) if address else F.lit(None).cast("string")
-        seen = seen.withColumns({"_host": host, "declared": declared, "suffix": suffix})
-        return seen.withColumns({"_domain": domain_of(F.col("_host")), **{f"_t{i}": F.get(F.col("_seen.scores"), F.lit(i)) for i in range(k)}})
-
-    def sums(frame: DataFrame, *keys) -> DataFrame:
-        by = F.array(*[F.sum(p) for p in _shares([F.col(f"_t{i}") for i in range(k)])])
-        return frame.groupBy(*keys).agg(by.alias("by"), F.count("*").cast("double").alias("n"))
-
-    wanted = list(dict.fromkeys(c for c in (content, site, address) if c))
-    groups = sums(observed(documents.select(*wanted)).where("_seen.words > 0"), "_host", "_domain", "declared", "suffix").persist()
-
-    def up(frame: DataFrame, *keys) -> DataFrame:
-        by = F.array(*[F.sum(F.get(F.col("by"), F.lit(i))) for i in range(k)])
-        return frame.groupBy(*keys).agg(by.alias("by"), F.sum("n").alias("n"))
-
-    total = up(groups).first()
+        return carried.withColumns({"detected": none, "confidence": F.lit(0.0), "declared": none, "suffix": none,
+                                    "shares": F.array().cast("array<double>")})
+    host = host_of(F.col(address)) if address else F.col(site).cast("string") if site else F.lit(None).cast("string")
+    suffix = suffix_of(F.col(address), langs) if address else F.lit(None).cast("string")
+    seen = documents.withColumn(EVIDENCE, _seen(F.col(content), markup, model, spark))
+    e = F.col(EVIDENCE)
+    seen = seen.withColumn(EVIDENCE, F.struct(
+        F.when(e["declared"].isin(langs), e["declared"]).alias("declared"), e["words"].alias("words"), e["scores"].alias("scores"), suffix.alias("suffix"), host.alias("host"),
+        domain_of(host).alias("domain"), _text_shares(k)(e["scores"], e["words"]).alias("own")))
+    if keep_content:
+        wanted = list(dict.fromkeys(c for c in (content, site, address) if c))
+        summed = seen.select(*[F.col(c) for c in wanted], EVIDENCE).select(EVIDENCE)
+    else:
+        path = scratch_path(spark, "language-evidence")
+        seen.drop(content).write.parquet(path)
+        seen = spark.read.parquet(path)
+        summed = seen.select(EVIDENCE)
+
+    def up(frame: DataFrame, by: Column, rows: Column, *keys) -> DataFrame:
+        return frame.groupBy(*keys).agg(F.array(*[F.sum(F.get(by, F.lit(i))) for i in range(k)]).alias("by"), F.sum(rows).alias("n"))
+
+    spoken = summed.where(e["words"] > 0)
+    groups = up(spoken, e["own"], F.lit(1.0), *[e[c].alias(c) for c in ("host", "domain", "declared", "suffix")]).checkpoint()
+    by, n = F.col("by"), F.col("n")
+    total = up(groups, by, n).first()
     overall = (np.array(total["by"] if total["n"] else [0.0] * k) + 1) / ((total["n"] or 0) + k)
     tables = {}
     for name in ("declared", "suffix"):
-        rows = up(groups.where(F.col(name).isNotNull()), F.col(name).alias("seen")).orderBy("seen").collect()  # a row per language
+        rows = up(groups.where(F.col(name).isNotNull()), by, n, F.col(name).alias("seen")).orderBy("seen").collect()  # a row per language
         tables[name] = _errors(rows, langs)
-    hosts = up(groups, "_host", "_domain").persist()
-    n_hosts = hosts.count()
-    whole = F.array(*[F.lit(float(p)) for p in overall])
-    domains = up(hosts, "_domain").select(F.col("_domain").alias("_d"), F.col("by").alias("_dby"), F.col("n").alias("_dn"))
-    domain_prior = F.zip_with("_dby", whole, lambda s, p: (s + DOMAIN_ROWS * p) / (F.col("_dn") + DOMAIN_ROWS))
-    joined = hosts.join(domains, F.col("_domain").eqNullSafe(F.col("_d")), "left").withColumn("_dp", domain_prior)
-    priors = joined.select("_host", F.zip_with("by", "_dp", lambda s, p: (s + HOST_ROWS * p) / (F.col("n") + HOST_ROWS)).alias("_prior"))
-    out = sites.with_groups(observed(documents), priors, ["_host"], n_hosts)
-
-    def observation(name: str, i: int) -> Column:
-        choice = F
-        for value in langs:
-            choice = choice.when(F.col(name) == value, F.lit(tables[name][value][i]))
-        return choice.otherwise(F.lit(0.0))
-
-    weights = [F.col(f"_t{i}") + observation("declared", i) + observation("suffix", i) + F.log(F.coalesce(F.get(F.col("_prior"), F.lit(i)), F.lit(float(overall[i]))))
-               for i in range(k)]
-    out = out.withColumns({f"_w{i}": w for i, w in enumerate(weights)})
-    shares = F.array(*_shares([F.col(f"_w{i}") for i in range(k)]))
-    nothing = (F.col("_seen.words") == 0) & F.col("declared").isNull() & F.col("suffix").isNull()
-    top, choice = F.greatest(*[F.col(f"_w{i}") for i in range(k)]) if k > 1 else F.col("_w0"), F
-    for i, value in enumerate(langs):  # of equal languages the first by name
-        choice = choice.when(~nothing & (F.col(f"_w{i}") == top), F.lit(value))
-    out = out.withColumns({"shares": shares, "detected": choice.otherwise(F.lit(None).cast("string")),
-                           "confidence": F.when(nothing, 0.0).otherwise(F.array_max(shares))})
-    return out.drop("_seen", "_host", "_domain", "_prior", *[f"_{c}{i}" for i in range(k) for c in "tw"])
+    hosts, domains = up(groups, by, n, "host", "domain"), up(groups, by, n, "domain")
+    above = domains.select(F.col("domain").alias("_d"), F.col("by").alias("_domain_by"), F.col("n").alias("_domain_n"))
+    priors = hosts.join(above, F.col("domain").eqNullSafe(F.col("_d")), "left").select(
+        F.col("host").alias("_language_host"), F.struct(by.alias("by"), n.alias("n"), F.col("_domain_by").alias("domain_by"), F.col("_domain_n").alias("domain_n")).alias("_language_prior")).checkpoint()
+    out = sites.with_groups(seen.withColumn("_language_host", e["host"]), priors, ["_language_host"], priors.count())
+    prior = F.col("_language_prior")
+    fused = _fused(langs, tables, overall)(e["scores"], e["words"], e["own"], e["declared"], e["suffix"], prior["by"], prior["n"], prior["domain_by"], prior["domain_n"])
+    found = out.withColumn("_language_prior", fused)
+    new = {**{c: prior[c] for c in ("detected", "confidence")}, "declared": e["declared"], "suffix": e["suffix"], "shares": prior["shares"]}
+    kept = [F.col(c) for c in carried.columns if c not in new]
+    return found.select(*kept, *[v.alias(c) for c, v in new.items()])
 
 
 def digest(documents: DataFrame, pages: DataFrame) -> DataFrame:
     """All documents and all pages with their language: documents by text and source, pages by all four kinds of evidence."""
     model = fit(documents)
-    texts = identify(documents.select("doc_id", "text", "source"), model, "text", site="source")
-    marked = identify(pages.select("page_id", "url", "html"), model, "html", address="url", markup=True)
+    texts = identify(documents.select("doc_id", "text", "source"), model, "text", site="source", keep_content=False)
+    marked = identify(pages.select("page_id", "url", "html"), model, "html", address="url", markup=True, keep_content=False)
     columns = ["detected", "confidence", "declared", "suffix"]
     none = F.lit(None).cast("bigint")
     return texts.select("doc_id", none.alias("page_id"), *columns).unionByName(

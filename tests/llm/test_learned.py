@@ -166,6 +166,31 @@ def test_languages_fuse_evidence(spark):
     assert languages.digest(awkward.empty(spark), frame.where("false")).count() == 0
 
 
+def test_two_hundred_languages(spark):
+    """As many labels as there are: no expression grows with them, and rows are found by what is theirs."""
+    rng = random.Random(9)
+    stems = {f"l{i:03d}": ["".join(rng.choices("abcdefghijklmnopqrstuvwxyzäöüßñçø", k=rng.randint(3, 7))) for _ in range(12)] for i in range(200)}
+    rows = [(lang, " ".join(rng.choices(words, k=15))) for lang, words in stems.items() for _ in range(3)]
+    model = languages.fit(spark.createDataFrame(rows, "lang string, text string").repartition(4))
+    assert model[0] == sorted(stems) and model[1].shape == (languages.BUCKETS, 200)
+    texts = [(i, " ".join(rng.choices(stems[f"l{i:03d}"], k=10)), "one") for i in range(200)]
+    got = languages.identify(spark.createDataFrame(texts, "i int, text string, s string"), model, site="s", keep_content=False)
+    assert "text" not in got.columns and languages.EVIDENCE not in got.columns
+    found = got.collect()
+    assert sum(r["detected"] == f"l{r['i']:03d}" for r in found) >= 190 and all(len(r["shares"]) == 200 and abs(sum(r["shares"]) - 1) < 1e-6 for r in found)
+
+
+def test_a_row_does_not_vouch_for_itself(spark):
+    """The only row of a host has the prior of all rows, as a row without a host has."""
+    model = languages.fit(spark.createDataFrame([("fr", "la maison")] * 40 + [("en", "the house")] * 40, "lang string, text string"))
+    texts = [(i, "la maison", "a") for i in range(30)] + [(50, "mais the", "alone"), (51, "mais the", "other")]
+    got = {r["i"]: r["shares"] for r in languages.identify(spark.createDataFrame(texts, "i int, text string, s string"), model, site="s").collect()}
+    assert got[50] == pytest.approx(got[51]) and got[50][0] > 0
+    more = texts + [(60 + i, "la maison", "alone") for i in range(20)]
+    again = {r["i"]: r["shares"] for r in languages.identify(spark.createDataFrame(more, "i int, text string, s string"), model, site="s").collect()}
+    assert again[50][model[0].index("fr")] > got[50][model[0].index("fr")]
+
+
 def test_a_site_decides_where_the_text_does_not(spark):
     rows = [("fr", "la maison")] * 40 + [("en", "the house")] * 40
     model = languages.fit(spark.createDataFrame(rows, "lang string, text string"))
