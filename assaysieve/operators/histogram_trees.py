@@ -36,7 +36,7 @@ STYLES = {
     "symmetric": Style(300, 0.1, leaf_penalty=3.0, depth=6, symmetric=True),
 }
 LOCAL_ROWS = 100_000  # rows that one group may hold
-BUNDLES = 8  # shares in which a forest's trees are dealt
+BUNDLES = 16  # shares in which a forest's trees are dealt
 MODEL_BYTES = 64 * 1024 * 1024  # nodes that are copied to the executors; larger models are joined to the rows
 NODE_BYTES = 37
 REWRITE = 10  # rounds of boosting after which the predictions so far are written down
@@ -729,8 +729,9 @@ def by_shares(df: DataFrame, model: DataFrame, features: Sequence[str], limit: i
     path = scratch_path(spark, "tree-scored")
     df.withColumn("_row", F.monotonically_increasing_id()).write.parquet(path)
     rows = spark.read.parquet(path)
-    share, shares = tree_shares(model, limit)
-    slices = max(1, math.ceil(rows.count() / rows_each))
+    slices, tasks = max(1, math.ceil(rows.count() / rows_each)), spark.sparkContext.defaultParallelism
+    # Few rows meet more and smaller shares, so that every core has some.
+    share, shares = tree_shares(model, min(limit, max(1, model_bytes(model) * slices // tasks)))
     number = F.create_map(*[F.lit(v).cast("int") for item in share.items() for v in item])
     held = model.select("tree", "piece", "start", *ARRAY_NAMES).withColumns({"share": F.try_element_at(number, F.col("tree")), "slice": F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))})
     dealt = rows.select("_row", _vectors(features).alias("_x"), F.pmod(F.xxhash64("_row"), F.lit(slices)).cast("int").alias("slice"),
