@@ -381,5 +381,6 @@ def molecule_counts(spark, folder):
     """A chain as long as the part's size on a benzene, a naphthalene or a cyclopentane ring."""
     ring = F.when(F.col("p_partkey") % 3 == 0, "C1=CC=CC=C1").when(F.col("p_partkey") % 3 == 1, "C1=CC=C2C=CC=CC2=C1").otherwise("C1CCCC1")
     smiles = F.concat(F.repeat(F.lit("C"), F.col("p_size")), ring)
-    told = table(spark, folder, "part").select("p_partkey", molecules.molecule_counts(smiles).alias("m"))
+    written = molecules.dealt(table(spark, folder, "part").select("p_partkey", smiles.alias("smiles")))
+    told = written.select("p_partkey", molecules.molecule_counts("smiles").alias("m"))
     return told.select("p_partkey", "m.heavy_atoms", "m.aromatic_rings", F.round("m.fraction_csp3", 6).alias("fraction_csp3"))

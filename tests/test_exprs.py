@@ -116,3 +116,13 @@ def test_molecule_counts(spark):
     assert all(got[t]["Heavy_Atom_Count"] is None and got[t]["Fraction_CSP3"] is None for t in bad)
     cube = molecules.smallest_rings(molecules.parse("C12C3C4C1C5C2C3C45"))
     assert sorted(map(len, cube)) == [4] * 5 and sorted(map(len, molecules.smallest_rings(molecules.parse("C1CC2CCC1CC2")))) == [6, 6]
+
+
+def test_rings_are_sought_among_ring_atoms_and_counting_is_dealt(spark):
+    from assaysieve.functions import molecules
+
+    tail = molecules.parse("C" * 400 + "C1CC2CCC1CC2" + "C" * 400)
+    assert sorted(map(len, molecules._without_ends(tail).values())) == [2] * 6 + [3] * 2  # the ring atoms alone
+    assert sorted(map(len, molecules.smallest_rings(tail))) == [6, 6]
+    one = spark.range(50).coalesce(1).selectExpr("id", "'C1CCCCC1' AS smiles")
+    assert molecules.dealt(one).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism > 1
