@@ -37,9 +37,11 @@ def ordered_statistics(df: DataFrame, columns: Sequence[str], target: str, key:
     # Division first: the distance of two hashes need not fit in 64 bits.
     rows = rows.withColumn("_range", (F.floor(F.col("_place") / F.lit(float(width)))).cast("bigint"))
     known, value = F.col("_y").isNotNull().cast("double"), F.coalesce("_y", F.lit(0.0))
+    base = rows
     for c in columns:
         texted = rows.withColumn("_text", _group(c))
-        sums = texted.groupBy("_text", "_range").agg(F.sum(value).alias("_s"), F.sum(known).alias("_n"))
+        # From the rows as they came: the sums need no statistic of an earlier column, whose joins and windows would be run once more for each column.
+        sums = base.withColumn("_text", _group(c)).groupBy("_text", "_range").agg(F.sum(value).alias("_s"), F.sum(known).alias("_n"))
         before = Window.partitionBy("_text").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
         begins = sums.select("_text", "_range", F.coalesce(F.sum("_s").over(before), F.lit(0.0)).alias("_s"), F.coalesce(F.sum("_n").over(before), F.lit(0.0)).alias("_n"))
         inside = Window.partitionBy("_text", "_range").orderBy("_place", col(key)).rowsBetween(Window.unboundedPreceding, -1)

@@ -302,3 +302,12 @@ def test_ordered_statistics_see_only_rows_before(spark, ranges):
         own = [q[3] for q in data if q[1] == r["t"] and q[3] is not None]
         assert r["t_mean"] == pytest.approx((sum(own) + 2 * mean) / (len(own) + 2))
     assert target_statistics.ordered_statistics(df.limit(0), ["t"], "y", "id").count() == 0
+
+
+def test_statistics_of_a_column_do_not_run_those_of_the_columns_before(spark):
+    from assaysieve.operators import target_statistics
+
+    df = spark.range(40).selectExpr("id", "cast(id % 3 AS string) AS a", "cast(id % 4 AS string) AS b", "cast(id % 5 AS string) AS c", "cast(id AS double) AS y")
+    found = target_statistics.ordered_statistics(df, ["a", "b", "c"], "y", "id")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 3 and found.count() == 40
