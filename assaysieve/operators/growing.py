@@ -6,7 +6,7 @@ by one job per step. A bin is a byte: values up to 254 in the order of the numbe
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from typing import Protocol
 
@@ -157,7 +157,12 @@ def shared_split(sums: np.ndarray, style: Style) -> Splits:
 
 
 class Summing(Protocol):
-    """Where sums come from, and who is told of splits."""
+    """Where sums come from, and who is told of splits.
+
+    Where each question costs a job, `ahead` answers for one child (0 or 1) of several splits that are not made yet; elsewhere it is None.
+    """
+
+    ahead: Callable[[list[tuple[int, int, int, bool, int]]], np.ndarray] | None
 
     def sums(self, nodes: list[int]) -> np.ndarray: ...
 
@@ -219,36 +224,55 @@ def _sides(sums: np.ndarray, feature: int, cut: int, missing_left: bool) -> tupl
 
 
 def _best_first(rows: Summing, style: Style) -> Tree:
-    """The leaf of the largest gain is split next. Of its children only the lighter one is summed; the other is the parent less its sibling."""
+    """The leaf of the largest gain is split next. Of its children only the lighter one is summed; the other is the parent less its sibling.
+
+    A leaf's split does not depend on when it is made. Where questions are answered ahead, the lighter children of all leaves that may be split yet are
+    asked for together; those that are not split in the end were asked for in vain.
+    """
     tree = Tree()
     sums = {0: rows.sums([0])[0]}
     _leaf(tree, 0, sums[0][0].sum(0), style)
     queue = {0: best_splits(sums[0][None], style)}
-    depth = {0: 0}
-    for _ in range(style.leaves - 1):
-        node = max(queue, key=lambda k: (float(f"{queue[k].gain[0]:.9g}"), -k), default=None)
+    depth, known = {0: 0}, {}
+    for made in range(style.leaves - 1):
+        order = sorted(queue, key=lambda k: (-float(f"{queue[k].gain[0]:.9g}"), k))
+        node = order[0] if order else None
         if node is None or queue[node].gain[0] <= 0:
             break
+        deepest = style.depth is not None and depth[node] + 1 >= style.depth
+        if rows.ahead is not None and not deepest and node not in known:
+            open_ = [k for k in order if queue[k].gain[0] > 0 and k not in known and (style.depth is None or depth[k] + 1 < style.depth)][:style.leaves - 1 - made]
+            known |= zip(open_, rows.ahead([(k, *_split_of(queue[k]), _lighter(sums[k], queue[k])) for k in open_]), strict=True)
         s, parent = queue.pop(node), sums.pop(node)
-        pair = tree.split(node, s.feature[0], s.cut[0], s.missing_left[0])
-        rows.split(node, int(s.feature[0]), int(s.cut[0]), bool(s.missing_left[0]), *pair)
-        sides = _sides(parent, tree.feature[node], tree.cut[node], tree.missing_left[node])
-        for child, side in zip(pair, sides, strict=True):
+        pair = tree.split(node, *_split_of(s))
+        rows.split(node, *_split_of(s), *pair)
+        for child, side in zip(pair, _sides(parent, *_split_of(s)), strict=True):
             _leaf(tree, child, side[0, 0], style)
             depth[child] = depth[node] + 1
-        if style.depth is not None and depth[pair[0]] >= style.depth:
+        if deepest:
             continue
-        light = int(sides[1][0, 0, 1] < sides[0][0, 0, 1])
-        own = rows.sums([pair[light]])[0]
+        light = _lighter(parent, s)
+        own = rows.sums([pair[light]])[0] if rows.ahead is None else known.pop(node)
         sums[pair[light]], sums[pair[1 - light]] = own, parent - own
         for child in pair:
             queue[child] = best_splits(sums[child][None], style)
     return tree
 
 
+def _split_of(found: Splits) -> tuple[int, int, bool]:
+    return int(found.feature[0]), int(found.cut[0]), bool(found.missing_left[0])
+
+
+def _lighter(parent: np.ndarray, found: Splits) -> int:
+    sides = _sides(parent, *_split_of(found))
+    return int(sides[1][0, 0, 1] < sides[0][0, 0, 1])
+
+
 class Rows:
     """Rows held by one task, with a gradient and a weight each; rows without weight are led to their leaves only."""
 
+    ahead = None
+
     def __init__(self, bins: np.ndarray) -> None:
         self.bins = bins
         self.codes = [np.ascontiguousarray(bins[:, j]).astype(np.int64) for j in range(bins.shape[1])]

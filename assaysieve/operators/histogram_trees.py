@@ -10,14 +10,19 @@ A fitted model is a table with one row per tree (or piece of one): nodes in arra
 from __future__ import annotations
 
 import math
+import pickle
 import threading
 from collections.abc import Callable, Iterator, Sequence
+from copy import deepcopy
 from dataclasses import dataclass, replace
+from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark import RDD, StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
@@ -25,7 +30,7 @@ from assaysieve.functions.exprs import col
 from assaysieve.operators import growing
 from assaysieve.operators.growing import BINS, Style, Tree
 from assaysieve.operators.skew import lookup_join
-from assaysieve.session import checkpointable, scratch_path
+from assaysieve.session import checkpointable, delete_paths, scratch_path
 
 # How the trees of each model name grow: numbers of trees, steps, depths, leaves and penalties as the packages of these kinds have by default,
 # but for `symmetric`, which takes fewer and longer steps than a thousand.
@@ -40,6 +45,9 @@ BUNDLES = 16  # shares in which a forest's trees are dealt
 MODEL_BYTES = 64 * 1024 * 1024  # nodes that are copied to the executors; larger models are joined to the rows
 NODE_BYTES = 37
 REWRITE = 10  # rounds of boosting after which the predictions so far are written down
+BLOCK_ROWS = 500_000  # rows of a large experiment that one task holds in its steps
+DRIVER_ANSWERS = 32  # tasks whose sums are added up by the driver itself
+SAMPLED = 1000  # sizes of gradients that a task tells of to find the border of a rank
 FULL = -1  # left-out fold of the fit on all rows
 ARRAYS = "feature array<int>, at array<double>, missing_left array<boolean>, left array<int>, right array<int>, value array<double>, weight array<double>"
 ARRAY_NAMES = [a.split()[0] for a in ARRAYS.split(", ")]
@@ -296,33 +304,86 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
 
 @dataclass
 class _Fit:
-    """One fit over a table: its target, style, left-out fold, and its trees since the predictions were last written."""
+    """One fit over a table: its target, style and left-out fold."""
 
     number: int
     target: int
     model: str
     style: Style
     left_out: int
-    trees: list[Tree]
     border: float = 0.0  # size of gradient from which rows stay, under sampling by gradient
 
-    def gradients(self, y: np.ndarray, fold: np.ndarray, margin: np.ndarray, row_hash: np.ndarray, round_: int) -> tuple[np.ndarray, np.ndarray]:
-        weight = ((fold != self.left_out) & ~np.isnan(y)).astype(float)
-        slope = np.where(weight > 0, margin - np.nan_to_num(y), 0.0)
+    def known(self, block: _Block) -> np.ndarray:
+        return (block.fold != self.left_out) & ~np.isnan(block.ys[:, self.target])
+
+    def gradients(self, block: _Block, round_: int) -> tuple[np.ndarray, np.ndarray]:
+        weight = self.known(block).astype(float)
+        slope = np.where(weight > 0, block.margins[:, self.number] - np.nan_to_num(block.ys[:, self.target]), 0.0)
         if self.style.one_sided:
             top, other = self.style.one_sided
-            drawn = growing.uniform(row_hash, round_) < other / (1 - top)
+            drawn = growing.uniform(block.row_hash, round_) < other / (1 - top)
             weight = np.where(np.abs(slope) >= self.border, weight, np.where(drawn, weight * (1 - top) / other, 0.0))
         return slope * weight, weight
 
 
-def _margins(batch: pa.RecordBatch, bins: np.ndarray, fits: list[_Fit]) -> np.ndarray:
-    """Predictions so far: those written, and the trees since."""
-    margin = _matrix(batch["margins"], len(fits)).copy()
-    for f in fits:
-        for tree in f.trees:
-            margin[:, f.number] += np.array(tree.value)[tree.leaf_of(bins)]
-    return margin
+class _Block(NamedTuple):
+    """Some rows of a table as arrays, and per row and fit the prediction so far. Blocks stay in the executors' memory between steps, as plain tuples."""
+
+    bins: np.ndarray
+    ys: np.ndarray
+    fold: np.ndarray
+    row_hash: np.ndarray
+    margins: np.ndarray
+
+    def moved(self, trees: dict[int, Tree]) -> _Block:
+        """The block with one more tree of some fits added."""
+        margins = self.margins.copy()
+        for number, tree in trees.items():
+            margins[:, number] += np.array(tree.value)[tree.leaf_of(self.bins)]
+        return self._replace(margins=margins)
+
+
+def _blocks(frame: DataFrame, features: int, starts: list[float]) -> RDD:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                ys = np.array(batch["ys"].to_pylist(), float)
+                block = _bins(batch["bins"], features), ys, batch["fold"].to_numpy(), batch["hash"].to_numpy().view(np.uint64), np.tile(np.array(starts), (len(ys), 1))
+                yield pa.RecordBatch.from_pydict({"block": [pickle.dumps(block)]})
+
+    return frame.mapInArrow(pack, "block binary").rdd.map(lambda r: pickle.loads(r[0]))
+
+
+class _State:
+    """The blocks after each round: kept in memory, written down every `REWRITE` rounds so that a lost one is not made from the start."""
+
+    def __init__(self, blocks: RDD) -> None:
+        self.blocks, self.rounds, self.before, self.written = blocks.persist(StorageLevel.MEMORY_AND_DISK), 0, None, []
+
+    def move(self, trees: dict[int, Tree]) -> None:
+        self.before, self.blocks, self.rounds = self.blocks, self.blocks.map(lambda block: tuple(_Block(*block).moved(trees))).persist(StorageLevel.MEMORY_AND_DISK), self.rounds + 1
+        if self.rounds % REWRITE == 0:
+            self.blocks.checkpoint()
+
+    def ask(self, spark: SparkSession, run: Callable[[Iterator[_Block]], list], merge: Callable[[list, list], list]) -> list:
+        """What `run` makes of each task's blocks, merged; few answers meet on the driver, many in tasks before."""
+        found = self.blocks.mapPartitions(lambda blocks: [run(_Block(*b) for b in blocks)])
+        out = found.treeReduce(merge) if found.getNumPartitions() > DRIVER_ANSWERS else reduce(merge, found.collect())
+        if self.before is not None:  # the job above has made the blocks anew
+            self.before.unpersist()
+            self.before = None
+            if (path := self.blocks.getCheckpointFile()) is not None:
+                delete_paths(spark, self.written)
+                self.written = [path]
+        return out
+
+    def close(self, spark: SparkSession) -> None:
+        self.blocks.unpersist()
+        delete_paths(spark, self.written)
+
+
+def _added(a: list[np.ndarray], b: list[np.ndarray]) -> list[np.ndarray]:
+    return [x + y for x, y in zip(a, b, strict=True)]
 
 
 class _Table(growing.Summing):
@@ -334,54 +395,49 @@ class _Table(growing.Summing):
     def sums(self, nodes: list[int]) -> np.ndarray:
         return self.steps.ask(self.fit.number, (self.tree, nodes, self.round))
 
+    def ahead(self, splits: list[tuple[int, int, int, bool, int]]) -> np.ndarray:
+        tried = deepcopy(self.tree)
+        nodes = [tried.split(node, feature, cut, missing_left)[child] for node, feature, cut, missing_left, child in splits]
+        return self.steps.ask(self.fit.number, (tried, nodes, self.round))
+
     def split(self, node: int, feature: int, cut: int, missing_left: bool, left: int, right: int) -> None:
         self.tree.split(node, feature, cut, missing_left)
 
 
-def _summed(frame: DataFrame, features: int, fits: list[_Fit], requests: dict[int, tuple]) -> dict[int, np.ndarray]:
-    """Sums of all nodes asked for, of all fits, in one job; cells are added up by tasks before they are shuffled."""
-    begins, total = {}, 0
-    for number, (_, nodes, _) in requests.items():
-        begins[number], total = total, total + len(nodes) * features * BINS
+def _summed(spark: SparkSession, state: _State, features: int, fits: list[_Fit], requests: dict[int, tuple]) -> dict[int, np.ndarray]:
+    """Sums of all nodes asked for, of all fits, in one job."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros((total, 2))
-        for batch in batches:
-            bins = _bins(batch["bins"], features)
-            margin = _margins(batch, bins, fits)
-            targets = np.array(batch["ys"].to_pylist(), float)
-            fold, row_hash = batch["fold"].to_numpy(), batch["hash"].to_numpy().view(np.uint64)
-            for number, (tree, nodes, round_) in requests.items():
-                f = fits[number]
-                gradient, weight = f.gradients(targets[:, f.target], fold, margin[:, number], row_hash, round_)
+    def run(blocks: Iterator[_Block]) -> list[np.ndarray]:
+        cells = [np.zeros((len(nodes), features, BINS, 2)) for _, nodes, _ in requests.values()]
+        for block in blocks:
+            for out, (number, (tree, nodes, round_)) in zip(cells, requests.items(), strict=True):
+                gradient, weight = fits[number].gradients(block, round_)
                 place = np.full(len(tree.feature), -1)
                 place[nodes] = np.arange(len(nodes))
-                own = place[tree.leaf_of(bins)]
+                own = place[tree.leaf_of(block.bins)]
                 which = np.flatnonzero((own >= 0) & (weight > 0))
+                shift, gradient, weight = own[which] * BINS, gradient[which], weight[which]
                 for j in range(features):
-                    code = begins[number] + (own[which] * features + j) * BINS + bins[which, j]
-                    cells[:, 0] += np.bincount(code, gradient[which], total)
-                    cells[:, 1] += np.bincount(code, weight[which], total)
-        held = np.flatnonzero(cells[:, 1])
-        yield pa.RecordBatch.from_pydict({"cell": held, "gradient": cells[held, 0], "weight": cells[held, 1]})
+                    code = shift + block.bins[which, j]
+                    out[:, j, :, 0] += np.bincount(code, gradient, len(nodes) * BINS).reshape(-1, BINS)
+                    out[:, j, :, 1] += np.bincount(code, weight, len(nodes) * BINS).reshape(-1, BINS)
+        return cells
 
-    found = frame.mapInArrow(run, "cell bigint, gradient double, weight double").groupBy("cell").agg(
-        F.sum("gradient").alias("gradient"), F.sum("weight").alias("weight")).toArrow()
-    cells = np.zeros((total, 2))
-    at = found["cell"].to_numpy()
-    cells[at, 0], cells[at, 1] = found["gradient"].to_numpy(), found["weight"].to_numpy()
-    return {number: cells[begins[number]:begins[number] + len(nodes) * features * BINS].reshape(len(nodes), features, BINS, 2) for number, (_, nodes, _) in requests.items()}
+    return dict(zip(requests, state.ask(spark, run, _added), strict=True))
 
 
-def _moved(frame: DataFrame, features: int, fits: list[_Fit]) -> DataFrame:
-    """The table with the predictions of the trees since the last writing added."""
-    schema = frame.schema
+def _with_margins(frame: DataFrame, features: int, starts: list[float], grown: dict[int, list[Tree]]) -> DataFrame:
+    """The table with the predictions of all trees of each fit."""
+    schema = frame.withColumn("margins", F.array(*[F.lit(s) for s in starts])).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            margin = _margins(batch, _bins(batch["bins"], features), fits)
+            bins, margin = _bins(batch["bins"], features), np.tile(np.array(starts), (batch.num_rows, 1))
+            for number, trees in grown.items():
+                for tree in trees:
+                    margin[:, number] += np.array(tree.value)[tree.leaf_of(bins)]
             lists = pa.ListArray.from_arrays(np.arange(len(margin) + 1, dtype=np.int32) * margin.shape[1], margin.ravel())
-            yield batch.set_column(batch.schema.get_field_index("margins"), "margins", lists)
+            yield batch.append_column("margins", lists)
 
     return frame.mapInArrow(run, schema)
 
@@ -394,7 +450,9 @@ def _fit_table(base: DataFrame, features: int, targets: list[str], styles: dict[
     ys = F.transform("_targets", lambda t: F.coalesce(t["y"], F.lit(float("nan"))))
     binned = _binner(cuts)(F.array(*[f"f{j}" for j in range(features)]))
     path = scratch_path(spark, "tree-rows")
-    base.select("row", "hash", "fold", ys.alias("ys"), binned.alias("bins")).write.parquet(path)
+    # Few bytes, but each step goes through them: they are dealt over all cores.
+    tasks = max(spark.sparkContext.defaultParallelism, math.ceil(base.count() / BLOCK_ROWS))
+    base.repartition(tasks).select("row", "hash", "fold", ys.alias("ys"), binned.alias("bins")).write.parquet(path)
     frame = spark.read.parquet(path)
     left = [FULL, *(sorted(r[0] for r in frame.select("fold").distinct().collect()) if folds else [])]
     boosted = {k: s for k, s in styles.items() if not s.bagged}
@@ -409,17 +467,18 @@ def _fit_table(base: DataFrame, features: int, targets: list[str], styles: dict[
 
 def _boost_table(frame: DataFrame, features: int, targets: list[str], styles: dict[str, Style], left: list[int], cuts: list[np.ndarray]) -> list[DataFrame]:
     spark = frame.sparkSession
-    fits = [_Fit(i, t, k, s, f, []) for i, (t, k, s, f) in enumerate((t, k, s, f) for t in range(len(targets)) for k, s in styles.items() for f in left)]
+    fits = [_Fit(i, t, k, s, f) for i, (t, k, s, f) in enumerate((t, k, s, f) for t in range(len(targets)) for k, s in styles.items() for f in left)]
     mean = lambda f: F.avg(F.when((F.col("fold") != f.left_out) & ~F.isnan(F.col("ys")[f.target]), F.col("ys")[f.target]))
     starts = [r or 0.0 for r in frame.agg(*[mean(f).alias(f"s{f.number}") for f in fits]).first()]
-    state = frame.withColumn("margins", F.array(*[F.lit(s) for s in starts]))
+    state = _State(_blocks(frame, features, starts))
     grown: dict[int, list[Tree]] = {f.number: [] for f in fits}
     rounds = max(s.trees for s in styles.values())
     for round_ in range(rounds):
         now = [f for f in fits if round_ < f.style.trees]
-        for f, border in zip([f for f in now if f.style.one_sided], _gradient_borders(state, [f for f in now if f.style.one_sided]), strict=True):
+        sampled = [f for f in now if f.style.one_sided]
+        for f, border in zip(sampled, _gradient_borders(spark, state, sampled), strict=True):
             f.border = border
-        steps = _Steps(len(now), lambda requests, state=state: _summed(state, features, fits, requests))
+        steps = _Steps(len(now), lambda requests: _summed(spark, state, features, fits, requests))
         fresh: dict[int, Tree] = {}
 
         def one(f: _Fit, steps=steps, fresh=fresh, round_=round_) -> None:
@@ -435,15 +494,12 @@ def _boost_table(frame: DataFrame, features: int, targets: list[str], styles: di
         for t in threads:
             t.join()
         for f in now:
-            f.trees.append(fresh[f.number])
             grown[f.number].append(fresh[f.number])
-        if (round_ + 1) % REWRITE == 0 or any(f.style.one_sided for f in now):
-            path = scratch_path(spark, "tree-margins")
-            _moved(state, features, fits).write.parquet(path)
-            state = spark.read.parquet(path)
-            for f in fits:
-                f.trees.clear()
-    final = _moved(state, features, fits)
+        state.move(fresh)
+    state.close(spark)
+    path = scratch_path(spark, "tree-margins")
+    _with_margins(frame, features, starts, grown).write.parquet(path)
+    final = spark.read.parquet(path)
     out = []
     for f in fits:
         asked = F.lit(True) if f.left_out == FULL else F.col("fold") == f.left_out
@@ -460,12 +516,58 @@ def _boost_table(frame: DataFrame, features: int, targets: list[str], styles: di
     return out
 
 
-def _gradient_borders(state: DataFrame, fits: list[_Fit]) -> list[float]:
-    """Per fit the gradient size that the wanted share of its rows reaches."""
+def _gradient_borders(spark: SparkSession, state: _State, fits: list[_Fit]) -> list[float]:
+    """Per fit the gradient size that the wanted share of its rows reaches: exact, from samples whose ranks are known and the sizes between two of them."""
     if not fits:
         return []
-    size = lambda f: F.when((F.col("fold") != f.left_out) & ~F.isnan(F.col("ys")[f.target]), F.abs(F.col("margins")[f.number] - F.col("ys")[f.target]))
-    return [r or 0.0 for r in state.agg(*[F.percentile_approx(size(f), 1.0 - f.style.one_sided[0], 10_000).alias(f"b{f.number}") for f in fits]).first()]
+
+    def sizes(blocks: Iterator[_Block]) -> list[np.ndarray]:
+        held = [[] for _ in fits]
+        for block in blocks:
+            for own, f in zip(held, fits, strict=True):
+                own.append(np.abs(block.margins[:, f.number] - block.ys[:, f.target])[f.known(block)])
+        return [np.sort(np.concatenate([np.zeros(0), *own])) for own in held]
+
+    def sample(blocks: Iterator[_Block]) -> list[list[tuple]]:
+        steps = [(s, max(1, s.size // SAMPLED)) for s in sizes(blocks)]
+        return [[(s.size, step, s[::step])] for s, step in steps]
+
+    brackets = [_bracket(own, 1.0 - f.style.one_sided[0]) for own, f in zip(state.ask(spark, sample, _added_lists), fits, strict=True)]
+
+    def inside(blocks: Iterator[_Block]) -> list[list[tuple]]:
+        out = []
+        for s, (_, low, high) in zip(sizes(blocks), brackets, strict=True):
+            begin, end = np.searchsorted(s, [low, high], "right")
+            out.append([(int(begin), *np.unique(s[begin:end], return_counts=True))])
+        return out
+
+    borders = []
+    for own, (rank, _, _) in zip(state.ask(spark, inside, _added_lists), brackets, strict=True):
+        values, counts = (np.concatenate([o[i] for o in own]) for i in (1, 2))
+        order = np.argsort(values)
+        ahead = sum(o[0] for o in own) + np.cumsum(counts[order])
+        borders.append(float(values[order][np.searchsorted(ahead, rank, "right")]) if values.size else 0.0)
+    return borders
+
+
+def _added_lists(a: list[list], b: list[list]) -> list[list]:
+    return [x + y for x, y in zip(a, b, strict=True)]
+
+
+def _bracket(samples: list[tuple], share: float) -> tuple[int, float, float]:
+    """The rank (from 0) that a share of all values has, a value below the one of that rank, and one that it does not exceed.
+
+    Of each task there is every `step`-th of its sorted values.
+    """
+    rank = max(math.ceil(share * sum(n for n, _, _ in samples)) - 1, 0)
+    values = np.unique(np.concatenate([s for _, _, s in samples]))
+    least, most = np.zeros(values.size, np.int64), np.zeros(values.size, np.int64)  # how many of all values a value is not below
+    for n, step, s in samples:
+        found = np.searchsorted(s, values, "right")
+        least += np.where(found > 0, (found - 1) * step + 1, 0)
+        most += np.minimum(found * step, n)
+    below, above = np.flatnonzero(most <= rank), np.flatnonzero(least > rank)
+    return rank, float(values[below[-1]]) if below.size else -math.inf, float(values[above[0]]) if above.size else math.inf
 
 
 def _with_nothing(rows: DataFrame, columns: list[str]) -> DataFrame:

@@ -311,3 +311,48 @@ def test_statistics_of_a_column_do_not_run_those_of_the_columns_before(spark):
     found = target_statistics.ordered_statistics(df, ["a", "b", "c"], "y", "id")
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join Inner") == 3 and found.count() == 40
+
+
+def test_best_first_trees_ask_for_all_open_leaves_together():
+    rng = np.random.default_rng(2)
+    bins, gradient = rng.integers(0, 40, (3000, 3)).astype(np.uint8), rng.normal(size=3000)
+    gradient += bins[:, 0] / 9.0 - (bins[:, 1] > 25) * (bins[:, 2] / 7.0)
+
+    class Asked(growing.Rows):
+        """Rows that answer ahead, as a table does, and count the questions."""
+
+        questions = 0
+
+        def sums(self, nodes):
+            self.questions += 1
+            return super().sums(nodes)
+
+        def ahead(self, splits):
+            self.questions += 1
+            out = []
+            for node, feature, cut, missing_left, child in splits:
+                places = self.members[node]
+                left = np.where(bins[places, feature] == growing.MISSING, missing_left, bins[places, feature] <= cut)
+                own = growing.Rows(bins)
+                own.begin(gradient, np.ones(3000))
+                own.members = {0: places[left != bool(child)]}
+                out.append(own.sums([0])[0])
+            return np.array(out)
+
+    style = Style(1, 0.1, least_weight=20.0, leaves=31)
+    asked, plain = Asked(bins), growing.Rows(bins)
+    for rows in (asked, plain):
+        rows.begin(gradient, np.ones(3000))
+    assert growing.grow(asked, style) == growing.grow(plain, style)
+    assert asked.questions <= 16  # one for each leaf without looking ahead: 31
+
+
+@pytest.mark.parametrize("values", ["spread", "equal", "few"])
+def test_the_border_of_a_rank_is_exact_whatever_the_tasks_hold(spark, values):
+    rng = np.random.default_rng(4)
+    y = {"spread": rng.normal(size=30_000), "equal": rng.integers(0, 3, 30_000).astype(float), "few": rng.normal(size=3)}[values]
+    blocks = [(np.zeros((len(p), 1), np.uint8), p[:, None], np.zeros(len(p), np.int32), np.zeros(len(p), np.uint64), np.zeros((len(p), 1))) for p in np.split(y, [len(y) // 5, len(y) // 2])]
+    state = T._State(spark.sparkContext.parallelize(blocks, 3))
+    fit = T._Fit(0, 0, "leaf_wise", T.style_of("leaf_wise", one_sided=(0.2, 0.1)), T.FULL)
+    wanted = np.sort(np.abs(y))[int(np.ceil(0.8 * len(y))) - 1]
+    assert T._gradient_borders(spark, state, [fit]) == [wanted]
