@@ -11,7 +11,8 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +23,9 @@ from assaysieve.operators.skew import fits_broadcast, lookup_join
 LANDMARKS = 200  # distinct feature vectors an experiment's models stand on: those of smallest hash
 CHUNK_ROWS = 20_000
 MERGED = 64  # partial sums that one task adds up
+BUCKET_ROWS = 20_000  # rows of small experiments that are handled as one group
+BUCKET_NUMBERS = 4_000_000  # numbers in their models
+FOLDS = 6  # sums of a validated experiment that are held together, about: five folds and all rows
 
 # Kernel settings. The signal amplitude is the only fitted one, within these bounds.
 LENGTH_SCALE = 1.0
@@ -144,11 +148,6 @@ def kernel_predict(fit: dict, x: np.ndarray) -> tuple[np.ndarray, np.ndarray | N
     return mean, np.sqrt(np.maximum(variance, 0.0)) * fit["spread"]
 
 
-def tasks_for(df: DataFrame, groups: int, rows: int, rows_per_task: int = 20_000) -> int:
-    """Tasks for grouped fits: bound by computing, so every core gets groups even where the bytes are few."""
-    return max(1, min(groups, max(df.sparkSession.sparkContext.defaultParallelism, rows // rows_per_task)))
-
-
 def experiment_plans(long: DataFrame, groups: Sequence[str], features: Sequence[str], landmarks: int, chunk_rows: int) -> DataFrame:
     """One row per experiment: its landmarks, sums of its numbers, and the chunks its rows are dealt to.
 
@@ -167,22 +166,44 @@ def experiment_plans(long: DataFrame, groups: Sequence[str], features: Sequence[
     return sizes.join(points, list(groups))
 
 
-def _dealt(long: DataFrame, plans: DataFrame, groups: Sequence[str], carried: Sequence[str]) -> tuple[DataFrame, DataFrame, list[str], int]:
+def _cell(df: DataFrame, keys: Sequence[str]) -> Column:
+    """A text for each cell. Adding 0.0 makes a minus zero plain."""
+    kinds = dict(df.dtypes)
+    return F.to_json(F.struct(*[(col(k) + F.lit(0).cast(kinds[k]) if kinds[k] in ("double", "float") else col(k)).alias(k) for k in keys]))
+
+
+def _bucketed(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Cells dealt to buckets, each of which is one group of a task: most experiments are far too small for a group of their own."""
+    return df.withColumn("_cell", _cell(df, keys)).withColumn("_bucket", F.pmod(F.xxhash64("_cell"), F.lit(buckets)).cast("int")).repartition(buckets, "_bucket")
+
+
+def buckets_for(df: DataFrame, cells: int, rows: int, numbers: int) -> int:
+    """Buckets for so many cells, rows, and numbers in the models of all cells: several per core, and none beyond what a task holds."""
+    return max(1, min(cells, max(2 * df.sparkSession.sparkContext.defaultParallelism, rows // BUCKET_ROWS, -(-numbers // BUCKET_NUMBERS))))
+
+
+def _dealt(long: DataFrame, plans: DataFrame, groups: Sequence[str], carried: Sequence[str], models: int) -> tuple[DataFrame, DataFrame, int]:
     """Rows dealt to chunks of their experiment, the experiment's plan repeated in each, and the largest number of chunks."""
     cells = [*groups, "_chunk"]
-    measured = plans.agg(F.coalesce(F.sum("_chunks"), F.lit(0)), F.coalesce(F.sum("_rows"), F.lit(0)), F.coalesce(F.max("_chunks"), F.lit(1))).first()
-    tasks = tasks_for(long, measured[0], measured[1])
+    products = F.col("_chunks").cast("bigint") * F.size("_points") * F.size("_points")
+    measured = plans.agg(F.coalesce(F.sum("_chunks"), F.lit(0)), F.coalesce(F.sum("_rows"), F.lit(0)), F.coalesce(F.max("_chunks"), F.lit(1)), F.coalesce(F.sum(products), F.lit(0))).first()
+    buckets = buckets_for(long, measured[0], measured[1], measured[3] * models)
     salted = lookup_join(long, plans.select(*[col(g) for g in groups], "_chunks"), groups, "inner").withColumn(
         "_chunk", F.pmod(F.xxhash64(*[col(c) for c in carried]), F.col("_chunks")).cast("int")
-    ).drop("_chunks").repartition(tasks, *[col(c) for c in cells])
-    repeated = plans.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1))).repartition(tasks, *[col(c) for c in cells])
-    return salted, repeated, cells, measured[2]
+    ).drop("_chunks")
+    repeated = plans.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)))
+    return _bucketed(salted, cells, buckets), _bucketed(repeated, cells, buckets), measured[2]
 
 
-def _met(left: DataFrame, right: DataFrame, keys: Sequence[str]):
-    """Both sides grouped on the keys. The right one gets columns of its own, as both may come from the same frame."""
+def _met(left: DataFrame, right: DataFrame):
+    """Both sides grouped by bucket. The right one gets columns of its own, as both may come from the same frame."""
     own = right.select(*[col(c).alias(c) for c in right.columns])
-    return left.groupBy(*[col(k) for k in keys]).cogroup(own.groupBy(*[col(k) for k in keys]))
+    return left.groupBy("_bucket").cogroup(own.groupBy("_bucket"))
+
+
+def _cells(pdf: pd.DataFrame) -> dict[str, np.ndarray]:
+    """The places of each cell's rows."""
+    return pdf.groupby("_cell", sort=False).indices if len(pdf) else {}
 
 
 def _points(plan, p: int) -> np.ndarray:
@@ -195,27 +216,30 @@ def kernel_gram(
     """Kernel sums per experiment, model and fold, with the experiment's plan; fold is FULL without folds."""
     features, groups = list(features), list(groups)
     carried = list(dict.fromkeys([*groups, *([fold] if fold else []), *features, "y"]))
-    salted, repeated, cells, chunks = _dealt(long.select(*[col(c) for c in carried]), plans, groups, carried)
+    salted, repeated, chunks = _dealt(long.select(*[col(c) for c in carried]), plans, groups, carried, len(models))
     kinds = dict(salted.dtypes)
     head = ", ".join(f"`{g}` {kinds[g]}" for g in groups)
-    names = [*groups, "model", "fold", "part", "sums"]
+    names, p = [*groups, "model", "fold", "part", "sums"], len(features)
 
     def summed(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         rows = []
-        if len(left) and len(right):
-            plan = right.iloc[0]
-            points, p = _points(plan, len(features)), len(features)
-            folds = left[fold].to_numpy() if fold else np.full(len(left), FULL)
-            x, y = left[features].to_numpy(float), left["y"].to_numpy(float)
-            keys = [left[g].iloc[0] for g in groups]
+        plan_of = dict(zip(right["_cell"], right.to_dict("records"), strict=True))
+        all_x, all_y = left[features].to_numpy(float), left["y"].to_numpy(float)
+        all_folds = left[fold].to_numpy() if fold else np.full(len(left), FULL)
+        keys = [left[g].tolist() for g in groups]
+        for cell, at in _cells(left).items():
+            if (plan := plan_of.get(cell)) is None:
+                continue
+            points, x, y, folds = _points(plan, p), all_x[at], all_y[at], all_folds[at]
             for model in models:
                 gamma = gamma_of(model, p, plan["_rows"], plan["_sx"], plan["_sxx"])
                 for f in np.unique(folds):
-                    rows.append([*keys, model, int(f), int(plan["_chunk"]) // MERGED, kernel_sums(x[folds == f], y[folds == f], points, gamma)])
+                    sums = kernel_sums(x[folds == f], y[folds == f], points, gamma)
+                    rows.append([*[k[at[0]] for k in keys], model, int(f), int(plan["_chunk"]) // MERGED, sums])
         return pd.DataFrame(rows, columns=names)
 
     schema = f"{head}, model string, fold int, part int, sums array<double>"
-    sums = _met(salted, repeated, cells).applyInPandas(summed, schema)
+    sums = _met(salted, repeated).applyInPandas(summed, schema)
 
     def merged(pdf: pd.DataFrame) -> pd.DataFrame:
         first = pdf.iloc[0]
@@ -230,7 +254,7 @@ def kernel_gram(
 
 
 def _solved(
-    grams: DataFrame, groups: Sequence[str], features: Sequence[str], folded: bool, bounds: tuple[float, float] = AMPLITUDE_BOUNDS
+    grams: DataFrame, plans: DataFrame, groups: Sequence[str], features: Sequence[str], folded: bool, bounds: tuple[float, float] = AMPLITUDE_BOUNDS
 ) -> DataFrame:
     """Models of all rows (fold = FULL) and, with folds, of all rows but each fold."""
     groups, p = list(groups), len(features)
@@ -239,10 +263,16 @@ def _solved(
     names = [*groups, "fold", *_NAMES]
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        first = pdf.iloc[0]
+        held, rows = pdf.to_dict("records"), []
+        for at in _cells(pdf).values():
+            rows += solve_one([held[i] for i in at])
+        return pd.DataFrame(rows, columns=names)
+
+    def solve_one(sums_of: list[dict]) -> list[list]:
+        first = sums_of[0]
         points, name = _points(first, p), first["model"]
         gamma = gamma_of(name, p, first["_rows"], first["_sx"], first["_sxx"])
-        own = {int(f): np.asarray(s, float) for f, s in zip(pdf["fold"], pdf["sums"], strict=True)}
+        own = {int(s["fold"]): np.asarray(s["sums"], float) for s in sums_of}
         total = sum(own.values())
         rows = []
         for f, sums in {FULL: total, **({f: total - s for f, s in own.items()} if folded else {})}.items():
@@ -253,9 +283,12 @@ def _solved(
                 rows.append([*head_, fit["points"].ravel(), fit["dual"], cover, fit["amplitude"], fit["gamma"], fit["centre"], fit["spread"], "ok"])
             except (ValueError, np.linalg.LinAlgError) as problem:
                 rows.append([*head_, None, None, None, None, None, None, None, f"error: {problem}"])
-        return pd.DataFrame(rows, columns=names)
+        return rows
 
-    return grams.groupBy(*[col(g) for g in groups], "model").applyInPandas(solve, f"{head}, fold int, {MODEL_COLUMNS}")
+    measured = plans.agg(F.count("*"), F.coalesce(F.sum(F.size("_points").cast("bigint") * F.size("_points")), F.lit(0))).first()
+    cells = measured[0] * len(KERNEL_MODELS)
+    buckets = buckets_for(grams, cells, cells, measured[1] * len(KERNEL_MODELS) * (FOLDS if folded else 1))
+    return _bucketed(grams, [*groups, "model"], buckets).groupBy("_bucket").applyInPandas(solve, f"{head}, fold int, {MODEL_COLUMNS}")
 
 
 def _whole_rows(df: DataFrame, features: Sequence[str], targets: Sequence[str], carried: Sequence[str]) -> DataFrame:
@@ -271,7 +304,7 @@ def fit_kernels(
     groups, features = [*by, "target"], list(features)
     long = _whole_rows(df, features, targets, by)
     plans = experiment_plans(long, groups, features, landmarks, chunk_rows).persist()
-    return _solved(kernel_gram(long, plans, groups, features, models), groups, features, False, bounds).drop("fold")
+    return _solved(kernel_gram(long, plans, groups, features, models), plans, groups, features, False, bounds).drop("fold")
 
 
 def kernel_out_of_fold(
@@ -287,20 +320,22 @@ def kernel_out_of_fold(
     long = _whole_rows(df, features, targets, [*by, row_id, fold]).persist()
     plans = experiment_plans(long, groups, features, landmarks, chunk_rows).persist()
     grams = kernel_gram(long, plans, groups, features, models, None if single else fold).persist()
-    fits = _solved(grams, groups, features, not single)
+    fits = _solved(grams, plans, groups, features, not single)
     per_group = fits.where("status = 'ok'").groupBy(*[col(g) for g in groups]).agg(F.collect_list(F.struct("fold", *_NAMES)).alias("_fits"))
     if single:
         per_group = per_group.join(grams.groupBy(*[col(g) for g in groups]).agg(F.collect_list(F.struct("model", "sums")).alias("_sums")), groups)
     carried = list(dict.fromkeys([*groups, row_id, fold, *features, "y"]))
-    salted, repeated, cells, _ = _dealt(long.select(*[col(c) for c in carried]), plans.join(per_group, groups), groups, carried)
+    salted, repeated, _ = _dealt(long.select(*[col(c) for c in carried]), plans.join(per_group, groups), groups, carried, len(models) * FOLDS)
     kinds = dict(salted.dtypes)
     out = [*groups, row_id, "model", "fold", "y", "yhat_train", "yhat_cv"]
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in [*groups, row_id]) + ", model string, fold int, y double, yhat_train double, yhat_cv double"
 
     def predicted(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame(columns=out)
-        plan = right.iloc[0]
+        plan_of = dict(zip(right["_cell"], right.to_dict("records"), strict=True))
+        parts = [told for cell, at in _cells(left).items() if cell in plan_of and (told := predicted_cell(left.iloc[at], plan_of[cell])) is not None]
+        return pd.concat(parts) if parts else pd.DataFrame(columns=out)
+
+    def predicted_cell(left: pd.DataFrame, plan: dict) -> pd.DataFrame | None:
         x, y, folds = left[features].to_numpy(float), left["y"].to_numpy(float), left[fold].to_numpy()
         fitted = {(r["model"], int(r["fold"])): unpack(r) for r in plan["_fits"]}
         parts = []
@@ -321,9 +356,9 @@ def kernel_out_of_fold(
                         cv[folds == f] = kernel_predict(fitted[model, int(f)], x[folds == f])[0]
             part = left[[*groups, row_id, "y"]].assign(model=model, fold=folds.astype("int32"), yhat_train=kernel_predict(whole, x)[0])
             parts.append(part.assign(yhat_cv=pd.Series(cv, index=part.index).where(~np.isnan(cv), None).astype(object)))
-        return pd.concat(parts)[out] if parts else pd.DataFrame(columns=out)
+        return pd.concat(parts)[out] if parts else None
 
-    return _met(salted, repeated, cells).applyInPandas(predicted, schema)
+    return _met(salted, repeated).applyInPandas(predicted, schema)
 
 
 def unpack(row) -> dict:
@@ -375,19 +410,21 @@ def score_kernels(
     kept = list(dict.fromkeys([*by, *keep]))
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in kept) + ", target string, model string, prediction double, deviation double"
 
-    def scored(pdf: pd.DataFrame, target: str, model: str, fit: dict) -> pd.DataFrame:
-        x = pdf[features].to_numpy(float)
+    def predicted(x: np.ndarray, fit: dict) -> tuple[np.ndarray, np.ndarray]:
         whole = ~np.isnan(x).any(1)
         mean, deviation = np.full(len(x), np.nan), np.full(len(x), np.nan)
         found = kernel_predict(fit, x[whole])
         mean[whole] = found[0]
         if found[1] is not None:
             deviation[whole] = found[1]
+        return mean, deviation
 
-        def known(values):
-            return pd.Series(values, index=pdf.index).astype(object).where(~np.isnan(values), None)
+    def known(values: np.ndarray) -> pa.Array:
+        return pa.array(values, pa.float64(), mask=np.isnan(values))
 
-        return pdf[kept].assign(target=target, model=model, prediction=known(mean), deviation=known(deviation))
+    def told(pdf: pd.DataFrame, target, model, mean: np.ndarray, deviation: np.ndarray) -> pd.DataFrame:
+        values = {c: known(v).to_pandas(types_mapper=pd.ArrowDtype) for c, v in (("prediction", mean), ("deviation", deviation))}
+        return pdf[kept].reset_index(drop=True).assign(target=target, model=model, **values)
 
     if not by:
         if not fits_broadcast(usable):
@@ -396,8 +433,9 @@ def score_kernels(
 
         def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
+                x = batch[features].to_numpy(float)
                 for target, model, fit in models:
-                    yield scored(batch, target, model, fit)
+                    yield told(batch, target, model, *predicted(x, fit))
 
         return rows.mapInPandas(stream, schema)
 
@@ -406,17 +444,29 @@ def score_kernels(
     ).persist()
     cells_, total = sizes.agg(F.coalesce(F.sum("_chunks"), F.lit(0)), F.coalesce(F.sum("_rows"), F.lit(0))).first()
     cells = [*by, "_chunk"]
-    tasks = tasks_for(rows, cells_, total)
+    usable = usable.persist()
+    numbers = usable.join(sizes.drop("_rows"), by).agg(F.sum(F.col("_chunks").cast("bigint") * (F.col("m") * F.col("p") + F.greatest(F.size("cover"), F.lit(0)))))
+    buckets = buckets_for(rows, cells_, total, numbers.first()[0] or 0)
     salted = lookup_join(rows, sizes.drop("_rows"), by, "inner").withColumn(
         "_chunk", F.pmod(F.xxhash64(*[col(c) for c in carried]), F.col("_chunks")).cast("int")
-    ).drop("_chunks").repartition(tasks, *[col(c) for c in cells])
+    ).drop("_chunks")
     every = F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1))
-    repeated = usable.join(sizes.drop("_rows"), by).withColumn("_chunk", every).drop("_chunks").repartition(tasks, *[col(c) for c in cells])
+    repeated = usable.join(sizes.drop("_rows"), by).withColumn("_chunk", every).drop("_chunks")
 
     def chunk(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left):
             return pd.DataFrame(columns=[*kept, "target", "model", "prediction", "deviation"])
-        parts = [scored(left, r["target"], r["model"], unpack(r)) for r in right.to_dict("records")]
-        return pd.concat(parts) if parts else left[kept].assign(target=None, model=None, prediction=None, deviation=None)
-
-    return _met(salted, repeated, cells).applyInPandas(chunk, schema)
+        x, fits_of, fitted = left[features].to_numpy(float), _cells(right), right.to_dict("records")
+        places, targets, names, means, deviations = [], [], [], [], []
+        for cell, at in _cells(left).items():
+            for i in fits_of.get(cell, [None]):
+                fit = None if i is None else fitted[i]
+                mean, deviation = (np.full(len(at), np.nan),) * 2 if fit is None else predicted(x[at], unpack(fit))
+                places.append(at)
+                targets += [fit and fit["target"]] * len(at)
+                names += [fit and fit["model"]] * len(at)
+                means.append(mean)
+                deviations.append(deviation)
+        return told(left.iloc[np.concatenate(places)], targets, names, np.concatenate(means), np.concatenate(deviations))
+
+    return _met(_bucketed(salted, cells, buckets), _bucketed(repeated, cells, buckets)).applyInPandas(chunk, schema)

@@ -452,3 +452,23 @@ def test_many_features_are_explained_by_regression(spark):
     assert far <= 0.15 * total
     one = explain.regression_values(lambda z: z[:, 0] ** 2, x[:, :1], points[:, :1], share)
     assert one[0][:, 0] == pytest.approx(x[:, 0] ** 2 - share @ points[:, 0] ** 2)
+
+
+def test_many_small_experiments_share_a_group_of_a_task(spark):
+    from assaysieve.operators import kernels
+
+    rows = [(i, -0.0 if i == 0 else float(i // 2), (i * 7 % 11) / 3.0, (i * 5 % 13) / 2.0) for i in range(600)]
+    df = spark.createDataFrame(rows, "id bigint, pair double, x double, y double").repartition(3)
+    fits = kernels.fit_kernels(df, ["x"], ["y"], ["gaussian_process", "kernel_ridge"], ["pair"], bounds=(1.0, 1.0))
+    got = {(r["id"], r["model"]): r for r in kernels.score_kernels(df, fits, ["x"], ["id"], ["pair"]).collect()}
+    assert len(got) == 1200
+    for i in range(0, 600, 37):
+        own = [r for r in rows if r[1] == rows[i][1]]
+        x, y = np.array([[r[2]] for r in own]), np.array([r[3] for r in own])
+        for model in kernels.KERNEL_MODELS:
+            alone = kernels.fit_rows(model, x, y) if model == "kernel_ridge" else kernels.solve_kernel(model, x, 0.5, kernels.kernel_sums(x, y, x, 0.5), (1.0, 1.0))
+            mean, deviation = kernels.kernel_predict(alone, np.array([[rows[i][2]]]))
+            assert got[i, model]["prediction"] == pytest.approx(mean[0], abs=1e-9)
+            assert got[i, model]["deviation"] == (None if deviation is None else pytest.approx(deviation[0], abs=1e-9))
+    assert kernels.buckets_for(df, 10_000, 20_000, 80_000) <= 2 * spark.sparkContext.defaultParallelism  # not a group for each of 10,000 experiments
+    assert kernels.buckets_for(df, 10_000, 20_000, 10**9) == 250
