@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from assaysieve.llm.text import per_text, sha256
+from assaysieve.llm.text import per_text, pieces, sha256
 
 CACHED_BYTES = 16_000_000  # of encoded words that a task remembers, and as much of those before
 LONG = 96  # bytes of a word from which its pairs are merged from a heap
@@ -34,6 +34,18 @@ def byte_letters() -> dict[str, int]:
     return {**{chr(b): b for b in plain}, **{chr(256 + i): b for i, b in enumerate(others)}}
 
 
+def token_bytes(content: str) -> list[bytes]:
+    """The bytes of each token of a vocabulary file, by id."""
+    spec, letters = json.loads(content), byte_letters()
+    tokens = {i: bytes(letters[c] for c in token) for token, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
+    return [tokens.get(i, b"") for i in range(max(tokens, default=-1) + 1)]
+
+
+def decoded(tokens: list[bytes], ids: bytes) -> str:
+    """The text of the ids, special tokens included; bytes that are no UTF-8 become the replacement character."""
+    return b"".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+
+
 class Tokenizer:
     """Tables of one byte-level vocabulary file, and the encoder over them."""
 
@@ -219,8 +231,7 @@ class Tokenizer:
         self.known, self.before, self.held = {}, {}, 0
 
     def decode(self, ids: bytes) -> str:
-        """The text of the ids, special tokens included; bytes that are no UTF-8 become the replacement character."""
-        return b"".join(map(self.bytes.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+        return decoded(self.bytes, ids)
 
 
 _loaded: dict[int, Tokenizer] = {}
@@ -281,13 +292,15 @@ def decode(tokens: DataFrame, path: str, ids: str = "ids", out: str = "text") ->
     """The frame with a string column `out`: the text of little-endian unsigned 32-bit ids, special tokens included; null for null.
 
     Bytes that are no UTF-8 become the replacement character. Ids that are not in the vocabulary raise an error. A column called `out` is replaced.
+    Workers hold the bytes of the tokens alone, not the encoder's tables: next to `encode` there are two workers per core.
     """
-    shared = share(tokens.sparkSession, path)
+    with open(path, encoding="utf-8") as file:
+        shared = tokens.sparkSession.sparkContext.broadcast(token_bytes(file.read()))
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tokenizer = _tokenizer(shared)
         for batch in batches:
-            yield pa.array([None if i is None else tokenizer.decode(i) for i in batch.to_pylist()], pa.string())
+            for piece in pieces(batch):
+                yield pa.array([None if i is None else decoded(shared.value, i) for i in piece.to_pylist()], pa.string())
 
     return tokens.withColumn(out, arrow_udf(run, returnType="string")(F.col(ids)))
 

@@ -317,3 +317,15 @@ def test_pages_of_the_table_as_their_tags_say(spark):
     for r in pages.collect():
         found = dom.blocks(r["html"])
         assert got[r["page_id"]] == "\n".join(b.text for b, x in zip(found, extraction.own_labels(found) or [], strict=False) if x)
+
+
+def test_decoding_does_without_the_encoder(spark, monkeypatch):
+    bpe, queries = pytest.importorskip("assaysieve.llm.bpe"), pytest.importorskip("assaysieve.llm.queries")
+    content = open(queries.VOCABULARY, encoding="utf-8").read()
+    tokens = bpe.token_bytes(content)
+    assert tokens == bpe.Tokenizer(content).bytes
+    ids = np.array([5, 300, 49_000, 7], "<u4").tobytes()
+    frame = spark.createDataFrame([(1, bytearray(ids)), (2, None), (3, bytearray())], "id bigint, ids binary")
+    monkeypatch.setattr(bpe, "_tokenizer", None)  # sent to the workers as it is
+    got = {r["id"]: r["text"] for r in bpe.decode(frame, queries.VOCABULARY).collect()}
+    assert got == {1: b"".join(tokens[i] for i in (5, 300, 49_000, 7)).decode("utf-8", "replace"), 2: None, 3: ""}
