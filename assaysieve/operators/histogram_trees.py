@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from assaysieve.functions.exprs import col
-from assaysieve.operators import growing
+from assaysieve.operators import growing, kernels
 from assaysieve.operators.growing import BINS, Style, Tree
 from assaysieve.operators.skew import lookup_join
 from assaysieve.session import checkpointable, delete_paths, scratch_path
@@ -787,6 +787,19 @@ def _vectors(features: Sequence[str]) -> Column:
     return F.array(*[F.when(~F.isnan(col(c).cast("double")), col(c).cast("double")) for c in features])
 
 
+def cell_tables(table: pa.Table) -> dict[str, pa.Table]:
+    """The rows of each cell of a bucket."""
+    if not table.num_rows:
+        return {}
+    coded = table["_cell"].combine_chunks().dictionary_encode()
+    place = coded.indices.to_numpy()
+    order = np.argsort(place, kind="stable")
+    begins = np.flatnonzero(np.concatenate(([True], np.diff(place[order]) > 0)))
+    rows = table.take(pa.array(order)).combine_chunks()
+    cells = coded.dictionary.to_pylist()
+    return {cells[place[order[b]]]: rows.slice(b, e - b) for b, e in zip(begins.tolist(), [*begins[1:].tolist(), table.num_rows], strict=True)}
+
+
 def _as_matrix(column: pa.Array, width: int) -> np.ndarray:
     return pc.list_flatten(column).to_numpy(zero_copy_only=False).reshape(len(column), width).astype(float)
 
@@ -855,10 +868,11 @@ def _score_shares(df: DataFrame, model: DataFrame, features: Sequence[str], to:
 
 
 def met_by_experiment(library: DataFrame, models: DataFrame, features: Sequence[str], keep: Sequence[str], by: Sequence[str], parts: Sequence[str],
-                      work: Callable[[np.ndarray, pa.Table], np.ndarray], rows_each: int = LOCAL_ROWS) -> DataFrame:
+                      work: Callable[[np.ndarray, pa.Table], np.ndarray], rows_each: int = LOCAL_ROWS, bucket_rows: int = 0) -> DataFrame:
     """Rows with what `work` makes of the models of their experiment, long: by, keep, target, model, prediction. Rows without a model are left out.
 
-    An experiment's rows are dealt in slices, and its models, of which `parts` are the columns, go to each of them.
+    An experiment's rows are dealt in slices, and its models, of which `parts` are the columns, go to each of them. With `bucket_rows`, slices of small
+    models are dealt to groups of about so many rows; otherwise each is a group.
     """
     by, keep, width = list(by), list(keep), len(features)
     kinds = dict(library.dtypes)
@@ -876,6 +890,10 @@ def met_by_experiment(library: DataFrame, models: DataFrame, features: Sequence[
     held = held.select(F.col("_key").alias("_owner"), F.col("_slice").alias("_part"), "target", "model", *parts)
 
     def score(group: tuple[pa.Scalar, ...], own: pa.Table, held: pa.Table) -> pa.Table:
+        out = told(own, held)
+        return pa.concat_tables(out) if out else pa.Table.from_pylist([], pa.schema([]))
+
+    def told(own: pa.Table, held: pa.Table) -> list[pa.Table]:
         out = []
         if own.num_rows and held.num_rows:
             x = _as_matrix(own["_x"].combine_chunks(), width)
@@ -883,9 +901,19 @@ def met_by_experiment(library: DataFrame, models: DataFrame, features: Sequence[
                 mine = held.filter(pc.and_(pc.equal(held["target"], target), pc.equal(held["model"], model)))
                 values = work(x, mine)
                 out.append(pa.table({**{c: own[c] for c in names}, "target": [target] * len(x), "model": [model] * len(x), "prediction": pa.array(values, mask=np.isnan(values))}))
-        return pa.concat_tables(out) if out else pa.Table.from_pylist([], pa.schema([]))
+        return out
+
+    def score_all(group: tuple[pa.Scalar, ...], own: pa.Table, held: pa.Table) -> pa.Table:
+        models_of = cell_tables(held)
+        out = [t for cell, rows_of in cell_tables(own).items() if cell in models_of for t in told(rows_of, models_of[cell])]
+        return pa.concat_tables(out).combine_chunks() if out else pa.Table.from_pylist([], pa.schema([]))
 
     schema = ", ".join([*[f"`{c}` {kinds[c]}" for c in names], "target string, model string, prediction double"])
+    if bucket_rows:
+        tasks = max(4 * rows.sparkSession.sparkContext.defaultParallelism, library.count() // bucket_rows)
+        left, right = kernels.bucketed(rows, ["_key", "_slice"], tasks), kernels.bucketed(held.withColumnsRenamed({"_owner": "_key", "_part": "_slice"}), ["_key", "_slice"], tasks)
+        right = right.select(*[F.col(c).alias(c) for c in right.columns])
+        return left.groupBy("_bucket").cogroup(right.groupBy("_bucket")).applyInArrow(score_all, schema)
     return rows.groupBy("_key", "_slice").cogroup(held.groupBy("_owner", "_part")).applyInArrow(score, schema)
 
 

@@ -166,15 +166,15 @@ def experiment_plans(long: DataFrame, groups: Sequence[str], features: Sequence[
     return sizes.join(points, list(groups))
 
 
-def _cell(df: DataFrame, keys: Sequence[str]) -> Column:
+def cell_of(df: DataFrame, keys: Sequence[str]) -> Column:
     """A text for each cell. Adding 0.0 makes a minus zero plain."""
     kinds = dict(df.dtypes)
     return F.to_json(F.struct(*[(col(k) + F.lit(0).cast(kinds[k]) if kinds[k] in ("double", "float") else col(k)).alias(k) for k in keys]))
 
 
-def _bucketed(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+def bucketed(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
     """Cells dealt to buckets, each of which is one group of a task: most experiments are far too small for a group of their own."""
-    return df.withColumn("_cell", _cell(df, keys)).withColumn("_bucket", F.pmod(F.xxhash64("_cell"), F.lit(buckets)).cast("int")).repartition(buckets, "_bucket")
+    return df.withColumn("_cell", cell_of(df, keys)).withColumn("_bucket", F.pmod(F.xxhash64("_cell"), F.lit(buckets)).cast("int")).repartition(buckets, "_bucket")
 
 
 def buckets_for(df: DataFrame, cells: int, rows: int, numbers: int) -> int:
@@ -192,7 +192,7 @@ def _dealt(long: DataFrame, plans: DataFrame, groups: Sequence[str], carried: Se
         "_chunk", F.pmod(F.xxhash64(*[col(c) for c in carried]), F.col("_chunks")).cast("int")
     ).drop("_chunks")
     repeated = plans.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)))
-    return _bucketed(salted, cells, buckets), _bucketed(repeated, cells, buckets), measured[2]
+    return bucketed(salted, cells, buckets), bucketed(repeated, cells, buckets), measured[2]
 
 
 def _met(left: DataFrame, right: DataFrame):
@@ -288,7 +288,7 @@ def _solved(
     measured = plans.agg(F.count("*"), F.coalesce(F.sum(F.size("_points").cast("bigint") * F.size("_points")), F.lit(0))).first()
     cells = measured[0] * len(KERNEL_MODELS)
     buckets = buckets_for(grams, cells, cells, measured[1] * len(KERNEL_MODELS) * (FOLDS if folded else 1))
-    return _bucketed(grams, [*groups, "model"], buckets).groupBy("_bucket").applyInPandas(solve, f"{head}, fold int, {MODEL_COLUMNS}")
+    return bucketed(grams, [*groups, "model"], buckets).groupBy("_bucket").applyInPandas(solve, f"{head}, fold int, {MODEL_COLUMNS}")
 
 
 def _whole_rows(df: DataFrame, features: Sequence[str], targets: Sequence[str], carried: Sequence[str]) -> DataFrame:
@@ -469,4 +469,4 @@ def score_kernels(
                 deviations.append(deviation)
         return told(left.iloc[np.concatenate(places)], targets, names, np.concatenate(means), np.concatenate(deviations))
 
-    return _met(_bucketed(salted, cells, buckets), _bucketed(repeated, cells, buckets)).applyInPandas(chunk, schema)
+    return _met(bucketed(salted, cells, buckets), bucketed(repeated, cells, buckets)).applyInPandas(chunk, schema)

@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from assaysieve.functions.exprs import col
-from assaysieve.operators.histogram_trees import FULL, Fitted, _as_matrix, _features, _is, _vectors, _without, exploded_fits, met_by_experiment, spread_fits
-from assaysieve.operators.kernels import squared_distances
+from assaysieve.operators.histogram_trees import FULL, Fitted, _as_matrix, _features, _is, _vectors, _without, cell_tables, exploded_fits, met_by_experiment
+from assaysieve.operators.kernels import bucketed, squared_distances
 from assaysieve.session import checkpointable, delete_paths, scratch_path
 
 MODEL = "support_vectors"
@@ -30,6 +30,7 @@ BAND = 0.1
 TOLERANCE = 1e-3  # of the conditions, and of the gap against the primal
 LOCAL_ROWS = 4_000
 PART_ROWS = 2_000
+BUCKET_ROWS = 20_000  # rows of several small experiments that are one group, about
 ROUNDS = 200
 CHUNK = 4_096  # support vectors in one row of a model
 MODEL_BYTES = 64 * 1024 * 1024
@@ -105,7 +106,12 @@ _MODEL_NAMES = [c.split()[0] for c in _MODEL.split(", ")]
 
 
 def _local_fit(by: list[str], features: int, cost: float, band: float, tolerance: float):
-    def fit(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    names = [*by, "target", "left_out"]
+
+    def fit_all(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        return pa.concat_tables([fit([own[c][0] for c in names], own) for own in cell_tables(table).values()]).combine_chunks()
+
+    def fit(key: list[pa.Scalar], table: pa.Table) -> pa.Table:
         left_out = key[-1].as_py()
         table = table.sort_by("hash")  # steps stop within the tolerance: the order of rows must not tell where
         x, y, fold = _features(table, features), table["y"].to_numpy(), table["fold"].to_numpy()
@@ -140,7 +146,7 @@ def _local_fit(by: list[str], features: int, cost: float, band: float, tolerance
             out[name] = pa.concat_arrays([pa.nulls(n, kind), pa.array(model[name], kind)])
         return pa.table(out)
 
-    return fit
+    return fit_all
 
 
 def fit_support_vectors(
@@ -167,8 +173,9 @@ def fit_support_vectors(
     if by or base.count() <= local_rows:
         small = _without(base, large, by) if by else base
         dealt = exploded_fits(small, by, p, fold is not None)
-        own = [*[col(k) for k in by], F.col("target"), F.col("left_out")]
-        outputs.append(spread_fits(dealt, small, own).groupBy(*own).applyInArrow(_local_fit(by, p, cost, band, tolerance), schema))
+        # Most experiments are far too small for a group of their own: a group holds several fits, which are made one after the other.
+        tasks = max(4 * spark.sparkContext.defaultParallelism, dealt.count() // BUCKET_ROWS)
+        outputs.append(bucketed(dealt, [*by, "target", "left_out"], tasks).groupBy("_bucket").applyInArrow(_local_fit(by, p, cost, band, tolerance), schema))
     names = ["target", "model", "left_out", "row", "fold", "y", "yhat", *_MODEL_NAMES]
     for key in large.collect() if by else [None] if not outputs else []:
         own = base.where(_is(key, by)).drop(*by) if by else base
@@ -363,4 +370,4 @@ def score_experiments(library: DataFrame, models: DataFrame, features: Sequence[
         out[whole] = kernel(x[whole], points, held["gamma"][0].as_py()) @ beta + held["bias"][0].as_py()
         return out
 
-    return met_by_experiment(library, models, features, keep, by, _MODEL_NAMES, work)
+    return met_by_experiment(library, models, features, keep, by, _MODEL_NAMES, work, bucket_rows=BUCKET_ROWS)

@@ -87,3 +87,23 @@ def test_experiments_gaps_and_folds(spark):
     assert all(r["yhat_train"] == pytest.approx(known[r["id"]]) for r in alone)
     nothing = S.fit_support_vectors(df.where("false"), NAMES, ["y"], "id", "fold", ["g"])
     assert nothing.predictions.count() == nothing.models.count() == 0
+
+
+def test_small_experiments_share_a_group(spark):
+    from assaysieve.operators.histogram_trees import cell_tables
+    from assaysieve.operators.kernels import bucketed
+
+    rows = [(i, i // 2, float(i * 7 % 11), float(i * 5 % 13)) for i in range(200)]
+    df = spark.createDataFrame(rows, "id bigint, g bigint, a double, y double").repartition(3)
+    held = bucketed(df, ["g"], 4).where("_bucket = 1").toArrow()
+    own = cell_tables(held)
+    assert len(own) > 1 and sorted(i for t in own.values() for i in t["id"].to_pylist()) == sorted(held["id"].to_pylist())
+    assert all(len(set(t["g"].to_pylist())) == 1 and t.num_rows == 2 for t in own.values())
+    models = S.fit_support_vectors(df, ["a"], ["y"], "id", by=["g"], tolerance=1e-9).models
+    assert models.select("g").distinct().count() == 100
+    got = {r["id"]: r["prediction"] for r in S.score_experiments(df, models, ["a"], ["id"], ["g"]).collect()}
+    assert len(got) == 200
+    for i in range(0, 200, 20):
+        alone = S.fit_support_vectors(df.where(F.col("g") == rows[i][1]), ["a"], ["y"], "id", tolerance=1e-9).models if i in (0, 100) else None
+        if alone is not None:
+            assert abs(got[i] - S.predictor(alone)(np.array([[rows[i][2]]]))[0]) < 1e-9
