@@ -3,6 +3,7 @@
 An experiment of up to `LOCAL_ROWS` rows is dealt as one group per fit: target, model, left-out fold and, for forests, a share of the trees. A larger one stays a table
 of binned rows: all its fits go in step, and each step, a level or a leaf of all of them, is one job that adds up gradients and weights by
 (fit, node, feature, bin). Forests are grown so until a node fits a task, which then grows all below it. The rules are those of `growing`, whichever way the sums come about.
+Such a forest's rows are predicted by its trees when they are asked for: large models and rows meet in boxes of the features, each with the part of every tree that it reaches.
 
 A fitted model is a table with one row per tree (or piece of one): nodes in arrays, borders as numbers of the features.
 """
@@ -15,7 +16,7 @@ import threading
 from collections.abc import Callable, Iterator, Sequence
 from copy import deepcopy
 from dataclasses import dataclass, replace
-from functools import reduce
+from functools import cached_property, reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -42,6 +43,7 @@ STYLES = {
 }
 LOCAL_ROWS = 100_000  # rows that one group may hold
 BUNDLES = 16  # shares in which a forest's trees are dealt
+PIECE = 5  # times the rows of a group that one piece of a large forest's tree may weigh: it comes as bytes
 MODEL_BYTES = 64 * 1024 * 1024  # nodes that are copied to the executors; larger models are joined to the rows
 NODE_BYTES = 37
 REWRITE = 10  # rounds of boosting after which the predictions so far are written down
@@ -52,6 +54,7 @@ FULL = -1  # left-out fold of the fit on all rows
 ARRAYS = "feature array<int>, at array<double>, missing_left array<boolean>, left array<int>, right array<int>, value array<double>, weight array<double>"
 ARRAY_NAMES = [a.split()[0] for a in ARRAYS.split(", ")]
 ROOT = -1  # piece that holds a tree's root
+BOX_ROWS = 100_000  # sampled rows at most from which the borders of boxes are chosen
 
 
 def style_of(kind: str, **options) -> Style:
@@ -70,7 +73,11 @@ class Fitted:
     by: list[str]
     features: list[str]
     models: DataFrame
-    predictions: DataFrame
+    predicted: Callable[[], DataFrame]
+
+    @cached_property
+    def predictions(self) -> DataFrame:
+        return self.predicted()
 
 
 def _tree_columns(trees: list[Tree], cuts: Sequence[np.ndarray], scale: float) -> dict[str, pa.Array]:
@@ -147,30 +154,45 @@ def fit_trees(
         (col(fold).cast("int") if fold else F.lit(0)).alias("fold"), *[v.alias(n) for n, v in numbers.items()], values.alias("_targets"))
     large = base.groupBy(*by).count().where(F.col("count") > local_rows).drop("count") if by else None
     whole = base.count() if not by else 0
-    outputs = []
+    outputs, unseen = [], []
     if by or whole <= local_rows:
         small = _without(base, large, by) if by else base
         outputs.append(_fit_groups(small, by, len(features), styles, fold is not None))
     if by:
         for key in large.collect():  # experiments too large for a task: fewer than rows / local_rows
             own = base.where(_is(key, by)).drop(*by)
-            found = _fit_table(own, len(features), targets, styles, fold is not None, local_rows)
+            found, forests = _fit_table(own, len(features), targets, styles, fold is not None, local_rows)
             kinds_of = dict(base.dtypes)
-            outputs += [f.withColumns({k: F.lit(key[k]).cast(kinds_of[k]) for k in by}).select(*by, *f.columns) for f in found]
+            outputs += [f.withColumns({k: F.lit(key[k]).cast(kinds_of[k]) for k in by}).select(*[col(k) for k in by], *f.columns) for f in found]
+            unseen += [(key, f) for f in forests]
     elif whole > local_rows:
-        outputs += _fit_table(base, len(features), targets, styles, fold is not None, local_rows)
+        found, forests = _fit_table(base, len(features), targets, styles, fold is not None, local_rows)
+        outputs += found
+        unseen += [(None, f) for f in forests]
     path = scratch_path(spark, "tree-fits")
     for n, found in enumerate(outputs):
-        found.write.parquet(f"{path}/{n}")
+        found.write.option("compression", "zstd").parquet(f"{path}/{n}")
     fits = spark.read.schema(outputs[0].schema).parquet(*[f"{path}/{n}" for n in range(len(outputs))])
     keys = [*by, "target", "model"]
-    models = fits.where("tree is not null").select(*[col(k) for k in keys], "tree", "piece", "start", *ARRAY_NAMES)
     full = F.col("left_out") == FULL
-    predicted = fits.where("row is not null").groupBy(*[col(k) for k in keys], "row").agg(
-        F.max("fold").alias("fold"), F.max("y").alias("y"), F.sum(F.when(full, F.col("yhat"))).alias("yhat_train"),
-        F.sum(F.when(~full, F.col("yhat"))).alias("yhat_cv"))
-    nan_to_null = {c: F.when(~F.isnan(c), F.col(c)) for c in ("yhat_train", "yhat_cv")}
-    return Fitted(by, features, models, predicted.withColumns(nan_to_null).withColumnRenamed("row", row_id))
+    models = fits.where(F.col("tree").isNotNull() & full).select(*[col(k) for k in keys], "tree", "piece", "start", *ARRAY_NAMES)
+
+    def predicted() -> DataFrame:
+        columns = ["left_out", "row", "fold", "y", "yhat"]
+        told = [fits.where("row is not null").select(*[col(k) for k in keys], *columns)]
+        kinds_of = dict(base.dtypes)
+        for key, forest in unseen:
+            found = forest.predictions(fits if key is None else fits.where(_is(key, by)))
+            own = {k: F.lit(key[k]).cast(kinds_of[k]) for k in by} if key is not None else {}
+            told.append(found.select(*[v.alias(k) for k, v in own.items()], "target", "model", *columns))
+        # A forest in shares has several rows per row and fit, each with the sum over its trees.
+        out = reduce(DataFrame.unionByName, told).groupBy(*[col(k) for k in keys], "row").agg(
+            F.max("fold").alias("fold"), F.max("y").alias("y"), F.sum(F.when(full, F.col("yhat"))).alias("yhat_train"),
+            F.sum(F.when(~full, F.col("yhat"))).alias("yhat_cv"))
+        nan_to_null = {c: F.when(~F.isnan(c), F.col(c)) for c in ("yhat_train", "yhat_cv")}
+        return out.withColumns(nan_to_null).withColumnRenamed("row", row_id)
+
+    return Fitted(by, features, models, predicted)
 
 
 def _is(key, by: list[str]) -> Column:
@@ -442,8 +464,8 @@ def _with_margins(frame: DataFrame, features: int, starts: list[float], grown: d
     return frame.mapInArrow(run, schema)
 
 
-def _fit_table(base: DataFrame, features: int, targets: list[str], styles: dict[str, Style], folds: bool, local_rows: int) -> list[DataFrame]:
-    """All fits of one experiment of any size."""
+def _fit_table(base: DataFrame, features: int, targets: list[str], styles: dict[str, Style], folds: bool, local_rows: int) -> tuple[list[DataFrame], list[_Forest]]:
+    """All fits of one experiment of any size; forests have trees only, and tell the rows' predictions when asked."""
     spark = base.sparkSession
     checkpointable(spark)
     cuts = _table_cuts(base, features)
@@ -456,13 +478,14 @@ def _fit_table(base: DataFrame, features: int, targets: list[str], styles: dict[
     frame = spark.read.parquet(path)
     left = [FULL, *(sorted(r[0] for r in frame.select("fold").distinct().collect()) if folds else [])]
     boosted = {k: s for k, s in styles.items() if not s.bagged}
-    found = []
+    found, forests = [], []
     if boosted:
         found += _boost_table(frame, features, targets, boosted, left, cuts)
     for kind, style in styles.items():
         if style.bagged:
-            found += _forest_table(frame, features, targets, kind, style, left, cuts, local_rows)
-    return found
+            found += _forest_table(frame, features, targets, kind, style, left, cuts, PIECE * local_rows)
+            forests.append(_Forest(frame, features, targets, kind, left, cuts))
+    return found, forests
 
 
 def _boost_table(frame: DataFrame, features: int, targets: list[str], styles: dict[str, Style], left: list[int], cuts: list[np.ndarray]) -> list[DataFrame]:
@@ -582,14 +605,52 @@ def _shaped(trees: DataFrame, frame: DataFrame) -> DataFrame:
     return full.select("target", "model", "left_out", "row", "fold", "y", "yhat", "tree", "piece", "start", *ARRAY_NAMES)
 
 
+class _Forest(NamedTuple):
+    """A forest over a table, and whose rows it predicts."""
+
+    frame: DataFrame
+    features: int
+    targets: list[str]
+    kind: str
+    left: list[int]
+    cuts: list[np.ndarray]
+
+    def predictions(self, fits: DataFrame) -> DataFrame:
+        """Of each row by the trees of all rows and those grown without its fold."""
+        found, x = [], _numbers(self.cuts)(F.col("bins"))
+        for t, target in enumerate(self.targets):
+            y = F.col("ys")[t]
+            for left_out in self.left:
+                asked = ~F.isnan(y) if left_out == FULL else ~F.isnan(y) & (F.col("fold") == left_out)
+                rows = self.frame.where(asked).select(F.lit(target).alias("target"), F.lit(self.kind).alias("model"), F.lit(left_out).alias("left_out"), "row", "fold", y.alias("y"), "bins")
+                model = fits.where((F.col("target") == target) & (F.col("model") == self.kind) & (F.col("left_out") == left_out) & F.col("tree").isNotNull())
+                found.append(_scored(rows, model, x, self.features, "yhat", MODEL_BYTES).drop("bins"))
+        return reduce(DataFrame.unionByName, found)
+
+
+def _numbers(cuts: list[np.ndarray]):
+    """Numbers that lie in the bins: every split tells them apart as it does the bins."""
+    of = [np.concatenate([own, np.full(BINS - own.size, np.inf)]) for own in cuts]
+    for own in of:
+        own[growing.MISSING] = np.nan
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for rows in batches:
+            bins = _bins(rows, len(of))
+            x = np.column_stack([own[bins[:, j]] for j, own in enumerate(of)]) if of else np.zeros((len(rows), 0))
+            flat = pa.array(x.ravel(), mask=np.isnan(x.ravel()))
+            yield pa.ListArray.from_arrays(np.arange(len(rows) + 1, dtype=np.int32) * len(of), flat)
+
+    return arrow_udf(run, returnType="array<double>")
+
+
 def _forest_table(frame: DataFrame, features: int, targets: list[str], kind: str, style: Style, left: list[int], cuts: list[np.ndarray], local_rows: int) -> list[DataFrame]:
-    """A forest over a table: nodes beyond `local_rows` split by jobs, for all trees of a pass together; then one group per node that is left."""
+    """A forest's trees over a table: nodes beyond `local_rows` split by jobs, for all trees of a pass together; then one group per node that is left."""
     spark, out = frame.sparkSession, []
     count = frame.count()
     nodes = 2 * math.ceil(count / local_rows) * 4
     per_pass = max(1, min(style.trees, MODEL_BYTES // 2 // (nodes * NODE_BYTES)))
-    kinds = dict(frame.dtypes)
-    schema = f"target string, model string, left_out int, row {kinds['row']}, fold int, y double, yhat double, tree int, piece int, start double, {ARRAYS}"
+    tasks = max(4 * spark.sparkContext.defaultParallelism, count * style.trees // (20 * local_rows))
     for t, target in enumerate(targets):
         for fold in left:
             for begin in range(0, style.trees, per_pass):
@@ -599,14 +660,14 @@ def _forest_table(frame: DataFrame, features: int, targets: list[str], kind: str
                 while large and (style.depth is None or level < style.depth):
                     large = _split_large(frame, features, t, fold, style, tops, large, local_rows)
                     level += 1
-                out.append(frame.mapInArrow(_to_pieces(features, t, fold, style, tops), f"tree int, piece int, row {kinds['row']}, hash bigint, fold int, y double, bins binary, asked boolean")
-                           .groupBy("tree", "piece").applyInArrow(_finished(features, target, kind, fold, style, cuts, tops), schema))
-                if fold == FULL:
-                    columns = _tree_columns(list(tops.values()), cuts, 0.0)
-                    n = len(numbers)
-                    table = pa.table({"target": [target] * n, "model": [kind] * n, "left_out": pa.array([FULL] * n, pa.int32()), "tree": pa.array(numbers, pa.int32()),
-                                      "piece": pa.array([ROOT] * n, pa.int32()), "start": [0.0] * n, **columns})
-                    out.append(_shaped(spark.createDataFrame(table), frame))
+                pieces = frame.mapInArrow(_to_pieces(features, t, fold, style, tops), "tree int, piece int, rows int, block binary").repartition(tasks, "tree", "piece")
+                grown = pieces.groupBy("tree", "piece").applyInArrow(_finished(features, target, kind, fold, style, cuts, tops), f"target string, model string, left_out int, tree int, piece int, start double, {ARRAYS}")
+                out.append(_shaped(grown, frame))
+                columns = _tree_columns(list(tops.values()), cuts, 0.0)
+                n = len(numbers)
+                table = pa.table({"target": [target] * n, "model": [kind] * n, "left_out": pa.array([fold] * n, pa.int32()), "tree": pa.array(numbers, pa.int32()),
+                                  "piece": pa.array([ROOT] * n, pa.int32()), "start": [0.0] * n, **columns})
+                out.append(_shaped(spark.createDataFrame(table), frame))
     return out
 
 
@@ -638,14 +699,12 @@ def _split_large(frame: DataFrame, features: int, target: int, left_out: int, st
                     held[:, 0] -= np.bincount(code, own[which] * y[which], len(held))
                     held[:, 1] += np.bincount(code, own[which], len(held))
         for n, held in cells.items():
-            some = np.flatnonzero(held[:, 1])
-            yield pa.RecordBatch.from_pydict({"tree": pa.array(np.full(some.size, n), pa.int32()), "node": pa.array(np.array(asked[n])[some // (features * BINS)], pa.int32()),
-                                              "cell": pa.array(some % (features * BINS), pa.int32()), "gradient": held[some, 0], "weight": held[some, 1]})
+            held = held.reshape(len(asked[n]), -1)
+            some = np.flatnonzero(held.any(1))
+            yield pa.RecordBatch.from_pydict({"tree": pa.array(np.full(some.size, n), pa.int32()), "node": pa.array(np.array(asked[n])[some], pa.int32()), "sums": pa.array([_packed(held[i]) for i in some], pa.binary())})
 
     def choose(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        sums = np.zeros((1, features * BINS, 2))
-        at = table["cell"].to_numpy()
-        sums[0, at, 0], sums[0, at, 1] = table["gradient"].to_numpy(), table["weight"].to_numpy()
+        sums = sum(np.sort([_unpacked(b, np.float64, features * BINS * 2) for b in table["sums"].to_pylist()], axis=0))  # in one order, whichever task is the first
         sums = sums.reshape(1, features, BINS, 2)
         total = sums[0, 0].sum(0)
         sums[..., 0] -= sums[..., 1] * (total[0] / total[1])  # around the node's mean, against rounding
@@ -655,9 +714,7 @@ def _split_large(frame: DataFrame, features: int, target: int, left_out: int, st
         return pa.table({"tree": pa.array([key[0].as_py()], pa.int32()), "node": pa.array([key[1].as_py()], pa.int32()), "feature": pa.array([f], pa.int32()), "cut": pa.array([c], pa.int32()),
                          "missing_left": [lost], "gain": [float(found.gain[0])], "left_weight": [float(lighter)], "weight": [float(total[1])], "gradient": [float(total[0])]})
 
-    cells = frame.mapInArrow(run, "tree int, node int, cell int, gradient double, weight double").groupBy("tree", "node", "cell").agg(
-        F.sum("gradient").alias("gradient"), F.sum("weight").alias("weight"))
-    found = cells.groupBy("tree", "node").applyInArrow(
+    found = frame.mapInArrow(run, "tree int, node int, sums binary").groupBy("tree", "node").applyInArrow(
         choose, "tree int, node int, feature int, cut int, missing_left boolean, gain double, left_weight double, weight double, gradient double").collect()
     still = set()
     for r in sorted(found, key=lambda r: (r["tree"], r["node"])):
@@ -673,50 +730,83 @@ def _split_large(frame: DataFrame, features: int, target: int, left_out: int, st
     return still
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers as compressed bytes, all first bytes before all second ones."""
+    return pa.compress(np.ascontiguousarray(values.reshape(-1, 1).view(np.uint8).T).tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(block: bytes, kind, count: int) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    flat = np.frombuffer(pa.decompress(block, count * size, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(flat.reshape(size, count).T).view(kind).ravel()
+
+
+def _joined_bytes(*parts: np.ndarray) -> bytes:
+    """Some arrays as one text of bytes, each after its length."""
+    return b"".join(len(b).to_bytes(4, "little") + b for b in map(_packed, parts))
+
+
+def _split_bytes(block: bytes, *parts: tuple) -> list[np.ndarray]:
+    out, at = [], 0
+    for kind, count in parts:
+        size = int.from_bytes(block[at:at + 4], "little")
+        out.append(_unpacked(block[at + 4:at + 4 + size], kind, count))
+        at += 4 + size
+    return out
+
+
+def _alike(codes: np.ndarray) -> list[np.ndarray]:
+    """The places of each code."""
+    order = np.argsort(codes, kind="stable")
+    return np.split(order, np.flatnonzero(np.diff(codes[order])) + 1) if codes.size else []
+
+
 def _to_pieces(features: int, target: int, left_out: int, style: Style, tops: dict[int, Tree]):
-    """Rows at the leaf of each tree's top that they reach: those it is grown on, and those to predict."""
+    """Per task the rows each tree is grown on, as bytes for the leaf of its top that they reach. Rows of the same bins and value become one of their summed weight."""
+
+    def dealt(bins: np.ndarray, y: np.ndarray, row_hash: np.ndarray) -> Iterator[pa.RecordBatch]:
+        texts = np.ascontiguousarray(np.column_stack([bins, y.reshape(-1, 1).view(np.uint8)]))
+        _, first, place = np.unique(texts.view(f"V{texts.shape[1]}").ravel(), return_index=True, return_inverse=True)
+        bins, y = bins[first], y[first]
+        for n, top in tops.items():
+            drawn = growing.resampled(row_hash, n) if style.resampled else np.ones(len(row_hash))
+            weight = np.bincount(place, drawn, len(y))
+            which = np.flatnonzero(weight > 0)
+            piece = top.leaf_of(bins[which])
+            held = [(int(piece[own[0]]), which[own]) for own in _alike(piece)]
+            yield pa.RecordBatch.from_pydict({
+                "tree": pa.array([n] * len(held), pa.int32()), "piece": pa.array([p for p, _ in held], pa.int32()), "rows": pa.array([w.size for _, w in held], pa.int32()),
+                "block": pa.array([_joined_bytes(bins[w].ravel("F"), y[w], weight[w].astype(np.uint32)) for _, w in held], pa.binary())})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
         for batch in batches:
-            bins = _bins(batch["bins"], features)
-            y, fold, weight, row_hash = _drawn(batch, target, left_out)
-            asked = ~np.isnan(y) & ((fold == left_out) | (left_out == FULL))
-            for n, top in tops.items():
-                own = weight * growing.resampled(row_hash, n) if style.resampled else weight
-                which = np.flatnonzero((own > 0) | asked)
-                at = pa.array(which)
-                yield pa.RecordBatch.from_pydict({
-                    "tree": pa.array(np.full(which.size, n), pa.int32()), "piece": pa.array(top.leaf_of(bins[which]), pa.int32()), "row": batch["row"].take(at), "hash": batch["hash"].take(at),
-                    "fold": batch["fold"].take(at), "y": y[which], "bins": batch["bins"].take(at), "asked": asked[which]})
+            y, _, weight, row_hash = _drawn(batch, target, left_out)
+            own = weight > 0
+            held.append((_bins(batch["bins"], features)[own], y[own], row_hash[own]))
+            count += int(own.sum())
+            if count >= BLOCK_ROWS:
+                yield from dealt(*(np.concatenate(c) for c in zip(*held, strict=True)))
+                held, count = [], 0
+        if count:
+            yield from dealt(*(np.concatenate(c) for c in zip(*held, strict=True)))
 
     return run
 
 
 def _finished(features: int, target: str, kind: str, left_out: int, style: Style, cuts: list[np.ndarray], tops: dict[int, Tree]):
-    """All of a tree below one leaf of its top, and the rows' predictions by it."""
+    """All of a tree below one leaf of its top."""
     depths = {n: _depths(t) for n, t in tops.items()}
 
     def finish(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         number, piece = (k.as_py() for k in key)
-        bins, y, fold = _bins(table["bins"].combine_chunks(), features), table["y"].to_numpy(), table["fold"].to_numpy()
-        weight = (fold != left_out).astype(float)
-        if style.resampled:
-            weight *= growing.resampled(table["hash"].to_numpy().view(np.uint64), number)
+        blocks = [_split_bytes(b, (np.uint8, n * features), (np.float64, n), (np.uint32, n)) for n, b in zip(table["rows"].to_pylist(), table["block"].to_pylist(), strict=True)]
+        bins = np.concatenate([b.reshape(features, -1).T for b, _, _ in blocks])
+        y, weight = (np.concatenate([b[i] for b in blocks]) for i in (1, 2))
         left = None if style.depth is None else style.depth - depths[number][piece]
-        tree = growing.grow_full(bins, y, weight, left)
-        asked = np.flatnonzero(table["asked"].to_numpy(zero_copy_only=False))
-        value = np.array(tree.value)[tree.leaf_of(bins[asked])] / style.trees
-        n, t = asked.size, int(left_out == FULL)
-        out = {"target": pa.array([target] * (n + t), pa.string()), "model": pa.array([kind] * (n + t), pa.string()), "left_out": pa.array([left_out] * (n + t), pa.int32())}
-        rows = table["row"].combine_chunks().take(pa.array(asked))
-        out["row"] = pa.concat_arrays([rows, pa.nulls(t, rows.type)])
-        out["fold"] = pa.concat_arrays([pa.array(fold[asked], pa.int32()), pa.nulls(t, pa.int32())])
-        out["y"], out["yhat"] = (pa.concat_arrays([pa.array(v, pa.float64()), pa.nulls(t, pa.float64())]) for v in (y[asked], value))
-        out["tree"], out["piece"] = (pa.concat_arrays([pa.nulls(n, pa.int32()), pa.array([v] * t, pa.int32())]) for v in (number, piece))
-        out["start"] = pa.concat_arrays([pa.nulls(n, pa.float64()), pa.array([0.0] * t, pa.float64())])
-        for name, column in _tree_columns([tree] * t, cuts, 1.0 / style.trees).items():
-            out[name] = pa.concat_arrays([pa.nulls(n, column.type), column])
-        return pa.table(out)
+        tree = growing.grow_full(bins, y, weight.astype(float), left)
+        return pa.table({"target": [target], "model": [kind], "left_out": pa.array([left_out], pa.int32()), "tree": pa.array([number], pa.int32()), "piece": pa.array([piece], pa.int32()),
+                         "start": [0.0], **_tree_columns([tree], cuts, 1.0 / style.trees)})
 
     return finish
 
@@ -811,19 +901,22 @@ def model_bytes(model: DataFrame) -> int:
 def score_trees(df: DataFrame, model: DataFrame, features: Sequence[str], to: str = "yhat", limit: int = MODEL_BYTES) -> DataFrame:
     """All rows with the prediction of one model, given by its rows of the table of models.
 
-    A model of up to `limit` bytes is copied to the executors and scoring is a projection. A larger one is dealt in shares of that size that meet the rows in
-    groups, and the rows get the sum of what the shares say.
+    A model of up to `limit` bytes is copied to the executors and scoring is a projection. The trees of a larger one are cut to boxes of the features: each
+    box gets its rows once and the nodes they may reach, in shares of up to that size, and the rows get the sum of what the shares say.
     """
-    width = len(features)
-    if model_bytes(model) <= limit:
+    return _scored(df, model, _vectors(features), len(features), to, limit)
+
+
+def _scored(df: DataFrame, model: DataFrame, x: Column, width: int, to: str, limit: int) -> DataFrame:
+    if (size := model_bytes(model)) <= limit:
         shared = df.sparkSession.sparkContext.broadcast(joined_nodes(model.select("tree", "piece", "start", *ARRAY_NAMES).toArrow()))
 
         def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             for rows in batches:
                 yield pa.array(shared.value.predict(_as_matrix(rows, width)))
 
-        return df.withColumn(to, arrow_udf(run, returnType="double")(_vectors(features)))
-    return _score_shares(df, model, features, to, limit)
+        return df.withColumn(to, arrow_udf(run, returnType="double")(x))
+    return _score_boxes(df, model, x, width, to, size, limit)
 
 
 def tree_shares(model: DataFrame, limit: int) -> tuple[dict[int, int], int]:
@@ -860,10 +953,207 @@ def by_shares(df: DataFrame, model: DataFrame, features: Sequence[str], limit: i
     return rows, found
 
 
-def _score_shares(df: DataFrame, model: DataFrame, features: Sequence[str], to: str, limit: int) -> DataFrame:
-    start = model.agg(F.max("start")).first()[0]
-    rows, found = by_shares(df, model, features, limit, "value double", lambda x, nodes: {"value": nodes.predict(x) - nodes.start})
-    total = found.groupBy("_row").agg((F.sum("value") + F.lit(float(start))).alias("_total"))
+class _Boxes(NamedTuple):
+    """Boxes that share out the space of the features, by a tree of borders. Known values of a box lie in (low, high]; missing ones belong to boxes without an upper border."""
+
+    tree: Nodes
+    low: np.ndarray
+    high: np.ndarray
+
+    def of(self, x: np.ndarray) -> np.ndarray:
+        return self.tree.value[self.tree.leaf_of(x, 0)].astype(np.int64)
+
+
+def _boxes(x: np.ndarray, most: int) -> _Boxes:
+    """Boxes with at most so many of some rows, as far as these differ. Each is halved along the feature on which its rows have the most of all rows between them."""
+    x = np.where(np.isnan(x), np.inf, x)
+    width, ordered = x.shape[1], np.sort(x, axis=0)
+    tree, borders, lows, highs = Tree(), [0.0], {0: np.full(width, -np.inf)}, {0: np.full(width, np.inf)}
+    open_, leaves = [(0, np.arange(len(x)))], []
+    while open_:
+        node, own = open_.pop()
+        least, top = (x[own].min(0), x[own].max(0)) if own.size else (np.zeros(width), np.zeros(width))
+        spread = [np.searchsorted(ordered[:, j], top[j], "right") - np.searchsorted(ordered[:, j], least[j]) if least[j] < top[j] else 0 for j in range(width)]
+        j = int(np.argmax(spread)) if width else 0
+        if own.size <= most or not width or not spread[j]:
+            leaves.append(node)
+            continue
+        values = np.sort(x[own, j])
+        border = values[(values.size - 1) // 2]
+        if border == values[-1]:
+            border = values[np.searchsorted(values, border) - 1]
+        if border == -np.inf:  # no known value can be told from it by a box that is open below
+            leaves.append(node)
+            continue
+        left, right = tree.split(node, j, 0, False)
+        borders += [0.0, 0.0]
+        borders[node] = float(border)
+        low, high = lows.pop(node), highs.pop(node)
+        lows[left], highs[left], lows[right], highs[right] = low, high.copy(), low.copy(), high
+        highs[left][j] = lows[right][j] = border
+        goes_left = x[own, j] <= border
+        open_ += [(left, own[goes_left]), (right, own[~goes_left])]
+    number = np.zeros(len(borders))
+    number[leaves] = np.arange(len(leaves))
+    nodes = Nodes(np.array(tree.feature), np.array(borders), np.zeros(len(borders), bool), np.array(tree.left), np.array(tree.right), number, np.zeros(len(borders)), np.zeros(1, np.int64), 0.0)
+    return _Boxes(nodes, np.array([lows[n] for n in leaves]).reshape(-1, width), np.array([highs[n] for n in leaves]).reshape(-1, width))
+
+
+def _cut_to_boxes(nodes: Nodes, boxes: _Boxes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of one tree the nodes that rows of each box tell apart: box, node and whether it is split there. Those of a box follow level by level, the sides of a split side by side."""
+    box, node = np.arange(len(boxes.low)), np.zeros(len(boxes.low), np.int64)
+    out = []
+    while box.size:
+        both = np.zeros(box.size, bool)
+        moving = np.flatnonzero(nodes.feature[node] >= 0)
+        while moving.size:
+            at, own = node[moving], box[moving]
+            feature = nodes.feature[at]
+            open_above = np.isinf(boxes.high[own, feature])
+            goes_left = (boxes.low[own, feature] < nodes.at[at]) | (open_above & nodes.missing_left[at])
+            goes_right = (boxes.high[own, feature] > nodes.at[at]) | (open_above & ~nodes.missing_left[at])
+            both[moving] = goes_left & goes_right
+            one = ~both[moving]
+            moving, at = moving[one], at[one]
+            node[moving] = np.where(goes_left[one], nodes.left[at], nodes.right[at])
+            moving = moving[nodes.feature[node[moving]] >= 0]
+        out.append((box, node, both))
+        box, node = np.repeat(box[both], 2), np.column_stack([nodes.left[node[both]], nodes.right[node[both]]]).ravel()
+    box, node, both = (np.concatenate(c) for c in zip(*out, strict=True))
+    order = np.argsort(box, kind="stable")
+    return box[order], node[order], both[order]
+
+
+def _below(nodes: Nodes, top: Nodes | None, leaf: int) -> Nodes:
+    """A piece as a tree of its own: below the path to its leaf of the top, with nothing to the sides of that path."""
+    path, at = [], leaf
+    if top is not None:
+        parent = np.full(len(top.feature), -1)
+        for side in (top.left, top.right):
+            parent[side[side >= 0]] = np.flatnonzero(side >= 0)
+        while parent[at] >= 0:
+            path.append((parent[at], top.left[parent[at]] == at))
+            at = parent[at]
+    path, n, size = path[::-1], len(path), len(nodes.feature)
+    if not n:
+        return nodes
+    on, turns = np.array([p for p, _ in path]), np.array([left for _, left in path])
+    follows, aside = np.arange(1, n + 1), np.arange(n + size, n + size + n)
+    shifted = [np.where(c >= 0, c + n, -1) for c in (nodes.left, nodes.right)]
+    none = np.full(n, -1)
+    joined = lambda ahead, own, after: np.concatenate([ahead, own, after])
+    return Nodes(joined(top.feature[on], nodes.feature, none), joined(top.at[on], nodes.at, np.zeros(n)), joined(top.missing_left[on], nodes.missing_left, np.zeros(n, bool)),
+                 joined(np.where(turns, follows, aside), shifted[0], none), joined(np.where(turns, aside, follows), shifted[1], none),
+                 joined(np.zeros(n), nodes.value, np.zeros(n)), joined(np.zeros(n), nodes.weight, np.zeros(n)), np.zeros(1, np.int64), 0.0)
+
+
+def _nodes_of(batch: pa.RecordBatch, i: int) -> Nodes:
+    flat = {c: batch[c][i].values for c in ARRAY_NAMES}
+    own = {c: v.to_numpy(zero_copy_only=False) for c, v in flat.items()}
+    return Nodes(own["feature"], np.nan_to_num(own["at"].astype(float), posinf=np.inf), own["missing_left"].astype(bool), own["left"], own["right"], own["value"], own["weight"], np.zeros(1, np.int64), 0.0)
+
+
+def _box_pieces(boxes: _Boxes, tops: dict[int, Nodes], shares: np.ndarray | None, slices: np.ndarray | None):
+    """The model's rows cut to the boxes: how many nodes each box gets or, once shares and slices are known, the nodes as bytes for each of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                tree, piece = batch["tree"][i].as_py(), batch["piece"][i].as_py()
+                if piece == ROOT and tree in tops:
+                    continue  # its leaves are those of the pieces
+                nodes = _below(_nodes_of(batch, i), tops.get(tree), piece)
+                box, node, both = _cut_to_boxes(nodes, boxes)
+                sizes = np.bincount(box, minlength=len(boxes.low))
+                if shares is None:
+                    yield pa.RecordBatch.from_pydict({"box": pa.array(np.arange(sizes.size), pa.int32()), "nodes": pa.array(sizes, pa.int64())})
+                    continue
+                out, begin = [], np.cumsum(sizes) - sizes
+                for b, size in enumerate(sizes.tolist()):
+                    own, split = node[begin[b]:begin[b] + size], both[begin[b]:begin[b] + size]
+                    if size == 1 and nodes.value[own[0]] == 0:
+                        continue
+                    inner = own[split]
+                    block = _joined_bytes(np.where(split, nodes.feature[own], -1).astype(np.int16), nodes.at[inner], nodes.missing_left[inner].astype(np.uint8), nodes.value[own[~split]])
+                    out += [(b, s, tree % int(shares[b]), 0, size, block) for s in range(slices[b])]
+                yield _dealt_blocks(out)
+
+    return run
+
+
+def _dealt_blocks(out: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*out, strict=True)) if out else [()] * 6
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if i == 5 else pa.int32()) for i, c in enumerate(columns)], ["box", "slice", "share", "rows", "nodes", "block"])
+
+
+def _box_rows(boxes: _Boxes, width: int, shares: np.ndarray, slices: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, row = _as_matrix(batch["_x"], width), batch["_row"].to_numpy()
+            box, out = boxes.of(x), []
+            part = row % slices[box]
+            for own in _alike(box * slices.max() + part):
+                b, s = int(box[own[0]]), int(part[own[0]])
+                block = _joined_bytes(row[own], x[own].ravel("F"))
+                out += [(b, s, share, own.size, 0, block) for share in range(shares[b])]
+            yield _dealt_blocks(out)
+
+    return run
+
+
+def _met_in_box(width: int):
+    def meet(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        rows, parts, begin = [], [], 0
+        for n, nodes, block in zip(table["rows"].to_pylist(), table["nodes"].to_pylist(), table["block"].to_pylist(), strict=True):
+            if n:
+                rows.append(_split_bytes(block, (np.int64, n), (np.float64, n * width)))
+                continue
+            inner = (nodes - 1) // 2
+            feature, at, missing, value = _split_bytes(block, (np.int16, nodes), (np.float64, inner), (np.uint8, inner), (np.float64, nodes - inner))
+            split = feature >= 0
+            own = np.zeros(nodes), np.zeros(nodes, bool), np.full(nodes, -1), np.zeros(nodes)
+            own[0][split], own[1][split], own[2][split], own[3][~split] = at, missing > 0, begin + 1 + 2 * np.arange(inner), value
+            parts.append((feature.astype(np.int64), *own))
+            begin += nodes
+        if not rows:
+            return pa.Table.from_pylist([], pa.schema([("_row", pa.int64()), ("value", pa.float64())]))
+        row, x = np.concatenate([r for r, _ in rows]), np.concatenate([v.reshape(width, -1).T for _, v in rows])
+        if not parts:
+            return pa.table({"_row": row, "value": np.zeros(len(row))})
+        roots = np.cumsum([0, *[len(p[0]) for p in parts[:-1]]])
+        feature, at, missing, left, value = (np.concatenate(c) for c in zip(*parts, strict=True))
+        return pa.table({"_row": row, "value": Nodes(feature, at, missing, left, np.where(left >= 0, left + 1, -1), value, np.zeros(0), roots, 0.0).predict(x)})
+
+    return meet
+
+
+def _score_boxes(df: DataFrame, model: DataFrame, x: Column, width: int, to: str, size: int, limit: int) -> DataFrame:
+    spark, tasks = df.sparkSession, df.sparkSession.sparkContext.defaultParallelism
+    start = float(model.agg(F.max("start")).first()[0])
+    path = scratch_path(spark, "tree-scored")
+    df.withColumn("_row", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(path)
+    rows = spark.read.parquet(path)
+    model = model.select("tree", "piece", *ARRAY_NAMES)
+    topped = [r[0] for r in model.where(F.col("piece") != ROOT).select("tree").distinct().collect()]
+    held = model.where((F.col("piece") == ROOT) & F.col("tree").isin(*topped)).toArrow() if topped else None
+    tops = {t: _nodes_of(held, i) for i, t in enumerate(held["tree"].to_pylist())} if topped else {}
+    count, vectors = rows.count(), rows.select("_row", x.alias("_x"))
+    wanted = max(math.ceil(count / LOCAL_ROWS), math.ceil(2 * size / limit), tasks)
+    sampled = vectors.select("_x").sample(min(1.0, BOX_ROWS / max(count, 1)), seed=1).limit(BOX_ROWS).toArrow()["_x"].combine_chunks()
+    boxes = _boxes(_as_matrix(sampled, width), max(1, math.ceil(len(sampled) / wanted)))
+    number = arrow_udf(lambda v: pa.array(boxes.of(_as_matrix(v, width)), pa.int32()), returnType="int")
+    rows_of, bytes_of = np.zeros(len(boxes.low)), np.zeros(len(boxes.low))
+    for r in vectors.groupBy(number("_x").alias("box")).count().collect():
+        rows_of[r["box"]] = r["count"]
+    for r in model.mapInArrow(_box_pieces(boxes, tops, None, None), "box int, nodes bigint").groupBy("box").agg(F.sum("nodes").alias("n")).collect():
+        bytes_of[r["box"]] = r["n"] * NODE_BYTES
+    # Rows that no border tells apart are dealt in slices.
+    slices, shares = np.maximum(np.ceil(rows_of / (2 * LOCAL_ROWS)), 1).astype(int), np.maximum(np.ceil(bytes_of / limit), 1).astype(int)
+    schema = "box int, slice int, share int, rows int, nodes int, block binary"
+    dealt = vectors.mapInArrow(_box_rows(boxes, width, shares, slices), schema).union(model.mapInArrow(_box_pieces(boxes, tops, shares, slices), schema))
+    keys = ["box", "slice", "share"]
+    found = dealt.repartition(max(4 * tasks, int((slices * shares).sum())), *keys).groupBy(*keys).applyInArrow(_met_in_box(width), "_row bigint, value double")
+    total = found.groupBy("_row").agg((F.sum("value") + F.lit(start)).alias("_total"))
     return rows.drop(to).join(total, "_row").withColumnRenamed("_total", to).drop("_row")
 
 

@@ -190,7 +190,7 @@ def fit_support_vectors(
     predicted = fits.where("chunk is null").groupBy(*keys, "row").agg(
         F.max("fold").alias("fold"), F.max("y").alias("y"), F.sum(F.when(full, F.col("yhat"))).alias("yhat_train"), F.sum(F.when(~full, F.col("yhat"))).alias("yhat_cv"))
     known = {c: F.when(~F.isnan(c), F.col(c)) for c in ("yhat_train", "yhat_cv")}
-    return Fitted(by, features, fits.where("chunk is not null").select(*keys, *_MODEL_NAMES), predicted.withColumns(known).withColumnRenamed("row", row_id))
+    return Fitted(by, features, fits.where("chunk is not null").select(*keys, *_MODEL_NAMES), lambda: predicted.withColumns(known).withColumnRenamed("row", row_id))
 
 
 # Experiments of any size

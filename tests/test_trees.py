@@ -356,3 +356,80 @@ def test_the_border_of_a_rank_is_exact_whatever_the_tasks_hold(spark, values):
     fit = T._Fit(0, 0, "leaf_wise", T.style_of("leaf_wise", one_sided=(0.2, 0.1)), T.FULL)
     wanted = np.sort(np.abs(y))[int(np.ceil(0.8 * len(y))) - 1]
     assert T._gradient_borders(spark, state, [fit]) == [wanted]
+
+
+def test_a_forest_over_a_table_in_many_pieces_and_boxes(spark, monkeypatch):
+    """Split by jobs at the top, and rows predicted by large models, out of fold too: as in groups."""
+    df, x, y = table(spark, gaps=0.15)
+    df = df.withColumn("fold", F.col("fold") % 2).persist()
+    options = {"random_forest": {"trees": 3}}
+    want = {r["id"]: r for r in T.fit_trees(df, NAMES, ["y"], ["random_forest"], "id", "fold", options=options).predictions.collect()}
+    monkeypatch.setattr(T, "MODEL_BYTES", 5000)
+    fitted = T.fit_trees(df, NAMES, ["y"], ["random_forest"], "id", "fold", options=options, local_rows=4)
+    assert fitted.models.where(f"piece <> {T.ROOT}").count() > 3 * 8 and T.model_bytes(fitted.models) > 5000
+    got = fitted.predictions.collect()
+    assert len(got) == len(want) == 160
+    for r in got:
+        assert (r["fold"], r["y"]) == (want[r["id"]]["fold"], want[r["id"]]["y"])
+        assert (r["yhat_train"], r["yhat_cv"]) == pytest.approx((want[r["id"]]["yhat_train"], want[r["id"]]["yhat_cv"]), abs=1e-9)
+
+
+def test_rows_of_a_forest_travel_as_few_bytes(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, i % 2, *(float(v) for v in rng.normal(size=3)), float(rng.normal())) for i in range(4000)]
+    df = spark.createDataFrame(rows, "id bigint, fold int, a double, b double, c double, y double")
+    path = T.scratch_path(spark, "test")
+    cuts = [growing.cut_points(np.array([r[2 + j] for r in rows])) for j in range(3)]
+    df.select(F.col("id").alias("row"), F.xxhash64("id").alias("hash"), "fold", F.array("y").alias("ys"), T._binner(cuts)(F.array("a", "b", "c")).alias("bins")).coalesce(1).write.parquet(path)
+    found = spark.read.parquet(path).mapInArrow(T._to_pieces(3, 0, T.FULL, T.style_of("random_forest"), {n: growing.Tree() for n in range(4)}), "tree int, piece int, rows int, block binary").collect()
+    assert 0.6 < sum(r["rows"] for r in found) / (4 * 4000) < 0.66  # rows that are not drawn stay where they are
+    assert sum(len(r["block"]) for r in found) < 13 * sum(r["rows"] for r in found)
+    twice = df.withColumn("id", F.col("id") * 10).union(df.withColumn("id", F.col("id") * 10 + 1)).withColumn("y", F.lit(1.0)).withColumns({c: F.lit(2.0) for c in NAMES})
+    path = T.scratch_path(spark, "test")
+    twice.select(F.col("id").alias("row"), F.xxhash64("id").alias("hash"), "fold", F.array("y").alias("ys"), T._binner(cuts)(F.array("a", "b", "c")).alias("bins")).coalesce(1).write.parquet(path)
+    same = spark.read.parquet(path).mapInArrow(T._to_pieces(3, 0, T.FULL, T.style_of("random_forest"), {0: growing.Tree()}), "tree int, piece int, rows int, block binary").collect()
+    assert [r["rows"] for r in same] == [1]
+    weight = T._split_bytes(same[0]["block"], (np.uint8, 3), (np.float64, 1), (np.uint32, 1))[2]
+    assert weight[0] == growing.resampled(np.array([r[0] for r in twice.select(F.xxhash64("id")).collect()]).view(np.uint64), 0).sum()
+
+
+def test_a_table_of_a_forest_holds_trees_only(spark, monkeypatch):
+    """No row per row and tree is written where predictions are not asked for."""
+    df, x, y = table(spark)
+    written, old = [], T._forest_table
+    monkeypatch.setattr(T, "_forest_table", lambda *a: written.extend(old(*a)) or written)
+    fitted = T.fit_trees(df, NAMES, ["y"], ["random_forest"], "id", options={"random_forest": {"trees": 3}}, local_rows=10)
+    assert fitted.models.count() > 3 and all(t.where("tree is null").isEmpty() for t in written)
+
+
+@pytest.mark.parametrize("rows_each", [7, 100_000])
+def test_large_models_meet_rows_in_boxes(spark, monkeypatch, rows_each):
+    """Missing and endless numbers, rows far from those fitted on, and many equal rows included; a box gets the nodes that its rows may reach."""
+    df, x, y = table(spark, rows=400, gaps=0.1)
+    model = T.fit_trees(df, NAMES, ["y"], ["random_forest"], "id", options={"random_forest": {"trees": 5}}, local_rows=10).models
+    rng = np.random.default_rng(8)
+    values = [None, float("nan"), float("inf"), float("-inf"), -1e300, 0.0, 0.05, 1.0, 2.0, 3.5, 8.0, 99.0]
+    library = [(i, *(values[k] for k in rng.integers(0, len(values), 3))) for i in range(300)] + [(1000 + i, 1.0, 0.5, 2.0) for i in range(100)]
+    library = spark.createDataFrame(library, "id bigint, a double, b double, c double").persist()
+    want = {r["id"]: r["yhat"] for r in T.score_trees(library, model, NAMES).collect()}
+    monkeypatch.setattr(T, "LOCAL_ROWS", rows_each)
+    for limit in (4000, 20_000):
+        got = T.score_trees(library, model, NAMES, limit=limit).collect()
+        assert len(got) == 400
+        for r in got:
+            assert r["yhat"] == pytest.approx(want[r["id"]], abs=1e-9)
+    assert T.score_trees(library.limit(0), model, NAMES, limit=4000).count() == 0
+
+
+def test_boxes_share_out_the_nodes_of_a_tree():
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(20_000, 3))
+    cuts = [growing.cut_points(x[:, j]) for j in range(3)]
+    tree = growing.grow_full(growing.binned(x, cuts), rng.normal(size=20_000), np.ones(20_000))
+    import pyarrow as pa
+    nodes = T.joined_nodes(pa.table({"tree": pa.array([0], pa.int32()), "piece": pa.array([T.ROOT], pa.int32()), "start": [0.0], **T._tree_columns([tree], cuts, 1.0)}))
+    boxes = T._boxes(x, 20_000 // 16)
+    box, node, both = T._cut_to_boxes(nodes, boxes)
+    assert len(boxes.low) == 16 and np.bincount(boxes.of(x)).max() <= 20_000 // 16
+    assert len(tree.feature) <= node.size < 2 * len(tree.feature)  # whole trees for each box would be 16 times as many
+    assert set(zip(boxes.of(x).tolist(), nodes.leaf_of(x, 0).tolist(), strict=True)) <= set(zip(box.tolist(), node.tolist(), strict=True))
