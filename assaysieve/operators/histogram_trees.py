@@ -43,7 +43,7 @@ STYLES = {
 }
 LOCAL_ROWS = 100_000  # rows that one group may hold
 BUNDLES = 16  # shares in which a forest's trees are dealt
-PIECE = 5  # times the rows of a group that one piece of a large forest's tree may weigh: it comes as bytes
+PIECE = 5  # times `local_rows` that one piece of a large forest's tree may weigh: its rows come as bytes
 MODEL_BYTES = 64 * 1024 * 1024  # nodes that are copied to the executors; larger models are joined to the rows
 NODE_BYTES = 37
 REWRITE = 10  # rounds of boosting after which the predictions so far are written down
@@ -483,7 +483,7 @@ def _fit_table(base: DataFrame, features: int, targets: list[str], styles: dict[
         found += _boost_table(frame, features, targets, boosted, left, cuts)
     for kind, style in styles.items():
         if style.bagged:
-            found += _forest_table(frame, features, targets, kind, style, left, cuts, PIECE * local_rows)
+            found += _forest_table(frame, features, targets, kind, style, left, cuts, local_rows)
             forests.append(_Forest(frame, features, targets, kind, left, cuts))
     return found, forests
 
@@ -645,12 +645,12 @@ def _numbers(cuts: list[np.ndarray]):
 
 
 def _forest_table(frame: DataFrame, features: int, targets: list[str], kind: str, style: Style, left: list[int], cuts: list[np.ndarray], local_rows: int) -> list[DataFrame]:
-    """A forest's trees over a table: nodes beyond `local_rows` split by jobs, for all trees of a pass together; then one group per node that is left."""
+    """A forest's trees over a table: large nodes split by jobs, for all trees of a pass together; then one group per node that is left."""
     spark, out = frame.sparkSession, []
-    count = frame.count()
-    nodes = 2 * math.ceil(count / local_rows) * 4
+    count, most = frame.count(), PIECE * local_rows
+    nodes = 2 * math.ceil(count / most) * 4
     per_pass = max(1, min(style.trees, MODEL_BYTES // 2 // (nodes * NODE_BYTES)))
-    tasks = max(4 * spark.sparkContext.defaultParallelism, count * style.trees // (20 * local_rows))
+    tasks = max(4 * spark.sparkContext.defaultParallelism, count * style.trees // (4 * most))
     for t, target in enumerate(targets):
         for fold in left:
             for begin in range(0, style.trees, per_pass):
@@ -658,10 +658,10 @@ def _forest_table(frame: DataFrame, features: int, targets: list[str], kind: str
                 tops, large = {n: Tree() for n in numbers}, {(n, 0) for n in numbers}
                 level = 0
                 while large and (style.depth is None or level < style.depth):
-                    large = _split_large(frame, features, t, fold, style, tops, large, local_rows)
+                    large = _split_large(frame, features, t, fold, style, tops, large, most)
                     level += 1
                 pieces = frame.mapInArrow(_to_pieces(features, t, fold, style, tops), "tree int, piece int, rows int, block binary").repartition(tasks, "tree", "piece")
-                grown = pieces.groupBy("tree", "piece").applyInArrow(_finished(features, target, kind, fold, style, cuts, tops), f"target string, model string, left_out int, tree int, piece int, start double, {ARRAYS}")
+                grown = pieces.groupBy("tree", "piece").applyInArrow(_finished(features, target, kind, fold, style, cuts, tops, local_rows), f"target string, model string, left_out int, tree int, piece int, start double, {ARRAYS}")
                 out.append(_shaped(grown, frame))
                 columns = _tree_columns(list(tops.values()), cuts, 0.0)
                 n = len(numbers)
@@ -677,6 +677,16 @@ def _drawn(batch: pa.RecordBatch, target: int, left_out: int) -> tuple[np.ndarra
     return y, fold, ((fold != left_out) & ~np.isnan(y)).astype(float), batch["hash"].to_numpy().view(np.uint64)
 
 
+def _best_split(sums: np.ndarray, style: Style) -> tuple[tuple[int, int, bool], float, float, np.ndarray]:
+    """Feature, cut and side of missing values of a node's best split; its gain, the weight to its left and the node's totals."""
+    total = sums[0, 0].sum(0)
+    sums[..., 0] -= sums[..., 1] * (total[0] / total[1])  # around the node's mean, against rounding
+    found = growing.best_splits(sums, style)
+    f, c, lost = int(found.feature[0]), int(found.cut[0]), bool(found.missing_left[0])
+    left = sums[0, f, :c + 1, 1].sum() + lost * sums[0, f, growing.MISSING, 1] if found.gain[0] > 0 else 0.0
+    return (f, c, lost), float(found.gain[0]), float(left), total
+
+
 def _split_large(frame: DataFrame, features: int, target: int, left_out: int, style: Style, tops: dict[int, Tree], large: set[tuple[int, int]], local_rows: int) -> set[tuple[int, int]]:
     """Split the large nodes of all trees in one job, and return those of their children that are still large."""
     asked = {n: sorted(node for m, node in large if m == n) for n in tops}
@@ -705,14 +715,9 @@ def _split_large(frame: DataFrame, features: int, target: int, left_out: int, st
 
     def choose(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         sums = sum(np.sort([_unpacked(b, np.float64, features * BINS * 2) for b in table["sums"].to_pylist()], axis=0))  # in one order, whichever task is the first
-        sums = sums.reshape(1, features, BINS, 2)
-        total = sums[0, 0].sum(0)
-        sums[..., 0] -= sums[..., 1] * (total[0] / total[1])  # around the node's mean, against rounding
-        found = growing.best_splits(sums, style)
-        f, c, lost = int(found.feature[0]), int(found.cut[0]), bool(found.missing_left[0])
-        lighter = sums[0, f, :c + 1, 1].sum() + lost * sums[0, f, growing.MISSING, 1] if found.gain[0] > 0 else 0.0
+        (f, c, lost), gain, lighter, total = _best_split(sums.reshape(1, features, BINS, 2), style)
         return pa.table({"tree": pa.array([key[0].as_py()], pa.int32()), "node": pa.array([key[1].as_py()], pa.int32()), "feature": pa.array([f], pa.int32()), "cut": pa.array([c], pa.int32()),
-                         "missing_left": [lost], "gain": [float(found.gain[0])], "left_weight": [float(lighter)], "weight": [float(total[1])], "gradient": [float(total[0])]})
+                         "missing_left": [lost], "gain": [gain], "left_weight": [lighter], "weight": [float(total[1])], "gradient": [float(total[0])]})
 
     found = frame.mapInArrow(run, "tree int, node int, sums binary").groupBy("tree", "node").applyInArrow(
         choose, "tree int, node int, feature int, cut int, missing_left boolean, gain double, left_weight double, weight double, gradient double").collect()
@@ -794,7 +799,40 @@ def _to_pieces(features: int, target: int, left_out: int, style: Style, tops: di
     return run
 
 
-def _finished(features: int, target: str, kind: str, left_out: int, style: Style, cuts: list[np.ndarray], tops: dict[int, Tree]):
+def _grown(bins: np.ndarray, y: np.ndarray, weight: np.ndarray, style: Style, depth: int | None, local_rows: int) -> Tree:
+    """A piece grown whole: nodes beyond `local_rows` as by the jobs, then the rest."""
+    top, open_, parts = Tree(), [(0, np.arange(len(y)), 0)], []
+    while open_:
+        node, own, level = open_.pop()
+        pair = None
+        if weight[own].sum() > local_rows and (depth is None or level < depth):
+            sums = np.zeros((1, bins.shape[1], BINS, 2))
+            for j in range(bins.shape[1]):
+                sums[0, j, :, 0] = -np.bincount(bins[own, j], weight[own] * y[own], BINS)
+                sums[0, j, :, 1] = np.bincount(bins[own, j], weight[own], BINS)
+            split, gain, _, total = _best_split(sums, style)
+            top.weight[node], top.value[node] = float(total[1]), float(-total[0] / total[1])
+            if gain > 0:
+                pair = top.split(node, *split)
+        if pair is None:
+            parts.append((node, growing.grow_full(bins[own], y[own], weight[own], None if depth is None else depth - level)))
+            continue
+        mine = bins[own, split[0]]
+        goes_left = np.where(mine == growing.MISSING, split[2], mine <= split[1])
+        open_ += [(pair[0], own[goes_left], level + 1), (pair[1], own[~goes_left], level + 1)]
+    for node, part in parts:
+        # The part's root takes the leaf's place, its other nodes follow.
+        shift = len(top.feature) - 1
+        for name in ("left", "right"):
+            setattr(part, name, [c + shift if c >= 0 else -1 for c in getattr(part, name)])
+        for name in ("feature", "cut", "missing_left", "left", "right", "value", "weight"):
+            own, held = getattr(part, name), getattr(top, name)
+            held[node] = own[0]
+            held += own[1:]
+    return top
+
+
+def _finished(features: int, target: str, kind: str, left_out: int, style: Style, cuts: list[np.ndarray], tops: dict[int, Tree], local_rows: int):
     """All of a tree below one leaf of its top."""
     depths = {n: _depths(t) for n, t in tops.items()}
 
@@ -804,7 +842,7 @@ def _finished(features: int, target: str, kind: str, left_out: int, style: Style
         bins = np.concatenate([b.reshape(features, -1).T for b, _, _ in blocks])
         y, weight = (np.concatenate([b[i] for b in blocks]) for i in (1, 2))
         left = None if style.depth is None else style.depth - depths[number][piece]
-        tree = growing.grow_full(bins, y, weight.astype(float), left)
+        tree = _grown(bins, y, weight.astype(float), style, left, local_rows)
         return pa.table({"target": [target], "model": [kind], "left_out": pa.array([left_out], pa.int32()), "tree": pa.array([number], pa.int32()), "piece": pa.array([piece], pa.int32()),
                          "start": [0.0], **_tree_columns([tree], cuts, 1.0 / style.trees)})
 
@@ -1141,7 +1179,12 @@ def _score_boxes(df: DataFrame, model: DataFrame, x: Column, width: int, to: str
     wanted = max(math.ceil(count / LOCAL_ROWS), math.ceil(2 * size / limit), tasks)
     sampled = vectors.select("_x").sample(min(1.0, BOX_ROWS / max(count, 1)), seed=1).limit(BOX_ROWS).toArrow()["_x"].combine_chunks()
     boxes = _boxes(_as_matrix(sampled, width), max(1, math.ceil(len(sampled) / wanted)))
-    number = arrow_udf(lambda v: pa.array(boxes.of(_as_matrix(v, width)), pa.int32()), returnType="int")
+
+    def numbered(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for own in batches:
+            yield pa.array(boxes.of(_as_matrix(own, width)), pa.int32())
+
+    number = arrow_udf(numbered, returnType="int")
     rows_of, bytes_of = np.zeros(len(boxes.low)), np.zeros(len(boxes.low))
     for r in vectors.groupBy(number("_x").alias("box")).count().collect():
         rows_of[r["box"]] = r["count"]
