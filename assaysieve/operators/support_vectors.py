@@ -1,7 +1,8 @@
 """Support-vector regression with a Gaussian kernel: every experiment, target and fold in the same jobs, and the duality gap of each fit.
 
 The dual gives each row a coefficient between -cost and cost, all of which add up to 0. Steps move two coefficients against each other, the pair that violates the conditions most, as
-far as the insensitive band and the box allow. An experiment of up to `LOCAL_ROWS` rows is one group per fit. A larger one is dealt in parts anew in every round: each part is solved alone
+far as the insensitive band and the box allow. An experiment of up to `LOCAL_ROWS` rows is one group per fit. So is one of up to `SPAN_ROWS`, where few rows span the kernel of all
+(`spanned_vectors`), which closes the gap in time that grows as the rows do. Any other is dealt in parts anew in every round: each part is solved alone
 against the residuals of all rows, the moves of all parts are joined along the step that raises the dual most, and residuals follow by kernel products with the rows that moved,
 until the gap closes.
 """
@@ -9,7 +10,7 @@ until the gap closes.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from assaysieve.functions.exprs import col
-from assaysieve.operators.histogram_trees import FULL, Fitted, _as_matrix, _features, _is, _vectors, _without, cell_tables, exploded_fits, met_by_experiment
-from assaysieve.operators.kernels import bucketed, squared_distances
+from assaysieve.operators.histogram_trees import FULL, Fitted, _as_matrix, _features, _is, _vectors, _without, cell_tables, exploded_fits, met_by_experiment, spread_fits
+from assaysieve.operators.kernels import bucketed
+from assaysieve.operators.spanned_vectors import kernel, solve_spanned
 from assaysieve.session import checkpointable, delete_paths, scratch_path
 
 MODEL = "support_vectors"
@@ -29,16 +31,14 @@ COST = 1.0
 BAND = 0.1
 TOLERANCE = 1e-3  # of the conditions, and of the gap against the primal
 LOCAL_ROWS = 4_000
+SPAN_ROWS = 1_000_000
 PART_ROWS = 2_000
 BUCKET_ROWS = 20_000  # rows of several small experiments that are one group, about
 ROUNDS = 200
 CHUNK = 4_096  # support vectors in one row of a model
 MODEL_BYTES = 64 * 1024 * 1024
 STEPS = tuple(2.0 ** -k for k in range(12))
-
-
-def kernel(a: np.ndarray, b: np.ndarray, gamma: float) -> np.ndarray:
-    return np.exp(-gamma * squared_distances(a, b))
+UNSOLVED = -1  # chunk of the row that stands for a fit whose kernel too few rows span
 
 
 def width(n: float, p: int, total: float, squares: float) -> float:
@@ -105,13 +105,30 @@ _MODEL = "chunk int, points array<double>, beta array<double>, bias double, gamm
 _MODEL_NAMES = [c.split()[0] for c in _MODEL.split(", ")]
 
 
-def _local_fit(by: list[str], features: int, cost: float, band: float, tolerance: float):
+Solver = Callable[[np.ndarray, np.ndarray, float, float, float, float], tuple[np.ndarray, np.ndarray, float, float] | None]
+
+
+def solve_pairs(x: np.ndarray, y: np.ndarray, gamma: float, cost: float, band: float, tolerance: float) -> tuple[np.ndarray, np.ndarray, float, float]:
+    """Support vectors, their coefficients, bias and duality gap, by moves of pairs."""
+    k = kernel(x, x, gamma)
+    beta = solve(k, y, np.zeros(len(x)), cost, band, tolerance)
+    residual = y - k @ beta
+    some = beta != 0
+    return x[some], beta[some], bias_of(beta, residual, cost, band), gap_of(beta, residual, y, cost, band)[0]
+
+
+def _told(x: np.ndarray, points: np.ndarray, beta: np.ndarray, bias: float, gamma: float) -> np.ndarray:
+    parts = [kernel(x[at:at + 2 * CHUNK], points, gamma) @ beta for at in range(0, len(x), 2 * CHUNK)]
+    return np.concatenate([np.zeros(0), *parts]) + bias
+
+
+def _local_fit(by: list[str], features: int, cost: float, band: float, tolerance: float, solver: Solver):
     names = [*by, "target", "left_out"]
 
     def fit_all(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         return pa.concat_tables([fit([own[c][0] for c in names], own) for own in cell_tables(table).values()]).combine_chunks()
 
-    def fit(key: list[pa.Scalar], table: pa.Table) -> pa.Table:
+    def fit(key: Sequence[pa.Scalar], table: pa.Table) -> pa.Table:
         left_out = key[-1].as_py()
         table = table.sort_by("hash")  # steps stop within the tolerance: the order of rows must not tell where
         x, y, fold = _features(table, features), table["y"].to_numpy(), table["fold"].to_numpy()
@@ -121,17 +138,16 @@ def _local_fit(by: list[str], features: int, cost: float, band: float, tolerance
         held = np.zeros((0, features))
         beta = np.zeros(0)
         bias = gamma = gap = 0.0
+        solved = True
         if train.any():
             gamma = width(len(points), features, points.sum(), (points * points).sum())
-            k = kernel(points, points, gamma)
-            beta = solve(k, y[train], np.zeros(len(points)), cost, band, tolerance)
-            residual = y[train] - k @ beta
-            bias, gap = bias_of(beta, residual, cost, band), gap_of(beta, residual, y[train], cost, band)[0]
-            some = beta != 0
-            held, beta = points[some], beta[some]
-            values[whole] = kernel(x[whole], held, gamma) @ beta + bias
-        asked = np.flatnonzero(whole if left_out == FULL else whole & (fold == left_out))
-        chunks = max(1, math.ceil(len(held) / CHUNK)) if left_out == FULL and train.any() else 0
+            found = solver(points, y[train], gamma, cost, band, tolerance)
+            solved = found is not None
+            if found:
+                held, beta, bias, gap = found
+                values[whole] = _told(x[whole], held, beta, bias, gamma)
+        asked = np.flatnonzero(whole if left_out == FULL else whole & (fold == left_out)) if solved else np.zeros(0, int)
+        chunks = max(1, math.ceil(len(held) / CHUNK)) if not solved or left_out == FULL and train.any() else 0
         n, t = asked.size, chunks
         join = lambda found, missing, kind: pa.concat_arrays([found, pa.nulls(missing, kind)])
         out = {name: pa.array([key[i].as_py()] * (n + t), key[i].type) for i, name in enumerate([*by, "target"])}
@@ -141,12 +157,12 @@ def _local_fit(by: list[str], features: int, cost: float, band: float, tolerance
         out["y"], out["yhat"] = (join(pa.array(v[asked], pa.float64()), t, pa.float64()) for v in (y, values))
         parts = [slice(c * CHUNK, (c + 1) * CHUNK) for c in range(t)]
         kinds = {"chunk": pa.int32(), "points": pa.list_(pa.float64()), "beta": pa.list_(pa.float64()), "bias": pa.float64(), "gamma": pa.float64(), "gap": pa.float64()}
-        model = {"chunk": list(range(t)), "points": [held[s].ravel().tolist() for s in parts], "beta": [beta[s].tolist() for s in parts], "bias": [bias] * t, "gamma": [gamma] * t, "gap": [gap] * t}
+        model = {"chunk": list(range(t)) if solved else [UNSOLVED], "points": [held[s].ravel().tolist() for s in parts], "beta": [beta[s].tolist() for s in parts], "bias": [bias] * t, "gamma": [gamma] * t, "gap": [gap] * t}
         for name, kind in kinds.items():
             out[name] = pa.concat_arrays([pa.nulls(n, kind), pa.array(model[name], kind)])
         return pa.table(out)
 
-    return fit_all
+    return fit, fit_all
 
 
 def fit_support_vectors(
@@ -155,7 +171,8 @@ def fit_support_vectors(
 ) -> Fitted:
     """Fit every experiment and target on all rows and, if there is a fold, without each fold. Rows with a missing feature or target take no part.
 
-    The table of models has the support vectors in chunks, the bias, the kernel's width and the duality gap.
+    The table of models has the support vectors in chunks, the bias, the kernel's width and the duality gap. A model beyond `local_rows` may stand on rows that span
+    the others instead, with the weights that make the same function.
     """
     by, features, targets = list(by), list(features), list(targets)
     spark, p = rows.sparkSession, len(features)
@@ -166,25 +183,36 @@ def fit_support_vectors(
     base = rows.where(whole).select(
         *[col(k) for k in by], col(row_id).alias("row"), F.xxhash64(col(row_id).cast("string")).alias("hash"), (col(fold).cast("int") if fold else F.lit(0)).alias("fold"),
         *[col(c).cast("double").alias(f"f{j}") for j, c in enumerate(features)], values.alias("_targets"))
-    large = base.groupBy(*by).count().where(F.col("count") > local_rows).drop("count") if by else None
     kinds = dict(base.dtypes)
+    sizes = base.groupBy(*[col(k) for k in by]).count().where(F.col("count") > local_rows)
+    large = sizes.collect()  # fewer than rows / local_rows
     head = [*[f"`{k}` {kinds[k]}" for k in by], "target string, model string, left_out int", f"row {kinds['row']}", "fold int, y double, yhat double", _MODEL]
-    schema, outputs = ", ".join(head), []
-    if by or base.count() <= local_rows:
-        small = _without(base, large, by) if by else base
+    names = [*by, "target", "model", "left_out", "row", "fold", "y", "yhat", *_MODEL_NAMES]
+    schema, path, written = ", ".join(head), scratch_path(spark, "vector-fits"), []
+
+    def write(found: DataFrame) -> None:
+        written.append(f"{path}/{len(written)}")
+        found.select(*[col(c) for c in names]).write.parquet(written[-1])
+
+    if by or not large:
+        small = _without(base, sizes.drop("count"), by) if by else base
         dealt = exploded_fits(small, by, p, fold is not None)
         # Most experiments are far too small for a group of their own: a group holds several fits, which are made one after the other.
         tasks = max(4 * spark.sparkContext.defaultParallelism, dealt.count() // BUCKET_ROWS)
-        outputs.append(bucketed(dealt, [*by, "target", "left_out"], tasks).groupBy("_bucket").applyInArrow(_local_fit(by, p, cost, band, tolerance), schema))
-    names = ["target", "model", "left_out", "row", "fold", "y", "yhat", *_MODEL_NAMES]
-    for key in large.collect() if by else [None] if not outputs else []:
-        own = base.where(_is(key, by)).drop(*by) if by else base
-        for found in _fit_table(own, p, targets, fold is not None, cost, band, tolerance, part_rows):
-            outputs.append(found.select(*[F.lit(key[k]).cast(kinds[k]).alias(k) for k in by], *names))
-    path = scratch_path(spark, "vector-fits")
-    for n, found in enumerate(outputs):
-        found.select(*[col(k) for k in by], *names).write.parquet(f"{path}/{n}")
-    fits = spark.read.schema(outputs[0].select(*[col(k) for k in by], *names).schema).parquet(*[f"{path}/{n}" for n in range(len(outputs))])
+        write(bucketed(dealt, [*by, "target", "left_out"], tasks).groupBy("_bucket").applyInArrow(_local_fit(by, p, cost, band, tolerance, solve_pairs)[1], schema))
+    spanned = [key for key in large if key["count"] <= SPAN_ROWS]
+    unsolved = [(key, target, None) for key in large if key["count"] > SPAN_ROWS for target in targets]
+    if spanned:
+        own = _among(base, sizes.where(F.col("count") <= SPAN_ROWS).drop("count"), by) if by else base
+        each = [*[col(k) for k in by], F.col("target"), F.col("left_out")]
+        write(spread_fits(exploded_fits(own, by, p, fold is not None), own, each).groupBy(*each).applyInArrow(_local_fit(by, p, cost, band, tolerance, solve_spanned)[0], schema))
+        lost = spark.read.schema(schema).parquet(written[-1]).where(F.col("chunk") == UNSOLVED).select(*[col(k) for k in by], "target", "left_out").collect()
+        unsolved += [(key, key["target"], key["left_out"]) for key in lost]
+    for key, target, left_out in unsolved:
+        own = base.where(_is(key, by)).drop(*by)
+        for found in _fit_table(own, p, targets.index(target), target, left_out, fold is not None, cost, band, tolerance, part_rows):
+            write(found.withColumns({k: F.lit(key[k]).cast(kinds[k]) for k in by}))
+    fits = spark.read.schema(schema).parquet(*written).where(F.col("chunk").isNull() | (F.col("chunk") != UNSOLVED))
     keys = [*[col(k) for k in by], "target", "model"]
     full = F.col("left_out") == FULL
     predicted = fits.where("chunk is null").groupBy(*keys, "row").agg(
@@ -195,15 +223,21 @@ def fit_support_vectors(
 
 # Experiments of any size
 
-def _fit_table(base: DataFrame, p: int, targets: list[str], folds: bool, cost: float, band: float, tolerance: float, part_rows: int) -> list[DataFrame]:
-    spark, out = base.sparkSession, []
-    checkpointable(spark)
-    left = [FULL, *(sorted(r[0] for r in base.select("fold").distinct().collect()) if folds else [])]
-    for i, target in enumerate(targets):
-        rows = base.select("row", "hash", "fold", F.array(*[f"f{j}" for j in range(p)]).alias("x"), F.col("_targets")[i]["y"].alias("y")).where("y is not null")
-        for left_out in left:
-            out += _fit_rounds(rows, p, target, left_out, cost, band, tolerance, part_rows)
-    return out
+def _fit_table(
+    base: DataFrame, p: int, place: int, target: str, left_out: int | None, folds: bool, cost: float, band: float, tolerance: float, part_rows: int,
+) -> list[DataFrame]:
+    """The fit of a target without one fold, or all its fits."""
+    checkpointable(base.sparkSession)
+    left = [left_out] if left_out is not None else [FULL, *(sorted(r[0] for r in base.select("fold").distinct().collect()) if folds else [])]
+    rows = base.select("row", "hash", "fold", F.array(*[f"f{j}" for j in range(p)]).alias("x"), F.col("_targets")[place]["y"].alias("y")).where("y is not null")
+    return [found for one in left for found in _fit_rounds(rows, p, target, one, cost, band, tolerance, part_rows)]
+
+
+def _among(base: DataFrame, some: DataFrame, by: list[str]) -> DataFrame:
+    same = F.lit(True)
+    for k in by:
+        same = same & base[k].eqNullSafe(some[k])
+    return base.join(F.broadcast(some), same, "left_semi")
 
 
 def _moved_part(gamma: float, p: int, cost: float, band: float, tolerance: float):

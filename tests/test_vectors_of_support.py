@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from assaysieve.operators import spanned_vectors as V
 from assaysieve.operators import support_vectors as S
 from assaysieve.operators import validate
 
@@ -107,3 +108,59 @@ def test_small_experiments_share_a_group(spark):
         alone = S.fit_support_vectors(df.where(F.col("g") == rows[i][1]), ["a"], ["y"], "id", tolerance=1e-9).models if i in (0, 100) else None
         if alone is not None:
             assert abs(got[i] - S.predictor(alone)(np.array([[rows[i][2]]]))[0]) < 1e-9
+
+
+def test_rows_that_few_span_are_solved_without_rounds(spark, monkeypatch):
+    def rounds(*args):
+        raise AssertionError("a fit of rows that few of them span went on in rounds")
+
+    monkeypatch.setattr(S, "_fit_rounds", rounds)
+    x, y = data(900)
+    df = frame(spark, x, y, groups=2).withColumn("g", F.when(F.col("g") == "g1", F.col("g"))).withColumn("y", F.when(F.col("id") != 11, F.col("y")))
+    whole = S.fit_support_vectors(df, ["a"], ["y"], "id", "fold", ["g"], tolerance=1e-6)
+    fitted = S.fit_support_vectors(df, ["a"], ["y"], "id", "fold", ["g"], local_rows=100)
+    want = {r["id"]: r for r in whole.predictions.collect()}
+    got = fitted.predictions.collect()
+    assert len(got) == len(want) == 899 and {r["g"] for r in got} == {"g1", None}
+    for r in got:
+        assert r["yhat_train"] == pytest.approx(want[r["id"]]["yhat_train"], abs=5e-3) and r["yhat_cv"] == pytest.approx(want[r["id"]]["yhat_cv"], abs=5e-3)
+    known = {r["id"]: r["yhat_train"] for r in got}
+    scored = S.score_experiments(df, fitted.models, ["a"], ["id"], ["g"]).collect()
+    assert len(scored) == 900 and all(r["prediction"] == pytest.approx(known[r["id"]], abs=1e-7) for r in scored if r["id"] != 11)
+    alone = S.fit_support_vectors(df.where("g is null"), ["a"], ["y"], "id", "fold", local_rows=100)
+    assert all(r["yhat_cv"] == pytest.approx(want[r["id"]]["yhat_cv"], abs=5e-3) for r in alone.predictions.collect())
+
+
+@pytest.mark.parametrize("scale", [0.1, 1.0, 30.0])
+@pytest.mark.parametrize("repeated", [1, 4])
+def test_the_spanned_solution_is_that_of_pairs(scale, repeated):
+    x, y = data(1_600 // repeated, 3)
+    x, y = np.tile(x, (repeated, 1)) / 2, scale * np.tile(y, repeated)
+    points, beta, bias, gap = V.solve_spanned(x, y, 0.5, 1.0, 0.1, 1e-3)
+    k = S.kernel(x, x, 0.5)
+    pairs = S.solve(k, y, np.zeros(len(x)), tolerance=1e-5)
+    residual = y - k @ pairs
+    primal = S.gap_of(pairs, residual, y, 1.0, 0.1)[1]
+    told = S.kernel(x, points, 0.5) @ beta + bias
+    assert len(points) <= len(x) / V.SHARE and np.abs(told - (k @ pairs + S.bias_of(pairs, residual, 1.0, 0.1))).max() < 0.02 * scale
+    # The primal of what is told lies above the optimum by no more than the gap says.
+    weight = beta @ S.kernel(points, points, 0.5) @ beta
+    mine = weight / 2 + np.maximum(np.abs(y - told) - 0.1, 0).sum()
+    assert -1e-6 * primal <= mine - primal + S.gap_of(pairs, residual, y, 1.0, 0.1)[0] and mine - primal <= gap + 1e-9 * primal <= 1.1e-3 * primal
+
+
+def test_passes_over_rows_that_are_not_kept(monkeypatch):
+    x, y = data(1_500, 4)
+    kept = V.solve_spanned(x / 3, y, 0.5, 1.0, 0.1, 1e-3)
+    monkeypatch.setattr(V, "HELD", 0)
+    monkeypatch.setattr(V, "PASS_ROWS", 97)
+    anew = V.solve_spanned(x / 3, y, 0.5, 1.0, 0.1, 1e-3)
+    one, other = (S.kernel(x / 3, f[0], 0.5) @ f[1] + f[2] for f in (kept, anew))
+    assert np.abs(one - other).max() < 0.01
+
+
+def test_rows_that_span_nothing_but_themselves_are_left_to_rounds():
+    x, y = data(400)
+    assert V.solve_spanned(20 * x, y, 0.5, 1.0, 0.1, 1e-3) is None
+    points, beta, bias, gap = V.solve_spanned(np.zeros((400, 2)), np.full(400, 7.0), 1.0, 1.0, 0.1, 1e-3)
+    assert len(points) == 1 and abs(beta[0] + bias - 7) <= 0.1 + 1e-9 and gap <= 1e-9
