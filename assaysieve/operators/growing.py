@@ -336,19 +336,38 @@ def boost(bins: np.ndarray, y: np.ndarray, weight: np.ndarray, style: Style, row
     return base, trees, margin
 
 
-def uniform(row_hash: np.ndarray, number: int) -> np.ndarray:
-    """A number in [0, 1) of each row and tree, from hashes alone: the same wherever it is computed."""
+def _mixed(row_hash: np.ndarray, number: int) -> np.ndarray:
+    """53 bits of each row and tree, from hashes alone: the same wherever they are computed."""
     with np.errstate(over="ignore"):
         z = row_hash.astype(np.uint64) + np.uint64((number + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
-        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return ((z ^ (z >> np.uint64(31))) >> np.uint64(11)) * 2.0 ** -53
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            z ^= z >> np.uint64(shift)
+            z *= np.uint64(factor)
+    z ^= z >> np.uint64(31)
+    z >>= np.uint64(11)
+    return z
+
+
+def uniform(row_hash: np.ndarray, number: int) -> np.ndarray:
+    """A number in [0, 1) of each row and tree."""
+    return _mixed(row_hash, number) * 2.0 ** -53
+
+
+_POISSON = np.cumsum(np.exp(-1.0) / np.cumprod([1.0, *range(1, 16)]))
+_FIRST = 12  # bits
+_begins = np.arange(2 ** _FIRST) / 2 ** _FIRST
+_low, _high = (np.searchsorted(_POISSON, b, "right") for b in (_begins, _begins + 2.0 ** -_FIRST))
+_DRAWN = np.where(_low == _high, _low, np.nan)
 
 
 def resampled(row_hash: np.ndarray, number: int) -> np.ndarray:
     """How often each row is drawn for a tree: Poisson numbers of mean 1, the limit of drawing rows with replacement."""
-    steps = np.cumsum(np.exp(-1.0) / np.cumprod([1.0, *range(1, 16)]))
-    return np.searchsorted(steps, uniform(row_hash, number), "right").astype(float)
+    bits = _mixed(row_hash, number)
+    # The first bits tell the number, but where a step lies among the numbers that begin with them.
+    drawn = _DRAWN[bits >> np.uint64(53 - _FIRST)]
+    open_ = np.flatnonzero(np.isnan(drawn))
+    drawn[open_] = np.searchsorted(_POISSON, bits[open_] * 2.0 ** -53, "right")
+    return drawn
 
 
 def grow_full(bins: np.ndarray, y: np.ndarray, weight: np.ndarray, depth: int | None = None) -> Tree:
@@ -362,21 +381,24 @@ def grow_full(bins: np.ndarray, y: np.ndarray, weight: np.ndarray, depth: int |
     centre = float((w * y[used]).sum() / total) if total > 0 else 0.0
     own = y[used] - centre
     feature, cut, left, right, values, weights, missing = [], [], [], [], [], [], []
+    slope = w * own
+    square = slope * own
+    columns = [np.ascontiguousarray(bins[:, j]) for j in range(bins.shape[1])]
     node, active, level = np.zeros(used.size, np.int64), 1, 0
     while active:
         n = np.bincount(node, minlength=active)
-        sum_w, sum_s = np.bincount(node, w, active), np.bincount(node, w * own, active)
-        squares = np.bincount(node, w * own * own, active)
+        sum_w, sum_s, squares = (np.bincount(node, v, active) for v in (w, slope, square))
         mean = np.divide(sum_s, sum_w, out=np.zeros(active), where=sum_w > 0)
         spread = squares - sum_s * mean
         open_ = (n > 1) & (spread > TINY * np.maximum(squares, TINY)) & (depth is None or level < depth)
         best = np.full(active, -np.inf)
         best_feature, best_cut, best_missing = (np.full(active, -1) for _ in range(3))
-        keep = open_[node]
-        node, bins, w, own = node[keep], bins[keep], w[keep], own[keep]
+        if not open_.all():
+            keep = np.flatnonzero(open_[node])
+            node, w, slope, square, *columns = (v[keep] for v in (node, w, slope, square, *columns))
         if node.size:
-            for j in range(bins.shape[1]):
-                gain, at, lost = _node_cuts(node, bins[:, j], w, own, active, sum_w, sum_s)
+            for j, column in enumerate(columns):
+                gain, at, lost = _node_cuts(node, column, w, slope, active, sum_w, sum_s)
                 better = gain > best + _tie(best)
                 best[better], best_feature[better], best_cut[better], best_missing[better] = gain[better], j, at[better], lost[better]
         split = open_ & (best - sum_s * mean > TINY * np.maximum(squares, TINY))
@@ -389,28 +411,33 @@ def grow_full(bins: np.ndarray, y: np.ndarray, weight: np.ndarray, depth: int |
         right += np.where(split, child + 1, -1).tolist()
         values += (mean + centre).tolist()
         weights += sum_w.tolist()
-        keep = split[node]
-        node, bins, w, own = node[keep], bins[keep], w[keep], own[keep]
-        mine = bins[np.arange(node.size), best_feature[node]]
-        goes_left = np.where(mine == MISSING, best_missing[node] == 1, mine <= best_cut[node])
-        node = child[node] - begin - active + ~goes_left
+        if not np.array_equal(split, open_):
+            keep = np.flatnonzero(split[node])
+            node, w, slope, square, *columns = (v[keep] for v in (node, w, slope, square, *columns))
+        by, mine = best_feature[node], np.zeros(node.size, np.uint8)
+        for j, column in enumerate(columns):
+            np.copyto(mine, column, where=by == j)
+        goes_left = np.where(mine == MISSING, (best_missing == 1)[node], mine <= best_cut[node])
+        node = (child - begin - active)[node] + ~goes_left
         active, level = 2 * int(split.sum()), level + 1
     return Tree(feature, cut, missing, left, right, values, weights)
 
 
-def _node_cuts(node: np.ndarray, bins: np.ndarray, w: np.ndarray, own: np.ndarray, active: int, sum_w: np.ndarray, sum_s: np.ndarray) -> tuple[np.ndarray, ...]:
+def _node_cuts(node: np.ndarray, bins: np.ndarray, w: np.ndarray, slope: np.ndarray, active: int, sum_w: np.ndarray, sum_s: np.ndarray) -> tuple[np.ndarray, ...]:
     """Per node the best cut of one feature: sum of squared side sums over their weights, the cut, and whether missing values go left."""
     code = node * BINS + bins
     if active * BINS <= 4 * node.size:
         filled = np.arange(active * BINS)
-        cell_w, cell_s = np.bincount(code, w, filled.size), np.bincount(code, w * own, filled.size)
+        cell_w, cell_s = np.bincount(code, w, filled.size), np.bincount(code, slope, filled.size)
         held = np.flatnonzero(cell_w > 0)
         filled, cell_w, cell_s = filled[held], cell_w[held], cell_s[held]
     else:
-        order = np.argsort(code, kind="stable")
-        sorted_ = code[order]
+        # Codes and places as one number each: sorting these is far faster than sorting places by their codes, and leaves equal codes in order.
+        bits = code.size.bit_length()
+        packed = np.sort(code << bits | np.arange(code.size))
+        sorted_, order = packed >> bits, packed & ((1 << bits) - 1)
         begins = np.flatnonzero(np.concatenate(([True], sorted_[1:] != sorted_[:-1])))
-        filled, cell_w, cell_s = sorted_[begins], np.add.reduceat(w[order], begins), np.add.reduceat((w * own)[order], begins)
+        filled, cell_w, cell_s = sorted_[begins], np.add.reduceat(w[order], begins), np.add.reduceat(slope[order], begins)
     of, bin_ = filled // BINS, filled % BINS
     lost_w, lost_s = np.zeros(active), np.zeros(active)
     lost = bin_ == MISSING

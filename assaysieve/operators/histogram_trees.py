@@ -43,7 +43,7 @@ STYLES = {
 }
 LOCAL_ROWS = 100_000  # rows that one group may hold
 BUNDLES = 16  # shares in which a forest's trees are dealt
-PIECE = 5  # times `local_rows` that one piece of a large forest's tree may weigh: its rows come as bytes
+PIECE = 30  # times `local_rows` that one piece of a large forest's tree may weigh: its rows come as bytes
 MODEL_BYTES = 64 * 1024 * 1024  # nodes that are copied to the executors; larger models are joined to the rows
 NODE_BYTES = 37
 REWRITE = 10  # rounds of boosting after which the predictions so far are written down
@@ -82,12 +82,16 @@ class Fitted:
 
 def _tree_columns(trees: list[Tree], cuts: Sequence[np.ndarray], scale: float) -> dict[str, pa.Array]:
     # A cut after the last value tells known values from missing ones.
-    at = [[None if f < 0 else float(cuts[f][c]) if c < len(cuts[f]) else float("inf") for f, c in zip(t.feature, t.cut, strict=True)] for t in trees]
+    borders = np.full((len(cuts) + 1, BINS), np.inf)
+    for own, known in zip(borders, cuts, strict=False):
+        own[:known.size] = known
+    offsets = np.cumsum([0, *(len(t.feature) for t in trees)]).astype(np.int32)
+    flat = lambda name, kind: np.concatenate([np.zeros(0, kind), *(np.array(getattr(t, name), kind) for t in trees)])
+    lists = lambda values, mask=None: pa.ListArray.from_arrays(offsets, pa.array(values, mask=mask))
+    feature = flat("feature", np.int32)
     return {
-        "feature": pa.array([t.feature for t in trees], pa.list_(pa.int32())), "at": pa.array(at, pa.list_(pa.float64())),
-        "missing_left": pa.array([t.missing_left for t in trees], pa.list_(pa.bool_())), "left": pa.array([t.left for t in trees], pa.list_(pa.int32())),
-        "right": pa.array([t.right for t in trees], pa.list_(pa.int32())), "value": pa.array([[v * scale for v in t.value] for t in trees], pa.list_(pa.float64())),
-        "weight": pa.array([t.weight for t in trees], pa.list_(pa.float64())),
+        "feature": lists(feature), "at": lists(borders[feature, flat("cut", np.int64)], feature < 0), "missing_left": lists(flat("missing_left", bool)),
+        "left": lists(flat("left", np.int32)), "right": lists(flat("right", np.int32)), "value": lists(flat("value", float) * scale), "weight": lists(flat("weight", float)),
     }
 
 
@@ -650,7 +654,7 @@ def _forest_table(frame: DataFrame, features: int, targets: list[str], kind: str
     count, most = frame.count(), PIECE * local_rows
     nodes = 2 * math.ceil(count / most) * 4
     per_pass = max(1, min(style.trees, MODEL_BYTES // 2 // (nodes * NODE_BYTES)))
-    tasks = max(4 * spark.sparkContext.defaultParallelism, count * style.trees // (4 * most))
+    tasks = max(4 * spark.sparkContext.defaultParallelism, 4 * count * style.trees // most)
     for t, target in enumerate(targets):
         for fold in left:
             for begin in range(0, style.trees, per_pass):
@@ -801,23 +805,25 @@ def _to_pieces(features: int, target: int, left_out: int, style: Style, tops: di
 
 def _grown(bins: np.ndarray, y: np.ndarray, weight: np.ndarray, style: Style, depth: int | None, local_rows: int) -> Tree:
     """A piece grown whole: nodes beyond `local_rows` as by the jobs, then the rest."""
+    columns, slope = [np.ascontiguousarray(bins[:, j]) for j in range(bins.shape[1])], weight * y
     top, open_, parts = Tree(), [(0, np.arange(len(y)), 0)], []
     while open_:
         node, own, level = open_.pop()
-        pair = None
-        if weight[own].sum() > local_rows and (depth is None or level < depth):
-            sums = np.zeros((1, bins.shape[1], BINS, 2))
-            for j in range(bins.shape[1]):
-                sums[0, j, :, 0] = -np.bincount(bins[own, j], weight[own] * y[own], BINS)
-                sums[0, j, :, 1] = np.bincount(bins[own, j], weight[own], BINS)
+        pair, own_weight = None, weight[own]
+        if own_weight.sum() > local_rows and (depth is None or level < depth):
+            sums, own_slope = np.zeros((1, len(columns), BINS, 2)), slope[own]
+            for j, column in enumerate(columns):
+                codes = column[own].astype(np.intp)
+                sums[0, j, :, 0] = -np.bincount(codes, own_slope, BINS)
+                sums[0, j, :, 1] = np.bincount(codes, own_weight, BINS)
             split, gain, _, total = _best_split(sums, style)
             top.weight[node], top.value[node] = float(total[1]), float(-total[0] / total[1])
             if gain > 0:
                 pair = top.split(node, *split)
         if pair is None:
-            parts.append((node, growing.grow_full(bins[own], y[own], weight[own], None if depth is None else depth - level)))
+            parts.append((node, growing.grow_full(bins[own], y[own], own_weight, None if depth is None else depth - level)))
             continue
-        mine = bins[own, split[0]]
+        mine = columns[split[0]][own]
         goes_left = np.where(mine == growing.MISSING, split[2], mine <= split[1])
         open_ += [(pair[0], own[goes_left], level + 1), (pair[1], own[~goes_left], level + 1)]
     for node, part in parts:

@@ -433,3 +433,37 @@ def test_boxes_share_out_the_nodes_of_a_tree():
     assert len(boxes.low) == 16 and np.bincount(boxes.of(x)).max() <= 20_000 // 16
     assert len(tree.feature) <= node.size < 2 * len(tree.feature)  # whole trees for each box would be 16 times as many
     assert set(zip(boxes.of(x).tolist(), nodes.leaf_of(x, 0).tolist(), strict=True)) <= set(zip(box.tolist(), node.tolist(), strict=True))
+
+
+def test_tables_that_fit_pieces_are_not_split_by_jobs(spark, monkeypatch):
+    calls = []
+    split = T._split_large
+    monkeypatch.setattr(T, "_split_large", lambda *a: calls.append(1) or split(*a))
+    rng = np.random.default_rng(7)
+    x = np.round(rng.normal(size=(900, 2)), 1)
+    rows = [(i, float(a), float(b), float(round(a * b + e, 3))) for i, ((a, b), e) in enumerate(zip(x, rng.normal(size=900), strict=True))]
+    df = spark.createDataFrame(rows, "id bigint, a double, b double, y double").repartition(3)
+
+    def told():
+        model = T.fit_trees(df, ["a", "b"], ["y"], ["random_forest"], "id", options={"random_forest": {"trees": 3}}, local_rows=50).models
+        return {r["id"]: r["p"] for r in T.score_trees(df, model, ["a", "b"], "p").collect()}
+
+    whole = told()
+    assert len(calls) == 1  # the one that finds every tree's root small enough
+    monkeypatch.setattr(T, "PIECE", 2)
+    parts = told()
+    assert len(calls) > 3 and all(whole[k] == pytest.approx(parts[k]) for k in parts)
+
+
+@pytest.mark.parametrize("number", [0, 5, 99])
+def test_draws_follow_the_steps_of_the_poisson_numbers(number):
+    hashes = np.random.default_rng(number).integers(0, 2**64, 200_000, dtype=np.uint64)
+    steps = np.cumsum(np.exp(-1.0) / np.cumprod([1.0, *range(1, 16)]))
+    assert (growing.resampled(hashes, number) == np.searchsorted(steps, growing.uniform(hashes, number), "right")).all()
+
+
+def test_columns_of_trees():
+    trees = [growing.Tree([1, -1, -1], [2, -1, -1], [True, False, False], [1, -1, -1], [2, -1, -1], [0.5, 1.0, 3.0], [3.0, 2.0, 1.0]), growing.Tree()]
+    found = T._tree_columns(trees, [np.array([0.5]), np.array([1.0, 2.0])], 0.5)
+    assert found["at"].to_pylist() == [[np.inf, None, None], [None]] and found["value"].to_pylist() == [[0.25, 0.5, 1.5], [0.0]]
+    assert found["feature"].to_pylist() == [[1, -1, -1], [-1]] and all(len(c) == 0 for c in T._tree_columns([], [], 1.0).values())
