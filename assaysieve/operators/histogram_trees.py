@@ -43,7 +43,7 @@ STYLES = {
 }
 LOCAL_ROWS = 100_000  # rows that one group may hold
 BUNDLES = 16  # shares in which a forest's trees are dealt
-PIECE = 30  # times `local_rows` that one piece of a large forest's tree may weigh: its rows come as bytes
+PIECE = 20  # times `local_rows` that one piece of a large forest's tree may weigh: its rows come as bytes
 MODEL_BYTES = 64 * 1024 * 1024  # nodes that are copied to the executors; larger models are joined to the rows
 NODE_BYTES = 37
 REWRITE = 10  # rounds of boosting after which the predictions so far are written down
@@ -53,6 +53,7 @@ SAMPLED = 1000  # sizes of gradients that a task tells of to find the border of
 FULL = -1  # left-out fold of the fit on all rows
 ARRAYS = "feature array<int>, at array<double>, missing_left array<boolean>, left array<int>, right array<int>, value array<double>, weight array<double>"
 ARRAY_NAMES = [a.split()[0] for a in ARRAYS.split(", ")]
+NODE_KINDS = {"feature": np.int32, "cut": np.int16, "missing_left": bool, "left": np.int32, "right": np.int32, "value": float, "weight": float}
 ROOT = -1  # piece that holds a tree's root
 BOX_ROWS = 100_000  # sampled rows at most from which the borders of boxes are chosen
 
@@ -821,21 +822,27 @@ def _grown(bins: np.ndarray, y: np.ndarray, weight: np.ndarray, style: Style, de
             if gain > 0:
                 pair = top.split(node, *split)
         if pair is None:
-            parts.append((node, growing.grow_full(bins[own], y[own], own_weight, None if depth is None else depth - level)))
+            parts.append((node, _flat(growing.grow_full(bins[own], y[own], own_weight, None if depth is None else depth - level))))
             continue
         mine = columns[split[0]][own]
         goes_left = np.where(mine == growing.MISSING, split[2], mine <= split[1])
         open_ += [(pair[0], own[goes_left], level + 1), (pair[1], own[~goes_left], level + 1)]
+    out = {name: [own] for name, own in _flat(top).items()}
+    shift = len(top.feature) - 1
     for node, part in parts:
         # The part's root takes the leaf's place, its other nodes follow.
-        shift = len(top.feature) - 1
-        for name in ("left", "right"):
-            setattr(part, name, [c + shift if c >= 0 else -1 for c in getattr(part, name)])
-        for name in ("feature", "cut", "missing_left", "left", "right", "value", "weight"):
-            own, held = getattr(part, name), getattr(top, name)
-            held[node] = own[0]
-            held += own[1:]
-    return top
+        for name, own in part.items():
+            if name in ("left", "right"):
+                own = np.where(own >= 0, own + shift, -1)
+            out[name][0][node] = own[0]
+            out[name].append(own[1:].astype(NODE_KINDS[name]))
+        shift += len(part["feature"]) - 1
+    return Tree(**{name: np.concatenate(own) for name, own in out.items()})
+
+
+def _flat(tree: Tree) -> dict[str, np.ndarray]:
+    """A tree's nodes as arrays: lists of millions of nodes would take several times their memory."""
+    return {name: np.array(getattr(tree, name), kind) for name, kind in NODE_KINDS.items()}
 
 
 def _finished(features: int, target: str, kind: str, left_out: int, style: Style, cuts: list[np.ndarray], tops: dict[int, Tree], local_rows: int):
